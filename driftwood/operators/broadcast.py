@@ -1,0 +1,22 @@
+"""Broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound for an explicitly broadcast side (bytes, estimated).
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def bounded_broadcast(df: DataFrame, row_bytes: int,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``count(df) * row_bytes`` fits in
+    ``max_bytes``, else ``(df, False)`` so the join shuffles (and AQE may
+    still pick a broadcast from measured shuffle sizes).
+
+    The count is one scan of the small side (metadata only for parquet)."""
+    n = df.count()
+    if n * row_bytes <= max_bytes:
+        return F.broadcast(df), True
+    return df, False

@@ -1,0 +1,8 @@
+"""Streaming surface.
+
+The source system is batch-only: it has no streaming source, watermark,
+window or state (its declared streaming and Kafka dependencies are never
+imported).  Nothing is built here on purpose; the batch jobs in ``plans``
+take any number of days in one DataFrame, so a scheduler re-running them
+per day is the equivalent of the original daily job.
+"""
