@@ -6,7 +6,7 @@ from .ids import is_numeric, shard_has_score, shard_label, shard_month
 from .json_fields import first_key, location_fields, split_field, unwrap_parens
 from .tags import (combined_tokens, format_content_tags, format_tags, format_title_tags,
                    is_keyword_format, parse_keywords, parse_tags)
-from .vectors import (add, cosine, dot, fit_dim, l1_norm, l2_norm, parse_vector_line,
+from .vectors import (add, cosine, dot, element_sum, fit_dim, l1_norm, l2_norm, parse_vector_line,
                       scale, zeros)
 
 __all__ = [
@@ -15,6 +15,6 @@ __all__ = [
     "first_key", "location_fields", "split_field", "unwrap_parens",
     "combined_tokens", "format_content_tags", "format_tags", "format_title_tags",
     "is_keyword_format", "parse_keywords", "parse_tags",
-    "add", "cosine", "dot", "fit_dim", "l1_norm", "l2_norm", "parse_vector_line",
+    "add", "cosine", "dot", "element_sum", "fit_dim", "l1_norm", "l2_norm", "parse_vector_line",
     "scale", "zeros",
 ]

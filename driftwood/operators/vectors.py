@@ -4,8 +4,9 @@ category vectors, norms and cosine similarity.
 Tokens are rows ``(id..., word, weight)``; vectors are rows
 ``(word, vec ARRAY<FLOAT>)``.  The weighted sum is an ordinary aggregate:
 one ``sum(weight * vec[i])`` per dimension, which keeps a fixed-width
-buffer, aggregates partially before the shuffle (a hot id is reduced on the
-map side) and never holds a group's tokens in memory.
+buffer (``HashAggregate``), aggregates partially before the shuffle (a hot
+id is reduced on the map side) and never holds a group's tokens in memory.
+Out-of-vocabulary tokens are dropped by an inner join before that shuffle.
 """
 
 from __future__ import annotations
@@ -63,43 +64,61 @@ def token_vectors_broadcast(tokens: DataFrame, vectors: DataFrame, dim: int,
 
 def _dim_sums(vec: Column, weight: Column, dim: int, prefix: str,
               cond: Column | None = None) -> list[Column]:
-    """``sum(weight * vec[i])`` for each i; vectors of the wrong size add 0."""
-    ok = F.size(vec) <= dim
+    """``sum(weight * vec[i])`` for each i; vectors longer than ``dim`` add
+    nothing, shorter ones add to their own positions only."""
+    n = F.size(vec)
     out = []
     for i in range(dim):
-        term = F.when(ok, F.try_element_at(vec, F.lit(i + 1)).cast("double") * weight)
+        ok = (n <= dim) & (n > i)
         if cond is not None:
-            term = F.when(cond, term)
-        out.append(F.coalesce(F.sum(term), F.lit(0.0)).alias(f"{prefix}{i}"))
+            ok = ok & cond
+        term = F.when(ok, vec.getItem(i).cast("double") * weight)
+        out.append(F.sum(term).alias(f"{prefix}{i}"))
     return out
 
 
 def _assemble(prefix: str, dim: int) -> Column:
-    return F.array(*[F.col(f"{prefix}{i}") for i in range(dim)])
+    return F.array(*[F.coalesce(F.col(f"{prefix}{i}"), F.lit(0.0)) for i in range(dim)])
+
+
+def _known_tokens(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Tokens whose word is in the vocabulary, with its vector.  Unknown
+    words add zeros, so they are dropped before the aggregate's shuffle
+    rather than carried through it."""
+    return tokens.join(_vocab(vectors), "word", "inner")
 
 
 def tag_vector(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str] | str,
-               dim: int) -> DataFrame:
+               dim: int, all_ids: bool = True) -> DataFrame:
     """Weighted vector sum per id: ``(id..., vec ARRAY<DOUBLE>)``.
 
-    Repeated words add up; ids whose words are all unknown get zeros (ids
-    with no tokens at all are the caller's to add back)."""
+    Repeated words add up.  With ``all_ids`` every id of ``tokens`` is
+    returned, ids whose words are all unknown with zeros (a distinct of the
+    ids joined back, both sides partitioned by id)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    j = tokens.join(_vocab(vectors), "word", "left")
-    g = j.groupBy(*ids).agg(*_dim_sums(F.col("vec"), F.col("weight"), dim, "_d"))
-    return g.select(*ids, _assemble("_d", dim).alias("vec"))
+    g = _known_tokens(tokens, vectors).groupBy(*ids).agg(
+        *_dim_sums(F.col("vec"), F.col("weight"), dim, "_d"))
+    v = g.select(*ids, _assemble("_d", dim).alias("vec"))
+    if not all_ids:
+        return v
+    return with_zero_vectors(tokens.select(*ids).distinct(), v, ids, ["vec"], dim)
 
 
 def tag_vectors_multi(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str],
-                      part_col: str, parts: Sequence[str], dim: int) -> DataFrame:
+                      part_col: str, parts: Sequence[str], dim: int,
+                      all_ids: bool = True) -> DataFrame:
     """Several weighted sums per id in one aggregate (e.g. body and title
     tags): output ``id..., <part>_vec`` for each part."""
-    j = tokens.join(_vocab(vectors), "word", "left")
+    ids = list(id_cols)
     aggs = []
     for p in parts:
         aggs += _dim_sums(F.col("vec"), F.col("weight"), dim, f"_{p}_", F.col(part_col) == p)
-    g = j.groupBy(*id_cols).agg(*aggs)
-    return g.select(*id_cols, *[_assemble(f"_{p}_", dim).alias(f"{p}_vec") for p in parts])
+    g = _known_tokens(tokens, vectors).groupBy(*ids).agg(*aggs)
+    v = g.select(*ids, *[_assemble(f"_{p}_", dim).alias(f"{p}_vec") for p in parts])
+    if not all_ids:
+        return v
+    return with_zero_vectors(tokens.select(*ids).distinct(), v, ids,
+                             [f"{p}_vec" for p in parts], dim)
 
 
 def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
@@ -116,7 +135,7 @@ def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str =
     body = explode_tokens(rows, parse_tags(F.col(tags_col)), [id_col]).withColumn("_part", F.lit("tags"))
     title = explode_tokens(rows, parse_tags(F.col(title_col)), [id_col]).withColumn("_part", F.lit("title"))
     toks = body.unionByName(title)
-    v = tag_vectors_multi(toks, vectors, [id_col], "_part", ["tags", "title"], dim)
+    v = tag_vectors_multi(toks, vectors, [id_col], "_part", ["tags", "title"], dim, all_ids=False)
     return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["tags_vec", "title_vec"], dim)
 
 
@@ -128,12 +147,14 @@ def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
     empty) sums every category's tags except ``-1``; otherwise the text is
     read as tags.  The title's tags are added.  Both empty -> zeros."""
     toks = explode_tokens(rows, combined_tokens(F.col(text_col), F.col(title_col)), [id_col])
-    v = tag_vector(toks, vectors, [id_col], dim)
+    v = tag_vector(toks, vectors, [id_col], dim, all_ids=False)
     return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["vec"], dim)
 
 
 def vector_norms(vectors: DataFrame, vec_col: str = "vec") -> DataFrame:
-    return vectors.withColumns({"l1": l1_norm(F.col(vec_col)), "l2": l2_norm(F.col(vec_col))})
+    """Add ``l1`` and ``l2`` norms."""
+    v = F.col(vec_col)
+    return vectors.withColumns({"l1": l1_norm(v), "l2": l2_norm(v)})
 
 
 def vector_lookup_one(vectors: DataFrame, key: str) -> DataFrame:
@@ -146,7 +167,9 @@ def vector_lookup_one(vectors: DataFrame, key: str) -> DataFrame:
 
 def cosine_pairs(left: DataFrame, right: DataFrame, id_cols: Sequence[str],
                  left_vec: str = "vec", right_vec: str = "vec") -> DataFrame:
-    """Cosine similarity of two vectors per id (missing side -> 0.0)."""
+    """Cosine similarity of two vectors per id held in two tables (missing
+    side -> 0.0).  When both vectors come from one aggregate, use
+    ``functions.cosine`` on the two columns instead (no join)."""
     a = left.select(*id_cols, F.col(left_vec).alias("_a"))
     b = right.select(*id_cols, F.col(right_vec).alias("_b"))
     j = a.join(b, list(id_cols), "full_outer")

@@ -30,12 +30,10 @@ def _r(c: Column) -> Column:
 
 
 def vec_summary(c: Column, p: str) -> list[Column]:
-    d = lambda x: x.cast("double")
     return [
-        _r(F.aggregate(c, F.lit(0.0), lambda s, x: s + d(x))).alias(f"{p}_sum"),
+        _r(fn.element_sum(c)).alias(f"{p}_sum"),
         _r(fn.l2_norm(c)).alias(f"{p}_l2"),
-        _r(F.aggregate(F.transform(c, lambda x, i: d(x) * (i + 1)), F.lit(0.0),
-                       lambda s, x: s + x)).alias(f"{p}_wsum"),
+        _r(fn.element_sum(c, weighted=True)).alias(f"{p}_wsum"),
         F.size(c).cast("bigint").alias(f"{p}_dim"),
     ]
 
