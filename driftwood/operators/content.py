@@ -57,12 +57,13 @@ def content_join3(t_content: DataFrame, t_signal: DataFrame, t_news: DataFrame,
     return t_content.join(t_signal, k, "inner").join(t_news, k, "inner")
 
 
-def first_per_id(found: DataFrame, id_col: str = ID) -> DataFrame:
-    """One row per id even if a source repeats an id: the smallest row, so
-    the choice is deterministic."""
-    rest = [c for c in found.columns if c != id_col]
-    return (found.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_r"))
-            .select(id_col, "_r.*"))
+def first_per_id(found: DataFrame, id_col: str | list[str] = ID) -> DataFrame:
+    """One row per id (or per key columns) even if a source repeats an id:
+    the smallest row, so the choice is deterministic."""
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
+    rest = [c for c in found.columns if c not in keys]
+    return (found.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r"))
+            .select(*keys, "_r.*").select(*found.columns))
 
 
 def content_row(found: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -121,7 +122,9 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
         found = with_shard(found, ID, **shard_rule)
     found = found.where(F.col("shard").isNotNull())
     if dedupe_source:
-        found = first_per_id(found, ID)
+        # an id routes to exactly one shard, so per (id, shard) is per id; it
+        # also keeps the (id, shard) partitioning of the join for the lookup
+        found = first_per_id(found, [ID, "shard"])
     rows = content_row(found, keep=("shard",)).withColumn("_found", F.lit(True))
     j = routed.join(rows, [ID, "shard"], "left")
     present = F.col("_found").isNotNull()
@@ -141,4 +144,4 @@ def snapshot_merge(new_rows: DataFrame, old_rows: DataFrame) -> DataFrame:
 
 def dedup_content(rows: DataFrame, id_col: str = ID) -> DataFrame:
     """One row per content id (the smallest, for determinism)."""
-    return first_per_id(rows, id_col).select(*rows.columns)
+    return first_per_id(rows, id_col)

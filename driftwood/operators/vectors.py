@@ -107,16 +107,22 @@ def tag_vector(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str] | s
 def tag_vectors_multi(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str],
                       part_col: str, parts: Sequence[str], dim: int,
                       all_ids: bool = True) -> DataFrame:
-    """Several weighted sums per id in one aggregate (e.g. body and title
-    tags): output ``id..., <part>_vec`` for each part."""
+    """Several weighted sums per id (e.g. body and title tags): output
+    ``id..., <part>_vec`` for each part.
+
+    Summed per ``(id, part)`` with ``dim`` sums, then the (at most
+    ``len(parts)``) rows of an id are folded into one.  Measured faster
+    than one aggregate with ``dim * len(parts)`` conditional sums (64-d:
+    0.60 s vs 0.95 s; 300-d: 2.5 s vs 5.9 s at sf0.1); both shuffles carry
+    partially aggregated rows only."""
     ids = list(id_cols)
-    aggs = []
-    for p in parts:
-        aggs += _dim_sums(F.col("vec"), F.col("weight"), dim, f"_{p}_", F.col(part_col) == p)
-    g = _known_tokens(tokens, vectors).groupBy(*ids).agg(*aggs)
-    v = g.select(*ids, *[_assemble(f"_{p}_", dim).alias(f"{p}_vec") for p in parts])
+    per_part = tag_vector(tokens.where(F.col(part_col).isin(*parts)), vectors,
+                          ids + [part_col], dim, all_ids=False)
+    v = per_part.groupBy(*ids).agg(
+        *[F.max(F.when(F.col(part_col) == p, F.col("vec"))).alias(f"{p}_vec") for p in parts])
     if not all_ids:
-        return v
+        return v.select(*ids, *[F.coalesce(F.col(f"{p}_vec"), zeros(dim)).alias(f"{p}_vec")
+                                for p in parts])
     return with_zero_vectors(tokens.select(*ids).distinct(), v, ids,
                              [f"{p}_vec" for p in parts], dim)
 
