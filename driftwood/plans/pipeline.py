@@ -1,0 +1,61 @@
+"""The daily jobs end to end, with storage between them.
+
+1. ``run_training_rows``: impression + click log text of any day range ->
+   training rows written partitioned by ``month``/``day`` (only the days
+   present are replaced).
+2. ``run_content_refresh``: the saved rows of a day range (partition
+   pruning) -> ids new to the previous snapshot -> lookup -> new snapshot in
+   a fresh stamped folder.  Totals (ids seen, new ids, rows fetched) are
+   collected with ``DataFrame.observe`` during that one write instead of
+   separate counting jobs.
+3. ``run_repair``: saved rows wrapped in parentheses -> unwrapped text.
+
+Each step reads what the previous one wrote, so a lost executor only
+recomputes within one step, and the snapshot being read is never the one
+being written.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.content import content_lookup, distinct_ids, new_ids, snapshot_merge
+from ..schemas import CONTENT_COLUMNS
+from ..sources.logs import read_day_range, read_log_text
+from ..sources.sinks import write_partitioned, write_snapshot, write_text
+from .jobs import repair_snapshot, training_rows_with_day
+
+
+def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
+                      clk_paths: str | Iterable[str], strategy: int, out_root: str,
+                      n_files: int | None = None) -> str:
+    rows = training_rows_with_day(read_log_text(spark, imp_paths),
+                                  read_log_text(spark, clk_paths), strategy)
+    write_partitioned(rows, out_root, ["month", "day"], n_files=n_files)
+    return out_root
+
+
+def run_content_refresh(spark: SparkSession, training_root: str, start_day: str, end_day: str,
+                        old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
+                        t_news: DataFrame, snapshot_root: str, month: str, stamp: str,
+                        n_files: int = 20, **shard_rule) -> tuple[str, dict]:
+    saved = read_day_range(spark, training_root, start_day, end_day)
+    ids = distinct_ids(saved.select("content_id"))
+    seen, fetched = Observation("ids_seen"), Observation("rows_fetched")
+    ids = ids.observe(seen, F.count(F.lit(1)).alias("total_ids"))
+    fresh = new_ids(ids, old_snapshot)
+    looked = content_lookup(fresh, t_content, t_signal, t_news, **shard_rule)
+    looked = looked.observe(fetched, F.count(F.lit(1)).alias("new_ids"),
+                            F.count_if(F.col("body_images_count") != " ").alias("found"))
+    merged = snapshot_merge(looked, old_snapshot.select(*CONTENT_COLUMNS))
+    path = write_snapshot(merged, snapshot_root, month, stamp, n_files=n_files)
+    return path, {**seen.get, **fetched.get}
+
+
+def run_repair(spark: SparkSession, src_path: str, dst_path: str, n_files: int = 20) -> str:
+    write_text(repair_snapshot(spark.read.text(src_path)), dst_path, n_files=n_files,
+               mode="errorifexists")
+    return dst_path
