@@ -135,11 +135,17 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     return j.select(*cols)
 
 
-def snapshot_merge(new_rows: DataFrame, old_rows: DataFrame) -> DataFrame:
+def snapshot_merge(new_rows: DataFrame, old_rows: DataFrame,
+                   disjoint_distinct: bool = False) -> DataFrame:
     """New rows union old snapshot rows, duplicates removed over the whole
-    row (two versions of one id both survive if any field differs)."""
-    return new_rows.select(*CONTENT_COLUMNS).unionByName(
-        old_rows.select(*CONTENT_COLUMNS)).distinct()
+    row (two versions of one id both survive if any field differs).
+
+    ``disjoint_distinct=True`` states that both inputs are already distinct
+    and share no id (the refresh looks up only ids absent from a snapshot
+    it wrote itself); the union is then already distinct and the shuffle of
+    the whole snapshot is skipped."""
+    u = new_rows.select(*CONTENT_COLUMNS).unionByName(old_rows.select(*CONTENT_COLUMNS))
+    return u if disjoint_distinct else u.distinct()
 
 
 def dedup_content(rows: DataFrame, id_col: str = ID) -> DataFrame:

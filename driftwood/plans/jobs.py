@@ -43,14 +43,18 @@ def training_rows_with_day(imp_text: DataFrame, clk_text: DataFrame, strategy: i
 
 def content_refresh(log_rows: DataFrame, snapshot: DataFrame, t_content: DataFrame,
                     t_signal: DataFrame, t_news: DataFrame, id_col: str = "content_id",
-                    **shard_rule) -> DataFrame:
+                    snapshot_is_distinct: bool = False, **shard_rule) -> DataFrame:
     """New snapshot = old snapshot union the content rows of ids seen in the
     logs but not yet in the snapshot (whole-row distinct).  Only new ids
-    are looked up; the lookup is a join, not a per-id query."""
+    are looked up; the lookup is a join, not a per-id query.
+
+    Looked-up rows carry ids absent from the snapshot and one row per id, so
+    when the old snapshot is known to be distinct (it was written by this
+    job) ``snapshot_is_distinct=True`` skips the whole-snapshot shuffle."""
     ids = distinct_ids(log_rows.select(F.col(id_col).alias("content_id")))
     fresh = new_ids(ids, snapshot)
     looked_up = content_lookup(fresh, t_content, t_signal, t_news, **shard_rule)
-    return snapshot_merge(looked_up, snapshot)
+    return snapshot_merge(looked_up, snapshot, disjoint_distinct=snapshot_is_distinct)
 
 
 def content_vectors(content_rows: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:

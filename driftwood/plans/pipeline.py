@@ -41,7 +41,8 @@ def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
 def run_content_refresh(spark: SparkSession, training_root: str, start_day: str, end_day: str,
                         old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                         t_news: DataFrame, snapshot_root: str, month: str, stamp: str,
-                        n_files: int = 20, **shard_rule) -> tuple[str, dict]:
+                        n_files: int = 20, snapshot_is_distinct: bool = False,
+                        **shard_rule) -> tuple[str, dict]:
     saved = read_day_range(spark, training_root, start_day, end_day)
     ids = distinct_ids(saved.select("content_id"))
     seen, fetched = Observation("ids_seen"), Observation("rows_fetched")
@@ -50,7 +51,8 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
     looked = content_lookup(fresh, t_content, t_signal, t_news, **shard_rule)
     looked = looked.observe(fetched, F.count(F.lit(1)).alias("new_ids"),
                             F.count_if(F.col("body_images_count") != " ").alias("found"))
-    merged = snapshot_merge(looked, old_snapshot.select(*CONTENT_COLUMNS))
+    merged = snapshot_merge(looked, old_snapshot.select(*CONTENT_COLUMNS),
+                            disjoint_distinct=snapshot_is_distinct)
     path = write_snapshot(merged, snapshot_root, month, stamp, n_files=n_files)
     return path, {**seen.get, **fetched.get}
 

@@ -105,6 +105,10 @@ def test_content_refresh(spark):
     assert got == [("201808001", "old"), ("201907001", "1")]
     again = jobs.content_refresh(logs, out, *tables(spark))
     assert again.count() == out.count()
+    fast = jobs.content_refresh(logs, out, *tables(spark), snapshot_is_distinct=True)
+    assert rows(fast) == rows(again)
+    fast.collect()
+    assert "HashAggregate(keys=[content_id" not in plan_text(fast).split("Union")[0]
 
 
 def test_first_per_id(spark):
