@@ -34,7 +34,8 @@ def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
                       n_files: int | None = None) -> str:
     rows = training_rows_with_day(read_log_text(spark, imp_paths),
                                   read_log_text(spark, clk_paths), strategy)
-    write_partitioned(rows, out_root, ["month", "day"], n_files=n_files)
+    write_partitioned(rows, out_root, ["month", "day"], n_files=n_files,
+                      rebalance=n_files is None)
     return out_root
 
 

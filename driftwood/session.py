@@ -27,6 +27,30 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for the target deployment (~100 TB of logs, ~1000 executors).
+# Shuffle partitions start high and AQE coalesces them to the advisory size,
+# so no stage needs a hand-tuned count; skewed join partitions are split;
+# text splits of 256 MiB keep a JSON-parse task to a few seconds; the
+# external shuffle service and decommissioning keep shuffle files when an
+# executor is lost, so a lost executor costs its running tasks only.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "driftwood", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)

@@ -18,10 +18,18 @@ def limit_files(df: DataFrame, n_files: int | None) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       fmt: str = "parquet", n_files: int | None = None,
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", rebalance: bool = False) -> None:
     """Write with one folder per partition value (e.g. ``month``/``day``),
     so a later day-range read prunes folders.  With ``overwrite`` only the
-    partitions present in ``df`` are replaced (dynamic overwrite)."""
+    partitions present in ``df`` are replaced (dynamic overwrite).
+
+    ``rebalance`` clusters rows by the partition columns with an adaptive
+    rebalance (a big day is split, small ones are merged to the advisory
+    partition size), so each folder gets a few large files instead of one
+    small file per upstream task; ``n_files`` instead merges to a fixed
+    number of tasks without a shuffle."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
     (limit_files(df, n_files).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(path))

@@ -22,6 +22,17 @@ def test_partitioned_write_and_pruned_range(spark):
     assert "PartitionFilters" in p and "20240103" in p
 
 
+def test_rebalanced_write_few_files_per_day(spark):
+    df = spark.range(4000).select((F.col("id") % 2).cast("string").alias("day"), "id").repartition(16)
+    path = scratch_path(spark, "t-rebal")
+    src.write_partitioned(df, path, ["day"], rebalance=True)
+    for d in ("0", "1"):
+        files = [f for f in os.listdir(os.path.join(path.replace("file:", ""), f"day={d}"))
+                 if f.endswith(".parquet")]
+        assert 1 <= len(files) < 16
+    assert spark.read.parquet(path).count() == 4000
+
+
 def test_dynamic_overwrite_keeps_other_days(spark):
     path = scratch_path(spark, "t-dyn")
     a = spark.createDataFrame([(1, "20240101"), (2, "20240102")], "v int, day string")
