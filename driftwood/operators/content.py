@@ -106,17 +106,27 @@ def with_shard(ids: DataFrame, id_col: str = ID, **rule) -> DataFrame:
 
 def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                    t_news: DataFrame, id_col: str = ID, dedupe_source: bool = True,
-                   **shard_rule) -> DataFrame:
-    """Content rows for the requested ids.
-
-    Each id is routed to its month shard (``shard_label``); ids that route
-    nowhere or are not found keep a row whose columns 1-11 are a blank and
-    whose tags are empty.  Requested ids are not deduplicated here: every
-    input row gets exactly one output row.  The lookup is one left join on
-    ``(content_id, shard)`` -- no per-id query, no driver collect.  When the
-    source tables are partitioned by ``shard`` the join prunes months.
+                   ids_distinct: bool = False, **shard_rule) -> DataFrame:
+    """Content rows for the requested ids, one output row per input row
+    (other columns of ``ids`` are carried along after the content columns).
+
+    Each distinct id is routed to its month shard (``shard_label``) and
+    looked up once by a left join on ``(content_id, shard)`` -- no per-id
+    query, no driver collect; with shard-partitioned source tables the join
+    prunes months.  Ids that route nowhere or are not found get a row whose
+    columns 1-11 are a blank and whose tags are empty.
+
+    When ``ids`` may repeat an id (e.g. one row per log line, where one id
+    can hold a third of all rows), the distinct ids are looked up first and
+    the requested rows are then joined to that result on the id alone: both
+    sides of that join are shuffled, so AQE can split a hot id's partition
+    or broadcast the lookup result when it is measured small.  Pass
+    ``ids_distinct=True`` when the ids are already distinct to skip it.
     """
-    routed = with_shard(ids.select(F.col(id_col).alias(ID)), ID, **shard_rule)
+    extra = [c for c in ids.columns if c != id_col]
+    req = ids.select(F.col(id_col).alias(ID), *extra)
+    uniq = req if ids_distinct else req.select(ID).distinct()
+    routed = with_shard(uniq, ID, **shard_rule)
     found = content_join3(t_content, t_signal, t_news)
     if "shard" not in found.columns:
         found = with_shard(found, ID, **shard_rule)
@@ -126,13 +136,15 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
         # also keeps the (id, shard) partitioning of the join for the lookup
         found = first_per_id(found, [ID, "shard"])
     rows = content_row(found, keep=("shard",)).withColumn("_found", F.lit(True))
-    j = routed.join(rows, [ID, "shard"], "left")
+    looked = routed.join(rows, [ID, "shard"], "left").drop("shard")
+    if not ids_distinct:
+        looked = req.join(looked.where(F.col(ID).isNotNull()), ID, "left")
     present = F.col("_found").isNotNull()
     cols = [F.col(ID)]
     for c in CONTENT_COLUMNS[1:]:
         default = "" if c in ("tags", "tags_title") else BLANK
         cols.append(F.when(present, F.col(c)).otherwise(F.lit(default)).alias(c))
-    return j.select(*cols)
+    return looked.select(*cols, *extra)
 
 
 def snapshot_merge(new_rows: DataFrame, old_rows: DataFrame,

@@ -53,7 +53,7 @@ def content_refresh(log_rows: DataFrame, snapshot: DataFrame, t_content: DataFra
     job) ``snapshot_is_distinct=True`` skips the whole-snapshot shuffle."""
     ids = distinct_ids(log_rows.select(F.col(id_col).alias("content_id")))
     fresh = new_ids(ids, snapshot)
-    looked_up = content_lookup(fresh, t_content, t_signal, t_news, **shard_rule)
+    looked_up = content_lookup(fresh, t_content, t_signal, t_news, ids_distinct=True, **shard_rule)
     return snapshot_merge(looked_up, snapshot, disjoint_distinct=snapshot_is_distinct)
 
 

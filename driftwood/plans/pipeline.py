@@ -49,7 +49,7 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
     seen, fetched = Observation("ids_seen"), Observation("rows_fetched")
     ids = ids.observe(seen, F.count(F.lit(1)).alias("total_ids"))
     fresh = new_ids(ids, old_snapshot)
-    looked = content_lookup(fresh, t_content, t_signal, t_news, **shard_rule)
+    looked = content_lookup(fresh, t_content, t_signal, t_news, ids_distinct=True, **shard_rule)
     looked = looked.observe(fetched, F.count(F.lit(1)).alias("new_ids"),
                             F.count_if(F.col("body_images_count") != " ").alias("found"))
     merged = snapshot_merge(looked, old_snapshot.select(*CONTENT_COLUMNS),

@@ -226,13 +226,14 @@ def q_content_row(spark, sf):
     return op.content_row(op.content_join3(*inp.content_tables(spark, sf)))
 
 
-def _lookup(ids, spark, sf):
-    return op.content_lookup(ids, *inp.content_tables(spark, sf), **inp.SHARD_RULE)
+def _lookup(ids, spark, sf, ids_distinct=False):
+    return op.content_lookup(ids, *inp.content_tables(spark, sf), ids_distinct=ids_distinct,
+                             **inp.SHARD_RULE)
 
 
 def q_content_lookup(spark, sf):
     fresh = op.new_ids(op.distinct_ids(inp.log_content_ids(spark, sf)), inp.snapshot_ids(spark, sf))
-    return _lookup(fresh, spark, sf)
+    return _lookup(fresh, spark, sf, ids_distinct=True)
 
 
 def q_content_lookup_all(spark, sf):

@@ -121,3 +121,35 @@ def test_content_row_without_score_column(spark):
     j = op.content_join3(tc.drop("publisher_score"), ts, tn)
     r = op.content_row(j)
     assert {x.publisher_score for x in r.collect()} == {" "}
+
+
+def test_hot_id_lookup_is_split_and_whole(spark):
+    """One id holds a third of all requested rows: AQE splits its join
+    partition (no broadcast here) and every input row still gets its row."""
+    hot = [("201808001", f"log-{i:06d}") for i in range(3000)]
+    cold = [(f"2018{8 + (i % 4):02d}{i:03d}", f"log-{i:06d}") for i in range(6000)]
+    ids = spark.createDataFrame(hot + cold, "content_id string, log_id string").repartition(8)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = op.content_lookup(ids, *tables(spark))
+        got = out.groupBy("content_id").count().where("content_id = '201808001'").collect()
+        assert got[0]["count"] == 3000
+        assert out.count() == 9000
+        assert out.select("log_id").distinct().count() == 6000
+        out.collect()
+        assert "skew=true" in plan_text(out)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

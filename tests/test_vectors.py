@@ -112,3 +112,39 @@ def test_lookup_one_and_norm(spark, tmp_path):
     r = jobs.word_norm(v, "a").collect()
     assert len(r) == 1 and r[0].l2 == 1.0          # first of the two "a" rows
     assert jobs.word_norm(v, "missing").count() == 0
+
+
+def test_hot_word_join_is_split_and_whole(spark):
+    # a plain vocabulary table: the join shuffles both sides, so AQE can split
+    v = spark.createDataFrame([("a", [1.0, 0.0, 0.0]), ("b", [0.0, 1.0, 0.0]), ("c", [0.0, 0.0, 1.0])],
+                              "word string, vec array<float>")
+    hot = [(f"id{i % 500}", "a", 1.0) for i in range(3000)]
+    cold = [(f"id{i % 500}", "bc"[i % 2], 1.0) for i in range(6000)]
+    t = toks(spark, hot + cold).repartition(8)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, val in conf.items():
+            spark.conf.set(k, val)
+        tv = op.token_vectors(t, v, DIM)
+        assert tv.count() == 9000
+        tv.collect()
+        assert "skew=true" in plan_text(tv)
+        out = {r.id: r.vec for r in op.tag_vector(t, v, "id", DIM).collect()}
+        unit = {"a": [1.0, 0.0, 0.0], "b": [0.0, 1.0, 0.0], "c": [0.0, 0.0, 1.0]}
+        exp = {}
+        for i, w, _ in hot + cold:
+            exp[i] = [x + y for x, y in zip(exp.get(i, [0.0] * 3), unit[w])]
+        assert out == exp
+    finally:
+        for k, val in old.items():
+            if val is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, val)
