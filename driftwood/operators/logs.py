@@ -28,6 +28,19 @@ def strategy_filter(logs: DataFrame, side_key: str, code: int, log_col: str = "l
     return logs.where(item.isNotNull() & (item["o2"]["e30"].try_cast("int") == F.lit(code)))
 
 
+def strategy_prefilter(text: DataFrame, side_key: str, code: int,
+                       value_col: str = "value") -> DataFrame:
+    """The strategy test on raw JSON text, before the full parse: a
+    substring check, then ``get_json_object`` of ``<side>.o2.e30`` only.
+    Lines of other strategies never reach the full ``from_json``; measured
+    0.20 s vs 0.35 s per 240k lines when a third match.  It only narrows:
+    ``strategy_filter`` on the parsed record still decides (a truncated line
+    can yield ``e30`` here and fail the full parse)."""
+    v = F.col(value_col)
+    e30 = F.get_json_object(v, f"$.{side_key}.o2.e30").try_cast("int")
+    return text.where(v.contains(side_key) & (e30 == F.lit(code)))
+
+
 def item_of(log: Column) -> Column:
     """The impression object when present, else the click object."""
     return F.when(log[IMPRESSION_KEY].isNotNull(), log[IMPRESSION_KEY]).otherwise(log[CLICK_KEY])

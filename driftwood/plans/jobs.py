@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.json_fields import unwrap_parens
 from ..functions.vectors import l2_norm
 from ..operators.content import (content_lookup, distinct_ids, new_ids, snapshot_merge)
-from ..operators.logs import click_label, flatten_log, strategy_filter, with_pair_key
+from ..operators.logs import (click_label, flatten_log, strategy_filter, strategy_prefilter,
+                              with_pair_key)
 from ..operators.vectors import content_vectors as _content_vectors
 from ..operators.vectors import vector_lookup_one
 from ..schemas import CLICK_KEY, IMPRESSION_KEY
@@ -19,12 +20,12 @@ from ..sources.logs import parse_logs
 def labelled_logs(imp_text: DataFrame, clk_text: DataFrame, strategy: int,
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Text lines of both sides -> one labelled record per (content, device,
-    day): parse once, keep the strategy, pair in one aggregate."""
-    imp = with_pair_key(strategy_filter(parse_logs(imp_text.select(*keep, "value"), IMPRESSION_KEY),
-                                        IMPRESSION_KEY, strategy))
-    clk = with_pair_key(strategy_filter(parse_logs(clk_text.select(*keep, "value"), CLICK_KEY),
-                                        CLICK_KEY, strategy))
-    return click_label(imp, clk)
+    day): strategy pre-test on the text, one full parse of the kept lines,
+    exact strategy test, pairing in one aggregate."""
+    def side(text: DataFrame, key: str) -> DataFrame:
+        pre = strategy_prefilter(text.select(*keep, "value"), key, strategy)
+        return with_pair_key(strategy_filter(parse_logs(pre), key, strategy))
+    return click_label(side(imp_text, IMPRESSION_KEY), side(clk_text, CLICK_KEY))
 
 
 def training_rows(imp_text: DataFrame, clk_text: DataFrame, strategy: int) -> DataFrame:

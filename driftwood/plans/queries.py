@@ -58,9 +58,11 @@ def q_log_scan(spark, sf):
 
 def _filtered(spark, sf):
     imp_t, clk_t = inp.log_text(spark, sf)
-    imp = op.strategy_filter(src.parse_logs(imp_t, IMPRESSION_KEY), IMPRESSION_KEY, inp.STRATEGY)
-    clk = op.strategy_filter(src.parse_logs(clk_t, CLICK_KEY), CLICK_KEY, inp.STRATEGY)
-    return imp, clk
+
+    def side(t, key):
+        pre = op.strategy_prefilter(t, key, inp.STRATEGY)
+        return op.strategy_filter(src.parse_logs(pre), key, inp.STRATEGY)
+    return side(imp_t, IMPRESSION_KEY), side(clk_t, CLICK_KEY)
 
 
 def q_strategy_filter(spark, sf):
@@ -241,7 +243,8 @@ def q_content_lookup_all(spark, sf):
 
 
 def _old_snapshot(spark, sf):
-    return _lookup(inp.snapshot_ids(spark, sf), spark, sf)
+    # order keys are unique, so the snapshot ids are distinct
+    return _lookup(inp.snapshot_ids(spark, sf), spark, sf, ids_distinct=True)
 
 
 def q_content_refresh(spark, sf):
@@ -253,7 +256,7 @@ def _slice(spark, sf, lo, hi):
     o = inp.table(spark, sf, "orders").where(
         F.col("o_orderdate").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
     return _lookup(o.select(inp.content_id_of(F.col("o_orderdate"), F.col("o_orderkey")).alias("content_id")),
-                   spark, sf)
+                   spark, sf, ids_distinct=True)
 
 
 def q_snapshot_merge(spark, sf):

@@ -150,3 +150,14 @@ def test_dedup_daily(spark):
     d = op.dedup_daily(f)
     assert d.count() == 7
     assert rows(d.where("content_id = 'c1' AND day = '2024-01-01'").select("log.p1")) == [("1",)]
+
+
+def test_prefilter_only_narrows(spark):
+    imp, _ = texts(spark)
+    trunc = '{"p1":"50","p3":"2024-01-01 00:00:00","e23":{"e15":"c1","o2":{"e30":7}'
+    t = imp.union(spark.createDataFrame([(trunc,)], "value string"))
+    pre = op.strategy_prefilter(t, IMPRESSION_KEY, S)
+    exact = op.strategy_filter(parse_logs(pre), IMPRESSION_KEY, S)
+    full = op.strategy_filter(parse_logs(t, IMPRESSION_KEY), IMPRESSION_KEY, S)
+    assert rows(exact.select("log.p1")) == rows(full.select("log.p1"))
+    assert "50" not in {r[0] for r in exact.select("log.p1").collect()}
