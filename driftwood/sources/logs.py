@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from ..schemas import LOG_SCHEMA
 def read_log_text(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Read one or many paths or globs as one text dataset (column ``value``)."""
     if isinstance(paths, str):
-        paths = [p for p in paths.split(",") if p]
+        paths = [paths]
     return spark.read.text(list(paths))
 
 
@@ -50,28 +51,28 @@ def day_paths(prefix: str, days: Iterable[_dt.date], suffix: str = "") -> list[s
     return [f"{prefix}{d.strftime('%Y%m%d')}{suffix}" for d in days]
 
 
-def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Keep the paths (or globs) that match something; missing days drop out."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    keep = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        found = fs.globStatus(hp)
-        if found is not None and len(found) > 0:
-            keep.append(p)
-    return keep
+def day_glob(prefix: str, days: Iterable[_dt.date], suffix: str = "") -> str:
+    """One Hadoop glob ``prefix{d1,d2,...}suffix``: it matches only the days
+    whose folder exists, so missing days drop out without probing storage."""
+    names = ",".join(d.strftime("%Y%m%d") for d in days)
+    return f"{prefix}{{{names}}}{suffix}"
+
+
+def read_text_or_empty(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """Text of the given paths/globs; an empty frame when none matches."""
+    try:
+        return read_log_text(spark, paths)
+    except AnalysisException as ex:
+        if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
+            return spark.createDataFrame([], "value string")
+        raise
 
 
 def read_day_range_paths(spark: SparkSession, prefix: str, start: _dt.date, end: _dt.date,
                          suffix: str = "") -> DataFrame:
     """Logs of every day in ``[start, end]`` under ``prefix/yyyyMMdd/suffix``
     folders; days without a folder are skipped."""
-    paths = existing_paths(spark, day_paths(prefix, days_in_range(start, end), suffix))
-    if not paths:
-        return spark.createDataFrame([], "value string")
-    return read_log_text(spark, paths)
+    return read_text_or_empty(spark, [day_glob(prefix, days_in_range(start, end), suffix)])
 
 
 def read_day_range(spark: SparkSession, root: str, start: str, end: str,
