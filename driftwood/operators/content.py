@@ -106,7 +106,8 @@ def with_shard(ids: DataFrame, id_col: str = ID, **rule) -> DataFrame:
 
 def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                    t_news: DataFrame, id_col: str = ID, dedupe_source: bool = True,
-                   ids_distinct: bool = False, **shard_rule) -> DataFrame:
+                   ids_distinct: bool = False, shards: list[str] | None = None,
+                   **shard_rule) -> DataFrame:
     """Content rows for the requested ids, one output row per input row
     (other columns of ``ids`` are carried along after the content columns).
 
@@ -127,6 +128,9 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     req = ids.select(F.col(id_col).alias(ID), *extra)
     uniq = req if ids_distinct else req.select(ID).distinct()
     routed = with_shard(uniq, ID, **shard_rule)
+    if shards is not None:
+        t_content, t_signal, t_news = (t.where(F.col("shard").isin(*shards))
+                                       for t in (t_content, t_signal, t_news))
     found = content_join3(t_content, t_signal, t_news)
     if "shard" not in found.columns:
         found = with_shard(found, ID, **shard_rule)

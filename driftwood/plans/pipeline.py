@@ -43,13 +43,14 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
                         old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                         t_news: DataFrame, snapshot_root: str, month: str, stamp: str,
                         n_files: int = 20, snapshot_is_distinct: bool = False,
-                        **shard_rule) -> tuple[str, dict]:
+                        shards: list[str] | None = None, **shard_rule) -> tuple[str, dict]:
     saved = read_day_range(spark, training_root, start_day, end_day)
     ids = distinct_ids(saved.select("content_id"))
     seen, fetched = Observation("ids_seen"), Observation("rows_fetched")
     ids = ids.observe(seen, F.count(F.lit(1)).alias("total_ids"))
     fresh = new_ids(ids, old_snapshot)
-    looked = content_lookup(fresh, t_content, t_signal, t_news, ids_distinct=True, **shard_rule)
+    looked = content_lookup(fresh, t_content, t_signal, t_news, ids_distinct=True, shards=shards,
+                            **shard_rule)
     looked = looked.observe(fetched, F.count(F.lit(1)).alias("new_ids"),
                             F.count_if(F.col("body_images_count") != " ").alias("found"))
     merged = snapshot_merge(looked, old_snapshot.select(*CONTENT_COLUMNS),

@@ -153,3 +153,34 @@ def test_hot_id_lookup_is_split_and_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_shards_parquet_with_missing_column(spark):
+    from driftwood.session import scratch_path
+    from driftwood.sources import read_shards_parquet
+    tc, ts, tn = tables(spark)
+    root = scratch_path(spark, "t-shards")
+    early = tc.where("shard = '2019_07'").drop("publisher_score")
+    late = tc.where("shard <> '2019_07'")
+    early.write.partitionBy("shard").parquet(root + "/t_content")
+    late.write.mode("append").partitionBy("shard").parquet(root + "/t_content")
+    tc2 = read_shards_parquet(spark, root + "/t_content")
+    assert set(tc2.columns) == set(tc.columns)
+    ids = spark.createDataFrame([("201808001",), ("201907001",)], "content_id string")
+    got = {r.content_id: r.publisher_score for r in op.content_lookup(ids, tc2, ts, tn).collect()}
+    assert got == {"201808001": "9.5", "201907001": " "}
+
+
+def test_shards_pruned_at_planning(spark):
+    from driftwood.session import scratch_path
+    from driftwood.sources import read_shards_parquet
+    tc, ts, tn = tables(spark)
+    root = scratch_path(spark, "t-prune")
+    for name, t in (("c", tc), ("s", ts), ("n", tn)):
+        t.write.partitionBy("shard").parquet(f"{root}/{name}")
+    src3 = [read_shards_parquet(spark, f"{root}/{n}") for n in "csn"]
+    ids = spark.createDataFrame([("201808001",), ("201907001",)], "content_id string")
+    out = op.content_lookup(ids, *src3, shards=["2018_08"])
+    got = {r.content_id: r.body_images_count for r in out.collect()}
+    assert got == {"201808001": "3", "201907001": " "}
+    assert "PartitionFilters: [isnotnull(shard" in plan_text(out) and "2018_08" in plan_text(out)
