@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import functions as fn
 from .. import operators as op
@@ -136,7 +137,9 @@ def q_sink_partitioned(spark, sf):
     rows = jobs.training_rows_with_day(imp_t, clk_t, inp.STRATEGY)
     path = scratch_path(spark, "training-by-day")
     src.write_partitioned(rows, path, ["month", "day"], n_files=4)
-    schema = TRAINING_SCHEMA.add("month", "string").add("day", "string")
+    # a new StructType: ``add`` would modify the shared TRAINING_SCHEMA in place
+    schema = T.StructType(TRAINING_SCHEMA.fields + [T.StructField("month", T.StringType()),
+                                                    T.StructField("day", T.StringType())])
     return spark.read.schema(schema).parquet(path).select(*TRAINING_COLUMNS, "month", "day")
 
 

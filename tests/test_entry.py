@@ -37,3 +37,16 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(cols) == sorted(ocols)
     assert len(got) == len(exp)
     assert digest(got, cols) == digest(exp, ocols)
+
+
+def test_queries_do_not_share_state(spark):
+    """Running a query must not change another one's result (order and
+    repetition independence)."""
+    from driftwood.schemas import TRAINING_SCHEMA
+    before = len(TRAINING_SCHEMA.fields)
+    qs = E.queries()
+    for name in ("sink_partitioned", "sink_partitioned", "csv_roundtrip"):
+        df = qs[name](spark, SF)
+        df.count()
+    assert len(TRAINING_SCHEMA.fields) == before == 39
+    assert len(qs["csv_roundtrip"](spark, SF).columns) == 39
