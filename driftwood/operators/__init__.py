@@ -3,6 +3,7 @@
 from .broadcast import bounded_broadcast
 from .content import (content_join3, content_lookup, content_row, dedup_content, distinct_ids,
                       first_per_id, id_counts, ids_from_text_rows, known_ids, new_ids,
+                      render_content_text,
                       snapshot_merge, with_shard)
 from .logs import (click_label, dedup_daily, default_order, flatten_log, label_json,
                    render_text, strategy_filter, strategy_prefilter, with_pair_key)

@@ -151,6 +151,13 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     return looked.select(*cols, *extra)
 
 
+def render_content_text(rows: DataFrame) -> DataFrame:
+    """The 14-column content row as one comma-joined ``value`` text, nulls
+    written as ``null`` (the saved snapshot format; nothing is quoted)."""
+    return rows.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null"))
+                                          for c in CONTENT_COLUMNS]).alias("value"))
+
+
 def snapshot_merge(new_rows: DataFrame, old_rows: DataFrame,
                    disjoint_distinct: bool = False) -> DataFrame:
     """New rows union old snapshot rows, duplicates removed over the whole

@@ -180,7 +180,7 @@ def q_multi_path_scan(spark, sf):
     paths = [f"{root}/day={{20240103,20240110}}", f"{root}/day=2024012*"]
     df = src.read_log_text(spark, paths)
     p = src.parse_logs(df.select("value"))
-    return (p.select(F.element_at(F.split(F.col("log.p3"), " "), 1).alias("day"))
+    return (p.select(fn.day_part(F.col("log.p3")).alias("day"))
             .where(F.col("day").isNotNull())
             .groupBy("day").agg(F.count(F.lit(1)).alias("n")))
 
@@ -274,9 +274,7 @@ def q_dedup_content(spark, sf):
 
 
 def q_sink_snapshot(spark, sf):
-    rows = q_content_refresh(spark, sf)
-    text = rows.select(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("null")) for c in CONTENT_COLUMNS])
-                       .alias("value"))
+    text = op.render_content_text(q_content_refresh(spark, sf))
     root = scratch_path(spark, "snapshots")
     path = src.write_snapshot(text, root, "202401", "202401311200", n_files=20, fmt="text")
     return src.read_positional(spark, path, CONTENT_COLUMNS)
