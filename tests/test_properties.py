@@ -132,3 +132,30 @@ tag_json = st.builds(
 @given(st.lists(st.one_of(st.none(), tag_json), min_size=1, max_size=20))
 def test_format_tags_model(spark, values):
     assert run(spark, fn.format_content_tags, values) == [model_format(v) for v in values]
+
+
+vec = st.lists(st.floats(-100, 100, allow_nan=False, allow_infinity=False), min_size=3, max_size=3)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(vec, vec), min_size=1, max_size=30))
+def test_cosine_properties(spark, pairs):
+    import math
+
+    import numpy as np
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                               "i int, a array<double>, b array<double>")
+    r = df.orderBy("i").select(fn.cosine(F.col("a"), F.col("b")).alias("ab"),
+                               fn.cosine(F.col("b"), F.col("a")).alias("ba"),
+                               fn.cosine(F.col("a"), F.col("a")).alias("aa"),
+                               fn.l2_norm(F.col("a")).alias("n"),
+                               fn.l1_norm(F.col("a")).alias("l1")).collect()
+    for (a, b), x in zip(pairs, r):
+        na, nb = np.linalg.norm(a), np.linalg.norm(b)
+        exp = float(np.dot(a, b) / (na * nb)) if na * nb > 0 else 0.0
+        assert x.ab == x.ba and -1 - 1e-9 <= x.ab <= 1 + 1e-9
+        assert math.isclose(x.ab, exp, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(x.n, na, rel_tol=1e-12, abs_tol=1e-12)
+        assert math.isclose(x.l1, float(np.abs(a).sum()), rel_tol=1e-12, abs_tol=1e-12)
+        if na > 0:
+            assert math.isclose(x.aa, 1.0, rel_tol=1e-9)
