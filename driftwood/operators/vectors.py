@@ -16,19 +16,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tags import combined_tokens, parse_tags
+from ..functions.tags import KEYWORD_EMPTY, is_keyword_format, parse_keywords
 from ..functions.vectors import cosine, fit_dim, l1_norm, l2_norm, scale, zeros
 from .broadcast import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
 
 
 def explode_tokens(rows: DataFrame, tokens: Column, keep: Sequence[str]) -> DataFrame:
-    """One row per token: ``keep..., pos, word, weight`` (``pos`` 0-based)."""
+    """One row per element of an already parsed token array:
+    ``keep..., pos, word, weight`` (``pos`` 0-based)."""
     return (rows.select(*keep, F.posexplode(tokens).alias("pos", "t"))
             .select(*keep, "pos", F.col("t.word").alias("word"), F.col("t.weight").alias("weight")))
 
 
 def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
-    return explode_tokens(rows, parse_tags(F.col(text_col)), keep)
+    """``word=weight`` text -> one row per token: ``keep..., pos, word,
+    weight``.
+
+    The text is split and exploded first and each token is then parsed with
+    plain string functions, which stay in generated code (parsing the array
+    with ``transform``/``filter`` first is interpreted per element; measured
+    0.21 s vs 0.38 s for 1.9M tokens).  Same rules as ``parse_tags``: a
+    missing, blank or non-numeric weight is 1.0 and blank words are dropped;
+    ``pos`` is the token's index in the space-split text.
+    """
+    e = rows.select(*keep, F.posexplode(
+        F.split(F.trim(F.coalesce(F.col(text_col), F.lit(""))), " ", -1)).alias("pos", "_tok"))
+    parts = F.split(F.col("_tok"), "=", -1)
+    weight = F.coalesce(F.trim(F.try_element_at(parts, F.lit(2))).try_cast("double"), F.lit(1.0))
+    return (e.select(*keep, "pos", F.element_at(parts, 1).alias("word"), weight.alias("weight"))
+            .where(F.trim(F.col("word")) != ""))
+
+
+def keyword_segments(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+    """``cat:tags;cat:-1;...`` -> one row per segment that has a ``:``:
+    ``keep..., pos, category, tags`` (``pos``: index in the ``;``-split)."""
+    e = rows.select(*keep, F.posexplode(
+        F.split(F.coalesce(F.col(text_col), F.lit("")), ";", -1)).alias("pos", "_seg"))
+    parts = F.split(F.col("_seg"), ":", -1)
+    return (e.select(*keep, "pos", F.element_at(parts, 1).alias("category"),
+                     F.trim(F.try_element_at(parts, F.lit(2))).alias("tags"))
+            .where(F.col("tags").isNotNull()))
 
 
 def _vocab(vectors: DataFrame) -> DataFrame:
@@ -137,11 +164,11 @@ def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
 def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str = "content_id",
                     tags_col: str = "tags", title_col: str = "tags_title") -> DataFrame:
     """``(content_id, tags_vec, title_vec)`` from content rows: each text is
-    parsed into weighted tokens and summed against the vocabulary."""
-    body = explode_tokens(rows, parse_tags(F.col(tags_col)), [id_col]).withColumn("_part", F.lit("tags"))
-    title = explode_tokens(rows, parse_tags(F.col(title_col)), [id_col]).withColumn("_part", F.lit("title"))
-    toks = body.unionByName(title)
-    v = tag_vectors_multi(toks, vectors, [id_col], "_part", ["tags", "title"], dim, all_ids=False)
+    split into weighted tokens and summed against the vocabulary."""
+    body = tag_tokens(rows, tags_col, [id_col]).withColumn("_part", F.lit("tags"))
+    title = tag_tokens(rows, title_col, [id_col]).withColumn("_part", F.lit("title"))
+    v = tag_vectors_multi(body.unionByName(title), vectors, [id_col], "_part", ["tags", "title"],
+                          dim, all_ids=False)
     return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["tags_vec", "title_vec"], dim)
 
 
@@ -151,8 +178,16 @@ def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
 
     Keyword text (``cat:tags;cat:-1;...``, recognised only when the title is
     empty) sums every category's tags except ``-1``; otherwise the text is
-    read as tags.  The title's tags are added.  Both empty -> zeros."""
-    toks = explode_tokens(rows, combined_tokens(F.col(text_col), F.col(title_col)), [id_col])
+    read as tags.  The title's tags are added.  Both empty -> zeros.  The
+    texts to sum are gathered per row (a short array), exploded, and then
+    tokenised like ``tag_tokens``."""
+    s, title = F.col(text_col), F.col(title_col)
+    kw_texts = F.transform(
+        F.filter(parse_keywords(s), lambda c: c["tags"] != KEYWORD_EMPTY), lambda c: c["tags"])
+    texts = F.concat(F.when(is_keyword_format(s, title), kw_texts).otherwise(F.array(s)),
+                     F.array(title))
+    exploded = rows.select(id_col, F.explode(texts).alias("_txt"))
+    toks = tag_tokens(exploded, "_txt", [id_col])
     v = tag_vector(toks, vectors, [id_col], dim, all_ids=False)
     return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["vec"], dim)
 

@@ -304,9 +304,7 @@ def q_parse_tags(spark, sf):
 
 
 def q_parse_keywords(spark, sf):
-    k = inp.keyword_rows(spark, sf)
-    return (k.select("o_orderkey", F.posexplode(fn.parse_keywords(F.col("keywords"))).alias("pos", "c"))
-            .select("o_orderkey", "pos", F.col("c.category").alias("category"), F.col("c.tags").alias("tags")))
+    return op.keyword_segments(inp.keyword_rows(spark, sf), "keywords", ["o_orderkey"])
 
 
 def q_unwrap_parens(spark, sf):

@@ -159,3 +159,17 @@ def test_cosine_properties(spark, pairs):
         assert math.isclose(x.l1, float(np.abs(a).sum()), rel_tol=1e-12, abs_tol=1e-12)
         if na > 0:
             assert math.isclose(x.aa, 1.0, rel_tol=1e-9)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), tag_text), min_size=1, max_size=40))
+def test_tag_tokens_agree_with_parse_tags(spark, values):
+    from driftwood.operators import tag_tokens
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    exploded = {}
+    for r in tag_tokens(df, "s", ["i"]).collect():
+        exploded.setdefault(r.i, []).append((r.pos, r.word, r.weight))
+    arrays = {r.i: [(t.word, t.weight) for t in r.a]
+              for r in df.select("i", fn.parse_tags(F.col("s")).alias("a")).collect()}
+    for i in range(len(values)):
+        assert [(w, x) for _, w, x in sorted(exploded.get(i, []))] == arrays[i]
