@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.content import content_lookup, distinct_ids, new_ids, snapshot_merge
 from ..schemas import CONTENT_COLUMNS
-from ..sources.logs import read_day_range, read_log_text
+from ..sources.logs import read_day_range, read_text_or_empty
 from ..sources.sinks import write_partitioned, write_snapshot, write_text
 from .jobs import repair_snapshot, training_rows_with_day
 
@@ -32,8 +32,8 @@ from .jobs import repair_snapshot, training_rows_with_day
 def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
                       clk_paths: str | Iterable[str], strategy: int, out_root: str,
                       n_files: int | None = None) -> str:
-    rows = training_rows_with_day(read_log_text(spark, imp_paths),
-                                  read_log_text(spark, clk_paths), strategy)
+    rows = training_rows_with_day(read_text_or_empty(spark, imp_paths),
+                                  read_text_or_empty(spark, clk_paths), strategy)
     write_partitioned(rows, out_root, ["month", "day"], n_files=n_files,
                       rebalance=n_files is None)
     return out_root
