@@ -1,4 +1,4 @@
-"""Command-line entry points (``spark-submit driftwood/cli.py <command> ...``
+"""Command-line entry points (``spark-submit --py-files driftwood.zip driftwood_job.py <command> ...``
 or ``python -m driftwood.cli``), one per job of the source system:
 
 ``training-rows``    logs of ``--days`` days ending ``--from-day`` days ago ->
