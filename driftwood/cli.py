@@ -29,6 +29,7 @@ from .plans.jobs import content_vectors
 from .schemas import CONTENT_COLUMNS
 from .sources.content import read_shards_parquet
 from .sources.logs import day_glob
+from .sources.sinks import balanced
 from .sources.vectors import read_vectors
 
 
@@ -75,7 +76,7 @@ def cmd_content_refresh(spark: SparkSession, a) -> dict:
 def cmd_content_vectors(spark: SparkSession, a) -> dict:
     rows = _read_snapshot(spark, a.snapshot, a.snapshot_format)
     out = content_vectors(rows, read_vectors(spark, a.vectors), a.dim)
-    out.coalesce(a.files).write.mode("errorifexists").parquet(a.out)
+    balanced(out, a.files).write.mode("errorifexists").parquet(a.out)
     return {"out": a.out}
 
 
@@ -111,7 +112,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--years", nargs="+", default=list(DEFAULT_YEARS))
     p.add_argument("--start-year", default=DEFAULT_START_YEAR)
     p.add_argument("--start-month", type=int, default=DEFAULT_START_MONTH)
-    p.add_argument("--files", type=int, default=20)
+    p.add_argument("--files", type=int, default=None, help="fixed file count; default adaptive")
     p.set_defaults(fn=cmd_content_refresh)
 
     p = sub.add_parser("content-vectors")
@@ -120,13 +121,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--vectors", required=True, help="word-vector text: word v1 ... vd")
     p.add_argument("--dim", type=int, default=300)
     p.add_argument("--out", required=True)
-    p.add_argument("--files", type=int, default=10)
+    p.add_argument("--files", type=int, default=None, help="fixed file count; default adaptive")
     p.set_defaults(fn=cmd_content_vectors)
 
     p = sub.add_parser("repair")
     p.add_argument("--src", required=True)
     p.add_argument("--dst", required=True)
-    p.add_argument("--files", type=int, default=20)
+    p.add_argument("--files", type=int, default=None, help="fixed file count; default as read")
     p.set_defaults(fn=cmd_repair)
     return ap
 

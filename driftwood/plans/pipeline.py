@@ -42,7 +42,7 @@ def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
 def run_content_refresh(spark: SparkSession, training_root: str, start_day: str, end_day: str,
                         old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                         t_news: DataFrame, snapshot_root: str, month: str, stamp: str,
-                        n_files: int = 20, snapshot_is_distinct: bool = False,
+                        n_files: int | None = None, snapshot_is_distinct: bool = False,
                         shards: list[str] | None = None, **shard_rule) -> tuple[str, dict]:
     saved = read_day_range(spark, training_root, start_day, end_day)
     ids = distinct_ids(saved.select("content_id"))
@@ -59,7 +59,8 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
     return path, {**seen.get, **fetched.get}
 
 
-def run_repair(spark: SparkSession, src_path: str, dst_path: str, n_files: int = 20) -> str:
+def run_repair(spark: SparkSession, src_path: str, dst_path: str, n_files: int | None = None) -> str:
+    """Narrow map job: without ``n_files`` the output keeps the input's split layout."""
     write_text(repair_snapshot(spark.read.text(src_path)), dst_path, n_files=n_files,
                mode="errorifexists")
     return dst_path

@@ -12,10 +12,21 @@ from pyspark.sql import functions as F
 
 
 def limit_files(df: DataFrame, n_files: int | None) -> DataFrame:
-    """Narrow merge to at most ``n_files`` output files (no shuffle)."""
+    """Narrow merge to at most ``n_files`` output files (no shuffle).  Note
+    that after a shuffle this also runs the whole preceding stage with
+    ``n_files`` tasks; ``balanced`` avoids that."""
     return df.coalesce(n_files) if n_files else df
 
 
+def balanced(df: DataFrame, n_files: int | None = None, rebalance: bool = True) -> DataFrame:
+    """Output layout for a write: a fixed ``n_files`` (narrow merge), or an
+    adaptive rebalance that sizes files to the advisory partition size while
+    the upstream stage keeps its full parallelism, or the input layout."""
+    if n_files:
+        return df.coalesce(n_files)
+    return df.hint("rebalance") if rebalance else df
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       fmt: str = "parquet", n_files: int | None = None,
                       mode: str = "overwrite", rebalance: bool = False) -> None:
@@ -36,8 +47,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def write_text(df: DataFrame, path: str, n_files: int | None = None, mode: str = "overwrite",
-               value_col: str = "value") -> None:
-    limit_files(df.select(F.col(value_col).alias("value")), n_files).write.mode(mode).text(path)
+               value_col: str = "value", rebalance: bool = False) -> None:
+    out = balanced(df.select(F.col(value_col).alias("value")), n_files, rebalance)
+    out.write.mode(mode).text(path)
 
 
 def snapshot_path(root: str, month: str, stamp: str, kind: str = "contentInfo") -> str:
@@ -45,14 +57,14 @@ def snapshot_path(root: str, month: str, stamp: str, kind: str = "contentInfo")
     return os.path.join(root, month, kind, stamp)
 
 
-def write_snapshot(df: DataFrame, root: str, month: str, stamp: str, n_files: int = 20,
+def write_snapshot(df: DataFrame, root: str, month: str, stamp: str, n_files: int | None = None,
                    fmt: str = "parquet", kind: str = "contentInfo") -> str:
     """Write a snapshot to a fresh stamped folder and return its path.  A new
     folder per run means the previous snapshot can be read while the new one
-    is written."""
+    is written.  Without ``n_files`` the files are sized adaptively."""
     path = snapshot_path(root, month, stamp, kind)
     if fmt == "text":
-        write_text(df, path, n_files, mode="errorifexists")
+        write_text(df, path, n_files, mode="errorifexists", rebalance=True)
     else:
-        limit_files(df, n_files).write.mode("errorifexists").format(fmt).save(path)
+        balanced(df, n_files).write.mode("errorifexists").format(fmt).save(path)
     return path
