@@ -78,14 +78,38 @@ def first_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("word").agg(F.min("vec").alias("vec"))
 
 
+def first_vectors_unpartitioned(vectors: DataFrame,
+                                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Same rows as ``first_vectors``, but as a filter of the raw table: the
+    non-first rows of repeated words (normally few) are removed by a
+    broadcast anti join, so the result keeps the raw layout and a later join
+    on ``word`` shuffles it -- which lets AQE split a hot word.  Falls back to
+    ``first_vectors`` when even the repeated rows are too many to broadcast.
+    Needs a ``pos`` column."""
+    dup = (vectors.groupBy("word").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > 1))
+    extra = (vectors.select("word", "pos").join(dup, "word")
+             .where(F.col("pos") != F.col("_first")).select("word", "pos"))
+    extra, small = bounded_broadcast(extra, row_bytes=64, max_bytes=max_bytes)
+    if not small:
+        return first_vectors(vectors)
+    return vectors.join(extra, ["word", "pos"], "left_anti")
+
+
 def token_vectors_broadcast(tokens: DataFrame, vectors: DataFrame, dim: int,
-                            max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                            max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                            dup_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Word -> vector with the vocabulary broadcast when its measured size
-    allows (otherwise a shuffle join).  First match wins; a miss or blank
-    word gives zeros; the weight is not applied (as the source does)."""
-    vocab = first_vectors(vectors.where(F.col("word").isNotNull()))
-    vocab, _ = bounded_broadcast(vocab, row_bytes=64 + 4 * dim, max_bytes=max_bytes)
-    j = tokens.join(vocab, "word", "left")
+    allows (otherwise a shuffle join that AQE can split for a hot word).
+    First match wins; a miss or blank word gives zeros; the weight is not
+    applied (as the source does)."""
+    raw = vectors.where(F.col("word").isNotNull())
+    vocab, small = bounded_broadcast(first_vectors(raw), row_bytes=64 + 4 * dim,
+                                     max_bytes=max_bytes)
+    if not small:
+        vocab = (first_vectors_unpartitioned(raw, dup_max_bytes) if "pos" in raw.columns
+                 else first_vectors(raw))
+    j = tokens.join(vocab.select("word", "vec"), "word", "left")
     return j.withColumn("vec", fit_dim(F.col("vec"), dim))
 
 

@@ -148,3 +148,36 @@ def test_hot_word_join_is_split_and_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, val)
+
+
+def test_broadcast_lookup_fallback_keeps_first_and_splits(spark, tmp_path):
+    v = vocab(spark, tmp_path)                       # "a" twice: first is [1, 0, 0]
+    dedup = op.first_vectors_unpartitioned(v)
+    assert rows(dedup.where("word = 'a'").select("vec")) == [([1.0, 0.0, 0.0],)]
+    assert dedup.count() == 5
+    hot = [(f"id{i % 50}", "a", 1.0) for i in range(3000)]
+    cold = [(f"id{i % 50}", "bc"[i % 2], 1.0) for i in range(6000)]
+    t = toks(spark, hot + cold).repartition(8)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, val in conf.items():
+            spark.conf.set(k, val)
+        # max_bytes=1: the vocabulary is "too big", the duplicate rows are not
+        out = op.token_vectors_broadcast(t, v, DIM, max_bytes=1)
+        assert out.where("word = 'a'").select("vec").distinct().collect()[0].vec == [1.0, 0.0, 0.0]
+        assert out.count() == 9000
+        out.collect()
+        assert "skew=true" in plan_text(out)
+    finally:
+        for k, val in old.items():
+            if val is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, val)
