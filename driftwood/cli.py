@@ -56,7 +56,8 @@ def cmd_training_rows(spark: SparkSession, a) -> dict:
     days = days_in_range(start, end)
     imp = day_glob(a.imp_prefix, days, a.suffix)
     clk = day_glob(a.clk_prefix, days, a.suffix)
-    out = pipeline.run_training_rows(spark, imp, clk, a.strategy, a.out, n_files=a.files)
+    out = pipeline.run_training_rows(spark, imp, clk, a.strategy, a.out, n_files=a.files,
+                                     fmt=a.format)
     return {"out": out, "start": str(start), "end": str(end)}
 
 
@@ -68,7 +69,7 @@ def cmd_content_refresh(spark: SparkSession, a) -> dict:
     path, metrics = pipeline.run_content_refresh(
         spark, a.rows, start.strftime("%Y%m%d"), end.strftime("%Y%m%d"), old, *tables,
         a.snapshot_root, now.strftime("%Y%m"), a.stamp or now.strftime("%Y%m%d%H%M"),
-        n_files=a.files, snapshot_is_distinct=a.snapshot_is_distinct,
+        n_files=a.files, snapshot_is_distinct=a.snapshot_is_distinct, rows_format=a.rows_format,
         years=tuple(a.years), start_year=a.start_year, start_month=a.start_month)
     return {"snapshot": path, **metrics}
 
@@ -96,11 +97,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--strategy", type=int, required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--files", type=int, default=None, help="fixed output file count (coalesce)")
+    p.add_argument("--format", choices=["parquet", "text"], default="parquet",
+                   help="text = comma-joined positional rows")
     p.set_defaults(fn=cmd_training_rows)
 
     p = sub.add_parser("content-refresh")
     _add_window(p)
     p.add_argument("--rows", required=True, help="training rows written by training-rows")
+    p.add_argument("--rows-format", choices=["parquet", "text"], default="parquet")
     p.add_argument("--snapshot", required=True, help="previous snapshot")
     p.add_argument("--snapshot-format", choices=["parquet", "text"], default="parquet")
     p.add_argument("--snapshot-is-distinct", action="store_true")

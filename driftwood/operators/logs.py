@@ -135,14 +135,15 @@ def flatten_log(labelled: DataFrame, log_col: str = "log") -> DataFrame:
     return out
 
 
-def render_text(rows: DataFrame) -> DataFrame:
+def render_text(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The training row as one comma-joined ``value`` text: absent values
-    are ``null`` in columns 1-17 and empty in 18-38; nothing is quoted."""
+    are ``null`` in columns 1-17 and empty in 18-38; nothing is quoted.
+    ``keep`` columns (e.g. ``month``/``day`` folders) are carried along."""
     parts = []
     for name in TRAINING_COLUMNS:
         c = F.col(name).cast("string")
         parts.append(F.coalesce(c, F.lit("null" if name in NULL_TEXT_COLUMNS else "")))
-    return rows.select(F.concat_ws(",", *parts).alias("value"))
+    return rows.select(F.concat_ws(",", *parts).alias("value"), *keep)
 
 
 def label_json(labelled: DataFrame, log_col: str = "log",

@@ -22,7 +22,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.content import content_lookup, distinct_ids, new_ids, snapshot_merge
+from ..operators.content import (content_lookup, distinct_ids, ids_from_text_rows, new_ids,
+                                 snapshot_merge)
+from ..operators.logs import render_text
 from ..schemas import CONTENT_COLUMNS
 from ..sources.logs import read_day_range, read_text_or_empty
 from ..sources.sinks import write_partitioned, write_snapshot, write_text
@@ -31,10 +33,14 @@ from .jobs import repair_snapshot, training_rows_with_day
 
 def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
                       clk_paths: str | Iterable[str], strategy: int, out_root: str,
-                      n_files: int | None = None) -> str:
+                      n_files: int | None = None, fmt: str = "parquet") -> str:
+    """``fmt="text"`` writes the comma-joined positional rows the source
+    wrote (``render_text``) instead of typed parquet columns."""
     rows = training_rows_with_day(read_text_or_empty(spark, imp_paths),
                                   read_text_or_empty(spark, clk_paths), strategy)
-    write_partitioned(rows, out_root, ["month", "day"], n_files=n_files,
+    if fmt == "text":
+        rows = render_text(rows, keep=("month", "day"))
+    write_partitioned(rows, out_root, ["month", "day"], fmt=fmt, n_files=n_files,
                       rebalance=n_files is None)
     return out_root
 
@@ -43,8 +49,13 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
                         old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                         t_news: DataFrame, snapshot_root: str, month: str, stamp: str,
                         n_files: int | None = None, snapshot_is_distinct: bool = False,
-                        shards: list[str] | None = None, **shard_rule) -> tuple[str, dict]:
-    saved = read_day_range(spark, training_root, start_day, end_day)
+                        shards: list[str] | None = None, rows_format: str = "parquet",
+                        **shard_rule) -> tuple[str, dict]:
+    """``rows_format="text"`` reads positional text rows and takes the id
+    from field 24, as the source did."""
+    saved = read_day_range(spark, training_root, start_day, end_day, fmt=rows_format)
+    if rows_format == "text":
+        saved = ids_from_text_rows(saved)
     ids = distinct_ids(saved.select("content_id"))
     seen, fetched = Observation("ids_seen"), Observation("rows_fetched")
     ids = ids.observe(seen, F.count(F.lit(1)).alias("total_ids"))

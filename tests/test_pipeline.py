@@ -36,3 +36,22 @@ def test_repair_job(spark):
     spark.createDataFrame([("(201901001,a, )",), ("(x)",)], "value string").write.text(src)
     dst = pipeline.run_repair(spark, src, scratch_path(spark, "p-repaired"), n_files=1)
     assert sorted(r.value for r in spark.read.text(dst).collect()) == ["201901001,a, ", "x"]
+
+
+def test_daily_pipeline_text_rows(spark):
+    imp = [log("1", "201808001", "d1", "2024-01-01 08:00:00", "e23"),
+           log("2", "201907001", "d1", "2024-01-02 08:00:00", "e23")]
+    root = scratch_path(spark, "pt-in")
+    spark.createDataFrame([(x,) for x in imp], "value string").write.text(f"{root}/imp")
+    spark.createDataFrame([], "value string").write.text(f"{root}/clk")
+    out = scratch_path(spark, "pt-rows")
+    pipeline.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, fmt="text")
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert len(lines) == 2 and all(len(v.split(",")) == 39 for v in lines)
+    assert sorted(v.split(",")[24] for v in lines) == ["201808001", "201907001"]
+    schema = ", ".join(f"{c} string" for c in CONTENT_COLUMNS)
+    old = spark.createDataFrame([tuple(["201808001"] + ["old"] * 13)], schema)
+    path, m = pipeline.run_content_refresh(spark, out, "20240101", "20240102", old,
+                                           *tables(spark), scratch_path(spark, "pt-snap"),
+                                           "202401", "202401031200", rows_format="text")
+    assert m["total_ids"] == 2 and m["new_ids"] == 1
