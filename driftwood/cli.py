@@ -23,11 +23,11 @@ import sys
 from pyspark.sql import SparkSession
 
 from .functions.dates import day_range, days_in_range
-from .functions.ids import DEFAULT_START_MONTH, DEFAULT_START_YEAR, DEFAULT_YEARS
+from .functions.ids import DEFAULT_START_MONTH, DEFAULT_START_YEAR, DEFAULT_YEARS, valid_shards
 from .plans import pipeline
 from .plans.jobs import content_vectors
-from .schemas import CONTENT_COLUMNS
-from .sources.content import read_shards_parquet
+from .schemas import CONTENT_COLUMNS, T_CONTENT_COLUMNS, T_NEWS_COLUMNS, T_SIGNAL_COLUMNS
+from .sources.content import read_shards_jdbc, read_shards_parquet
 from .sources.logs import day_glob
 from .sources.sinks import balanced
 from .sources.vectors import read_vectors
@@ -61,9 +61,19 @@ def cmd_training_rows(spark: SparkSession, a) -> dict:
     return {"out": out, "start": str(start), "end": str(end)}
 
 
+def _content_tables(spark: SparkSession, a) -> list:
+    if a.jdbc_url:
+        shards = valid_shards(tuple(a.years), a.start_year, a.start_month)
+        props = json.loads(a.jdbc_props) if a.jdbc_props else {}
+        cols = (T_CONTENT_COLUMNS, T_SIGNAL_COLUMNS, T_NEWS_COLUMNS)
+        names = (a.content, a.signal, a.news)
+        return [read_shards_jdbc(spark, a.jdbc_url, n, shards, c, props) for n, c in zip(names, cols)]
+    return [read_shards_parquet(spark, p) for p in (a.content, a.signal, a.news)]
+
+
 def cmd_content_refresh(spark: SparkSession, a) -> dict:
     start, end = _window(a)
-    tables = [read_shards_parquet(spark, p) for p in (a.content, a.signal, a.news)]
+    tables = _content_tables(spark, a)
     old = _read_snapshot(spark, a.snapshot, a.snapshot_format)
     now = dt.datetime.now()
     path, metrics = pipeline.run_content_refresh(
@@ -108,9 +118,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--snapshot", required=True, help="previous snapshot")
     p.add_argument("--snapshot-format", choices=["parquet", "text"], default="parquet")
     p.add_argument("--snapshot-is-distinct", action="store_true")
-    p.add_argument("--content", required=True, help="t_content, parquet partitioned by shard")
-    p.add_argument("--signal", required=True, help="t_signal, parquet partitioned by shard")
-    p.add_argument("--news", required=True, help="t_news_manager, parquet partitioned by shard")
+    p.add_argument("--content", required=True,
+                   help="t_content: parquet partitioned by shard, or the JDBC table prefix")
+    p.add_argument("--signal", required=True, help="t_signal: parquet path or JDBC table prefix")
+    p.add_argument("--news", required=True, help="t_news_manager: parquet path or JDBC table prefix")
+    p.add_argument("--jdbc-url", default=None,
+                   help="read <prefix>_<yyyy_MM> tables over JDBC for every valid month")
+    p.add_argument("--jdbc-props", default=None, help='JSON of reader options, e.g. {"user": "..."}')
     p.add_argument("--snapshot-root", required=True)
     p.add_argument("--stamp", default=None, help="yyyyMMddHHmm; default now")
     p.add_argument("--years", nargs="+", default=list(DEFAULT_YEARS))

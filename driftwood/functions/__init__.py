@@ -2,7 +2,7 @@
 expression, so none of them leaves the JVM."""
 
 from .dates import date_label, day_part, day_range, days_in_range, snapshot_stamp
-from .ids import is_numeric, shard_has_score, shard_label, shard_month
+from .ids import is_numeric, shard_has_score, shard_label, shard_month, valid_shards
 from .json_fields import first_key, location_fields, split_field, unwrap_parens
 from .tags import (combined_tokens, format_content_tags, format_tags, format_title_tags,
                    is_keyword_format, parse_keywords, parse_tags)
@@ -11,7 +11,7 @@ from .vectors import (add, cosine, dot, element_sum, fit_dim, l1_norm, l2_norm,
 
 __all__ = [
     "date_label", "day_part", "day_range", "days_in_range", "snapshot_stamp",
-    "is_numeric", "shard_has_score", "shard_label", "shard_month",
+    "is_numeric", "shard_has_score", "shard_label", "shard_month", "valid_shards",
     "first_key", "location_fields", "split_field", "unwrap_parens",
     "combined_tokens", "format_content_tags", "format_tags", "format_title_tags",
     "is_keyword_format", "parse_keywords", "parse_tags",

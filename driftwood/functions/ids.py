@@ -52,3 +52,16 @@ def shard_has_score(shard: Column, from_month: int = DEFAULT_SCORE_FROM_MONTH) -
     """Whether a shard's content table carries ``publisher_score``: the rule
     looks at the month number alone, so every year's early months lack it."""
     return F.substring(shard, 6, 2).try_cast("int") >= F.lit(from_month)
+
+
+def valid_shards(years=DEFAULT_YEARS, start_year: str = DEFAULT_START_YEAR,
+                 start_month: int = DEFAULT_START_MONTH) -> list[str]:
+    """Every ``yyyy_MM`` shard label the rule accepts (months 01-12), e.g.
+    the month tables a lookup may need to read."""
+    out = []
+    for y in years:
+        for m in range(1, 13):
+            if y == start_year and m < start_month:
+                continue
+            out.append(f"{y}_{m:02d}")
+    return out

@@ -146,3 +146,8 @@ def test_fit_dim_and_parse_line(spark):
         [[1.0, 2.0, 0.0], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]]
     r = one(spark, fn.parse_vector_line(F.col("s")), "word 0.5 -1 2")
     assert r.word == "word" and r.vec == [0.5, -1.0, 2.0]
+
+
+def test_valid_shards():
+    got = fn.valid_shards()
+    assert got[0] == "2018_08" and got[-1] == "2019_12" and len(got) == 17
