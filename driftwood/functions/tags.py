@@ -20,8 +20,6 @@ TAG_REPLACEMENTS = [
 ]
 KEYWORD_EMPTY = "-1"
 
-TOKEN_TYPE = "array<struct<word:string,weight:double>>"
-
 
 def _replace(c: Column, search: str, repl: str) -> Column:
     return F.replace(c, F.lit(search), F.lit(repl))

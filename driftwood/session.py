@@ -21,8 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Positional rows keep every column as text; JSON leaves that fail to
-    # convert keep the rest of the record.
+    # a JSON leaf that fails to convert (e.g. an object where a struct is
+    # declared) nulls that leaf only, not the whole record
     "spark.sql.json.enablePartialResults": "true",
 }
 
