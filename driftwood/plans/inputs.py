@@ -85,7 +85,11 @@ def _log_struct(e: DataFrame) -> DataFrame:
 
 def log_text(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(impression lines, click lines): ``value`` JSON text plus ``day``."""
-    t = _log_struct(table(spark, sf_dir, "events"))
+    return log_text_from(table(spark, sf_dir, "events"))
+
+
+def log_text_from(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    t = _log_struct(events)
     v = F.col("value")
     v = (F.when(F.col("_type") == "error", F.expr("substring(value, 1, length(value) - 1)"))
          .when(F.col("_type") == "purchase",
