@@ -188,11 +188,14 @@ def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
 def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str = "content_id",
                     tags_col: str = "tags", title_col: str = "tags_title") -> DataFrame:
     """``(content_id, tags_vec, title_vec)`` from content rows: each text is
-    split into weighted tokens and summed against the vocabulary."""
-    body = tag_tokens(rows, tags_col, [id_col]).withColumn("_part", F.lit("tags"))
-    title = tag_tokens(rows, title_col, [id_col]).withColumn("_part", F.lit("title"))
-    v = tag_vectors_multi(body.unionByName(title), vectors, [id_col], "_part", ["tags", "title"],
-                          dim, all_ids=False)
+    split into weighted tokens and summed against the vocabulary.  Both texts
+    of a row are exploded from one two-element array, so the rows are read
+    once."""
+    texts = F.array(F.struct(F.lit("tags").alias("_part"), F.col(tags_col).alias("_txt")),
+                    F.struct(F.lit("title").alias("_part"), F.col(title_col).alias("_txt")))
+    both = rows.select(id_col, F.inline(texts))
+    toks = tag_tokens(both, "_txt", [id_col, "_part"])
+    v = tag_vectors_multi(toks, vectors, [id_col], "_part", ["tags", "title"], dim, all_ids=False)
     return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["tags_vec", "title_vec"], dim)
 
 
