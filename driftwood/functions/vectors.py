@@ -68,8 +68,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def parse_vector_line(line: Column) -> Column:
     """``"word v1 v2 ... vd"`` -> ``STRUCT<word STRING, vec ARRAY<FLOAT>>``
-    (all d values are kept)."""
-    parts = F.split(line, " ", -1)
+    (all d values are kept; surrounding and repeated spaces are ignored)."""
+    parts = F.split(F.trim(line), " +", -1)
     vals = F.slice(parts, 2, F.size(parts) - 1)
     return F.struct(F.element_at(parts, 1).alias("word"),
                     F.transform(vals, lambda x: x.try_cast("float")).alias("vec"))

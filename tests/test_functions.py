@@ -146,6 +146,9 @@ def test_fit_dim_and_parse_line(spark):
         [[1.0, 2.0, 0.0], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]]
     r = one(spark, fn.parse_vector_line(F.col("s")), "word 0.5 -1 2")
     assert r.word == "word" and r.vec == [0.5, -1.0, 2.0]
+    for messy in ("word 0.5 -1 2 ", " word  0.5 -1   2"):
+        r = one(spark, fn.parse_vector_line(F.col("s")), messy)
+        assert r.word == "word" and r.vec == [0.5, -1.0, 2.0]
 
 
 def test_valid_shards():
