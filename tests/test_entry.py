@@ -6,6 +6,11 @@ import pytest
 import __spark_entry__ as E
 from compare_oracle import TABLES, digest
 
+from .conftest import plan_text
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
+             "CartesianProduct", "BroadcastNestedLoopJoin")
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -37,6 +42,9 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(cols) == sorted(ocols)
     assert len(got) == len(exp)
     assert digest(got, cols) == digest(exp, ocols)
+    # scale guards on the executed plan: no Python evaluation, no all-pairs join
+    plan = plan_text(df)
+    assert not [f for f in FORBIDDEN if f in plan]
 
 
 def test_queries_do_not_share_state(spark):
