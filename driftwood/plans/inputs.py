@@ -14,6 +14,11 @@ the tables):
 * tokens          <- ``lineitem``: id ``l_orderkey``, word ``l_partkey``,
   weight ``l_quantity``.
 * word vectors    <- ``embeddings``: word ``vec_id``, vector ``embedding``.
+
+The per-order tag JSON and keyword text gather an order's line items with
+``collect_list``; those groups are bounded by the data model (an order has at
+most 7 line items), standing in for a JSON column of a source table.  No
+library operator collects a group.
 """
 
 from __future__ import annotations
