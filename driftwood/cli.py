@@ -24,6 +24,7 @@ from pyspark.sql import SparkSession
 
 from .functions.dates import day_range, days_in_range
 from .functions.ids import DEFAULT_START_MONTH, DEFAULT_START_YEAR, DEFAULT_YEARS, valid_shards
+from .operators.vectors import first_vectors_unpartitioned
 from .plans import pipeline
 from .plans.jobs import content_vectors
 from .schemas import CONTENT_COLUMNS, T_CONTENT_COLUMNS, T_NEWS_COLUMNS, T_SIGNAL_COLUMNS
@@ -86,7 +87,9 @@ def cmd_content_refresh(spark: SparkSession, a) -> dict:
 
 def cmd_content_vectors(spark: SparkSession, a) -> dict:
     rows = _read_snapshot(spark, a.snapshot, a.snapshot_format)
-    out = content_vectors(rows, read_vectors(spark, a.vectors), a.dim)
+    # one vector per word (first in the file), keeping the raw layout
+    vocab = first_vectors_unpartitioned(read_vectors(spark, a.vectors))
+    out = content_vectors(rows, vocab, a.dim)
     balanced(out, a.files).write.mode("errorifexists").parquet(a.out)
     return {"out": a.out}
 

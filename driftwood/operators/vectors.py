@@ -2,7 +2,9 @@
 category vectors, norms and cosine similarity.
 
 Tokens are rows ``(id..., word, weight)``; vectors are rows
-``(word, vec ARRAY<FLOAT>)``.  The weighted sum is an ordinary aggregate:
+``(word, vec ARRAY<FLOAT>)`` with one row per word -- a raw vector file that
+may repeat a word is first reduced with ``first_vectors_unpartitioned`` (or
+``first_vectors``).  The weighted sum is an ordinary aggregate:
 one ``sum(weight * vec[i])`` per dimension, which keeps a fixed-width
 buffer (``HashAggregate``), aggregates partially before the shuffle (a hot
 id is reduced on the map side) and never holds a group's tokens in memory.

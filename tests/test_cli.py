@@ -43,7 +43,7 @@ def test_cli_flow(spark):
     vec_path = os.path.join(root.replace("file:", ""), "vec.txt")
     os.makedirs(os.path.dirname(vec_path), exist_ok=True)
     with open(vec_path, "w") as f:
-        f.write("曼联 1 0 0\n欧冠 0 1 0\n庞贝 0 0 1\n")
+        f.write("曼联 1 0 0\n欧冠 0 1 0\n庞贝 0 0 1\n曼联 5 5 5\n")   # repeated word: first wins
     r = cli.main(["content-vectors", "--snapshot", r["snapshot"], "--vectors", vec_path, "--dim", "3",
                   "--out", f"{root}/vec-out", "--files", "1"], spark=spark)
     got = {x.content_id: (x.tags_vec, x.title_vec) for x in spark.read.parquet(r["out"]).collect()}
