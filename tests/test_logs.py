@@ -105,7 +105,11 @@ def test_flatten_columns(spark):
     gated["e11"] = "top"
     comma = json.loads(log("23", "c8", "d6", "2024-01-05 00:00:00", "e23"))
     comma["p6"] = "a,b"
-    lines = [json.dumps(x) for x in (e37_bad, no_p30, gated, comma)]
+    no_e37 = json.loads(log("24", "c8", "d5", "2024-01-05 00:00:00", "e23"))
+    del no_e37["e23"]["o2"]["e37"]
+    gated_only = json.loads(log("25", "c8", "d4", "2024-01-05 00:00:00", "e23"))
+    gated_only["p30"]["e11"] = "inner"            # no top-level e11
+    lines = [json.dumps(x) for x in (e37_bad, no_p30, gated, comma, no_e37, gated_only)]
     lab = jobs.labelled_logs(spark.createDataFrame([(x,) for x in lines], "value string"),
                              spark.createDataFrame([], "value string"), S)
     flat = op.flatten_log(lab)
@@ -116,6 +120,8 @@ def test_flatten_columns(spark):
     assert by["22"].e11 == "top"                                # gated on p30.e11, read at top
     assert by["20"].e11 is None
     assert by["23"].content_id == "c8"
+    assert (by["24"].l1, by["24"].l2, by["24"].e38) == (None, None, "x")
+    assert by["25"].e11 is None
     txt = {r.value.split(",")[1]: r.value for r in op.render_text(flat).collect()}
     assert txt["23"].split(",")[24] != "c8"                     # comma shifts positions (unquoted)
     assert txt["21"].split(",")[18] == ""                       # absent 18+ -> empty
