@@ -76,3 +76,15 @@ def test_scan_prunes_columns(spark, tmp_path):
     df.collect()
     p = plan_text(df)
     assert "ReadSchema: struct<id:bigint,b:bigint>" in p and "PushedFilters: [IsNotNull(id), GreaterThan(id,5)]" in p
+
+
+def test_csv_roundtrip_quotes_commas(spark):
+    from driftwood.schemas import TRAINING_COLUMNS, TRAINING_SCHEMA
+    vals = [1] + [f"v{i}" for i in range(1, 39)]
+    vals[4] = 'a,b "c"'                       # p6 with a comma and quotes
+    vals[10] = None
+    df = spark.createDataFrame([tuple(vals)], TRAINING_SCHEMA)
+    path = scratch_path(spark, "t-csv")
+    df.write.option("header", "false").csv(path)
+    back = src.read_csv(spark, path, TRAINING_SCHEMA).collect()[0]
+    assert [back[c] for c in TRAINING_COLUMNS] == vals
