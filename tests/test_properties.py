@@ -173,3 +173,43 @@ def test_tag_tokens_agree_with_parse_tags(spark, values):
               for r in df.select("i", fn.parse_tags(F.col("s")).alias("a")).collect()}
     for i in range(len(values)):
         assert [(w, x) for _, w, x in sorted(exploded.get(i, []))] == arrays[i]
+
+
+event = st.tuples(st.sampled_from(["imp", "click"]), st.sampled_from(["c1", "c2", "c3"]),
+                  st.sampled_from(["d1", "d2", None]), st.sampled_from(["2024-01-01", "2024-01-02"]),
+                  st.integers(0, 23))
+
+
+@SETTINGS
+@given(st.lists(event, min_size=1, max_size=60))
+def test_click_label_model(spark, events):
+    import json
+
+    from driftwood.operators import click_label, with_pair_key
+    from driftwood.sources import parse_logs
+
+    def line(i, side, cid, dev, day, hour):
+        item = {"e15": cid, "o2": {"e30": 7}}
+        d = {"p1": str(i), "p3": f"{day} {hour:02d}:00:00", "p17": dev,
+             "e23" if side == "imp" else "e24": item}
+        return json.dumps(d)
+
+    rows = [(e[0], line(i, *e)) for i, e in enumerate(events)]
+    imp = spark.createDataFrame([(v,) for s, v in rows if s == "imp"], "value string")
+    clk = spark.createDataFrame([(v,) for s, v in rows if s == "click"], "value string")
+    got = {(r.content_id, r.device_id, r.day): (r.is_click, r.side, r.p1) for r in
+           click_label(with_pair_key(parse_logs(imp)), with_pair_key(parse_logs(clk)))
+           .select("content_id", "device_id", "day", "is_click", "side", "log.p1").collect()}
+
+    # model: first record per (key, side) by (time text, id); both sides -> 1 with the impression
+    first = {}
+    for i, (side, cid, dev, day, hour) in enumerate(events):
+        k, t = (cid, dev, day), (f"{day} {hour:02d}:00:00", i)
+        if (k, side) not in first or t < first[(k, side)]:
+            first[(k, side)] = t
+    exp = {}
+    for (k, side), (_, i) in first.items():
+        has_imp, has_clk = (k, "imp") in first, (k, "click") in first
+        if side == "imp" or not has_imp:
+            exp[k] = (int(has_imp and has_clk), side, str(i))
+    assert got == exp
