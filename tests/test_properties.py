@@ -213,3 +213,20 @@ def test_click_label_model(spark, events):
         if side == "imp" or not has_imp:
             exp[k] = (int(has_imp and has_clk), side, str(i))
     assert got == exp
+
+
+@SETTINGS
+@given(st.lists(st.sampled_from(["201808001", "201907001", "201809002", "201807001", "201713999",
+                                 "2019", "201912777", "201808001"]), min_size=1, max_size=30),
+       st.booleans())
+def test_content_lookup_model(spark, ids, distinct_input):
+    from driftwood.operators import content_lookup
+
+    from .test_content import tables
+    if distinct_input:
+        ids = sorted(set(ids))
+    found = {"201808001": "3", "201907001": "1"}       # in all three tables and in a valid shard
+    df = spark.createDataFrame([(i,) for i in ids], "content_id string")
+    out = content_lookup(df, *tables(spark), ids_distinct=distinct_input)
+    got = sorted((r.content_id, r.body_images_count) for r in out.collect())
+    assert got == sorted((i, found.get(i, " ")) for i in ids)
