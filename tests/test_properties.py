@@ -230,3 +230,25 @@ def test_content_lookup_model(spark, ids, distinct_input):
     out = content_lookup(df, *tables(spark), ids_distinct=distinct_input)
     got = sorted((r.content_id, r.body_images_count) for r in out.collect())
     assert got == sorted((i, found.get(i, " ")) for i in ids)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", "z"]), st.sampled_from(["a", "b", "c", "zz"]),
+                          st.floats(-5, 5, allow_nan=False).map(lambda f: round(f, 2))),
+                min_size=1, max_size=40))
+def test_tag_vector_model(spark, toks):
+    import math
+
+    import numpy as np
+
+    from driftwood.operators import tag_vector
+    vocab = {"a": [1.0, 2.0, 0.5], "b": [0.0, -1.0, 3.0], "c": [2.0, 2.0, 2.0]}
+    v = spark.createDataFrame(list(vocab.items()), "word string, vec array<float>")
+    t = spark.createDataFrame(toks, "id string, word string, weight double")
+    got = {r.id: r.vec for r in tag_vector(t, v, "id", 3).collect()}
+    exp = {}
+    for i, w, x in toks:
+        exp[i] = exp.get(i, np.zeros(3)) + (np.array(vocab[w]) * x if w in vocab else 0)
+    assert set(got) == set(exp)
+    for i in exp:
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[i], exp[i]))
