@@ -412,3 +412,54 @@ QUERIES: dict[str, Query] = {
     "category_vector": q_category_vector,
     "cosine_pairs": q_cosine_pairs,
 }
+
+
+# Which inventory rows each registered query exercises.
+INVENTORY: dict[str, tuple[str, ...]] = {
+    "log_scan": ("S1", "S4", "X6", "M2"),
+    "strategy_filter": ("F1", "F2", "F3"),
+    "pair_key": ("P1", "X1"),
+    "dedup_daily": ("A1", "A8"),
+    "click_label": ("J1", "A1", "A3", "A8", "U1"),
+    "label_json": ("P4",),
+    "flatten_log": ("P2", "X6"),
+    "training_rows": ("G1", "S1", "F1", "F2", "J1", "P2"),
+    "flatten_log_text": ("P3",),
+    "split_field": ("P5", "S5"),
+    "csv_roundtrip": ("S5", "K4"),
+    "sink_partitioned": ("K1", "K4"),
+    "day_part": ("X1",),
+    "date_label": ("X2", "X3"),
+    "day_range_scan": ("S2", "S3"),
+    "multi_path_scan": ("S4",),
+    "is_numeric": ("F4",),
+    "shard_route": ("F5", "X4", "X5"),
+    "distinct_ids": ("A2",),
+    "new_ids": ("J4", "U3"),
+    "known_ids": ("J4",),
+    "id_counts": ("A5",),
+    "content_join3": ("J2",),
+    "content_row": ("P6", "X5", "X7", "X8", "X9"),
+    "content_lookup": ("S6", "J3", "L1", "L3", "U4"),
+    "content_lookup_all": ("S9", "J3"),
+    "content_refresh": ("G2", "G5", "J4", "U2", "A4"),
+    "snapshot_merge": ("U2", "A4"),
+    "dedup_content": ("A4",),
+    "sink_snapshot": ("K2", "K3", "K4"),
+    "location_fields": ("X7",),
+    "first_group_key": ("X8",),
+    "format_tags": ("X9",),
+    "parse_tags": ("X10",),
+    "parse_keywords": ("X11", "F7"),
+    "unwrap_parens": ("P7", "G4"),
+    "vector_table_scan": ("S7", "S8", "X17"),
+    "vector_lookup_one": ("F6", "L2", "G6", "X14"),
+    "vector_norms": ("X14", "X15"),
+    "token_vectors": ("J5", "X12"),
+    "token_vectors_broadcast": ("J6",),
+    "tag_vector": ("A6", "X13"),
+    "content_vectors": ("P8", "G3", "A6", "X10"),
+    "category_vector": ("A7", "F7", "X11", "X13"),
+    "cosine_pairs": ("X16", "X14"),
+}
+assert set(INVENTORY) == set(QUERIES)

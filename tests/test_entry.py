@@ -58,3 +58,16 @@ def test_queries_do_not_share_state(spark):
         df.count()
     assert len(TRAINING_SCHEMA.fields) == before == 39
     assert len(qs["csv_roundtrip"](spark, SF).columns) == 39
+
+
+def test_inventory_covered():
+    """Every operator row of the inventory is exercised by at
+    least one registered query."""
+    from driftwood.plans.queries import INVENTORY
+    rows = ([f"S{i}" for i in range(1, 10)] + [f"K{i}" for i in range(1, 5)]
+            + [f"F{i}" for i in range(1, 8)] + [f"P{i}" for i in range(1, 9)]
+            + [f"J{i}" for i in range(1, 7)] + [f"A{i}" for i in range(1, 9)]
+            + [f"L{i}" for i in range(1, 4)] + [f"U{i}" for i in range(1, 5)]
+            + [f"X{i}" for i in range(1, 18)] + [f"G{i}" for i in range(1, 7)])
+    covered = {i for ids in INVENTORY.values() for i in ids}
+    assert not set(rows) - covered
