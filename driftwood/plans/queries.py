@@ -416,7 +416,7 @@ QUERIES: dict[str, Query] = {
 
 # Which inventory rows each registered query exercises.
 INVENTORY: dict[str, tuple[str, ...]] = {
-    "log_scan": ("S1", "S4", "X6", "M2"),
+    "log_scan": ("S1", "S4", "X6"),
     "strategy_filter": ("F1", "F2", "F3"),
     "pair_key": ("P1", "X1"),
     "dedup_daily": ("A1", "A8"),
