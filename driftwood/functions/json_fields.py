@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,9 +35,4 @@ def unwrap_parens(line: Column) -> Column:
 def split_field(line: Column, index: int, sep: str = ",") -> Column:
     """Zero-based positional field of a delimited text line; null when the
     line is too short.  Trailing empty fields are kept."""
-    return F.try_element_at(F.split(line, _regex_literal(sep), -1), F.lit(index + 1))
-
-
-def _regex_literal(sep: str) -> str:
-    import re
-    return re.escape(sep)
+    return F.try_element_at(F.split(line, re.escape(sep), -1), F.lit(index + 1))

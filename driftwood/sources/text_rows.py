@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,6 @@ def split_positional(lines: DataFrame, names: Sequence[str], sep: str = ",",
                      value_col: str = "value") -> DataFrame:
     """Split each text line on ``sep`` into the named string columns.
     Missing trailing fields are null; extra fields are ignored."""
-    import re
     parts = F.split(F.col(value_col), re.escape(sep), -1)
     return lines.select(*[F.try_element_at(parts, F.lit(i + 1)).alias(n)
                           for i, n in enumerate(names)])
