@@ -25,7 +25,7 @@ from pyspark.sql import SparkSession
 from .functions.dates import day_range, days_in_range
 from .functions.ids import DEFAULT_START_MONTH, DEFAULT_START_YEAR, DEFAULT_YEARS, valid_shards
 from .operators.vectors import first_vectors_unpartitioned
-from .plans import pipeline
+from .plans import daily
 from .plans.jobs import content_vectors
 from .schemas import CONTENT_COLUMNS, T_CONTENT_COLUMNS, T_NEWS_COLUMNS, T_SIGNAL_COLUMNS
 from .sources.content import read_shards_jdbc, read_shards_parquet
@@ -57,7 +57,7 @@ def cmd_training_rows(spark: SparkSession, a) -> dict:
     days = days_in_range(start, end)
     imp = day_glob(a.imp_prefix, days, a.suffix)
     clk = day_glob(a.clk_prefix, days, a.suffix)
-    out = pipeline.run_training_rows(spark, imp, clk, a.strategy, a.out, n_files=a.files,
+    out = daily.run_training_rows(spark, imp, clk, a.strategy, a.out, n_files=a.files,
                                      fmt=a.format)
     return {"out": out, "start": str(start), "end": str(end)}
 
@@ -77,7 +77,7 @@ def cmd_content_refresh(spark: SparkSession, a) -> dict:
     tables = _content_tables(spark, a)
     old = _read_snapshot(spark, a.snapshot, a.snapshot_format)
     now = dt.datetime.now()
-    path, metrics = pipeline.run_content_refresh(
+    path, metrics = daily.run_content_refresh(
         spark, a.rows, start.strftime("%Y%m%d"), end.strftime("%Y%m%d"), old, *tables,
         a.snapshot_root, now.strftime("%Y%m"), a.stamp or now.strftime("%Y%m%d%H%M"),
         n_files=a.files, snapshot_is_distinct=a.snapshot_is_distinct, rows_format=a.rows_format,
@@ -95,7 +95,7 @@ def cmd_content_vectors(spark: SparkSession, a) -> dict:
 
 
 def cmd_repair(spark: SparkSession, a) -> dict:
-    return {"out": pipeline.run_repair(spark, a.src, a.dst, n_files=a.files)}
+    return {"out": daily.run_repair(spark, a.src, a.dst, n_files=a.files)}
 
 
 def parser() -> argparse.ArgumentParser:

@@ -1,8 +1,8 @@
 """Composed jobs and their stand-in inputs."""
 
-from . import inputs, pipeline
+from . import daily, inputs
 from .jobs import (content_refresh, content_vectors, labelled_logs, repair_snapshot,
                    training_rows, training_rows_with_day, word_norm)
 
-__all__ = ["inputs", "pipeline", "content_refresh", "content_vectors", "labelled_logs", "repair_snapshot",
+__all__ = ["daily", "inputs", "content_refresh", "content_vectors", "labelled_logs", "repair_snapshot",
            "training_rows", "training_rows_with_day", "word_norm"]

@@ -1,4 +1,4 @@
-from driftwood.plans import pipeline
+from driftwood.plans import daily
 from driftwood.schemas import CONTENT_COLUMNS
 from driftwood.session import scratch_path
 
@@ -6,7 +6,7 @@ from .test_content import tables
 from .test_logs import S, log
 
 
-def test_daily_pipeline(spark):
+def test_daily_jobs(spark):
     imp = [log("1", "201808001", "d1", "2024-01-01 08:00:00", "e23"),
            log("2", "201907001", "d1", "2024-01-02 08:00:00", "e23"),
            log("3", "201713999", "d2", "2024-01-03 08:00:00", "e23")]
@@ -15,7 +15,7 @@ def test_daily_pipeline(spark):
     spark.createDataFrame([(x,) for x in imp], "value string").write.text(f"{root}/imp")
     spark.createDataFrame([(x,) for x in clk], "value string").write.text(f"{root}/clk")
     out = scratch_path(spark, "p-rows")
-    pipeline.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, n_files=1)
+    daily.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, n_files=1)
     saved = spark.read.parquet(out)
     assert saved.count() == 3
     assert {r.day for r in saved.select("day").collect()} == {20240101, 20240102, 20240103}
@@ -23,7 +23,7 @@ def test_daily_pipeline(spark):
     schema = ", ".join(f"{c} string" for c in CONTENT_COLUMNS)
     old = spark.createDataFrame([tuple(["201808001"] + ["old"] * 13)], schema)
     snaps = scratch_path(spark, "p-snap")
-    path, m = pipeline.run_content_refresh(spark, out, "20240101", "20240102", old,
+    path, m = daily.run_content_refresh(spark, out, "20240101", "20240102", old,
                                            *tables(spark), snaps, "202401", "202401031200")
     new = spark.read.parquet(path)
     # day 3 is outside the range; 201808001 is already known, 201907001 is new
@@ -34,24 +34,24 @@ def test_daily_pipeline(spark):
 def test_repair_job(spark):
     src = scratch_path(spark, "p-wrapped")
     spark.createDataFrame([("(201901001,a, )",), ("(x)",)], "value string").write.text(src)
-    dst = pipeline.run_repair(spark, src, scratch_path(spark, "p-repaired"), n_files=1)
+    dst = daily.run_repair(spark, src, scratch_path(spark, "p-repaired"), n_files=1)
     assert sorted(r.value for r in spark.read.text(dst).collect()) == ["201901001,a, ", "x"]
 
 
-def test_daily_pipeline_text_rows(spark):
+def test_daily_jobs_text_rows(spark):
     imp = [log("1", "201808001", "d1", "2024-01-01 08:00:00", "e23"),
            log("2", "201907001", "d1", "2024-01-02 08:00:00", "e23")]
     root = scratch_path(spark, "pt-in")
     spark.createDataFrame([(x,) for x in imp], "value string").write.text(f"{root}/imp")
     spark.createDataFrame([], "value string").write.text(f"{root}/clk")
     out = scratch_path(spark, "pt-rows")
-    pipeline.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, fmt="text")
+    daily.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, fmt="text")
     lines = [r.value for r in spark.read.text(out).collect()]
     assert len(lines) == 2 and all(len(v.split(",")) == 39 for v in lines)
     assert sorted(v.split(",")[24] for v in lines) == ["201808001", "201907001"]
     schema = ", ".join(f"{c} string" for c in CONTENT_COLUMNS)
     old = spark.createDataFrame([tuple(["201808001"] + ["old"] * 13)], schema)
-    path, m = pipeline.run_content_refresh(spark, out, "20240101", "20240102", old,
+    path, m = daily.run_content_refresh(spark, out, "20240101", "20240102", old,
                                            *tables(spark), scratch_path(spark, "pt-snap"),
                                            "202401", "202401031200", rows_format="text")
     assert m["total_ids"] == 2 and m["new_ids"] == 1
