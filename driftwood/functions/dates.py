@@ -41,4 +41,5 @@ def day_range(run_date: _dt.date, days: int, from_day: int = 0) -> tuple[_dt.dat
 
 
 def days_in_range(start: _dt.date, end: _dt.date) -> list[_dt.date]:
+    """Every day from ``start`` to ``end`` inclusive."""
     return [start + _dt.timedelta(days=i) for i in range((end - start).days + 1)]

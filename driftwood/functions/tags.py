@@ -40,6 +40,7 @@ def format_content_tags(js: Column) -> Column:
 
 
 def format_title_tags(js: Column) -> Column:
+    """Title tags: the ``v4`` wrapper."""
     return format_tags(js, TITLE_PREFIX)
 
 

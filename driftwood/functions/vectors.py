@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 
 def zeros(dim: int) -> Column:
+    """A vector of ``dim`` zeros."""
     return F.array_repeat(F.lit(0.0), dim)
 
 
 def as_double(v: Column) -> Column:
+    """Elements cast to double."""
     return F.transform(v, lambda x: x.cast("double"))
 
 
 def scale(v: Column, w: Column) -> Column:
+    """Every element times ``w`` (as double)."""
     return F.transform(v, lambda x: x.cast("double") * w)
 
 
@@ -47,11 +50,13 @@ def element_sum(v: Column, weighted: bool = False) -> Column:
 
 
 def dot(a: Column, b: Column) -> Column:
+    """Dot product; missing elements of the shorter side count as 0."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
                        F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
 
 
 def l2_norm(v: Column) -> Column:
+    """Euclidean norm."""
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
 
 

@@ -24,6 +24,7 @@ def ids_from_text_rows(lines: DataFrame, index: int = CONTENT_ID_INDEX,
 
 
 def distinct_ids(rows: DataFrame, id_col: str = ID) -> DataFrame:
+    """Distinct non-null ids (partially aggregated before the shuffle)."""
     return rows.select(id_col).where(F.col(id_col).isNotNull()).distinct()
 
 
@@ -101,6 +102,7 @@ def content_row(found: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def with_shard(ids: DataFrame, id_col: str = ID, **rule) -> DataFrame:
+    """Add the ``shard`` label each id routes to (null when none)."""
     return ids.withColumn("shard", shard_label(F.col(id_col), **rule))
 
 

@@ -59,6 +59,7 @@ def content_refresh(log_rows: DataFrame, snapshot: DataFrame, t_content: DataFra
 
 
 def content_vectors(content_rows: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
+    """Job G3: content rows -> ``(content_id, tags_vec, title_vec)``."""
     return _content_vectors(content_rows, vectors, dim)
 
 

@@ -463,3 +463,5 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "cosine_pairs": ("X16", "X14"),
 }
 assert set(INVENTORY) == set(QUERIES)
+for _name, _fn in QUERIES.items():
+    _fn.__doc__ = " ".join(filter(None, [_fn.__doc__, f"Inventory rows: {', '.join(INVENTORY[_name])}."]))

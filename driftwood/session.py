@@ -53,6 +53,7 @@ CLUSTER_CONF = {
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "driftwood", extra: dict | None = None) -> SparkSession:
+    """A session with ``DEFAULT_CONF`` (local by default; tests and bench)."""
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -48,6 +48,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 def write_text(df: DataFrame, path: str, n_files: int | None = None, mode: str = "overwrite",
                value_col: str = "value", rebalance: bool = False) -> None:
+    """Write one text column as text files."""
     out = balanced(df.select(F.col(value_col).alias("value")), n_files, rebalance)
     out.write.mode(mode).text(path)
 

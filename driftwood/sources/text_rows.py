@@ -21,6 +21,7 @@ def split_positional(lines: DataFrame, names: Sequence[str], sep: str = ",",
 
 def read_positional(spark: SparkSession, paths: str | Iterable[str], names: Sequence[str],
                     sep: str = ",") -> DataFrame:
+    """Positional text rows read straight into named string columns."""
     if isinstance(paths, str):
         paths = [paths]
     return split_positional(spark.read.text(list(paths)), names, sep)

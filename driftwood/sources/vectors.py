@@ -18,4 +18,5 @@ def parse_vector_text(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """Word-vector text file(s) -> ``(word, vec, pos)``."""
     return parse_vector_text(spark.read.text(path))
