@@ -133,6 +133,15 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     if shards is not None:
         t_content, t_signal, t_news = (t.where(F.col("shard").isin(*shards))
                                        for t in (t_content, t_signal, t_news))
+    # Reduce each source table to the requested ids before joining, deduping
+    # and formatting: a refresh asks for few ids out of all content, and the
+    # optimizer does not push a left join's keys into its right side.  The
+    # semi join is broadcast when the id set is measured small.
+    need = routed.where(F.col("shard").isNotNull()).select(ID, "shard")
+    t_content, t_signal, t_news = (
+        t.join(need if "shard" in t.columns else need.select(ID),
+               [ID, "shard"] if "shard" in t.columns else [ID], "left_semi")
+        for t in (t_content, t_signal, t_news))
     found = content_join3(t_content, t_signal, t_news)
     if "shard" not in found.columns:
         found = with_shard(found, ID, **shard_rule)
