@@ -10,6 +10,7 @@ from ..functions.ids import shard_has_score, shard_label
 from ..functions.json_fields import BLANK, first_key, location_fields, split_field
 from ..functions.tags import format_content_tags, format_title_tags
 from ..schemas import CONTENT_COLUMNS
+from ..session import scratch_root
 
 ID = "content_id"
 CONTENT_ID_INDEX = 24
@@ -109,7 +110,7 @@ def with_shard(ids: DataFrame, id_col: str = ID, **rule) -> DataFrame:
 def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                    t_news: DataFrame, id_col: str = ID, dedupe_source: bool = True,
                    ids_distinct: bool = False, shards: list[str] | None = None,
-                   **shard_rule) -> DataFrame:
+                   checkpoint_ids: bool = False, **shard_rule) -> DataFrame:
     """Content rows for the requested ids, one output row per input row
     (other columns of ``ids`` are carried along after the content columns).
 
@@ -130,6 +131,9 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     req = ids.select(F.col(id_col).alias(ID), *extra)
     uniq = req if ids_distinct else req.select(ID).distinct()
     routed = with_shard(uniq, ID, **shard_rule)
+    if checkpoint_ids:
+        scratch_root(ids.sparkSession)
+        routed = routed.checkpoint(eager=True)
     if shards is not None:
         t_content, t_signal, t_news = (t.where(F.col("shard").isin(*shards))
                                        for t in (t_content, t_signal, t_news))

@@ -184,3 +184,10 @@ def test_shards_pruned_at_planning(spark):
     got = {r.content_id: r.body_images_count for r in out.collect()}
     assert got == {"201808001": "3", "201907001": " "}
     assert "PartitionFilters: [isnotnull(shard" in plan_text(out) and "2018_08" in plan_text(out)
+
+
+def test_lookup_with_checkpointed_ids(spark):
+    ids = spark.createDataFrame([("201808001",), ("201713999",), ("201808001",)], "content_id string")
+    a = rows(op.content_lookup(ids, *tables(spark)))
+    b = rows(op.content_lookup(ids, *tables(spark), checkpoint_ids=True))
+    assert a == b and len(a) == 3
