@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftwood.llm import decontaminate, exact_dedup, quality, sentencepiece_codec
+from driftwood.llm import decontaminate, exact_dedup, ngram_join, quality, sentencepiece_codec
 from driftwood.llm.common import materialise, table
 from driftwood.llm.queries import PIECE_MODEL
 
@@ -25,6 +25,11 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.keep_exact(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies keep the one with the smallest id."""
+    return ngram_join.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark window."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -39,6 +44,7 @@ def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 STAGES = [
     ("quality classifier", quality_classifier),
     ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
     ("sentencepiece encoding", sentencepiece_encoding),
 ]

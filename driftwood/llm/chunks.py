@@ -79,7 +79,7 @@ def rows_of(batches) -> Iterator[dict]:
             yield b.slice(k, 1).to_pylist()[0]
 
 
-def parts_for(chunks: DataFrame, part_bytes: int = 64 << 20) -> int:
+def parts_for(chunks: DataFrame, part_bytes: int = 24 << 20) -> int:
     """How many parts to cut the hash space into, so that one part of the
     words of all texts takes about ``part_bytes``."""
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0

@@ -136,9 +136,9 @@ def shingles(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     return mix(out, 1 + salt)
 
 
-def fold(text: str) -> bytes:
-    """UTF-8 bytes with A-Z lower-cased and nothing else changed."""
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD)
+def fold_bytes(b: bytes) -> bytes:
+    """A-Z lower-cased and nothing else changed."""
+    return b.translate(_FOLD)
 
 
 # ---- packed integers -----------------------------------------------------

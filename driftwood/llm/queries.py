@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, quality, secrets, sentencepiece_codec, substring_dedup, url_filter
+from . import (
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    lm_score,
+    ngram_join,
+    quality,
+    secrets,
+    sentencepiece_codec,
+    substring_dedup,
+    url_filter,
+)
 from .common import table
 
 #: Where the tokenizer's model lies; a parameter of the query, read once by the driver.
@@ -18,6 +29,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
     return sentencepiece_codec.query(table(spark, sf_dir, "documents"), sentencepiece_codec.read_model(model_path))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.query(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.query(table(spark, sf_dir, "documents"))
 
@@ -30,6 +45,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.query(table(spark, sf_dir, "documents"))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.query(table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -43,8 +66,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_sentencepiece, op3_secret_scan, op4_quality, op5_decontaminate, op8_substring_dedup, op9_exact_dedup,
-    op10_url_filter)}
+    op1_sentencepiece, op2_license_scan, op3_secret_scan, op4_quality, op5_decontaminate, op6_lm_score, op7_ngram_join,
+    op8_substring_dedup, op9_exact_dedup, op10_url_filter)}
 
 SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL, "op8_substring_dedup": substring_dedup.SQL,
                        "op9_exact_dedup": exact_dedup.SQL, "op10_url_filter": url_filter.SQL}
