@@ -56,6 +56,13 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
+def join_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of documents with ``ids(id)``,
+    whatever the documents' columns are called; null ids meet null ids."""
+    return docs.join(ids.select(F.col("id").alias("__listed_id")),
+                     F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__listed_id")), how)
+
+
 def bucket_of(id_col: str, n: int):
     """crc32 of the id's decimal text modulo ``n`` (null ids: bucket of '')."""
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % n

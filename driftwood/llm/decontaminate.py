@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, materialise, ship
 
 WINDOW = 10
 BLOCK_WORDS = 250_000
@@ -154,11 +154,27 @@ def find_windows(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_
                          F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
 
 
-def drop_contaminated(docs: DataFrame, bench: DataFrame, **names) -> DataFrame:
-    """The rows of ``docs``, with all columns, that hold no benchmark window."""
-    id_col = names.get("id_col", "doc_id")
-    bad = find_windows(docs, bench, **names).where(F.size("hits") > 0).select("id").distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("id")), "left_anti")
+def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
+                      text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that hold no benchmark window:
+    each block of the benchmark filters what the one before left."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def keeper(block):
+        def run(batches):
+            tables = tables_of([(k, w) for k, (_, w) in enumerate(block.value)], window)
+            for batch in batches:
+                clean = [not any(True for t in tables for _ in t.find(words)) for words in
+                         (words_of(x.as_py()) for x in batch.column(at))]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+        return run
+
+    for k, block in enumerate(benchmark_blocks(bench, item_col, item_text, window, block_words)):
+        if k:  # one block's tables at a time in a worker
+            docs = materialise(docs, "clean")
+        docs = docs.mapInArrow(keeper(docs.sparkSession.sparkContext.broadcast(block)), docs.schema)
+    return docs
 
 
 def query(docs: DataFrame, bench: DataFrame) -> DataFrame:

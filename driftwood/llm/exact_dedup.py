@@ -54,8 +54,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select("id").distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("id")), "left_semi")
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
+        F.col("id").alias("__kept_id"), F.col("digest").alias("__kept_digest")).distinct()
+    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept_id"))
+                     & (text_digest(text_col) == F.col("__kept_digest")), "left_semi")
 
 
 def query(docs: DataFrame) -> DataFrame:

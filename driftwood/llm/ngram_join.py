@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, chunk_table, cut, parts_for, rows_of, table_rows
-from .common import fold_bytes, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
+from .common import fold_bytes, join_ids, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
 
 K = 5
 PERCENT = 80
@@ -260,10 +260,11 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT, id_c
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component stays, that of the smallest id, with
-    all columns; rows with the id of a document that stays stay too."""
+    all columns.  An id names a document here: rows that share the id of one
+    that goes go with it, and rows without an id stay."""
     found = jaccard_components(docs, id_col=id_col, text_col=text_col)
     gone = found.where("id <> component_id").select("id").distinct()
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("id"), "left_anti")
+    return join_ids(docs, gone, id_col, "left_anti")
 
 
 def query(docs: DataFrame) -> DataFrame:

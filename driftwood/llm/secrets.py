@@ -32,7 +32,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # the runs of [0-9a-f]+ that have 24 characters or more: a run is maximal either way
 HEX = re.compile(r"[0-9a-f]{24,}")
 TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]{4,})*={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
 HEX_KEY = re.compile(r"(?:30|6[fF])(?:[0-9a-fA-F]{2}){23,}")
 _RUN = bytes(104 if chr(c) in "0123456789abcdefABCDEF" else 98 if chr(c) in "+/-_=" or chr(c).isalnum() and c < 128
              else 32 for c in range(256))
@@ -62,6 +62,17 @@ def der_item(b: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
+def der_size(head: bytes) -> int | None:
+    """Size of the DER item that ``head`` begins with, header included."""
+    if len(head) < 6 or head[0] != 0x30:
+        return None
+    n = head[1]
+    if n < 0x80:
+        return 2 + n
+    size = n & 0x7F
+    return 2 + size + int.from_bytes(head[2:2 + size], "big") if 1 <= size <= 4 else None
+
+
 def is_der_key(b: bytes) -> bool:
     """One SEQUENCE over the whole value whose children's lengths add up to
     it, and that starts as a key does: a version INTEGER followed by an
@@ -139,20 +150,37 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     if "eyJ" in text or "ey" in text and "." in text:
         out += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if m[0].startswith("ey") and is_token(m[0])]
     for m in BASE64.finditer(text):
-        raw = decode64(m[0]) if m[0][0] in "MLb" else None  # how 0x30 or the container's magic begins
-        if raw and raw[0] == 0x30 and is_der_key(raw):
-            out.append(("der", m.start(), m.end()))
-        elif raw and is_ssh_key(raw):
+        if m[0][0] == "M":  # how 0x30 begins
+            size = der_size(decode64(m[0][:8]) or b"")
+            end = _chars(m[0], -(-size * 4 // 3)) if size else None
+            raw = decode64(m[0][:end]) if end else None
+            if raw and is_der_key(raw):
+                while end < len(m[0]) and m[0][end] == "=":
+                    end += 1
+                out.append(("der", m.start(), m.start() + end))
+        elif m[0].startswith("b3Blbn") and is_ssh_key(decode64(m[0]) or b""):
             out.append(("sshkey", m.start(), m.end()))
     for m in HEX_KEY.finditer(text):
         raw = bytes.fromhex(m[0])
-        if is_der_key(raw):
-            out.append(("der", m.start(), m.end()))
+        size = der_size(raw)
+        if size and size <= len(raw) and is_der_key(raw[:size]):
+            out.append(("der", m.start(), m.start() + 2 * size))
         elif is_ssh_key(raw):
             out.append(("sshkey", m.start(), m.end()))
     return out
 
 
+def _chars(s: str, n: int) -> int | None:
+    """Where the first ``n`` characters that are no line ends end."""
+    if "\n" not in s:
+        return n if n <= len(s) else None
+    for m in re.finditer(r"[^\r\n]+", s):
+        if len(m[0]) >= n:
+            return m.start() + n
+        n -= len(m[0])
+    return None
+
+
 def _has_run(text: str) -> tuple[bool, bool]:
     """Whether 24 hex characters, or 24 base64 characters, stand in a row."""
     runs = text.encode("utf-8", "surrogatepass").translate(_RUN)

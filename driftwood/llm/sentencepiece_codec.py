@@ -330,11 +330,11 @@ class Model:
             packed = self._cached(self.stretch.findall(norm))
         found = np.frombuffer(packed, "<u4").reshape(-1, 3)
         ends = np.cumsum(found[:, 2 if origin is None else 1], dtype=np.int64)
-        if origin is not None:
-            ends = origin[ends]
-        elif self.dummy_prefix:
+        if origin is None and self.dummy_prefix:
             ends -= 1  # the dummy prefix has no source byte
         starts = np.concatenate((np.zeros(min(1, len(ends)), np.int64), ends[:-1]))
+        if origin is not None:
+            starts, ends = origin[starts], origin[ends]
         return found[:, 0], np.stack([starts, ends], axis=1)
 
     def encode(self, text: str) -> list[int]:

@@ -1,0 +1,95 @@
+import random
+from itertools import combinations
+
+import numpy as np
+
+from driftwood.llm import ngram_join as J
+
+from .helpers import DOCS, LOREM, by_id, docs_of, edge_docs, empty_docs
+
+
+def shingle_set(t):
+    w = (t or "").encode().translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))).split()
+    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def brute(rows):
+    sets = [shingle_set(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a, b in combinations(range(len(rows)), 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            up[top(a)] = top(b)
+    out = []
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if top(j) == top(k) and rows[j][0] is not None]
+        out.append((i, len(sets[k]), min(ids, default=None)))
+    return by_id(out)
+
+
+def found(df):
+    return by_id(map(tuple, J.query(df).collect()))
+
+
+def test_edge_cases(spark):
+    assert found(edge_docs(spark)) == brute(DOCS)
+    assert J.query(empty_docs(spark)).count() == 0
+
+
+def test_chains_and_hot_groups(spark):
+    """Documents that link only through others, a group of near copies, and a passage that many unlike documents share."""
+    rng = random.Random(5)
+    word = lambda: "w" + str(rng.randrange(10 ** 6))
+    rows, start = [], [word() for _ in range(60)]
+    for i in range(40):  # every next text differs from the one before by one word: far ends are unlike
+        rows.append((i, " ".join(start)))
+        start[rng.randrange(60)] = word()
+    body = [word() for _ in range(80)]
+    for i in range(100, 200):
+        b = list(body)
+        b[rng.randrange(80)] = word()
+        rows.append((i, " ".join(b)))
+    for i in range(300, 360):
+        rows.append((i, " ".join(LOREM + [word() for _ in range(rng.randrange(1, 9))])))
+    rng.shuffle(rows)
+    assert found(docs_of(spark, rows).repartition(5)) == brute(rows)
+
+
+def test_random_near_copies(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(30):
+        body = [f"v{rng.randrange(400)}" for _ in range(rng.randrange(6, 60))]
+        for c in range(rng.randrange(1, 6)):
+            b = list(body)
+            for _ in range(rng.randrange(0, 4)):
+                b[rng.randrange(len(b))] = f"v{rng.randrange(400)}"
+            rows.append((g * 10 + c, " ".join(b)))
+    assert found(docs_of(spark, rows)) == brute(rows)
+
+
+def test_prefix_size_is_exact():
+    for n in range(1, 500):
+        need = -(-80 * n // 100)
+        assert J.prefix_size(n, 80) == n - need + 1
+
+
+def test_orders_differ():
+    own = np.sort(np.random.default_rng(1).integers(0, 1 << 62, 50, dtype=np.uint64))
+    tokens = np.unique(own >> np.uint64(16))
+    made = J.prefixes(own, tokens, np.full(len(tokens), 2, np.uint64), 80)
+    assert len(made) == J.ORDERS and all(len(m) == 11 for m in made)
+    assert len({tuple(m) for m in made}) == J.ORDERS
+    assert J.prefixes(own, tokens[:5], np.full(5, 2, np.uint64), 80) is None
+
+
+def test_keep_one(spark):
+    df = edge_docs(spark)
+    kept = J.keep_one(df)
+    assert kept.columns == df.columns
+    gone = {i for i, _, c in brute(DOCS) if i is not None and i != c}
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in DOCS} - gone
