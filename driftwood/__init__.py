@@ -10,10 +10,9 @@ operators/  DataFrame -> DataFrame relational operators (filters, pairing,
 plans/      composed jobs (training rows, content refresh, content vectors,
             snapshot repair) and the stand-in inputs derived from the
             supplied tables
-streaming/  notes on the (absent) streaming surface
 
-Everything is built from Spark SQL built-ins; there is no Python UDF and no
-RDD code in any plan.
+These are built from Spark SQL built-ins; there is no Python UDF and no RDD
+code in any of their plans.  llm/ holds the corpus operators (optional).
 """
 
 __all__ = ["functions", "sources", "operators", "plans", "session", "schemas"]

@@ -29,8 +29,10 @@ from .plans import daily
 from .plans.jobs import content_vectors
 from .schemas import CONTENT_COLUMNS, T_CONTENT_COLUMNS, T_NEWS_COLUMNS, T_SIGNAL_COLUMNS
 from .sources.content import read_shards_jdbc, read_shards_parquet
-from .sources.logs import day_glob
+from .session import cluster_builder
+from .sources.logs import day_paths
 from .sources.sinks import balanced
+from .sources.text_rows import read_positional
 from .sources.vectors import read_vectors
 
 
@@ -47,28 +49,33 @@ def _add_window(p: argparse.ArgumentParser) -> None:
 
 def _read_snapshot(spark: SparkSession, path: str, fmt: str):
     if fmt == "text":
-        from .sources.text_rows import read_positional
-        return read_positional(spark, path, CONTENT_COLUMNS)
+        return read_positional(spark, path, CONTENT_COLUMNS, null_text="null")
     return spark.read.parquet(path)
 
 
 def cmd_training_rows(spark: SparkSession, a) -> dict:
     start, end = _window(a)
     days = days_in_range(start, end)
-    imp = day_glob(a.imp_prefix, days, a.suffix)
-    clk = day_glob(a.clk_prefix, days, a.suffix)
+    imp = day_paths(a.imp_prefix, days, a.suffix)
+    clk = day_paths(a.clk_prefix, days, a.suffix)
     out = daily.run_training_rows(spark, imp, clk, a.strategy, a.out, n_files=a.files,
                                      fmt=a.format)
     return {"out": out, "start": str(start), "end": str(end)}
 
 
+def _shards(a) -> list[str]:
+    return a.shards or valid_shards(tuple(a.years), a.start_year, a.start_month)
+
+
 def _content_tables(spark: SparkSession, a) -> list:
     if a.jdbc_url:
-        shards = valid_shards(tuple(a.years), a.start_year, a.start_month)
+        shards = _shards(a)
         props = json.loads(a.jdbc_props) if a.jdbc_props else {}
         cols = (T_CONTENT_COLUMNS, T_SIGNAL_COLUMNS, T_NEWS_COLUMNS)
         names = (a.content, a.signal, a.news)
-        return [read_shards_jdbc(spark, a.jdbc_url, n, shards, c, props) for n, c in zip(names, cols)]
+        return [read_shards_jdbc(spark, a.jdbc_url, n, shards, c, props, num_partitions=a.jdbc_partitions,
+                                 partition_column=a.jdbc_column, bounds=a.jdbc_bounds and tuple(a.jdbc_bounds))
+                for n, c in zip(names, cols)]
     return [read_shards_parquet(spark, p) for p in (a.content, a.signal, a.news)]
 
 
@@ -76,11 +83,10 @@ def cmd_content_refresh(spark: SparkSession, a) -> dict:
     start, end = _window(a)
     tables = _content_tables(spark, a)
     old = _read_snapshot(spark, a.snapshot, a.snapshot_format)
-    now = dt.datetime.now()
+    stamp = a.stamp or dt.datetime.now().strftime("%Y%m%d%H%M")
     path, metrics = daily.run_content_refresh(
         spark, a.rows, start.strftime("%Y%m%d"), end.strftime("%Y%m%d"), old, *tables,
-        a.snapshot_root, now.strftime("%Y%m"), a.stamp or now.strftime("%Y%m%d%H%M"),
-        n_files=a.files, snapshot_is_distinct=a.snapshot_is_distinct, rows_format=a.rows_format,
+        a.snapshot_root, stamp[:6], stamp, shards=_shards(a), n_files=a.files, snapshot_is_distinct=a.snapshot_is_distinct, rows_format=a.rows_format,
         years=tuple(a.years), start_year=a.start_year, start_month=a.start_month)
     return {"snapshot": path, **metrics}
 
@@ -128,6 +134,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-url", default=None,
                    help="read <prefix>_<yyyy_MM> tables over JDBC for every valid month")
     p.add_argument("--jdbc-props", default=None, help='JSON of reader options, e.g. {"user": "..."}')
+    p.add_argument("--jdbc-column", default=None, help="numeric column by which a month is read in parts")
+    p.add_argument("--jdbc-bounds", nargs=2, type=int, default=None)
+    p.add_argument("--jdbc-partitions", type=int, default=None)
+    p.add_argument("--shards", nargs="+", default=None,
+                   help="months (yyyy_MM) that may be asked for; default every valid one")
     p.add_argument("--snapshot-root", required=True)
     p.add_argument("--stamp", default=None, help="yyyyMMddHHmm; default now")
     p.add_argument("--years", nargs="+", default=list(DEFAULT_YEARS))
@@ -155,7 +166,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"driftwood-{a.command}").getOrCreate()
+    spark = spark or cluster_builder(f"driftwood-{a.command}").getOrCreate()
     result = a.fn(spark, a)
     print(json.dumps(result))
     return result

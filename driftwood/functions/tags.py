@@ -82,18 +82,3 @@ def is_keyword_format(s: Column, title: Column) -> Column:
     before the first ``:`` is all digits."""
     return (F.coalesce(title, F.lit("")) == "") & is_numeric(
         F.element_at(F.split(F.coalesce(s, F.lit("")), ":", -1), 1))
-
-
-def combined_tokens(s: Column, title: Column) -> Column:
-    """All weighted tokens of a (keyword-or-tags, title) pair, the input of
-    a single vector sum:
-
-    * keyword text: tokens of every category whose payload is not ``-1``;
-    * otherwise: tokens of ``s`` itself;
-    * plus the title's tokens.
-    """
-    kw = F.flatten(F.transform(
-        F.filter(parse_keywords(s), lambda c: c["tags"] != KEYWORD_EMPTY),
-        lambda c: parse_tags(c["tags"])))
-    body = F.when(is_keyword_format(s, title), kw).otherwise(parse_tags(s))
-    return F.concat(body, parse_tags(title))

@@ -30,11 +30,6 @@ def fit_dim(v: Column, dim: int) -> Column:
         F.concat(as_double(v), F.array_repeat(F.lit(0.0), F.lit(dim) - n)))
 
 
-def add(a: Column, b: Column) -> Column:
-    """Element-wise sum; the shorter side is padded with zeros."""
-    return F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) + F.coalesce(y, F.lit(0.0)))
-
-
 # Reductions use higher-order functions over the whole array, so they work
 # for any length.  (Measured: expanding them into 64 flat ``try_element_at``
 # terms was 3x slower and bloated generated code; plain ``aggregate`` costs

@@ -1,14 +1,12 @@
 """Relational operators (DataFrame -> DataFrame)."""
 
-from .broadcast import bounded_broadcast
 from .content import (content_join3, content_lookup, content_row, dedup_content, distinct_ids,
                       first_per_id, id_counts, ids_from_text_rows, known_ids, new_ids,
                       render_content_text,
                       snapshot_merge, with_shard)
-from .logs import (click_label, dedup_daily, default_order, flatten_log, label_json,
-                   render_text, strategy_filter, strategy_prefilter, with_pair_key)
-from .vectors import (category_vector, content_vectors, cosine_pairs, explode_tokens,
-                      first_vectors, first_vectors_unpartitioned, keyword_segments, tag_tokens, tag_vector, tag_vectors_multi,
+from .logs import (click_label, dedup_daily, default_order, flatten_log, flatten_text, label_json,
+                   strategy_filter, strategy_prefilter, with_pair_key)
+from .vectors import (category_vector, content_vectors, first_vectors, first_vectors_unpartitioned, keyword_segments, tag_tokens, tag_vector, tag_vectors_multi,
                       token_vectors, token_vectors_broadcast, vector_lookup_one,
                       vector_norms, with_zero_vectors)
 

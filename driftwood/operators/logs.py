@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_part
-from ..schemas import (CLICK_KEY, E2_FIELDS, IMPRESSION_KEY, NULL_TEXT_COLUMNS, TOP_FIELDS,
-                       TRAINING_COLUMNS)
+from ..schemas import CLICK_KEY, E2_FIELDS, IMPRESSION_KEY, KEYS_SCHEMA, TOP_FIELDS, TRAINING_COLUMNS
 
 PAIR_KEY = ("content_id", "device_id", "day")
 IMP, CLICK = "imp", "click"
@@ -58,29 +57,30 @@ def with_pair_key(logs: DataFrame, log_col: str = "log") -> DataFrame:
     })
 
 
-def _order_struct(order: Sequence[Column]) -> Column:
-    return F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
-
-
 def default_order(log_col: str = "log") -> list[Column]:
-    """Deterministic survivor order: earliest log time, then smallest record
-    id (``p1`` as a number, then as text)."""
+    """Survivor order: earliest log time, then smallest record id (``p1`` as
+    a number, then as text); the kept record itself settles what is left."""
     log = F.col(log_col)
     return [log["p3"], log["p1"].try_cast("bigint"), log["p1"]]
 
 
+def _ranked(order: Sequence[Column], keep: Column, first: Sequence[Column] = ()) -> Column:
+    return F.struct(*[c.alias(f"_o{i}") for i, c in enumerate([*first, *order])], keep.alias("_keep"))
+
+
 def dedup_daily(logs: DataFrame, key: Sequence[str] = PAIR_KEY,
                 order: Sequence[Column] | None = None, log_col: str = "log") -> DataFrame:
-    """One record per key: the first by ``order``.  A single aggregate with
-    partial (map-side) aggregation, so a hot key is reduced before the
-    shuffle."""
+    """One record per key: the first by ``order``, ties by the record itself.
+    A single aggregate with partial (map-side) aggregation, so a hot key is
+    reduced before the shuffle."""
     order = order if order is not None else default_order(log_col)
-    return logs.groupBy(*key).agg(
-        F.min_by(F.col(log_col), _order_struct(order)).alias(log_col))
+    least = F.min(_ranked(order, F.col(log_col))).alias("_r")
+    return logs.groupBy(*key).agg(least).select(*key, F.col("_r._keep").alias(log_col))
 
 
 def click_label(impressions: DataFrame, clicks: DataFrame, key: Sequence[str] = PAIR_KEY,
-                order: Sequence[Column] | None = None, log_col: str = "log") -> DataFrame:
+                order: Sequence[Column] | None = None, log_col: str = "log",
+                keep_col: str | None = None) -> DataFrame:
     """Pair deduplicated impressions with deduplicated clicks per key.
 
     * both sides present -> ``is_click = 1`` with the impression's record;
@@ -88,32 +88,29 @@ def click_label(impressions: DataFrame, clicks: DataFrame, key: Sequence[str] =
       without an impression is kept).
 
     Dedup of each side and the pairing are one ``groupBy`` over the union of
-    both sides: one shuffle in total, partially aggregated before it.
-    Output: ``key..., is_click INT, side STRING, log STRUCT``.
+    both sides: one shuffle, partially aggregated before it.  The wanted
+    record is the least by (side, order, record), so one buffer holds it; two
+    flags tell which sides were seen.  ``keep_col`` names the column carried
+    through (default the log; the raw line, parsed again only for survivors,
+    is smaller).  Output: ``key..., is_click INT, side STRING, <keep_col>``.
     """
     order = order if order is not None else default_order(log_col)
-    cols = list(key) + [log_col]
-    u = (impressions.select(*cols).withColumn("_side", F.lit(IMP))
-         .unionByName(clicks.select(*cols).withColumn("_side", F.lit(CLICK))))
-    ordk = _order_struct(order)
-    is_imp = F.col("_side") == IMP
-    g = u.groupBy(*key).agg(
-        F.min_by(F.col(log_col), F.when(is_imp, ordk)).alias("_imp"),
-        F.min_by(F.col(log_col), F.when(~is_imp, ordk)).alias("_clk"),
-        F.max(is_imp.cast("int")).alias("_has_imp"),
-        F.max((~is_imp).cast("int")).alias("_has_clk"),
-    )
-    return g.select(
-        *key,
-        (F.col("_has_imp") * F.col("_has_clk")).cast("int").alias("is_click"),
-        F.when(F.col("_has_imp") == 1, F.lit(IMP)).otherwise(F.lit(CLICK)).alias("side"),
-        F.when(F.col("_has_imp") == 1, F.col("_imp")).otherwise(F.col("_clk")).alias(log_col),
-    )
-
-
-def flatten_log(labelled: DataFrame, log_col: str = "log") -> DataFrame:
+    keep = keep_col or log_col
+
+    def side(logs: DataFrame, is_click: int) -> DataFrame:
+        return logs.select(*key, F.lit(is_click).alias("_clk"),
+                           _ranked(order, F.col(keep), [F.lit(is_click)]).alias("_r"))
+
+    g = side(impressions, 0).unionByName(side(clicks, 1)).groupBy(*key).agg(
+        F.min("_r").alias("_r"), F.min("_clk").alias("_lo"), F.max("_clk").alias("_hi"))
+    return g.select(*key, F.when(F.col("_lo") < F.col("_hi"), 1).otherwise(0).alias("is_click"),
+                    F.when(F.col("_lo") == 0, IMP).otherwise(CLICK).alias("side"),
+                    F.col("_r._keep").alias(keep))
+
+
+def flatten_log(labelled: DataFrame, log_col: str = "log", keep: Sequence[str] = ()) -> DataFrame:
     """Labelled records -> the 39-column training row (typed; absent values
-    stay null).
+    stay null), then the ``keep`` columns.
 
     Column 21 reads the top-level ``e11`` but only when ``p30.e11`` exists,
     as the source does; columns 22-30 come from the impression object, or
@@ -130,20 +127,41 @@ def flatten_log(labelled: DataFrame, log_col: str = "log") -> DataFrame:
     cols += [o2["e31"].alias("e31"), o2["e35"].alias("e35"), o2["e36"].alias("e36"),
              o2["e37"]["l1"].alias("l1"), o2["e37"]["l2"].alias("l2"), o2["e38"].alias("e38")]
     cols += [e2[n].alias(n) for n in E2_FIELDS]
-    out = labelled.select(*cols)
-    assert out.columns == TRAINING_COLUMNS
+    out = labelled.select(*cols, *keep)
+    assert out.columns[:len(cols)] == TRAINING_COLUMNS
     return out
 
 
-def render_text(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """The training row as one comma-joined ``value`` text: absent values
-    are ``null`` in columns 1-17 and empty in 18-38; nothing is quoted.
-    ``keep`` columns (e.g. ``month``/``day`` folders) are carried along."""
-    parts = []
-    for name in TRAINING_COLUMNS:
-        c = F.col(name).cast("string")
-        parts.append(F.coalesce(c, F.lit("null" if name in NULL_TEXT_COLUMNS else "")))
-    return rows.select(F.concat_ws(",", *parts).alias("value"), *keep)
+def flatten_text(labelled: DataFrame, value_col: str = "value", log_col: str = "log",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Labelled records with their raw line -> the 39-column row as one
+    comma-joined ``value`` text, nothing quoted.  Columns 1-17 are ``null``
+    when absent or null; a later column is empty when its key is absent and
+    ``null`` when the key is there with a null.  ``keep`` columns (e.g.
+    ``month``/``day`` folders) are carried along."""
+    log, text = F.col(log_col), "map<string,string>"
+    keys = F.from_json(F.col(value_col), KEYS_SCHEMA)
+    src = labelled.select(*keep, "is_click", log_col, F.inline(F.array(F.struct(keys.alias("_k")))))
+    src = src.withColumn("_item", F.coalesce(F.col(f"_k.{IMPRESSION_KEY}"), F.col(f"_k.{CLICK_KEY}")))
+    src = src.withColumn("_o2", F.from_json(F.col("_item")["o2"], text))
+    src = src.withColumn("_e37", F.from_json(F.col("_o2")["e37"], text))
+    null = F.lit("null")
+
+    def shown(of: str, name: str, value: Column | None = None) -> Column:
+        held = F.col(of)
+        return F.when(F.map_contains_key(held, name), F.coalesce(held[name] if value is None else value, null)).otherwise("")
+
+    parts = [F.col("is_click").cast("string")]
+    parts += [F.coalesce(log[n], null) for n in TOP_FIELDS]
+    parts += [shown("_k.p30", n) for n in ("p31", "p32", "p33")]
+    parts += [shown("_k.p30", "e11", F.col("_k.e11"))]
+    parts += [shown("_item", n) for n in ("e12", "e14", "e15")]
+    parts += [shown("_o2", n) for n in ("e31", "e35", "e36")]
+    parts += [shown("_e37", n) for n in ("l1", "l2")]
+    parts += [shown("_o2", "e38")]
+    parts += [shown("_k.e2", n) for n in E2_FIELDS]
+    assert len(parts) == len(TRAINING_COLUMNS)
+    return src.select(F.concat_ws(",", *parts).alias("value"), *keep)
 
 
 def label_json(labelled: DataFrame, log_col: str = "log",

@@ -19,15 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tags import KEYWORD_EMPTY, is_keyword_format, parse_keywords
-from ..functions.vectors import cosine, fit_dim, l1_norm, l2_norm, scale, zeros
-from .broadcast import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
-
-
-def explode_tokens(rows: DataFrame, tokens: Column, keep: Sequence[str]) -> DataFrame:
-    """One row per element of an already parsed token array:
-    ``keep..., pos, word, weight`` (``pos`` 0-based)."""
-    return (rows.select(*keep, F.posexplode(tokens).alias("pos", "t"))
-            .select(*keep, "pos", F.col("t.word").alias("word"), F.col("t.weight").alias("weight")))
+from ..functions.vectors import fit_dim, l1_norm, l2_norm, scale, zeros
 
 
 def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
@@ -80,37 +72,26 @@ def first_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("word").agg(F.min("vec").alias("vec"))
 
 
-def first_vectors_unpartitioned(vectors: DataFrame,
-                                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def first_vectors_unpartitioned(vectors: DataFrame) -> DataFrame:
     """Same rows as ``first_vectors``, but as a filter of the raw table: the
-    non-first rows of repeated words (normally few) are removed by a
-    broadcast anti join, so the result keeps the raw layout and a later join
-    on ``word`` shuffles it -- which lets AQE split a hot word.  Falls back to
-    ``first_vectors`` when even the repeated rows are too many to broadcast.
-    Needs a ``pos`` column."""
+    non-first rows of repeated words (normally few) are removed by an anti
+    join, whose strategy Spark takes from measured sizes; when it broadcasts
+    them the raw layout stays and a later join on ``word`` shuffles it, which
+    lets AQE split a hot word.  Needs a ``pos`` column."""
     dup = (vectors.groupBy("word").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > 1))
     extra = (vectors.select("word", "pos").join(dup, "word")
              .where(F.col("pos") != F.col("_first")).select("word", "pos"))
-    extra, small = bounded_broadcast(extra, row_bytes=64, max_bytes=max_bytes)
-    if not small:
-        return first_vectors(vectors)
     return vectors.join(extra, ["word", "pos"], "left_anti")
 
 
-def token_vectors_broadcast(tokens: DataFrame, vectors: DataFrame, dim: int,
-                            max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                            dup_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Word -> vector with the vocabulary broadcast when its measured size
-    allows (otherwise a shuffle join that AQE can split for a hot word).
-    First match wins; a miss or blank word gives zeros; the weight is not
-    applied (as the source does)."""
+def token_vectors_broadcast(tokens: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
+    """Word -> vector by first match; a miss or blank word gives zeros; the
+    weight is not applied (as the source does).  The source broadcasts its
+    vocabulary; here the plan has no size guess and no hint: AQE broadcasts
+    the vocabulary when its shuffle is measured small, else splits hot words."""
     raw = vectors.where(F.col("word").isNotNull())
-    vocab, small = bounded_broadcast(first_vectors(raw), row_bytes=64 + 4 * dim,
-                                     max_bytes=max_bytes)
-    if not small:
-        vocab = (first_vectors_unpartitioned(raw, dup_max_bytes) if "pos" in raw.columns
-                 else first_vectors(raw))
+    vocab = first_vectors_unpartitioned(raw) if "pos" in raw.columns else first_vectors(raw)
     j = tokens.join(vocab.select("word", "vec"), "word", "left")
     return j.withColumn("vec", fit_dim(F.col("vec"), dim))
 
@@ -187,23 +168,40 @@ def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
     return j.select(*id_cols, *[F.coalesce(F.col(c), zeros(dim)).alias(c) for c in vec_cols])
 
 
+def _version(*cols: str) -> Column:
+    """Digest of a row's texts, nulls told from empty ones: rows of one id
+    whose texts differ are summed apart."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256))
+
+
+def _vector_rows(rows: DataFrame, vecs: DataFrame, id_col: str, vec_cols: Sequence[str], dim: int) -> DataFrame:
+    """Every row of ``rows(id, _ver)`` with its vectors, zeros where there
+    are none; null ids match null ids."""
+    v = vecs.select(F.col(id_col).alias("_id"), F.col("_ver").alias("_v"), *vec_cols)
+    j = rows.join(v, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_ver") == F.col("_v")), "left")
+    return j.select(id_col, *[F.coalesce(F.col(c), zeros(dim)).alias(c) for c in vec_cols])
+
+
 def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str = "content_id",
                     tags_col: str = "tags", title_col: str = "tags_title") -> DataFrame:
-    """``(content_id, tags_vec, title_vec)`` from content rows: each text is
-    split into weighted tokens and summed against the vocabulary.  Both texts
-    of a row are exploded from one two-element array, so the rows are read
-    once."""
+    """``(content_id, tags_vec, title_vec)``, one row for each content row:
+    each text is split into weighted tokens and summed against the
+    vocabulary.  An id may come in several versions; each distinct (id,
+    texts) is summed once and joined back to its rows.  Both texts of a row
+    are exploded from one two-element array, so the rows are read once."""
+    given = rows.select(id_col, tags_col, title_col, _version(tags_col, title_col).alias("_ver"))
     texts = F.array(F.struct(F.lit("tags").alias("_part"), F.col(tags_col).alias("_txt")),
                     F.struct(F.lit("title").alias("_part"), F.col(title_col).alias("_txt")))
-    both = rows.select(id_col, F.inline(texts))
-    toks = tag_tokens(both, "_txt", [id_col, "_part"])
-    v = tag_vectors_multi(toks, vectors, [id_col], "_part", ["tags", "title"], dim, all_ids=False)
-    return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["tags_vec", "title_vec"], dim)
+    both = given.dropDuplicates([id_col, "_ver"]).select(id_col, "_ver", F.inline(texts))
+    toks = tag_tokens(both, "_txt", [id_col, "_ver", "_part"])
+    v = tag_vectors_multi(toks, vectors, [id_col, "_ver"], "_part", ["tags", "title"], dim, all_ids=False)
+    return _vector_rows(given.select(id_col, "_ver"), v, id_col, ["tags_vec", "title_vec"], dim)
 
 
 def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
                     text_col: str, title_col: str) -> DataFrame:
-    """Vector of a keyword-or-tags text plus a title text, per id.
+    """Vector of a keyword-or-tags text plus a title text, one row for each
+    row of ``rows`` (an id may repeat with other texts).
 
     Keyword text (``cat:tags;cat:-1;...``, recognised only when the title is
     empty) sums every category's tags except ``-1``; otherwise the text is
@@ -211,14 +209,15 @@ def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
     texts to sum are gathered per row (a short array), exploded, and then
     tokenised like ``tag_tokens``."""
     s, title = F.col(text_col), F.col(title_col)
+    given = rows.select(id_col, text_col, title_col, _version(text_col, title_col).alias("_ver"))
     kw_texts = F.transform(
         F.filter(parse_keywords(s), lambda c: c["tags"] != KEYWORD_EMPTY), lambda c: c["tags"])
     texts = F.concat(F.when(is_keyword_format(s, title), kw_texts).otherwise(F.array(s)),
                      F.array(title))
-    exploded = rows.select(id_col, F.explode(texts).alias("_txt"))
-    toks = tag_tokens(exploded, "_txt", [id_col])
-    v = tag_vector(toks, vectors, [id_col], dim, all_ids=False)
-    return with_zero_vectors(rows.select(id_col).distinct(), v, [id_col], ["vec"], dim)
+    exploded = given.dropDuplicates([id_col, "_ver"]).select(id_col, "_ver", F.explode(texts).alias("_txt"))
+    toks = tag_tokens(exploded, "_txt", [id_col, "_ver"])
+    v = tag_vector(toks, vectors, [id_col, "_ver"], dim, all_ids=False)
+    return _vector_rows(given.select(id_col, "_ver"), v, id_col, ["vec"], dim)
 
 
 def vector_norms(vectors: DataFrame, vec_col: str = "vec") -> DataFrame:
@@ -233,14 +232,3 @@ def vector_lookup_one(vectors: DataFrame, key: str) -> DataFrame:
     if "pos" in hit.columns:
         hit = hit.orderBy("pos")
     return hit.limit(1).select("word", "vec", l2_norm(F.col("vec")).alias("l2"))
-
-
-def cosine_pairs(left: DataFrame, right: DataFrame, id_cols: Sequence[str],
-                 left_vec: str = "vec", right_vec: str = "vec") -> DataFrame:
-    """Cosine similarity of two vectors per id held in two tables (missing
-    side -> 0.0).  When both vectors come from one aggregate, use
-    ``functions.cosine`` on the two columns instead (no join)."""
-    a = left.select(*id_cols, F.col(left_vec).alias("_a"))
-    b = right.select(*id_cols, F.col(right_vec).alias("_b"))
-    j = a.join(b, list(id_cols), "full_outer")
-    return j.select(*id_cols, cosine(F.col("_a"), F.col("_b")).alias("cosine"))

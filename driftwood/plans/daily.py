@@ -1,8 +1,8 @@
 """The daily jobs end to end, with storage between them.
 
-1. ``run_training_rows``: impression + click log text of any day range ->
-   training rows written partitioned by ``month``/``day`` (only the days
-   present are replaced).
+1. ``run_training_rows``: impression + click log text of any day folders ->
+   training rows written partitioned by ``month``/``day`` of the scanned
+   folder (only the days of these folders are replaced).
 2. ``run_content_refresh``: the saved rows of a day range (partition
    pruning) -> ids new to the previous snapshot -> lookup -> new snapshot in
    a fresh stamped folder.  Totals (ids seen, new ids, rows fetched) are
@@ -24,22 +24,20 @@ from pyspark.sql import functions as F
 
 from ..operators.content import (content_lookup, distinct_ids, ids_from_text_rows, new_ids,
                                  snapshot_merge)
-from ..operators.logs import render_text
 from ..schemas import CONTENT_COLUMNS
-from ..sources.logs import read_day_range, read_text_or_empty
+from ..sources.logs import read_day_logs, read_day_range
 from ..sources.sinks import write_partitioned, write_snapshot, write_text
-from .jobs import repair_snapshot, training_rows_with_day
+from .jobs import repair_snapshot, training_rows_by_day
 
 
 def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
                       clk_paths: str | Iterable[str], strategy: int, out_root: str,
                       n_files: int | None = None, fmt: str = "parquet") -> str:
     """``fmt="text"`` writes the comma-joined positional rows the source
-    wrote (``render_text``) instead of typed parquet columns."""
-    rows = training_rows_with_day(read_text_or_empty(spark, imp_paths),
-                                  read_text_or_empty(spark, clk_paths), strategy)
-    if fmt == "text":
-        rows = render_text(rows, keep=("month", "day"))
+    wrote (``flatten_text``) instead of typed parquet columns.  Each path is
+    a day folder (or below one); a missing one fails the job."""
+    rows = training_rows_by_day(read_day_logs(spark, imp_paths), read_day_logs(spark, clk_paths),
+                                strategy, text=fmt == "text")
     write_partitioned(rows, out_root, ["month", "day"], fmt=fmt, n_files=n_files,
                       rebalance=n_files is None)
     return out_root
@@ -60,10 +58,11 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
     seen, fetched = Observation("ids_seen"), Observation("rows_fetched")
     ids = ids.observe(seen, F.count(F.lit(1)).alias("total_ids"))
     fresh = new_ids(ids, old_snapshot)
+    # the ids' lineage is the saved rows and the snapshot: read once, then from the shared folder
     looked = content_lookup(fresh, t_content, t_signal, t_news, ids_distinct=True, shards=shards,
-                            **shard_rule)
+                            checkpoint_ids=True, with_found=True, **shard_rule)
     looked = looked.observe(fetched, F.count(F.lit(1)).alias("new_ids"),
-                            F.count_if(F.col("body_images_count") != " ").alias("found"))
+                            F.count_if("_found").alias("found"))
     merged = snapshot_merge(looked, old_snapshot.select(*CONTENT_COLUMNS),
                             disjoint_distinct=snapshot_is_distinct)
     path = write_snapshot(merged, snapshot_root, month, stamp, n_files=n_files)

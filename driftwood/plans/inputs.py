@@ -74,7 +74,7 @@ def _log_struct(e: DataFrame) -> DataFrame:
             typ.alias("p32"),
             F.when(eid % 2 == 0, F.concat(F.lit("g"), k.cast("string"))).alias("e11"),
         )).alias("p30"),
-        (uid % 11).cast("string").alias("e11"),
+        F.when(uid % 11 != 10, (uid % 11).cast("string")).alias("e11"),
         F.when(eid % 5 != 4, F.struct(
             typ.alias("e3"), (uid % 5).cast("string").alias("e5"), F.lit("z").alias("e39"),
         )).alias("e2"),
@@ -83,13 +83,19 @@ def _log_struct(e: DataFrame) -> DataFrame:
     )
     # emitted through a one-row generator so that filters on ``value`` are
     # not pushed below it (which would render the JSON twice)
-    return e.select(F.inline(F.array(F.struct(
-        typ.alias("_type"), F.date_format("ts", "yyyyMMdd").alias("day"),
+    t = e.select(F.inline(F.array(F.struct(
+        eid.alias("_id"), typ.alias("_type"), F.date_format("ts", "yyyyMMdd").alias("day"),
+        F.date_format(F.date_add(F.to_date("ts"), F.when(eid % 17 == 0, 1).otherwise(0)), "yyyyMMdd").alias("folder_day"),
         F.to_json(log).alias("value")))))
+    # some keys are there with a null
+    v = F.when(F.col("_id") % 6 == 1, F.regexp_replace("value", r'"p31":"[^"]*"', '"p31":null')).otherwise(F.col("value"))
+    return t.withColumn("value", F.when(F.col("_id") % 10 == 3, F.regexp_replace(v, '"e39":"z"', '"e39":null')).otherwise(v))
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(impression lines, click lines): ``value`` JSON text plus ``day``."""
+    """(impression lines, click lines): ``value`` JSON text plus ``day`` (of
+    the line's time) and ``folder_day`` (the day folder it is logged in; one
+    line in 17 comes a day late)."""
     return log_text_from(table(spark, sf_dir, "events"))
 
 
@@ -101,11 +107,31 @@ def log_text_from(events: DataFrame) -> tuple[DataFrame, DataFrame]:
                F.regexp_replace(v, r'"e30":(-?\d+)', '"e30":"$1"'))
          .otherwise(v))
     t = t.withColumn("value", v)
-    imp = t.where(F.col("_type").isin("view", "error", "signup")).select("day", "value")
-    clk = t.where(F.col("_type").isin("click", "purchase")).select("day", "value")
+    imp = t.where(F.col("_type").isin("view", "error", "signup")).select("day", "folder_day", "value")
+    clk = t.where(F.col("_type").isin("click", "purchase")).select("day", "folder_day", "value")
     return imp, clk
 
 
+def line_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(impression lines, click lines) that name content ids: one impression
+    per line item in the folder of its shipping day's day of the month, and a
+    click for returned ones."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag",
+        content_id_of(F.col("o_orderdate"), F.col("l_orderkey")).alias("content_id"),
+        F.date_format("l_shipdate", "dd").alias("dd"))
+    item = F.struct(F.col("content_id").alias("e15"), F.struct(F.lit(STRATEGY).alias("e30")).alias("o2"))
+
+    def lines(rows: DataFrame, key: str) -> DataFrame:
+        log = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("p1"),
+                       F.concat(F.lit("2024-01-"), "dd", F.lit(" 08:00:00")).alias("p3"),
+                       F.concat(F.lit("dev"), "l_suppkey").alias("p17"), item.alias(key))
+        return rows.select(F.concat(F.lit("202401"), "dd").alias("folder_day"), F.to_json(log).alias("value"))
+    return lines(j, "e23"), lines(j.where("l_returnflag = 'R'"), "e24")
+
+
 # ---------------------------------------------------------- content shards
 
 def content_id_of(date: Column, key: Column) -> Column:

@@ -9,37 +9,46 @@ from pyspark.sql import functions as F
 from ..functions.json_fields import unwrap_parens
 from ..functions.vectors import l2_norm
 from ..operators.content import (content_lookup, distinct_ids, new_ids, snapshot_merge)
-from ..operators.logs import (click_label, flatten_log, strategy_filter, strategy_prefilter,
-                              with_pair_key)
+from ..operators.logs import (PAIR_KEY, click_label, flatten_log, flatten_text, strategy_filter,
+                              strategy_prefilter, with_pair_key)
 from ..operators.vectors import content_vectors as _content_vectors
 from ..operators.vectors import vector_lookup_one
-from ..schemas import CLICK_KEY, IMPRESSION_KEY
+from ..schemas import CLICK_KEY, IMPRESSION_KEY, PAIR_SCHEMA
 from ..sources.logs import parse_logs
 
 
 def labelled_logs(imp_text: DataFrame, clk_text: DataFrame, strategy: int,
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Text lines of both sides -> one labelled record per (content, device,
-    day): strategy pre-test on the text, one full parse of the kept lines,
-    exact strategy test, pairing in one aggregate."""
+    day, *keep): strategy pre-test on the text, the pairing fields of the
+    kept lines parsed, exact strategy test, pairing in one aggregate that
+    carries the raw line, and one full parse of the surviving lines.
+    ``keep`` columns are part of the key."""
     def side(text: DataFrame, key: str) -> DataFrame:
         pre = strategy_prefilter(text.select(*keep, "value"), key, strategy)
-        return with_pair_key(strategy_filter(parse_logs(pre), key, strategy))
-    return click_label(side(imp_text, IMPRESSION_KEY), side(clk_text, CLICK_KEY))
+        parsed = parse_logs(pre, schema=PAIR_SCHEMA, keep_value=True)
+        return with_pair_key(strategy_filter(parsed, key, strategy))
+    paired = click_label(side(imp_text, IMPRESSION_KEY), side(clk_text, CLICK_KEY), [*PAIR_KEY, *keep], keep_col="value")
+    return parse_logs(paired, keep_value=True)
 
 
 def training_rows(imp_text: DataFrame, clk_text: DataFrame, strategy: int) -> DataFrame:
-    """Impression and click log lines (any number of days in one DataFrame)
-    -> the 39-column training rows, one per (content, device, day)."""
+    """Impression and click log lines -> the 39-column training rows, one per
+    (content, device, day)."""
     return flatten_log(labelled_logs(imp_text, clk_text, strategy))
 
 
-def training_rows_with_day(imp_text: DataFrame, clk_text: DataFrame, strategy: int) -> DataFrame:
-    """Training rows plus ``month``/``day`` folder columns taken from the
-    row's own log date, for a partitioned sink."""
-    rows = training_rows(imp_text, clk_text, strategy)
-    d = F.to_date(F.element_at(F.split(F.trim(F.col("p3")), " "), 1))
-    return rows.withColumns({"month": F.date_format(d, "yyyyMM"), "day": F.date_format(d, "yyyyMMdd")})
+def training_rows_by_day(imp_text: DataFrame, clk_text: DataFrame, strategy: int, text: bool = False) -> DataFrame:
+    """Training rows plus ``month``/``day`` folder columns.  Every scanned
+    day folder (``folder_day``) is paired by itself and written to its own
+    day, whatever times its lines carry, so a late line neither changes a
+    finished day nor depends on how many days one run takes; lines without a
+    usable time stay in their folder's day.  ``text``: rows as ``value``."""
+    lab = labelled_logs(imp_text, clk_text, strategy, keep=("folder_day",))
+    folder = {"month": F.substring("folder_day", 1, 6), "day": F.col("folder_day")}
+    if text:
+        return flatten_text(lab, keep=("folder_day",)).withColumns(folder).drop("folder_day")
+    return flatten_log(lab, keep=("folder_day",)).withColumns(folder).drop("folder_day")
 
 
 def content_refresh(log_rows: DataFrame, snapshot: DataFrame, t_content: DataFrame,

@@ -10,7 +10,8 @@ EV = """ev AS (
          TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS p3,
          strftime(ts, '%Y-%m-%d') AS d10,
-         strftime(ts, '%Y%m%d') AS d8
+         strftime(ts, '%Y%m%d') AS d8,
+         strftime(CASE WHEN event_id % 17 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END, '%Y%m%d') AS f8
   FROM events)"""
 
 
@@ -23,17 +24,22 @@ clk AS (SELECT * FROM ev WHERE event_type IN ('click', 'purchase'){cond})"""
 KEYCOLS = ("CAST(k % 5 AS VARCHAR) AS content_id, 'dev' || CAST(user_id AS VARCHAR) AS device_id, "
            "d10 AS day")
 
-LAB = f"""u AS (
-  SELECT {KEYCOLS}, event_id, 'imp' AS side FROM imp
+def _lab(more: str = "") -> str:
+    """Pairing by (content, device, day) and the ``more`` columns."""
+    return f"""u AS (
+  SELECT {KEYCOLS}{more}, event_id, 'imp' AS side FROM imp
   UNION ALL
-  SELECT {KEYCOLS}, event_id, 'click' AS side FROM clk),
+  SELECT {KEYCOLS}{more}, event_id, 'click' AS side FROM clk),
 lab AS (
-  SELECT content_id, device_id, day,
+  SELECT content_id, device_id, day{more},
          CAST(CASE WHEN bool_or(side = 'imp') AND bool_or(side = 'click') THEN 1 ELSE 0 END AS INTEGER) AS is_click,
          CASE WHEN bool_or(side = 'imp') THEN 'imp' ELSE 'click' END AS side,
          CASE WHEN bool_or(side = 'imp') THEN min(event_id) FILTER (WHERE side = 'imp')
               ELSE min(event_id) FILTER (WHERE side = 'click') END AS log_event
-  FROM u GROUP BY content_id, device_id, day)"""
+  FROM u GROUP BY content_id, device_id, day{more})"""
+
+
+LAB = _lab()
 
 NV = "CAST(NULL AS VARCHAR)"
 
@@ -44,10 +50,10 @@ FLAT_COLS = f"""
   {NV} AS p9, {NV} AS p10, {NV} AS p11, {NV} AS p13, {NV} AS p14,
   'dev' || CAST(e.user_id AS VARCHAR) AS p17, CAST(e.k AS VARCHAR) AS p20,
   {NV} AS p21, {NV} AS p22, {NV} AS p23, {NV} AS p24, {NV} AS p25,
-  CASE WHEN e.event_id % 4 <> 3 THEN CAST(e.k % 7 AS VARCHAR) END AS p31,
+  CASE WHEN e.event_id % 4 <> 3 AND e.event_id % 6 <> 1 THEN CAST(e.k % 7 AS VARCHAR) END AS p31,
   CASE WHEN e.event_id % 4 <> 3 THEN e.event_type END AS p32,
   {NV} AS p33,
-  CASE WHEN e.event_id % 4 <> 3 AND e.event_id % 2 = 0 THEN CAST(e.user_id % 11 AS VARCHAR) END AS e11,
+  CASE WHEN e.event_id % 4 <> 3 AND e.event_id % 2 = 0 AND e.user_id % 11 <> 10 THEN CAST(e.user_id % 11 AS VARCHAR) END AS e11,
   CAST(CAST(floor(e.value) AS BIGINT) AS VARCHAR) AS e12, e.event_type AS e14,
   CAST(e.k % 5 AS VARCHAR) AS content_id,
   CAST(e.user_id % 13 AS VARCHAR) AS e31, {NV} AS e35, {NV} AS e36,
@@ -56,7 +62,7 @@ FLAT_COLS = f"""
   CASE WHEN e.event_id % 5 <> 4 THEN e.event_type END AS e3, {NV} AS e4,
   CASE WHEN e.event_id % 5 <> 4 THEN CAST(e.user_id % 5 AS VARCHAR) END AS e5,
   {NV} AS e6, {NV} AS e7, {NV} AS e8, {NV} AS e9,
-  CASE WHEN e.event_id % 5 <> 4 THEN 'z' END AS e39"""
+  CASE WHEN e.event_id % 5 <> 4 AND e.event_id % 10 <> 3 THEN 'z' END AS e39"""
 
 TRAINING = ["is_click", "p1", "p3", "p5", "p6", "p7", "p9", "p10", "p11", "p13", "p14", "p17",
             "p20", "p21", "p22", "p23", "p24", "p25", "p31", "p32", "p33", "e11", "e12", "e14",
@@ -71,11 +77,20 @@ def _training(strategy: bool = True) -> str:
 tr AS (SELECT {FLAT_COLS} FROM lab l JOIN ev e ON e.event_id = l.log_event)"""
 
 
+# columns of keys that some lines hold with a null: text ``null``, not empty
+_NULL_TEXT = {"p31": "CAST(p1 AS BIGINT) % 4 <> 3 AND CAST(p1 AS BIGINT) % 6 = 1",
+              "e11": "CAST(p1 AS BIGINT) % 4 <> 3 AND CAST(p1 AS BIGINT) % 2 = 0",
+              "e39": "CAST(p1 AS BIGINT) % 5 <> 4 AND CAST(p1 AS BIGINT) % 10 = 3"}
+
+
 def _text_render(alias: str = "tr") -> str:
     parts = []
     for i, c in enumerate(TRAINING):
         v = f"CAST({alias}.{c} AS VARCHAR)"
-        parts.append(f"coalesce({v}, '{'null' if 1 <= i <= 17 else ''}')")
+        if c in _NULL_TEXT:
+            parts.append(f"coalesce({v}, CASE WHEN {_NULL_TEXT[c]} THEN 'null' ELSE '' END)")
+        else:
+            parts.append(f"coalesce({v}, '{'null' if 1 <= i <= 17 else ''}')")
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
 
@@ -216,8 +231,9 @@ SELECT CAST(event_id AS VARCHAR) AS p1, {KEYCOLS} FROM imp
 UNION ALL SELECT CAST(event_id AS VARCHAR) AS p1, {KEYCOLS} FROM clk"""
 
 SQL["dedup_daily"] = f"""WITH {EV}, {_sides(True)}
-SELECT content_id, device_id, day, CAST(min(event_id) AS VARCHAR) AS log_id
-FROM (SELECT {KEYCOLS}, event_id FROM imp) x GROUP BY content_id, device_id, day"""
+SELECT content_id, device_id, day, side, CAST(min(event_id) AS VARCHAR) AS log_id
+FROM (SELECT {KEYCOLS}, event_id, 'imp' AS side FROM imp
+      UNION ALL SELECT {KEYCOLS}, event_id, 'click' AS side FROM clk) x GROUP BY content_id, device_id, day, side"""
 
 SQL["click_label"] = f"""WITH {EV}, {_sides(True)}, {LAB}
 SELECT content_id, device_id, day, is_click, side, CAST(log_event AS VARCHAR) AS log_id FROM lab"""
@@ -235,9 +251,9 @@ SQL["training_rows"] = _training() + "\nSELECT * FROM tr"
 SQL["csv_roundtrip"] = SQL["training_rows"]
 SQL["flatten_log_text"] = _training() + f"\nSELECT {_text_render()} AS value FROM tr"
 SQL["split_field"] = _training() + "\nSELECT p1, content_id FROM tr"
-SQL["sink_partitioned"] = _training() + """
-SELECT *, strftime(CAST(substr(p3, 1, 10) AS DATE), '%Y%m') AS month,
-          strftime(CAST(substr(p3, 1, 10) AS DATE), '%Y%m%d') AS day FROM tr"""
+SQL["sink_partitioned"] = f"""WITH {EV}, {_sides(True)}, {_lab(', f8')}
+SELECT {FLAT_COLS}, substr(l.f8, 1, 6) AS month, l.f8 AS day FROM lab l JOIN ev e ON e.event_id = l.log_event"""
+SQL["daily_rows"] = SQL["sink_partitioned"]
 
 SQL["day_part"] = "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events"
 
@@ -249,12 +265,13 @@ SELECT event_id,
 FROM ev"""
 
 SQL["day_range_scan"] = f"""WITH {EV}
-SELECT d8 AS day, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS p1
-FROM ev WHERE event_type IN ('view', 'error', 'signup') AND d8 BETWEEN '20240105' AND '20240111'"""
+SELECT CASE WHEN event_type IN ('click', 'purchase') THEN 'click' ELSE 'imp' END AS side, d8 AS day,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS p1
+FROM ev WHERE event_type IN ('view', 'error', 'signup', 'click', 'purchase') AND d8 BETWEEN '20240105' AND '20240111'"""
 
 SQL["multi_path_scan"] = f"""WITH {EV}
 SELECT d10 AS day, count(*) AS n FROM ev
-WHERE event_type IN ('view', 'signup')
+WHERE event_type IN ('view', 'signup', 'click', 'purchase')
   AND (d8 IN ('20240103', '20240110') OR d8 LIKE '2024012%')
 GROUP BY d10"""
 
@@ -277,10 +294,13 @@ SQL["distinct_ids"] = _C + "\nSELECT DISTINCT content_id FROM logids"
 SQL["new_ids"] = _C + "\n" + NEW_IDS
 SQL["known_ids"] = _C + ("\nSELECT DISTINCT content_id FROM logids "
                          "WHERE content_id IN (SELECT content_id FROM snapids)")
-SQL["id_counts"] = _C + """
+SQL["id_counts"] = _C + f""",
+fetched AS (SELECT DISTINCT x.content_id FROM ({NEW_IDS}) x JOIN crow c ON c.content_id = x.content_id
+            AND c.shard = {_shard_expr('x.content_id')})
 SELECT CAST(count(*) AS BIGINT) AS total_ids,
        CAST(count(*) FILTER (WHERE content_id NOT IN (SELECT content_id FROM snapids)) AS BIGINT) AS new_ids,
-       CAST(count(*) FILTER (WHERE content_id IN (SELECT content_id FROM snapids)) AS BIGINT) AS known_ids
+       CAST(count(*) FILTER (WHERE content_id IN (SELECT content_id FROM snapids)) AS BIGINT) AS known_ids,
+       (SELECT CAST(count(*) AS BIGINT) FROM fetched) AS fetched_rows
 FROM (SELECT DISTINCT content_id FROM logids) d"""
 
 SQL["content_join3"] = _C + """
@@ -295,6 +315,17 @@ _REFRESH = (_C + ",\n" + _lookup_cte("fresh", NEW_IDS) + ",\n"
             + _lookup_cte("old", "SELECT content_id FROM snapids") + ",\n"
             + "merged AS (SELECT * FROM fresh UNION SELECT * FROM old)")
 SQL["content_refresh"] = _REFRESH + "\nSELECT * FROM merged"
+_RANGE_IDS = """SELECT DISTINCT strftime(o.o_orderdate, '%Y%m') || CAST(l.l_orderkey AS VARCHAR) AS content_id
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE day(l.l_shipdate) BETWEEN 1 AND 20"""
+_RANGE_NEW = f"SELECT content_id FROM ({_RANGE_IDS}) y WHERE content_id NOT IN (SELECT content_id FROM snapids)"
+SQL["refresh_from_rows"] = (_C + ",\n" + _lookup_cte("fresh", _RANGE_NEW) + ",\n"
+                            + _lookup_cte("old", "SELECT content_id FROM snapids")
+                            + "\nSELECT * FROM fresh UNION SELECT * FROM old")
+SQL["refresh_totals"] = _C + f"""
+SELECT (SELECT count(*) FROM ({_RANGE_IDS}) a) AS total_ids, (SELECT count(*) FROM ({_RANGE_NEW}) b) AS new_ids,
+       (SELECT count(*) FROM ({_RANGE_NEW}) x JOIN crow c ON c.content_id = x.content_id
+        AND c.shard = {_shard_expr('x.content_id')}) AS found"""
+SQL["repaired_rows"] = _C + "\nSELECT " + ", ".join(f"coalesce({c}, 'null') AS {c}" for c in CONTENT_COLS) + " FROM crow"
 SQL["sink_snapshot"] = _REFRESH + "\nSELECT " + ", ".join(
     f"coalesce({c}, 'null') AS {c}" for c in CONTENT_COLS) + " FROM merged"
 
@@ -304,8 +335,8 @@ def _slice_ids(lo: str, hi: str) -> str:
             f"FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '{hi}'")
 
 
-_SLICES = (_C + ",\n" + _lookup_cte("sa", _slice_ids("1998-06-01", "1999-06-30")) + ",\n"
-           + _lookup_cte("sb", _slice_ids("1998-01-01", "1998-12-31")))
+_SLICES = (_C + ",\n" + _lookup_cte("sa", _slice_ids("1998-06-01", "9999-12-31")) + ",\n"
+           + _lookup_cte("sb", _slice_ids("0001-01-01", "1998-12-31")))
 SQL["snapshot_merge"] = _SLICES + "\nSELECT * FROM sa UNION SELECT * FROM sb"
 _rest = ", ".join(f"{c} ASC NULLS FIRST" for c in CONTENT_COLS[1:])
 SQL["dedup_content"] = _SLICES + f""",
@@ -391,34 +422,42 @@ FROM (SELECT DISTINCT l_orderkey FROM tok) ids LEFT JOIN agg USING (l_orderkey)"
 
 SQL["content_vectors"] = _C + f""",
 {VOCAB},
+vrow AS (SELECT row_number() OVER () AS rid, * FROM (
+  SELECT content_id, tags, tags_title FROM crow
+  UNION ALL SELECT content_id, tags || ' 7=2' AS tags, tags_title FROM crow WHERE content_id LIKE '%7'
+  UNION ALL SELECT content_id, tags, tags_title FROM crow WHERE content_id LIKE '%3') x),
 ctok AS (
-  SELECT content_id, unnest(string_split(trim(tags), ' ')) AS tok, 'tags' AS part FROM crow
+  SELECT rid, unnest(string_split(trim(tags), ' ')) AS tok, 'tags' AS part FROM vrow
   UNION ALL
-  SELECT content_id, unnest(string_split(trim(tags_title), ' ')) AS tok, 'title' AS part FROM crow),
-cw AS (SELECT content_id, part, split_part(tok, '=', 1) AS word,
+  SELECT rid, unnest(string_split(trim(tags_title), ' ')) AS tok, 'title' AS part FROM vrow),
+cw AS (SELECT rid, part, split_part(tok, '=', 1) AS word,
               coalesce(TRY_CAST(trim(split_part(tok, '=', 2)) AS DOUBLE), 1.0) AS weight FROM ctok),
-ctags AS {_dim_sums("SELECT content_id, word, weight FROM cw WHERE part = 'tags'", 'content_id', 'tags')},
-ctitle AS {_dim_sums("SELECT content_id, word, weight FROM cw WHERE part = 'title'", 'content_id', 'title')}
+ctags AS {_dim_sums("SELECT rid, word, weight FROM cw WHERE part = 'tags'", 'rid', 'tags')},
+ctitle AS {_dim_sums("SELECT rid, word, weight FROM cw WHERE part = 'title'", 'rid', 'title')}
 SELECT ids.content_id, {_dims_summary('tags')}, {_dims_summary('title')}
-FROM (SELECT DISTINCT content_id FROM crow) ids
-LEFT JOIN ctags USING (content_id) LEFT JOIN ctitle USING (content_id)"""
+FROM (SELECT rid, content_id FROM vrow) ids
+LEFT JOIN ctags USING (rid) LEFT JOIN ctitle USING (rid)"""
 
 SQL["category_vector"] = f"""WITH {VOCAB}, {_KW},
-kwfmt AS (SELECT o_orderkey, keywords, title,
-                 title = '' AND regexp_full_match(split_part(keywords, ':', 1), '[0-9]*') AS is_kw FROM kw),
-segs AS (SELECT o_orderkey, trim(split_part(s, ':', 2)) AS tags FROM
-           (SELECT o_orderkey, unnest(string_split(keywords, ';')) AS s FROM kwfmt WHERE is_kw) x
+kwv AS (SELECT row_number() OVER () AS rid, * FROM (
+  SELECT o_orderkey, keywords, title FROM kw
+  UNION ALL SELECT o_orderkey, keywords, title || ' 9=3' AS title FROM kw WHERE o_orderkey % 10 = 7
+  UNION ALL SELECT o_orderkey, keywords, title FROM kw WHERE o_orderkey % 10 = 3) x),
+kwfmt AS (SELECT rid, o_orderkey, keywords, title,
+                 title = '' AND regexp_full_match(split_part(keywords, ':', 1), '[0-9]*') AS is_kw FROM kwv),
+segs AS (SELECT rid, trim(split_part(s, ':', 2)) AS tags FROM
+           (SELECT rid, unnest(string_split(keywords, ';')) AS s FROM kwfmt WHERE is_kw) x
          WHERE s LIKE '%:%'),
 texts AS (
-  SELECT o_orderkey, tags AS txt FROM segs WHERE tags <> '-1'
-  UNION ALL SELECT o_orderkey, keywords AS txt FROM kwfmt WHERE NOT is_kw
-  UNION ALL SELECT o_orderkey, title AS txt FROM kwfmt),
-toks AS (SELECT o_orderkey, unnest(string_split(trim(txt), ' ')) AS tok FROM texts),
-tw AS (SELECT o_orderkey, split_part(tok, '=', 1) AS word,
+  SELECT rid, tags AS txt FROM segs WHERE tags <> '-1'
+  UNION ALL SELECT rid, keywords AS txt FROM kwfmt WHERE NOT is_kw
+  UNION ALL SELECT rid, title AS txt FROM kwfmt),
+toks AS (SELECT rid, unnest(string_split(trim(txt), ' ')) AS tok FROM texts),
+tw AS (SELECT rid, split_part(tok, '=', 1) AS word,
               coalesce(TRY_CAST(trim(split_part(tok, '=', 2)) AS DOUBLE), 1.0) AS weight FROM toks),
-agg AS {_dim_sums('SELECT o_orderkey, word, weight FROM tw', 'o_orderkey', 'vec')}
+agg AS {_dim_sums('SELECT rid, word, weight FROM tw', 'rid', 'vec')}
 SELECT ids.o_orderkey, {_dims_summary('vec')}
-FROM (SELECT o_orderkey FROM kw) ids LEFT JOIN agg USING (o_orderkey)"""
+FROM (SELECT rid, o_orderkey FROM kwv) ids LEFT JOIN agg USING (rid)"""
 
 SQL["cosine_pairs"] = f"""WITH {VOCAB},
 d AS (SELECT t.l_orderkey, i,

@@ -18,8 +18,8 @@ from .. import sources as src
 from ..schemas import (CLICK_KEY, CONTENT_COLUMNS, IMPRESSION_KEY, TRAINING_COLUMNS,
                        TRAINING_SCHEMA)
 from ..session import scratch_path
+from . import daily, jobs
 from . import inputs as inp
-from . import jobs
 
 DIM = inp.VECTOR_DIM
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,9 +79,10 @@ def q_pair_key(spark, sf):
 
 
 def q_dedup_daily(spark, sf):
-    imp, _ = _filtered(spark, sf)
-    d = op.dedup_daily(op.with_pair_key(imp))
-    return d.select("content_id", "device_id", "day", F.col("log.p1").alias("log_id"))
+    out = [op.dedup_daily(op.with_pair_key(t)).select("content_id", "device_id", "day", F.lit(side).alias("side"),
+                                                      F.col("log.p1").alias("log_id"))
+           for t, side in zip(_filtered(spark, sf), ("imp", "click"), strict=True)]
+    return out[0].unionByName(out[1])
 
 
 def _labelled(spark, sf):
@@ -116,11 +117,11 @@ def q_training_rows(spark, sf):
 
 
 def q_flatten_log_text(spark, sf):
-    return op.render_text(q_training_rows(spark, sf))
+    return op.flatten_text(_labelled(spark, sf))
 
 
 def q_split_field(spark, sf):
-    txt = op.render_text(q_training_rows(spark, sf))
+    txt = op.flatten_text(_labelled(spark, sf))
     return txt.select(fn.split_field(F.col("value"), 1).alias("p1"),
                       fn.split_field(F.col("value"), 24).alias("content_id"))
 
@@ -132,15 +133,76 @@ def q_csv_roundtrip(spark, sf):
     return src.read_csv(spark, path, TRAINING_SCHEMA)
 
 
+# a new StructType: ``add`` would modify the shared TRAINING_SCHEMA in place
+DAY_SCHEMA = T.StructType(TRAINING_SCHEMA.fields + [T.StructField("month", T.StringType()),
+                                                    T.StructField("day", T.StringType())])
+
+
 def q_sink_partitioned(spark, sf):
     imp_t, clk_t = inp.log_text(spark, sf)
-    rows = jobs.training_rows_with_day(imp_t, clk_t, inp.STRATEGY)
+    rows = jobs.training_rows_by_day(imp_t, clk_t, inp.STRATEGY)
     path = scratch_path(spark, "training-by-day")
-    src.write_partitioned(rows, path, ["month", "day"], n_files=4)
-    # a new StructType: ``add`` would modify the shared TRAINING_SCHEMA in place
-    schema = T.StructType(TRAINING_SCHEMA.fields + [T.StructField("month", T.StringType()),
-                                                    T.StructField("day", T.StringType())])
-    return spark.read.schema(schema).parquet(path).select(*TRAINING_COLUMNS, "month", "day")
+    src.write_partitioned(rows, path, ["month", "day"], rebalance=True)
+    return spark.read.schema(DAY_SCHEMA).parquet(path).select(*TRAINING_COLUMNS, "month", "day")
+
+
+def _day_folders(logs: tuple[DataFrame, DataFrame], spark) -> tuple[dict[str, list[str]], list[str]]:
+    """Both sides written as ``<side>/<day folder>``, as log collectors do; a
+    day that one side lacks gets an empty folder there.  Returns the paths of
+    each side by day (as many as there are days) and the days."""
+    root = scratch_path(spark, "day-logs")
+    for side, t in zip(("imp", "clk"), logs, strict=True):
+        t.select("folder_day", "value").write.partitionBy("folder_day").text(f"{root}/{side}")
+    have = {side: {r[0] for r in t.select("folder_day").distinct().collect()}
+            for side, t in zip(("imp", "clk"), logs, strict=True)}
+    days = sorted(have["imp"] | have["clk"])
+    for side, found in have.items():
+        for d in set(days) - found:
+            spark.createDataFrame([], "value string").write.text(f"{root}/{side}/folder_day={d}")
+    return {side: [f"{root}/{side}/folder_day={d}" for d in days] for side in have}, days
+
+
+def q_daily_rows(spark, sf):
+    """The writer job over two windows of day folders, one after the other;
+    some lines of a day are logged in the next day's folder."""
+    paths, days = _day_folders(inp.log_text(spark, sf), spark)
+    out = scratch_path(spark, "daily-rows")
+    cut = (len(days) + 1) // 2
+    for part in (slice(0, cut), slice(cut, None)):
+        if paths["imp"][part]:
+            daily.run_training_rows(spark, paths["imp"][part], paths["clk"][part], inp.STRATEGY, out)
+    return spark.read.schema(DAY_SCHEMA).parquet(out).select(*TRAINING_COLUMNS, "month", "day")
+
+
+REFRESH_START, REFRESH_END = "20240101", "20240120"
+
+
+def _refresh_chain(spark, sf):
+    """Logs -> saved rows -> refresh of a day range of them -> new snapshot."""
+    paths, _ = _day_folders(inp.line_logs(spark, sf), spark)
+    rows = scratch_path(spark, "chain-rows")
+    daily.run_training_rows(spark, paths["imp"], paths["clk"], inp.STRATEGY, rows)
+    return daily.run_content_refresh(spark, rows, REFRESH_START, REFRESH_END, _old_snapshot(spark, sf),
+                                     *inp.content_tables(spark, sf), scratch_path(spark, "chain-snapshots"),
+                                     "202401", "202401311200", **inp.SHARD_RULE)
+
+
+def q_refresh_from_rows(spark, sf):
+    return spark.read.parquet(_refresh_chain(spark, sf)[0])
+
+
+def q_refresh_totals(spark, sf):
+    totals = _refresh_chain(spark, sf)[1]
+    return spark.createDataFrame([tuple(totals[k] for k in ("total_ids", "new_ids", "found"))],
+                                 "total_ids long, new_ids long, found long")
+
+
+def q_repaired_rows(spark, sf):
+    """Saved rows in parentheses -> the repair job's text, read back."""
+    text = op.render_content_text(op.content_row(op.content_join3(*inp.content_tables(spark, sf))))
+    path = scratch_path(spark, "wrapped")
+    src.write_text(text.select(F.concat(F.lit("("), "value", F.lit(")")).alias("value")), path, mode="errorifexists")
+    return src.read_positional(spark, daily.run_repair(spark, path, scratch_path(spark, "repaired")), CONTENT_COLUMNS)
 
 
 def q_day_part(spark, sf):
@@ -159,9 +221,10 @@ def q_date_label(spark, sf):
 
 
 def _day_partitioned_logs(spark, sf) -> str:
-    imp, _ = inp.log_text(spark, sf)
-    path = scratch_path(spark, "imp-logs-by-day")
-    imp.write.mode("errorifexists").partitionBy("day").text(path)
+    imp, clk = inp.log_text(spark, sf)
+    path = scratch_path(spark, "logs-by-day")
+    both = imp.withColumn("side", F.lit("imp")).unionByName(clk.withColumn("side", F.lit("click")))
+    both.select("side", "day", "value").write.mode("errorifexists").partitionBy("side", "day").text(path)
     return path
 
 
@@ -172,12 +235,12 @@ def q_day_range_scan(spark, sf):
     path = _day_partitioned_logs(spark, sf)
     rng = src.read_day_range(spark, path, RANGE_START, RANGE_END, fmt="text")
     p = src.parse_logs(rng)
-    return p.select("day", F.col("log.p1").alias("p1"))
+    return p.select("side", "day", F.col("log.p1").alias("p1"))
 
 
 def q_multi_path_scan(spark, sf):
     root = _day_partitioned_logs(spark, sf)
-    paths = [f"{root}/day={{20240103,20240110}}", f"{root}/day=2024012*"]
+    paths = [f"{root}/side=*/day={{20240103,20240110}}", f"{root}/side=*/day=2024012*"]
     df = src.read_log_text(spark, paths)
     p = src.parse_logs(df.select("value"))
     return (p.select(fn.day_part(F.col("log.p3")).alias("day"))
@@ -218,7 +281,14 @@ def q_known_ids(spark, sf):
 
 
 def q_id_counts(spark, sf):
-    return op.id_counts(inp.log_content_ids(spark, sf), inp.snapshot_ids(spark, sf))
+    ids, known = inp.log_content_ids(spark, sf), inp.snapshot_ids(spark, sf)
+    fresh = op.new_ids(op.distinct_ids(ids), known)
+    looked = op.content_lookup(fresh, *inp.content_tables(spark, sf), ids_distinct=True, with_found=True, **inp.SHARD_RULE)
+    counts = op.id_counts(ids, known).withColumn("fetched_rows", F.lit(0).cast("long"))
+    fetched = looked.agg(F.count_if("_found").alias("fetched_rows"))
+    none = [F.lit(0).cast("long").alias(c) for c in ("total_ids", "new_ids", "known_ids")]
+    both = counts.unionByName(fetched.select(*none, "fetched_rows"))
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
 
 def q_content_join3(spark, sf):
@@ -261,22 +331,24 @@ def _slice(spark, sf, lo, hi):
                    spark, sf, ids_distinct=True)
 
 
+# two overlapping parts that together hold every order
+PARTS = (("1998-06-01", "9999-12-31"), ("0001-01-01", "1998-12-31"))
+
+
 def q_snapshot_merge(spark, sf):
-    return op.snapshot_merge(_slice(spark, sf, "1998-06-01", "1999-06-30"),
-                             _slice(spark, sf, "1998-01-01", "1998-12-31"))
+    return op.snapshot_merge(*(_slice(spark, sf, *p) for p in PARTS))
 
 
 def q_dedup_content(spark, sf):
-    a = _slice(spark, sf, "1998-06-01", "1999-06-30")
-    b = _slice(spark, sf, "1998-01-01", "1998-12-31").withColumn(
-        "image_auditstate", F.lower("image_auditstate"))
+    a, b = (_slice(spark, sf, *p) for p in PARTS)
+    b = b.withColumn("image_auditstate", F.lower("image_auditstate"))
     return op.dedup_content(op.snapshot_merge(a, b))
 
 
 def q_sink_snapshot(spark, sf):
     text = op.render_content_text(q_content_refresh(spark, sf))
     root = scratch_path(spark, "snapshots")
-    path = src.write_snapshot(text, root, "202401", "202401311200", n_files=20, fmt="text")
+    path = src.write_snapshot(text, root, "202401", "202401311200", fmt="text")
     return src.read_positional(spark, path, CONTENT_COLUMNS)
 
 
@@ -315,7 +387,9 @@ def q_unwrap_parens(spark, sf):
 # --------------------------------------------------------------- vectors
 
 def q_vector_table_scan(spark, sf):
-    v = src.parse_vector_text(inp.vector_text(spark, sf))
+    path = scratch_path(spark, "vectors")
+    src.write_text(inp.vector_text(spark, sf), path, mode="errorifexists")
+    v = src.read_vectors(spark, path)
     return v.select("word", *vec_summary(F.col("vec"), "vec"))
 
 
@@ -346,6 +420,9 @@ def q_tag_vector(spark, sf):
 
 def q_content_vectors(spark, sf):
     rows = op.content_row(op.content_join3(*inp.content_tables(spark, sf)))
+    # ids come in two versions and as repeated rows, as snapshots hold them
+    rows = rows.unionByName(rows.where("content_id LIKE '%7'").withColumn("tags", F.concat("tags", F.lit(" 7=2")))) \
+        .unionByName(rows.where("content_id LIKE '%3'"))
     v = jobs.content_vectors(rows, inp.vectors(spark, sf), DIM)
     return v.select("content_id", *vec_summary(F.col("tags_vec"), "tags"),
                     *vec_summary(F.col("title_vec"), "title"))
@@ -353,6 +430,8 @@ def q_content_vectors(spark, sf):
 
 def q_category_vector(spark, sf):
     k = inp.keyword_rows(spark, sf)
+    k = k.unionByName(k.where("o_orderkey % 10 = 7").withColumn("title", F.concat("title", F.lit(" 9=3")))) \
+        .unionByName(k.where("o_orderkey % 10 = 3"))
     v = op.category_vector(k, inp.vectors(spark, sf), DIM, "o_orderkey", "keywords", "title")
     return v.select("o_orderkey", *vec_summary(F.col("vec"), "vec"))
 
@@ -378,6 +457,10 @@ QUERIES: dict[str, Query] = {
     "split_field": q_split_field,
     "csv_roundtrip": q_csv_roundtrip,
     "sink_partitioned": q_sink_partitioned,
+    "daily_rows": q_daily_rows,
+    "refresh_from_rows": q_refresh_from_rows,
+    "refresh_totals": q_refresh_totals,
+    "repaired_rows": q_repaired_rows,
     "day_part": q_day_part,
     "date_label": q_date_label,
     "day_range_scan": q_day_range_scan,
@@ -423,11 +506,15 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "click_label": ("J1", "A1", "A3", "A8", "U1"),
     "label_json": ("P4",),
     "flatten_log": ("P2", "X6"),
-    "training_rows": ("G1", "S1", "F1", "F2", "J1", "P2"),
+    "training_rows": ("S1", "F1", "F2", "J1", "P2"),
     "flatten_log_text": ("P3",),
     "split_field": ("P5", "S5"),
-    "csv_roundtrip": ("S5", "K4"),
-    "sink_partitioned": ("K1", "K4"),
+    "csv_roundtrip": ("S5",),
+    "sink_partitioned": ("K1",),
+    "daily_rows": ("G1", "K1", "S2", "S3"),
+    "refresh_from_rows": ("G1", "G2", "G5", "K1", "K2"),
+    "refresh_totals": ("A5", "G5"),
+    "repaired_rows": ("G4", "K3", "P7"),
     "day_part": ("X1",),
     "date_label": ("X2", "X3"),
     "day_range_scan": ("S2", "S3"),
@@ -442,16 +529,16 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "content_row": ("P6", "X5", "X7", "X8", "X9"),
     "content_lookup": ("S6", "J3", "L1", "L3", "U4"),
     "content_lookup_all": ("S9", "J3"),
-    "content_refresh": ("G2", "G5", "J4", "U2", "A4"),
+    "content_refresh": ("G2", "J4", "U2", "A4"),
     "snapshot_merge": ("U2", "A4"),
     "dedup_content": ("A4",),
-    "sink_snapshot": ("K2", "K3", "K4"),
+    "sink_snapshot": ("K2",),
     "location_fields": ("X7",),
     "first_group_key": ("X8",),
     "format_tags": ("X9",),
     "parse_tags": ("X10",),
     "parse_keywords": ("X11", "F7"),
-    "unwrap_parens": ("P7", "G4"),
+    "unwrap_parens": ("P7",),
     "vector_table_scan": ("S7", "S8", "X17"),
     "vector_lookup_one": ("F6", "L2", "G6", "X14"),
     "vector_norms": ("X14", "X15"),

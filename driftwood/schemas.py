@@ -50,6 +50,15 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+# What the strategy test and the pairing need of a line: parsed before the
+# shuffle; the whole record is parsed for the surviving lines only.
+_KEY_ITEM = T.StructType([T.StructField("e15", S, True), T.StructField("o2", _struct("e30"), True)])
+PAIR_SCHEMA = T.StructType([T.StructField(n, S, True) for n in ("p1", "p3", "p17")]
+                           + [T.StructField(n, _KEY_ITEM, True) for n in ("e23", "e24")])
+# Which keys an object has, null or not: for the text rendering.
+KEYS_SCHEMA = T.StructType([T.StructField("e11", S, True)]
+                           + [T.StructField(n, T.MapType(S, S), True) for n in ("p30", "e2", "e23", "e24")])
+
 IMPRESSION_KEY = "e23"
 CLICK_KEY = "e24"
 
@@ -70,17 +79,12 @@ TRAINING_SCHEMA = T.StructType(
     + [T.StructField(n, S, True) for n in TRAINING_COLUMNS[1:]]
 )
 
-# Columns 1-17 render an absent value as the text ``null``; 18-38 render it
-# as empty text.
-NULL_TEXT_COLUMNS = TRAINING_COLUMNS[1:18]
-
 # The 14-column content row.
 CONTENT_COLUMNS = [
     "content_id", "body_images_count", "image_auditstate", "publisher_score",
     "publish_time", "content_words_num", "title_words_num", "country", "city",
     "state", "ero_cal_result", "group_key", "tags", "tags_title",
 ]
-CONTENT_SCHEMA = _struct(*CONTENT_COLUMNS)
 
 # Source tables of the content lookup and the columns each contributes.
 T_CONTENT_COLUMNS = [

@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -51,6 +52,17 @@ CLUSTER_CONF = {
 }
 
 
+def cluster_builder(app: str) -> SparkSession.Builder:
+    """A builder with ``CLUSTER_CONF`` as defaults: whatever spark-submit or
+    the deployment has set stays as it is."""
+    given = SparkConf()
+    b = SparkSession.builder.appName(app)
+    for k, v in CLUSTER_CONF.items():
+        if not given.contains(k):
+            b = b.config(k, v)
+    return b
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "driftwood", extra: dict | None = None) -> SparkSession:
     """A session with ``DEFAULT_CONF`` (local by default; tests and bench)."""

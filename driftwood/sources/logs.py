@@ -11,11 +11,10 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.dates import days_in_range
 from ..schemas import LOG_SCHEMA
 
 
@@ -26,13 +25,15 @@ def read_log_text(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     return spark.read.text(list(paths))
 
 
-def parse_logs(text: DataFrame, side_key: str | None = None) -> DataFrame:
+def parse_logs(text: DataFrame, side_key: str | None = None, schema: T.StructType = LOG_SCHEMA,
+               keep_value: bool = False) -> DataFrame:
     """Parse JSON lines into a ``log`` struct column, exactly once per line.
 
     With ``side_key`` a cheap substring test runs first, so lines that cannot
     carry that side skip JSON parsing.  Malformed lines parse to a struct of
     nulls and drop out at the side test downstream, never failing the job.
-    Other columns of ``text`` (e.g. a ``day`` partition column) are kept.
+    Other columns of ``text`` (e.g. a ``day`` partition column) are kept, the
+    line itself with ``keep_value``.  ``schema`` may name fewer fields.
 
     The parse is emitted through a one-row generator (``inline``): filters on
     ``log`` (strategy, side) cannot be pushed below a generator, so the
@@ -41,8 +42,8 @@ def parse_logs(text: DataFrame, side_key: str | None = None) -> DataFrame:
     """
     if side_key is not None:
         text = text.where(F.col("value").contains(side_key))
-    others = [c for c in text.columns if c != "value"]
-    row = F.struct(*[F.col(c) for c in others], F.from_json("value", LOG_SCHEMA).alias("log"))
+    others = [c for c in text.columns if keep_value or c != "value"]
+    row = F.struct(*[F.col(c) for c in others], F.from_json("value", schema).alias("log"))
     return text.select(F.inline(F.array(row)))
 
 
@@ -51,34 +52,22 @@ def day_paths(prefix: str, days: Iterable[_dt.date], suffix: str = "") -> list[s
     return [f"{prefix}{d.strftime('%Y%m%d')}{suffix}" for d in days]
 
 
-def day_glob(prefix: str, days: Iterable[_dt.date], suffix: str = "") -> str:
-    """One Hadoop glob ``prefix{d1,d2,...}suffix``: it matches only the days
-    whose folder exists, so missing days drop out without probing storage."""
-    names = ",".join(d.strftime("%Y%m%d") for d in days)
-    return f"{prefix}{{{names}}}{suffix}"
-
-
-def read_text_or_empty(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """Text of the given paths/globs; an empty frame when none matches."""
-    try:
-        return read_log_text(spark, paths)
-    except AnalysisException as ex:
-        if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
-            return spark.createDataFrame([], "value string")
-        raise
-
-
-def read_day_range_paths(spark: SparkSession, prefix: str, start: _dt.date, end: _dt.date,
-                         suffix: str = "") -> DataFrame:
-    """Logs of every day in ``[start, end]`` under ``prefix/yyyyMMdd/suffix``
-    folders; days without a folder are skipped."""
-    return read_text_or_empty(spark, [day_glob(prefix, days_in_range(start, end), suffix)])
+def read_day_logs(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """Log lines of day folders with ``folder_day`` (``yyyyMMdd``): the last
+    folder of the path that is a date, plain or as ``name=date``.  A path
+    that does not exist, or one without a date, fails the job: a finished day
+    is never written from half its logs."""
+    text = read_log_text(spark, paths).select("value", "_metadata.file_path")
+    day = F.regexp_extract("file_path", r".*[/=](\d{8})/", 1)
+    return text.select(F.when(day != "", day).otherwise(F.raise_error(
+        F.concat(F.lit("no day folder in the path "), "file_path"))).alias("folder_day"), "value")
 
 
 def read_day_range(spark: SparkSession, root: str, start: str, end: str,
                    fmt: str = "parquet", day_col: str = "day") -> DataFrame:
     """Rows of a table partitioned by ``day`` (``yyyyMMdd`` text) within
-    ``[start, end]``; the predicate prunes partitions at planning time."""
+    ``[start, end]``; the predicate prunes partitions at planning time and
+    days without a folder drop out."""
     df = spark.read.format(fmt).load(root)
     df = df.withColumn(day_col, F.col(day_col).cast("string"))
     return df.where(F.col(day_col).between(start, end))

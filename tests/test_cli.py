@@ -1,5 +1,7 @@
 import os
 
+from pyspark import SparkConf
+
 from driftwood import cli
 from driftwood.schemas import CONTENT_COLUMNS
 from driftwood.session import scratch_path
@@ -30,7 +32,7 @@ def test_cli_flow(spark):
     for name, t in (("c", tc), ("s", ts), ("n", tn)):
         t.write.partitionBy("shard").parquet(f"{root}/{name}")
     schema = ", ".join(f"{c} string" for c in CONTENT_COLUMNS)
-    old = tuple(["201808001"] + ["x"] * 11 + ["曼联=2 欧冠", "庞贝=1.5"])
+    old = tuple(["201808001"] + ["x"] * 11 + ["词甲=2 词乙", "词丙=1.5"])
     spark.createDataFrame([old], schema).write.parquet(f"{root}/old")
     r = cli.main(["content-refresh", "--days", "2", "--from-day", "1", "--run-date", "2024-01-04",
                   "--rows", f"{root}/rows", "--snapshot", f"{root}/old", "--content", f"{root}/c",
@@ -43,7 +45,7 @@ def test_cli_flow(spark):
     vec_path = os.path.join(root.replace("file:", ""), "vec.txt")
     os.makedirs(os.path.dirname(vec_path), exist_ok=True)
     with open(vec_path, "w") as f:
-        f.write("曼联 1 0 0\n欧冠 0 1 0\n庞贝 0 0 1\n曼联 5 5 5\n")   # repeated word: first wins
+        f.write("词甲 1 0 0\n词乙 0 1 0\n词丙 0 0 1\n词甲 5 5 5\n")   # repeated word: first wins
     r = cli.main(["content-vectors", "--snapshot", r["snapshot"], "--vectors", vec_path, "--dim", "3",
                   "--out", f"{root}/vec-out", "--files", "1"], spark=spark)
     got = {x.content_id: (x.tags_vec, x.title_vec) for x in spark.read.parquet(r["out"]).collect()}
@@ -55,3 +57,12 @@ def test_cli_flow(spark):
     r = cli.main(["repair", "--src", f"{root}/wrapped", "--dst", f"{root}/unwrapped", "--files", "1"],
                  spark=spark)
     assert [x.value for x in spark.read.text(r["out"]).collect()] == ["a,b"]
+
+
+def test_cluster_settings_are_defaults(spark):
+    from driftwood.session import CLUSTER_CONF, cluster_builder
+    given = SparkConf()  # what this test session was started with counts as set by the deployment
+    made = cluster_builder("x")._options
+    assert {k: v for k, v in CLUSTER_CONF.items() if not given.contains(k)}.items() <= made.items()
+    assert made["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert not [k for k in CLUSTER_CONF if given.contains(k) and k in made]

@@ -4,8 +4,8 @@ from driftwood.schemas import CONTENT_COLUMNS
 
 from .conftest import plan_text, rows
 
-TAGS = '{"v8":{"曼联":{"weight":0.418},"欧冠":{"weight":0.403}}}'
-TITLE = '{"v4":{"庞贝":{"weight":1.01}}}'
+TAGS = '{"v8":{"词甲":{"weight":0.418},"词乙":{"weight":0.403}}}'
+TITLE = '{"v4":{"词丙":{"weight":1.01}}}'
 LOCAL = '{"v1":[{"country":"US","city":"Austin","state":null}]}'
 GROUP = '{"v2":{"g17":{},"g03":{}}}'
 
@@ -46,7 +46,7 @@ def test_content_lookup(spark):
     assert out.count() == 6
     a = got["201808001"]
     assert (a.publisher_score, a.country, a.city, a.state, a.group_key, a.tags, a.tags_title) == \
-        ("9.5", "US", "Austin", " ", "g17", "曼联=0.418 欧冠=0.403", "庞贝=1.01")
+        ("9.5", "US", "Austin", " ", "g17", "词甲=0.418 词乙=0.403", "词丙=1.01")
     b = got["201907001"]
     assert (b.publisher_score, b.country, b.group_key, b.tags, b.tags_title) == (" ", " ", " ", "", "")
     for miss in ("201809002", "201807001", "201713999"):

@@ -1,21 +1,86 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
 from driftwood.plans import daily
 from driftwood.schemas import CONTENT_COLUMNS
 from driftwood.session import scratch_path
+from driftwood.sources import read_day_logs
 
 from .test_content import tables
 from .test_logs import S, log
 
 
+def write_days(spark, root, lines_by_day):
+    for day, lines in lines_by_day.items():
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{root}/{day}/logs")
+
+
+def folders(root, days):
+    return [f"{root}/{d}/logs" for d in days]
+
+
+def test_late_lines_leave_a_finished_day_alone(spark):
+    """What one run writes does not depend on the order of runs or on how
+    many days a run takes."""
+    days = ["20240105", "20240106"]
+    imp = {"20240105": [log(str(k), f"c{k}", "d", "2024-01-05 10:00:00", "e23") for k in range(5)],
+           "20240106": [log("9", "c9", "d", "2024-01-05 23:59:59", "e23"), log("8", "c8", "d", "n/a", "e23"),
+                        log("7", "c7", "d", None, "e23")]}
+    clk = {"20240105": [], "20240106": [log("19", "c1", "d", "2024-01-05 23:59:58", "e24")]}
+    root = scratch_path(spark, "late")
+    write_days(spark, f"{root}/imp", imp)
+    write_days(spark, f"{root}/clk", clk)
+    got = []
+    for windows in ([days], [days[:1], days[1:]], [days[1:], days[:1]]):
+        out = scratch_path(spark, "late-rows")
+        for w in windows:
+            daily.run_training_rows(spark, folders(f"{root}/imp", w), folders(f"{root}/clk", w), S, out)
+        got.append(sorted((r.day, r.p1, r.is_click) for r in spark.read.parquet(out).collect()))
+    assert got[0] == got[1] == got[2]
+    # the click logged a day late pairs within its own folder only; odd times stay in their folder's day
+    assert got[0] == [(20240105, str(k), 0) for k in range(5)] + [(20240106, p, 0) for p in ("19", "7", "8", "9")]
+
+
+def test_missing_side_or_day_fails(spark):
+    root = scratch_path(spark, "missing")
+    write_days(spark, f"{root}/imp", {"20240101": [log("1", "c", "d", "2024-01-01 08:00:00", "e23")]})
+    write_days(spark, f"{root}/clk", {"20240101": [], "20240102": []})
+    both, one = ["20240101", "20240102"], ["20240101"]
+    for i, c in ((both, both), (one, ["20240103"])):
+        with pytest.raises(AnalysisException):
+            daily.run_training_rows(spark, folders(f"{root}/imp", i), folders(f"{root}/clk", c), S, scratch_path(spark, "no"))
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{root}/undated")
+    with pytest.raises(Exception, match="no day folder"):
+        read_day_logs(spark, f"{root}/undated").collect()
+
+
+def test_found_rows_with_null_counts_are_counted(spark):
+    root, rows = scratch_path(spark, "found"), scratch_path(spark, "found-rows")
+    days = ["20240101"]
+    write_days(spark, f"{root}/imp", {"20240101": [log("1", "201808001", "d", "2024-01-01 08:00:00", "e23"),
+                                                   log("2", "201907001", "d", "2024-01-01 08:00:00", "e23")]})
+    write_days(spark, f"{root}/clk", {"20240101": []})
+    daily.run_training_rows(spark, folders(f"{root}/imp", days), folders(f"{root}/clk", days), S, rows)
+    tc, ts, tn = tables(spark)
+    old = spark.createDataFrame([], ", ".join(f"{c} string" for c in CONTENT_COLUMNS))
+    _, m = daily.run_content_refresh(spark, rows, "20240101", "20240101", old,
+                                     tc.withColumn("body_images_count", F.lit(None).cast("string")), ts, tn,
+                                     scratch_path(spark, "found-snap"), "202401", "202401020000")
+    assert m == {"total_ids": 2, "new_ids": 2, "found": 2}
+
+
 def test_daily_jobs(spark):
     imp = [log("1", "201808001", "d1", "2024-01-01 08:00:00", "e23"),
            log("2", "201907001", "d1", "2024-01-02 08:00:00", "e23"),
            log("3", "201713999", "d2", "2024-01-03 08:00:00", "e23")]
     clk = [log("9", "201808001", "d1", "2024-01-01 09:00:00", "e24")]
     root = scratch_path(spark, "p-in")
-    spark.createDataFrame([(x,) for x in imp], "value string").write.text(f"{root}/imp")
-    spark.createDataFrame([(x,) for x in clk], "value string").write.text(f"{root}/clk")
+    days = ["20240101", "20240102", "20240103"]
+    write_days(spark, f"{root}/imp", dict(zip(days, [[x] for x in imp], strict=True)))
+    write_days(spark, f"{root}/clk", dict(zip(days, [clk, [], []], strict=True)))
     out = scratch_path(spark, "p-rows")
-    daily.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, n_files=1)
+    daily.run_training_rows(spark, folders(f"{root}/imp", days), folders(f"{root}/clk", days), S, out, n_files=1)
     saved = spark.read.parquet(out)
     assert saved.count() == 3
     assert {r.day for r in saved.select("day").collect()} == {20240101, 20240102, 20240103}
@@ -42,10 +107,11 @@ def test_daily_jobs_text_rows(spark):
     imp = [log("1", "201808001", "d1", "2024-01-01 08:00:00", "e23"),
            log("2", "201907001", "d1", "2024-01-02 08:00:00", "e23")]
     root = scratch_path(spark, "pt-in")
-    spark.createDataFrame([(x,) for x in imp], "value string").write.text(f"{root}/imp")
-    spark.createDataFrame([], "value string").write.text(f"{root}/clk")
+    days = ["20240101", "20240102"]
+    write_days(spark, f"{root}/imp", dict(zip(days, [[x] for x in imp], strict=True)))
+    write_days(spark, f"{root}/clk", {d: [] for d in days})
     out = scratch_path(spark, "pt-rows")
-    daily.run_training_rows(spark, f"{root}/imp", f"{root}/clk", S, out, fmt="text")
+    daily.run_training_rows(spark, folders(f"{root}/imp", days), folders(f"{root}/clk", days), S, out, fmt="text")
     lines = [r.value for r in spark.read.text(out).collect()]
     assert len(lines) == 2 and all(len(v.split(",")) == 39 for v in lines)
     assert sorted(v.split(",")[24] for v in lines) == ["201808001", "201907001"]

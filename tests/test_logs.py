@@ -93,6 +93,16 @@ def test_click_label_single_shuffle(spark):
     assert "PythonUDF" not in final and "BatchEvalPython" not in final
     # one shuffle: the pairing aggregate (dedup of both sides folded into it)
     assert final.count("Exchange hashpartitioning") == 1
+    assert final.count("partial_min(") == 2 and "min_by" not in final   # one record buffer and a flag
+
+
+def test_ties_are_settled_by_the_record(spark):
+    a = log("1", "c1", "d1", "2024-01-01 08:00:00", "e23", p6="a")
+    b = log("1", "c1", "d1", "2024-01-01 08:00:00", "e23", p6="b")
+    none = spark.createDataFrame([], "value string")
+    for lines in ([a, b], [b, a]):
+        lab = jobs.labelled_logs(spark.createDataFrame([(x,) for x in lines], "value string").repartition(2), none, S)
+        assert [r[0] for r in lab.select("log.p6").collect()] == ["a"]
 
 
 def test_flatten_columns(spark):
@@ -122,10 +132,26 @@ def test_flatten_columns(spark):
     assert by["23"].content_id == "c8"
     assert (by["24"].l1, by["24"].l2, by["24"].e38) == (None, None, "x")
     assert by["25"].e11 is None
-    txt = {r.value.split(",")[1]: r.value for r in op.render_text(flat).collect()}
+    txt = {r.value.split(",")[1]: r.value for r in op.flatten_text(lab).collect()}
     assert txt["23"].split(",")[24] != "c8"                     # comma shifts positions (unquoted)
     assert txt["21"].split(",")[18] == ""                       # absent 18+ -> empty
     assert txt["21"].split(",")[6] == "null"                    # absent 1-17 -> null
+    assert txt["25"].split(",")[21] == "null"                   # p30.e11 there, top-level e11 absent
+    assert txt["22"].split(",")[21] == "top" and txt["20"].split(",")[21] == ""
+
+
+def test_present_nulls_render_as_null(spark):
+    d = json.loads(log("40", "c1", "d1", "2024-01-05 00:00:00", "e23"))
+    d["p30"]["p31"], d["e2"]["e3"], d["e23"]["e12"] = None, None, None
+    d["e23"]["o2"]["e31"], d["e23"]["o2"]["e37"]["l2"] = None, None
+    del d["p30"]["p32"], d["e23"]["o2"]["e35"]
+    lab = jobs.labelled_logs(spark.createDataFrame([(json.dumps(d),)], "value string"),
+                             spark.createDataFrame([], "value string"), S)
+    v = dict(zip(TRAINING_COLUMNS, op.flatten_text(lab).first().value.split(","), strict=True))
+    assert [v[c] for c in ("p31", "e3", "e12", "e31", "l2")] == ["null"] * 5
+    assert [v[c] for c in ("p32", "e35", "e4")] == [""] * 3
+    assert (v["p33"], v["l1"], v["content_id"]) == ("3", "a", "c1")
+    assert op.flatten_log(lab).first().p31 is None
 
 
 def test_flatten_click_fallback_and_missing_item(spark):
@@ -136,8 +162,8 @@ def test_flatten_click_fallback_and_missing_item(spark):
     assert r.content_id == "c1" and r.e12 == "pos" and r.is_click == 0
     # a record with neither item object renders nine empty fields in 22-30
     line = log("31", "x", "y", "2024-01-01 00:00:00", "e9")
-    none = parse_logs(spark.createDataFrame([(line,)], "value string")).withColumn("is_click", F.lit(0))
-    v = op.render_text(op.flatten_log(none)).collect()[0].value
+    none = parse_logs(spark.createDataFrame([(line,)], "value string"), keep_value=True).withColumn("is_click", F.lit(0))
+    v = op.flatten_text(none).collect()[0].value
     assert v.split(",")[22:31] == [""] * 9 and len(v.split(",")) == 39
 
 

@@ -120,7 +120,7 @@ def model_format(js):
     return s.replace('{"v99":{"', "")
 
 
-words = st.text(alphabet="abc曼联", min_size=1, max_size=4)
+words = st.text(alphabet="abc词甲", min_size=1, max_size=4)
 tag_json = st.builds(
     lambda prefix, pairs: prefix + ",".join(f'"{w}":{{"weight":{x}}}' for w, x in pairs) + "}}",
     st.sampled_from(['{"v8":{', '{"v99":{']),

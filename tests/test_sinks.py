@@ -53,14 +53,24 @@ def test_snapshot_never_overwrites(spark):
     assert (back.x, back.y, back.z) == ("a", "b", None)
 
 
-def test_day_paths_skip_missing(spark):
+def test_day_logs_carry_their_folder(spark):
     root = scratch_path(spark, "t-days")
     for d in ("20240101", "20240103"):
         spark.createDataFrame([(d,)], "value string").write.text(f"{root}/{d}/logs")
-    got = src.read_day_range_paths(spark, f"{root}/", dt.date(2024, 1, 1), dt.date(2024, 1, 4), "/logs")
-    assert sorted(r.value for r in got.collect()) == ["20240101", "20240103"]
-    empty = src.read_day_range_paths(spark, f"{root}/", dt.date(2023, 1, 1), dt.date(2023, 1, 2), "/logs")
-    assert empty.count() == 0
+    paths = src.day_paths(f"{root}/", [dt.date(2024, 1, 1), dt.date(2024, 1, 3)], "/logs")
+    got = src.read_day_logs(spark, paths)
+    assert sorted((r.folder_day, r.value) for r in got.collect()) == [("20240101", "20240101"), ("20240103", "20240103")]
+
+
+def test_fixed_file_count(spark):
+    path = scratch_path(spark, "t-files")
+    src.write_text(spark.range(1000).selectExpr("cast(id AS string) AS value").repartition(8), path, n_files=2)
+    assert len([f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]) == 2
+
+
+def test_null_text_is_read_as_null(spark):
+    df = spark.createDataFrame([("a,null,",)], "value string")
+    assert tuple(src.split_positional(df, ["x", "y", "z"], null_text="null").first()) == ("a", None, "")
 
 
 def test_repair_snapshot(spark):

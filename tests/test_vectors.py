@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from driftwood import operators as op
+from driftwood import sources as src
 from driftwood.plans import jobs
 from driftwood.sources import read_vectors
 
@@ -69,12 +70,22 @@ def test_token_vectors(spark, tmp_path):
     assert b == [("", [0.0] * 3), ("a", [1.0, 0.0, 0.0]), ("nope", [0.0] * 3)]   # weight ignored
 
 
-def test_broadcast_is_bounded(spark, tmp_path):
-    v = op.first_vectors(vocab(spark, tmp_path))
-    _, used = op.bounded_broadcast(v, row_bytes=100, max_bytes=10)
-    assert used is False
-    _, used = op.bounded_broadcast(v, row_bytes=100, max_bytes=10_000)
-    assert used is True
+def test_no_action_while_a_plan_is_built(spark, tmp_path):
+    v = vocab(spark, tmp_path)
+    t = toks(spark, [("x", "a", 2.0)])
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    out = op.token_vectors_broadcast(t, v, DIM)
+    assert out.columns[-1] == "vec"
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs_before
+
+
+def test_first_vector_is_the_first_of_the_first_file(spark, tmp_path):
+    for name, lines in (("a.txt", ["x 1 0 0"] + [f"w{i} 0 0 1" for i in range(200)]), ("b.txt", ["x 2 0 0"] * 3000)):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    v = src.read_vectors(spark, str(tmp_path / "*.txt"))
+    assert op.first_vectors(v).where("word = 'x'").first().vec == [1.0, 0.0, 0.0]
+    left = op.first_vectors_unpartitioned(v)
+    assert [r.vec for r in left.where("word = 'x'").collect()] == [[1.0, 0.0, 0.0]] and left.count() == 201
 
 
 def test_category_vector_four_cases(spark, tmp_path):
@@ -94,17 +105,26 @@ def test_category_vector_four_cases(spark, tmp_path):
     assert got["s"] == [1.0, 1.0, 0.0]
 
 
-def test_content_vectors_and_cosine(spark, tmp_path):
+def test_content_vectors(spark, tmp_path):
     v = op.first_vectors(vocab(spark, tmp_path))
     cr = spark.createDataFrame([("1", "a=1 b=1", "a=2"), ("2", "", "")],
                                "content_id string, tags string, tags_title string")
     out = {r.content_id: r for r in jobs.content_vectors(cr, v, DIM).collect()}
     assert out["1"].tags_vec == [1.0, 1.0, 0.0] and out["1"].title_vec == [2.0, 0.0, 0.0]
     assert out["2"].tags_vec == [0.0] * 3
-    a = spark.createDataFrame([("1", [1.0, 1.0, 0.0]), ("2", [0.0, 0.0, 0.0])], "id string, vec array<double>")
-    b = spark.createDataFrame([("1", [2.0, 0.0, 0.0]), ("3", [1.0, 0.0, 0.0])], "id string, vec array<double>")
-    c = {r.id: r.cosine for r in op.cosine_pairs(a, b, ["id"]).collect()}
-    assert math.isclose(c["1"], 1 / math.sqrt(2)) and c["2"] == 0.0 and c["3"] == 0.0
+
+
+def test_versions_of_an_id_are_summed_apart(spark, tmp_path):
+    v = op.first_vectors(vocab(spark, tmp_path))
+    rows_ = spark.createDataFrame([("1", "a=1", None), ("1", "a=2 b=1", ""), ("1", "a=1", None), (None, "b=1", "a=1")],
+                                  "content_id string, tags string, tags_title string")
+    got = sorted((str(r.content_id), r.tags_vec, r.title_vec) for r in jobs.content_vectors(rows_, v, DIM).collect())
+    zero = [0.0] * 3
+    assert got == [("1", [1.0, 0.0, 0.0], zero), ("1", [1.0, 0.0, 0.0], zero), ("1", [2.0, 1.0, 0.0], zero),
+                   ("None", [0.0, 1.0, 0.0], [1.0, 0.0, 0.0])]
+    cat = spark.createDataFrame([("k", "a=1", ""), ("k", "1:-1;2:b=2", ""), ("k", "a=1", "")], "id string, s string, t string")
+    assert sorted(r.vec for r in op.category_vector(cat, v, DIM, "id", "s", "t").collect()) == \
+        [[0.0, 2.0, 0.0], [1.0, 0.0, 0.0], [1.0, 0.0, 0.0]]
 
 
 def test_lookup_one_and_norm(spark, tmp_path):
@@ -148,36 +168,3 @@ def test_hot_word_join_is_split_and_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, val)
-
-
-def test_broadcast_lookup_fallback_keeps_first_and_splits(spark, tmp_path):
-    v = vocab(spark, tmp_path)                       # "a" twice: first is [1, 0, 0]
-    dedup = op.first_vectors_unpartitioned(v)
-    assert rows(dedup.where("word = 'a'").select("vec")) == [([1.0, 0.0, 0.0],)]
-    assert dedup.count() == 5
-    hot = [(f"id{i % 50}", "a", 1.0) for i in range(3000)]
-    cold = [(f"id{i % 50}", "bc"[i % 2], 1.0) for i in range(6000)]
-    t = toks(spark, hot + cold).repartition(8)
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.shuffle.partitions": "16"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, val in conf.items():
-            spark.conf.set(k, val)
-        # max_bytes=1: the vocabulary is "too big", the duplicate rows are not
-        out = op.token_vectors_broadcast(t, v, DIM, max_bytes=1)
-        assert out.where("word = 'a'").select("vec").distinct().collect()[0].vec == [1.0, 0.0, 0.0]
-        assert out.count() == 9000
-        out.collect()
-        assert "skew=true" in plan_text(out)
-    finally:
-        for k, val in old.items():
-            if val is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, val)
