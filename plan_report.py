@@ -12,7 +12,7 @@ import re
 import sys
 from collections import Counter
 
-import __spark_entry__ as E
+from driftwood.plans.queries import QUERIES
 from driftwood.session import build_session
 
 HEADLINE = ["training_rows", "content_lookup_all", "tag_vector"]
@@ -40,7 +40,7 @@ def main() -> None:
     spark = build_session()
     rows = []
     formatted = {}
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         df.collect()          # the adaptive plan is final once this query ran
         p = final_plan(df)
