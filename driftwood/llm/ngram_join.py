@@ -13,12 +13,14 @@ How often a token occurs is found by exchanging hash lists, distinct within a
 chunk of documents, so a token of a third of all documents is one entry a
 chunk.  Equal sets are one class and only its first document takes part.
 
-Links are wanted up to what they connect: per prefix token all members are
-compared with one representative, components are formed, and this is repeated
-with other representatives while it finds links; at last every pair of one
-prefix token whose documents are still in different components is compared.
-No link between components is lost, and the pairs within a component, which
-grow with its square, are never made.
+Documents that prefix tokens of the first order connect form a group.  Groups
+are cut into blocks of bounded size, and a task takes one block, later two
+blocks of a group together, with its documents' prefixes and sets: inverted
+lists of the prefixes under each order give the candidates of a document, the
+filters are intersected, and inverted lists of the shingles verify what is
+left.  Only links that connect two components are put out, so neither
+candidates nor links of a group become rows; a second pass meets only blocks
+of documents that still share a prefix token across components.
 
 Defined results: words are maximal runs without white space, A-Z lower-cased;
 a text of fewer than ``k`` words is one shingle of all its words; null or
@@ -30,8 +32,6 @@ are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +44,8 @@ K = 5
 PERCENT = 80
 TOKEN_BITS = 48
 ORDERS = 3
+BLOCK_SHINGLES = 400_000
+BLOCK_DOCS = 4000
 
 DOC_SCHEMA = "rid long, id long, n int, print_a long, print_b long"
 TOKENS_SCHEMA = "part int, chunk long, tokens binary, counts binary"
@@ -160,27 +162,95 @@ def candidates(chunks: DataFrame, back: DataFrame, copies: DataFrame, k: int, pe
     return chunks.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(run, CAND_SCHEMA)
 
 
-def verify(pairs: DataFrame, cands: DataFrame, percent: int) -> DataFrame:
-    """Of ``pairs(a, b)`` those whose sets are similar enough.  Sizes and the
-    prefixes under the further orders are looked at first; the sets of the
-    pairs that pass are compared exactly."""
-    side = lambda name, cols: cands.select(F.col("rid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
-    more = [f"prefix{i}" for i in range(1, ORDERS)]
-    both = pairs.join(side("a", ["n", *more]), "a").join(side("b", ["n", *more]), "b")
-    near = F.greatest("n_a", "n_b") * percent <= F.least("n_a", "n_b") * 100
-    shared = reduce(lambda x, y: x & y, [F.arrays_overlap(f"{c}_a", f"{c}_b") for c in more])
-    left = both.where(near).where(shared).select("a", "b")
+class Postings:
+    """Inverted lists of a block's documents: which of them share tokens."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.m = len(lists)
+        self.ends = np.cumsum([0, *map(len, lists)])
+        _, self.token, self.count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        self.docs = np.repeat(np.arange(self.m), np.diff(self.ends))[np.argsort(self.token, kind="stable")]
+        self.start = np.cumsum(self.count) - self.count
+
+    def shared(self, i: int) -> np.ndarray:
+        """Number of tokens each document shares with document ``i``."""
+        t = self.token[self.ends[i]:self.ends[i + 1]]
+        t = t[self.count[t] > 1]
+        c = self.count[t]
+        total = int(c.sum())
+        at = np.repeat(self.start[t] - (np.cumsum(c) - c), c) + np.arange(total)
+        return np.bincount(self.docs[at], minlength=self.m)
+
+
+def block_links(t: pa.Table, percent: int) -> pa.Table:
+    """Links between different components of the documents of one block, or
+    of one block with those of another (column ``side``), as a forest."""
+    rid, label, side, n = (np.array(t[c].to_pylist(), np.int64) for c in ("rid", "comp", "side", "n"))
+    two = len(set(side.tolist())) > 1
+    orders = [Postings([np.array(x, np.int64) for x in t[f"prefix{k}"].to_pylist()]) for k in range(ORDERS)]
+    sets = Postings([np.frombuffer(x, "<u8") for x in t["shingles"].to_pylist()])
+    out = []
+    for i in range(len(rid)):
+        may = (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (label != label[i])
+        may[:i + 1] = False
+        if two:
+            may &= side != side[i]
+        for order in orders:
+            if not may.any():
+                break
+            may &= order.shared(i) > 0
+        if not may.any():
+            continue
+        both = sets.shared(i)
+        for j in np.flatnonzero(may & (100 * both >= percent * (n + n[i] - both))):
+            if label[j] != label[i]:
+                out.append((int(rid[i]), int(rid[j])))
+                label[label == label[j]] = label[i]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
+def blocks_of(cands: DataFrame, tokens: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the candidates that share a token of ``tokens(rid, token)`` across
+    components: ``rid, comp, part, block, blocks``, where ``part`` is the
+    group they are connected to; and the groups of several blocks."""
+    here = tokens.join(state, "rid")
+    split = here.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                      F.min("rid").alias("hub")).where("low < high").select("token", "hub")
+    spokes = materialise(here.join(split, "token").select("rid", "comp", "hub").distinct(), "spokes")
+    nodes = spokes.select("rid").distinct()
+    groups = components(nodes.withColumn("comp", F.col("rid")), spokes.where("rid <> hub").selectExpr("rid AS a", "hub AS b"))
+    member = groups.select("rid", F.col("comp").alias("part")).join(state, "rid").join(cands.select("rid", "n"), "rid")
+    size = member.groupBy("part").agg(F.expr(
+        f"cast(greatest(ceil(sum(n) / {BLOCK_SHINGLES}), ceil(count(*) / {BLOCK_DOCS})) AS int)").alias("blocks"))
+    size = materialise(size, "sizes")
+    return materialise(member.join(size, "part").select(
+        "rid", "comp", "part", "blocks", F.expr("cast(pmod(xxhash64(rid), blocks) AS int)").alias("block")), "blocks"), size
+
+
+LINK_COLS = ["n", *[f"prefix{i}" for i in range(ORDERS)], "shingles"]
 
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-    return (left.join(side("a", ["shingles"]), "a").join(side("b", ["shingles"]), "b")
-            .select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long"))
+
+def link_components(cands: DataFrame, percent: int) -> DataFrame:
+    """``rid, comp`` of all candidates: first the links inside blocks, then
+    those between the blocks of a group, as far as components still meet."""
+    tokens = materialise(cands.select("rid", F.explode("prefix0").alias("token")), "tokens")
+    state = cands.select("rid", F.col("rid").alias("comp"))
+    run = lambda t: block_links(t, percent)
+    member, size = blocks_of(cands, tokens, state)
+    own = member.join(cands, "rid").select("part", "block", F.lit(0).alias("side"), "rid", "comp", *LINK_COLS)
+    links = materialise(own.groupBy("part", "block").applyInArrow(run, "a long, b long"), "found")
+    state = components(state, links)
+    if size.where("blocks > 1").isEmpty():
+        return state
+    cut_up = member.where("blocks > 1").select("rid")
+    member, _ = blocks_of(cands, tokens.join(cut_up, "rid", "left_semi"), state)
+    # every pair of blocks of a group, a block with itself too: a document goes to each pair that its block is in
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = member.select("rid", "comp", "part", "block", other).join(cands, "rid").select(
+        "part", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+        F.col("block").alias("side"), "rid", "comp", *LINK_COLS)
+    more = materialise(pairs.groupBy("part", "one", "two").applyInArrow(run, "a long, b long"), "found")
+    return components(state, links.unionByName(more))
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -200,40 +270,6 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
                             .select("rid", F.least("comp", F.coalesce("low", "comp")).alias("comp")), "comps")
 
 
-def link_components(cands: DataFrame, percent: int) -> DataFrame:
-    """``rid, comp`` of all candidates."""
-    tokens = materialise(cands.select("rid", F.explode("prefix0").alias("token")), "tokens")
-    state = materialise(cands.select("rid", F.col("rid").alias("comp")), "comps")
-    links = tested = None
-    turn = 0
-    while True:
-        here = tokens.join(state, "rid")
-        split = here.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                          F.expr(f"min_by(struct(rid, comp), xxhash64(rid, {turn}))" if turn else
-                                                 "min(struct(rid, comp))").alias("rep")).where("low < high")
-        open_ = materialise(here.join(split.select("token", "rep"), "token"), "open")
-        pairs = _fresh(open_.where("comp <> rep.comp").select(F.least("rid", "rep.rid").alias("a"),
-                                                              F.greatest("rid", "rep.rid").alias("b")).distinct(), tested)
-        pairs = materialise(pairs, "pairs")
-        found = materialise(verify(pairs, cands, percent), "found")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        state = components(state, links)
-        turn += 1
-    x, y = (open_.select("token", F.col("rid").alias(r), F.col("comp").alias(c)) for r, c in (("a", "ca"), ("b", "cb")))
-    rest = x.join(y, "token").where("a < b AND ca <> cb").select("a", "b").distinct()
-    found = materialise(verify(materialise(_fresh(rest, tested), "pairs"), cands, percent), "found")
-    if found.isEmpty():
-        return state
-    return components(state, found if links is None else links.unionByName(found))
-
-
-def _fresh(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
-    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-
-
 def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """``rid, id, n_shingles, component_id`` of every row."""

@@ -59,7 +59,7 @@ def test_chains_and_hot_groups(spark):
     assert found(docs_of(spark, rows).repartition(5)) == brute(rows)
 
 
-def test_random_near_copies(spark):
+def near_copies():
     rng = random.Random(8)
     rows = []
     for g in range(30):
@@ -68,7 +68,25 @@ def test_random_near_copies(spark):
             b = list(body)
             for _ in range(rng.randrange(0, 4)):
                 b[rng.randrange(len(b))] = f"v{rng.randrange(400)}"
-            rows.append((g * 10 + c, " ".join(b)))
+                rows.append((g * 10 + c, " ".join(b)))
+    return rows
+
+
+def test_random_near_copies(spark):
+    rows = near_copies()
+    assert found(docs_of(spark, rows)) == brute(rows)
+
+
+def test_groups_of_many_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    body = [f"v{k}" for k in range(60)]
+    rows = near_copies()
+    for i in range(1000, 1150):  # a group whose far members do not link directly
+        b = list(body)
+        for _ in range(rng.randrange(1, 3)):
+            b[rng.randrange(60)] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(b)))
+    monkeypatch.setattr(J, "BLOCK_DOCS", 20)
     assert found(docs_of(spark, rows)) == brute(rows)
 
 
