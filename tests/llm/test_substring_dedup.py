@@ -1,7 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from driftwood.llm import substring_dedup as S
+from driftwood.llm.chunks import Chunk, chunk_table
+from driftwood.llm.common import pack, pack_sorted
 
 from .helpers import DOCS, LOREM, by_id, docs_of, edge_docs, empty_docs
 
@@ -51,3 +56,39 @@ def test_owner_changes_break_a_path(spark):
     rows = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(a + b))]
     got = {r.id: r for r in S.dedup_substrings(docs_of(spark, rows)).collect()}
     assert [tuple(p) for p in got[3].paths] == [(0, 15, 1), (15, 30, 2)] and got[3].kept == ""
+
+
+def test_paths_across_chunks_are_verified_at_their_source(spark):
+    rows = [(i, f"x{i} " + " ".join(LOREM[i % 3:]) + f" y{i}") for i in range(12)]
+    chunks = chunk_table(docs_of(spark, rows), size=300)
+    assert chunks.count() > 3
+    back = S.edge_lists(chunks, 13, 4).groupBy("part").applyInArrow(S.join_edges, S.BACK_SCHEMA)
+    made = S.cut_chunks(chunks, back, 13, 4, True).cache()
+    assert made.where("kind = 'claim'").count() and made.where("kind = 'answer'").count()
+    failed = made.where("kind <> 'doc'").groupBy("part").applyInArrow(
+        lambda t: S.failed_claims(t), S.BACK_SCHEMA)
+    assert failed.count() == 0
+    by = {r.id: r for r in made.where("kind = 'doc'").collect()}
+    assert all(r.n_removed == (0 if i == 0 else len(LOREM[i % 3:])) for i, r in by.items())
+
+
+def test_a_claim_without_a_true_answer_fails():
+    row = lambda kind, chunk, pairs: {"kind": kind, "part": 0, "chunk": chunk, "edges": pack_sorted(np.array([e for e, _ in pairs], np.uint64)),
+                                      "checks": pack(np.array([c for _, c in pairs], np.uint64))}
+    t = pa.Table.from_pylist([row("answer", 1, [(5, 50), (7, 70)]), row("claim", 2, [(5, 50), (7, 71)]), row("claim", 3, [(9, 1)])])
+    bad = S.failed_claims(t).to_pylist()
+    assert [(r["chunk"], S.unpack_sorted(r["edges"]).tolist()) for r in bad] == [(2, [7]), (3, [9])]
+
+
+def test_failed_edges_are_left_out(spark):
+    text = " ".join(LOREM)
+    row = chunk_table(docs_of(spark, [(9, text)])).first().asDict()
+    edges, _, _ = S.Walks(Chunk(row), 13).distinct()
+    base, owners = S._owners(np.full(len(edges), 4))
+    back = [{"edges": pack_sorted(edges), "base": base, "owners": owners}]
+    (_, paths, keep), = S.Cut(Chunk(row), back, 13).documents()
+    assert paths.tolist() == [[0, len(LOREM), 4]] and not keep.any()
+    first = S.Walks(Chunk(row), 13).edges[:1]
+    back.append({"edges": pack_sorted(first), "base": None, "owners": None})
+    (_, paths, keep), = S.Cut(Chunk(row), back, 13).documents()
+    assert paths.tolist() == [[1, len(LOREM), 4]] and keep.tolist() == [True] + [False] * (len(LOREM) - 1)
