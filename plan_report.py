@@ -54,7 +54,10 @@ def main() -> None:
     print("final physical plan. Shuffles include the construction of the stand-in inputs (e.g. the per-order tag")
     print("JSON built from `lineitem`); broadcasts are chosen by Spark from measured sizes of small stand-in tables.")
     print("No plan evaluates Python. Queries that write an intermediate table (`csv_roundtrip`, `sink_partitioned`,")
-    print("`sink_snapshot`, `day_range_scan`, `multi_path_scan`) show the plan of the read-back.\n")
+    print("`sink_snapshot`, `day_range_scan`, `multi_path_scan`, `daily_rows`, `repaired_rows`, the refresh chains) show the")
+    print("plan of the read-back.\n")
+    print("The pairing aggregate carries one raw line a key (`min` of a struct) where it carried two parsed records (two")
+    print("`min_by`): its exchange at sf0.1 writes 2,544,238 bytes instead of 3,603,133, for the same 19,880 rows.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
     for name, c in rows:
