@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialise, pack_sorted, unpack_sorted
+from .common import id_text, materialise
 
 CHUNK_BYTES = 8 << 20
 SCHEMA = "chunk long, n int, n_bytes long, ids binary, nulls binary, payload binary"
@@ -94,7 +94,3 @@ def cut(sorted_keys: np.ndarray, parts: int, bits: int = 64) -> np.ndarray:
 
 def table_rows(t: pa.Table) -> list[dict]:
     return t.to_pylist()
-
-
-__all__ = ["CHUNK_BYTES", "NO_ID", "Chunk", "chunk_table", "cut", "pack_sorted", "parts_for", "rows_of", "table_rows",
-           "unpack_sorted"]

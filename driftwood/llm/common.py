@@ -34,10 +34,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once a Spark context, so
-    that workers need no installed copy."""
+    """In a local session, give the Python workers this package's code, once
+    a Spark context.  On a cluster the deployment ships it (``--py-files``),
+    and no machine-local folder is used."""
     sc = spark.sparkContext
-    if getattr(sc, "_driftwood_shipped", False):
+    if not sc.master.startswith("local") or getattr(sc, "_driftwood_shipped", False):
         return
     root = Path(driftwood.__file__).parent
     held = Path(tempfile.mkdtemp(prefix="driftwood-code-")) / "driftwood_code.zip"
@@ -76,9 +77,12 @@ _MASK = (1 << 64) - 1
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijective 64-bit finaliser, elementwise."""
     x = x + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & _MASK)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64), 7)
@@ -150,6 +154,10 @@ def fold_bytes(b: bytes) -> bytes:
 
 # ---- packed integers -----------------------------------------------------
 
+# made once a worker: a codec costs far more than a small list
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack_sorted(a: np.ndarray) -> bytes:
     """Ascending uint64 -> bytes: differences, byte planes, compressed."""
     d = np.diff(a.astype(np.uint64), prepend=np.uint64(0))
@@ -163,9 +171,9 @@ def unpack_sorted(b: bytes) -> np.ndarray:
 def pack(a: np.ndarray) -> bytes:
     """uint64 -> bytes, as byte planes, so that high bytes compress."""
     planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _PACKER.compress(planes.tobytes())
 
 
 def unpack(b: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(8, -1)
+    planes = np.frombuffer(_UNPACKER.decompress(b), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.uint64)

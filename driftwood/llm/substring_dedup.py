@@ -64,9 +64,10 @@ class Walks:
     @staticmethod
     def _hash(words: np.ndarray, coef: list[int], k: int) -> np.ndarray:
         n = len(words) - k + 1
-        out = np.zeros(n, np.uint64)
+        out, term = np.zeros(n, np.uint64), np.empty(n, np.uint64)
         for j in range(k):
-            out += words[j:n + j] * np.uint64(coef[j])
+            np.multiply(words[j:n + j], np.uint64(coef[j]), out=term)
+            out += term
         return mix(out, 5)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
