@@ -76,6 +76,8 @@ class Walks:
         by = np.argsort(self.edges, kind="stable")  # walks come by id: the first of equal edges is of the smallest
         e = self.edges[by]
         first = np.concatenate(([True], e[1:] != e[:-1])) if len(e) else np.empty(0, bool)
+        self.place = np.empty(len(e), np.int64)  # of every edge among the distinct ones
+        self.place[by] = np.cumsum(first) - 1
         return e[first], self.ids[self.doc[by[first]]], by[first]
 
 
@@ -151,7 +153,7 @@ class Cut:
                 out[at] = True
             else:
                 owner[at], shared[at] = _ids(r["base"], r["owners"]), True
-        place = np.searchsorted(edges, w.edges)
+        place = w.place
         own = owner[place]
         here = own == mine[place]  # the owner's edge is in this chunk: its words are at hand
         repeated = (own < w.ids[w.doc]) & ~out[place] & (~here | (w.check == w.check[source][place]))
