@@ -14,9 +14,11 @@ blocks of at most ``block_words`` words; each block is one broadcast and one
 map-side pass over all documents, and no document is shuffled.  Only with
 several blocks are the results of a document's blocks merged by a group-by.
 
-Defined results: null or wordless texts have no words and no hit; null or
-wordless items have no windows; repeated items or documents give the same
-result each; empty tables work; further columns are not read.
+Defined results: null or wordless texts have no words and no hit; items with
+a null or wordless text have no windows; windows of items with a null id hit
+as any others, but no item is named or counted for them; repeated items or
+documents give the same result each; empty tables work; further columns are
+not read.
 """
 
 from __future__ import annotations
@@ -92,13 +94,13 @@ def search(words: list[bytes], tables: list[WuManber]) -> tuple[list[int], list[
 
 
 def benchmark_blocks(bench: DataFrame, item_col: str, text_col: str, window: int,
-                     block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+                     block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The benchmark's items in blocks of about ``block_words`` words; an
     item longer than a block is cut into overlapping parts."""
-    block: list[tuple[str, list[bytes]]] = []
+    block: list[tuple[str | None, list[bytes]]] = []
     size = 0
     rows = bench.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text"))
-    for r in rows.where(F.col("item").isNotNull() & F.col("text").isNotNull()).toLocalIterator():
+    for r in rows.where(F.col("text").isNotNull()).toLocalIterator():
         words = words_of(r["text"])
         for at in range(0, max(1, len(words) - window + 1), block_words):
             part = words[at:at + block_words + window - 1]
@@ -129,7 +131,7 @@ def find_windows(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_
                     hit, found = search(words, tables)
                     n.append(len(words))
                     hits.append(hit)
-                    items.append(sorted({names[k] for k in found}))
+                    items.append(sorted({names[k] for k in found} - {None}))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()),
                                                   pa.array(hits, pa.list_(pa.int32())),
                                                   pa.array(items, pa.list_(pa.string())), batch.column("text_key")],

@@ -52,6 +52,20 @@ def test_several_blocks_give_the_same(spark):
     assert by_id(tuple(map(str, r)) for r in one.collect()) == by_id(tuple(map(str, r)) for r in many.collect())
 
 
+def test_items_without_an_id_hit_and_are_not_counted(spark):
+    items = [(None, "alpha beta gamma"), (None, "delta"), (None, None), (7, "delta"), (8, "eps zeta")]
+    rows = [(1, "an alpha beta gamma here"), (2, "some delta"), (3, "eps zeta alpha beta gamma"), (4, "clean"), (5, None)]
+    want = [(1, 3, []), (2, 1, ["7"]), (3, 5, ["8"]), (4, 0, []), (5, 0, [])]
+    got = D.query(docs_of(spark, rows), bench_of(spark, items)).collect()
+    assert by_id((r.doc_id, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == by_id(
+        (i, n, len(x), hashlib.sha256(",".join(x).encode()).hexdigest(), n > 0) for i, n, x in want)
+    for words in (D.BLOCK_WORDS, 3):
+        found = D.find_windows(docs_of(spark, rows), bench_of(spark, items), block_words=words).collect()
+        assert by_id((r.id, len(r.hits), r["items"]) for r in found) == by_id(want)
+        kept = D.drop_contaminated(docs_of(spark, rows), bench_of(spark, items), block_words=words).collect()
+        assert sorted(r.doc_id for r in kept) == [4, 5]
+
+
 def test_long_items_are_cut_with_overlap(spark):
     item = [(1, " ".join(f"w{k}" for k in range(100)))]
     docs = [(k, " ".join(f"w{j}" for j in range(k, k + 10))) for k in range(91)]
