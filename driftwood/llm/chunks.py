@@ -4,9 +4,9 @@ Operators that compare every passage of a corpus with all others hash it in
 numpy, a chunk of texts at a time, and let Spark shuffle sorted hash lists:
 one row a chunk and part of the hash space.  What a part finds goes back to
 the chunks it concerns, where the texts are read again.  A chunk holds about
-``CHUNK_BYTES`` of text (or one longer text), compressed; the table is
-written once to the shared checkpoint folder, so chunk numbers are fixed and
-a lost executor costs a read.
+``CHUNK_BYTES`` of text (or one longer text) and at most ``CHUNK_ROWS`` rows,
+compressed; the table is written once to the shared checkpoint folder, so
+chunk numbers are fixed and a lost executor costs a read.
 """
 
 from __future__ import annotations
@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from .common import id_text, materialise
 
 CHUNK_BYTES = 8 << 20
+CHUNK_ROWS = 1 << 16
 SCHEMA = "chunk long, n int, n_bytes long, ids binary, nulls binary, payload binary"
 #: Stands for a null id where ids are compared: larger than any.
 NO_ID = np.iinfo(np.int64).max
 
 
-def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
+def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK_BYTES,
+                max_rows: int = CHUNK_ROWS) -> DataFrame:
     def run(batches):
         part, seq, held, ids = TaskContext.get().partitionId(), 0, [], []
 
@@ -50,7 +52,7 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 held.append(t.as_py().encode("utf-8", "surrogatepass"))
                 ids.append(i.as_py())
                 total += len(held[-1])
-                if total >= size:
+                if total >= size or len(held) >= max_rows:
                     yield flush()
                     total = 0
         if held:

@@ -43,6 +43,7 @@ from .common import fold_bytes, join_ids, materialise, mix, pack, pack_sorted, s
 K = 5
 PERCENT = 80
 TOKEN_BITS = 48
+ROW_BITS = 20
 ORDERS = 3
 BLOCK_SHINGLES = 400_000
 BLOCK_DOCS = 4000
@@ -62,7 +63,8 @@ def shingle_sets(chunk: Chunk, k: int) -> list[np.ndarray]:
 
 def row_ids(chunk: Chunk) -> np.ndarray:
     """Numbers of the chunk's rows, one of each row of the corpus."""
-    return (np.int64(chunk.number) << 20) + np.arange(len(chunk.texts), dtype=np.int64)
+    assert len(chunk.texts) <= 1 << ROW_BITS, "a chunk's rows would take the numbers of the next chunk's"
+    return (np.int64(chunk.number) << ROW_BITS) + np.arange(len(chunk.texts), dtype=np.int64)
 
 
 def set_table(chunks: DataFrame, k: int) -> DataFrame:
@@ -280,7 +282,7 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT, id_c
                           .where("size > 1").drop("size"), "classes")
     rows = materialise(sets.join(classes, group, "left").select("rid", "id", "n", F.coalesce("first", "rid").alias("first")),
                        "rows")
-    copies = rows.where("first <> rid").select(F.expr("shiftright(rid, 20)").alias("chunk"), "rid")
+    copies = rows.where("first <> rid").select(F.shiftright("rid", ROW_BITS).alias("chunk"), "rid")
     back = token_lists(chunks, k, parts_for(chunks)).groupBy("part").applyInArrow(repeated_tokens, BACK_SCHEMA)
     cands = materialise(candidates(chunks, back, copies, k, percent), "candidates")
     comps = link_components(cands, percent)

@@ -2,8 +2,10 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from driftwood.llm import ngram_join as J
+from driftwood.llm.chunks import CHUNK_ROWS, Chunk, chunk_table
 
 from .helpers import DOCS, LOREM, by_id, docs_of, edge_docs, empty_docs
 
@@ -96,6 +98,24 @@ def test_prefix_size_is_exact():
         assert J.prefix_size(n, 80) == n - need + 1
 
 
+def test_rows_of_short_texts_have_numbers_of_their_own(spark):
+    docs = spark.range(CHUNK_ROWS + 4000).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text").coalesce(1)
+    chunks = [r.asDict() for r in chunk_table(docs).orderBy("chunk").collect()]
+    assert [r["n"] for r in chunks] == [CHUNK_ROWS, 4000] and CHUNK_ROWS < 1 << J.ROW_BITS
+    rids = np.concatenate([J.row_ids(Chunk(r)) for r in chunks])
+    assert len(np.unique(rids)) == len(rids)
+    assert set((rids >> J.ROW_BITS).tolist()) == {r["chunk"] for r in chunks}
+
+
+def test_row_numbers_do_not_run_into_the_next_chunk():
+    chunk = Chunk.__new__(Chunk)
+    chunk.number, chunk.texts = 3, [b""] * (1 << 20)
+    assert J.row_ids(chunk)[-1] == (4 << 20) - 1
+    chunk.texts.append(b"")
+    with pytest.raises(AssertionError):
+        J.row_ids(chunk)
+
+
 def test_orders_differ():
     own = np.sort(np.random.default_rng(1).integers(0, 1 << 62, 50, dtype=np.uint64))
     tokens = np.unique(own >> np.uint64(16))
