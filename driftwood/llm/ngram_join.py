@@ -32,13 +32,16 @@ are not read.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, chunk_table, cut, parts_for, rows_of, table_rows
-from .common import fold_bytes, join_ids, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
+from .common import fold_bytes, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
+from .exact_dedup import text_digest
 
 K = 5
 PERCENT = 80
@@ -67,18 +70,20 @@ def row_ids(chunk: Chunk) -> np.ndarray:
     return (np.int64(chunk.number) << ROW_BITS) + np.arange(len(chunk.texts), dtype=np.int64)
 
 
-def set_table(chunks: DataFrame, k: int) -> DataFrame:
-    """Every row's number, id, set size and two fingerprints of its set."""
+def set_table(chunks: DataFrame, k: int, digests: bool = False) -> DataFrame:
+    """Every row's number, id, set size and two fingerprints of its set, with
+    ``digests`` also the SHA-256 of its text."""
     def run(batches):
         for row in rows_of(batches):
             chunk = Chunk(row)
             sets = shingle_sets(chunk, k)
             prints = [np.array([mix(s, salt).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                       for salt in (11, 12)]
+            of_text = [pa.array([hashlib.sha256(t).digest() for t in chunk.texts], pa.binary())] if digests else []
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row_ids(chunk)), chunk.id_array(), pa.array([len(s) for s in sets], pa.int32()),
-                 *map(pa.array, prints)], ["rid", "id", "n", "print_a", "print_b"])
-    return chunks.mapInArrow(run, DOC_SCHEMA)
+                 *map(pa.array, prints), *of_text], ["rid", "id", "n", "print_a", "print_b", "digest"][:5 + digests])
+    return chunks.mapInArrow(run, DOC_SCHEMA + ", digest binary" * digests)
 
 
 def token_lists(chunks: DataFrame, k: int, parts: int) -> DataFrame:
@@ -272,25 +277,31 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
                             .select("rid", F.least("comp", F.coalesce("low", "comp")).alias("comp")), "comps")
 
 
-def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """``rid, id, n_shingles, component_id`` of every row."""
+def component_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str,
+                   digests: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``rid, id, n, comp`` (and ``digest``) of every row, and those rows
+    that are in a class or component of several."""
     chunks = chunk_table(docs, id_col, text_col)
-    sets = materialise(set_table(chunks, k), "sets")
-    group = ["n", "print_a", "print_b"]
+    sets = materialise(set_table(chunks, k, digests), "sets")
+    group, cols = ["n", "print_a", "print_b"], ["rid", "id", "n", *["digest"] * digests]
     classes = materialise(sets.where("n > 0").groupBy(*group).agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("size"))
                           .where("size > 1").drop("size"), "classes")
-    rows = materialise(sets.join(classes, group, "left").select("rid", "id", "n", F.coalesce("first", "rid").alias("first")),
-                       "rows")
+    rows = materialise(sets.join(classes, group, "left").select(*cols, F.coalesce("first", "rid").alias("first")), "rows")
     copies = rows.where("first <> rid").select(F.shiftright("rid", ROW_BITS).alias("chunk"), "rid")
     back = token_lists(chunks, k, parts_for(chunks)).groupBy("part").applyInArrow(repeated_tokens, BACK_SCHEMA)
     cands = materialise(candidates(chunks, back, copies, k, percent), "candidates")
     comps = link_components(cands, percent)
     joined = materialise(comps.where("comp <> rid").withColumnRenamed("rid", "first"), "joined")
-    members = rows.join(joined, "first", "left").select("rid", "id", "n", F.coalesce("comp", "first").alias("comp"))
+    members = rows.join(joined, "first", "left").select(*cols, F.coalesce("comp", "first").alias("comp"))
     # only rows of a class or component of several have to be grouped
     many = materialise(joined.select("comp").unionByName(classes.select(F.col("first").alias("comp"))).distinct(), "many")
-    grouped = members.join(many, "comp", "left_semi")
+    return members, members.join(many, "comp", "left_semi")
+
+
+def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """``rid, id, n_shingles, component_id`` of every row."""
+    members, grouped = component_rows(docs, k, percent, id_col, text_col)
     least = materialise(grouped.groupBy("comp").agg(F.min("id").alias("least")), "least")
     return members.join(least, "comp", "left").select("rid", "id", F.col("n").cast("long").alias("n_shingles"),
                                                       F.coalesce("least", "id").alias("component_id"))
@@ -298,11 +309,18 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT, id_c
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component stays, that of the smallest id, with
-    all columns.  An id names a document here: rows that share the id of one
-    that goes go with it, and rows without an id stay."""
-    found = jaccard_components(docs, id_col=id_col, text_col=text_col)
-    gone = found.where("id <> component_id").select("id").distinct()
-    return join_ids(docs, gone, id_col, "left_anti")
+    all columns; null ids come after all others, and of rows of one id that
+    with the smallest text digest stays.  Rows that share both id and text
+    are one document; rows that only share an id are decided each by itself."""
+    _, grouped = component_rows(docs, K, PERCENT, id_col, text_col, digests=True)
+    grouped = materialise(grouped.select("comp", "id", "digest"), "grouped")
+    best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest"))
+    keep = materialise(grouped.groupBy("comp").agg(best.alias("best")).select(
+        "comp", F.col("best.id").alias("keep_id"), F.col("best.digest").alias("keep_digest")), "keep")
+    gone = materialise(grouped.join(keep, "comp").where("NOT (id <=> keep_id AND digest = keep_digest)").select(
+        F.col("id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct(), "gone")
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__gone_id"))
+                     & (text_digest(text_col) == F.col("__gone_digest")), "left_anti")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -131,3 +131,16 @@ def test_keep_one(spark):
     assert kept.columns == df.columns
     gone = {i for i, _, c in brute(DOCS) if i is not None and i != c}
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in DOCS} - gone
+
+
+def test_keep_one_decides_rows_not_ids(spark):
+    """Repeated ids of different texts, and null ids: of each group one document stays, and nothing else goes."""
+    text = {g + n: " ".join([f"{g}{k}" for k in range(60)] + ["end" + n]) for g in "ABCDEFG" for n in ("", "~")}
+    rows = [(5, "A"), (7, "A~"), (5, "B"), (3, "B~"), (9, "C"), (9, "D"), (8, "D~"), (None, "E"), (None, "E~"), (None, "F"),
+            (4, "F~"), (6, "G"), (6, "G~"), (6, "G")]
+    back = {t: n for n, t in text.items()}
+    for parts in (1, 4):
+        kept = J.keep_one(docs_of(spark, [(i, text[n]) for i, n in rows]).repartition(parts)).collect()
+        stay = {(r.doc_id, back[r.text]) for r in kept}
+        assert {x for x in stay if x[1][0] not in "EG"} == {(5, "A"), (3, "B~"), (9, "C"), (8, "D~"), (4, "F~")}
+        assert sorted((str(i), n[0]) for i, n in stay if n[0] in "EG") == [("6", "G"), ("None", "E")]
