@@ -4,8 +4,10 @@ Base patterns (assignments, access keys, long hex runs) give candidate spans
 in every whole text.  The method looks further at what a candidate encodes:
 base64 or hex is decoded and parsed -- DER key encodings by their nested
 lengths, length-prefixed key containers, signed-token headers -- and only a
-confirmed structure adds a span (``jwt``, ``der``, ``sshkey``).  Base spans
-always stay.
+confirmed structure adds a span (``jwt``, ``der``, ``sshkey``).  Base64 may
+begin at any place that no base64 character precedes, or after an escaped
+line end or tab, and goes on over line ends, real or escaped, and indentation.
+Base spans always stay.
 
 Spans are half-open, in code points.  Defined results: null counts as empty
 and has no spans; repeated rows give a row each; ids may be null; empty
@@ -32,7 +34,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # the runs of [0-9a-f]+ that have 24 characters or more: a run is maximal either way
 HEX = re.compile(r"[0-9a-f]{24,}")
 TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+# where base64 of a DER SEQUENCE or of a key container begins, with 24 characters or more in its first line
+START64 = re.compile(r"[Mb](?:(?<![A-Za-z0-9+/].)|(?<=\\[nrt].))"
+                     r"(?=(?<=M)[A-P][A-Za-z0-9+/]{22}|(?<=b)3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/]{4})")
+LINE64 = re.compile(r"[A-Za-z0-9+/]+")
+NEXT64 = re.compile(r"(?:(?:\\+r)?\\+n|\\*\r?\n)(?:[\x20\t]|\\+t)*(?=[A-Za-z0-9+/])")
 HEX_KEY = re.compile(r"(?:30|6[fF])(?:[0-9a-fA-F]{2}){23,}")
 _RUN = bytes(104 if chr(c) in "0123456789abcdefABCDEF" else 98 if chr(c) in "+/-_=" or chr(c).isalnum() and c < 128
              else 32 for c in range(256))
@@ -99,11 +105,12 @@ def is_der_key(b: bytes) -> bool:
     return False
 
 
-def is_ssh_key(b: bytes) -> bool:
-    """A key container: magic, then length-prefixed strings cipher, kdf and
-    options, a key count, and as many length-prefixed public keys."""
+def ssh_size(b: bytes) -> int | None:
+    """Size of a key container: magic, then length-prefixed strings cipher,
+    kdf and options, a key count, as many length-prefixed public keys, and
+    the private part with its tag; all of ``b`` if that part is not whole."""
     if not b.startswith(SSH_MAGIC):
-        return False
+        return None
     at = len(SSH_MAGIC)
 
     def string():
@@ -114,11 +121,20 @@ def is_ssh_key(b: bytes) -> bool:
         at += 4 + n
         return b[at - n:at]
 
-    if any(string() is None for _ in range(3)) or at + 4 > len(b):
-        return False
+    head = [string() for _ in range(3)]
+    if None in head or at + 4 > len(b):
+        return None
     keys = int.from_bytes(b[at:at + 4], "big")
     at += 4
-    return 1 <= keys <= 16 and all(string() is not None for _ in range(keys))
+    if not 1 <= keys <= 16 or any(string() is None for _ in range(keys)):
+        return None
+    if string() is None:
+        return len(b)
+    return min(len(b), at + 16 * (b"gcm" in head[0] or b"poly1305" in head[0]))
+
+
+def is_ssh_key(b: bytes) -> bool:
+    return ssh_size(b) is not None
 
 
 def is_token(s: str) -> bool:
@@ -149,17 +165,23 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     out = []
     if "eyJ" in text or "ey" in text and "." in text:
         out += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if m[0].startswith("ey") and is_token(m[0])]
-    for m in BASE64.finditer(text):
-        if m[0][0] == "M":  # how 0x30 begins
-            size = der_size(decode64(m[0][:8]) or b"")
-            end = _chars(m[0], -(-size * 4 // 3)) if size else None
-            raw = decode64(m[0][:end]) if end else None
-            if raw and is_der_key(raw):
-                while end < len(m[0]) and m[0][end] == "=":
-                    end += 1
-                out.append(("der", m.start(), m.start() + end))
-        elif m[0].startswith("b3Blbn") and is_ssh_key(decode64(m[0]) or b""):
-            out.append(("sshkey", m.start(), m.end()))
+    done = 0
+    for m in START64.finditer(text):
+        at = m.start()
+        if at < done:
+            continue
+        if m[0] == "M":  # how 0x30 begins
+            kind, size = "der", der_size(decode64(text[at:at + 8]) or b"")
+        else:
+            run, _ = base64_run(text, at, len(text))
+            kind, size = "sshkey", ssh_size(decode64(run[:len(run) - (len(run) % 4 == 1)]) or b"")
+        if not size:
+            continue
+        need = -(-size * 4 // 3)
+        run, end = base64_run(text, at, need)
+        if len(run) == need and (kind == "sshkey" or is_der_key(decode64(run) or b"")):
+            done = end + len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
+            out.append((kind, at, done))
     for m in HEX_KEY.finditer(text):
         raw = bytes.fromhex(m[0])
         size = der_size(raw)
@@ -170,15 +192,18 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _chars(s: str, n: int) -> int | None:
-    """Where the first ``n`` characters that are no line ends end."""
-    if "\n" not in s:
-        return n if n <= len(s) else None
-    for m in re.finditer(r"[^\r\n]+", s):
-        if len(m[0]) >= n:
-            return m.start() + n
-        n -= len(m[0])
-    return None
+def base64_run(text: str, at: int, n: int) -> tuple[str, int]:
+    """The first ``n`` base64 characters, or as many as there are, of the
+    lines that begin at ``at``, and where the last of them ends."""
+    out = []
+    while True:
+        end = min(LINE64.match(text, at).end(), at + n)
+        out.append(text[at:end])
+        n -= end - at
+        m = NEXT64.match(text, end) if n else None
+        if m is None:
+            return "".join(out), end
+        at = m.end()
 
 
 def _has_run(text: str) -> tuple[bool, bool]:

@@ -57,6 +57,23 @@ def test_structures_are_confirmed():
     assert ("jwt", 4, 4 + len(JWT)) in S.find_spans("see " + JWT + " there")
 
 
+def test_keys_in_escaped_indented_and_following_lines():
+    sealed = SSH.replace(string(b"none") * 2, string(b"aes256-gcm@openssh.com") + string(b"bcrypt"))
+    for raw, kind in ((RSA, "der"), (PKCS8, "der"), (PUBLIC, "der"), (SSH, "sshkey"), (sealed + b"t" * 16, "sshkey")):
+        coded = base64.b64encode(raw).decode()
+        lines = re.findall(".{1,64}", coded)
+        for before, join, after in (
+                ("-----BEGIN PRIVATE KEY-----\\n", "\\n", "\\n-----END PRIVATE KEY-----\\n"),
+                ('{"key": "-----BEGIN PRIVATE KEY-----\\r\\n', "\\r\\n", '\\r\\n-----END"}'),
+                ("-----BEGIN PRIVATE KEY-----\\\\n", "\\\\n", "\\\\n-----END"),
+                ("key: |\n    -----BEGIN PRIVATE KEY-----\n    ", "\n    ", "\n    -----END PRIVATE KEY-----"),
+                ("\tx\r\n\t", "\r\n\t", "\n"), ("KEY=é" + "w" * 30 + "\n", "\n", "\n-----END"), ("w" * 30 + "\n", "", "\n"),
+                ("a" * 64 + "\n" + "b" * 64 + "\n", "\n", "\nword after"), ("see ", "\n  ", "\n  words after it")):
+            held = join.join(lines)
+            found = [s for s in S.find_spans(before + held + after) if s[0] in S.KINDS[3:]]
+            assert found == [(kind, len(before), len(before) + len(held))], (before, kind, found)
+
+
 def test_near_structures_are_not():
     rng = random.Random(2)
     broken = bytearray(RSA)
