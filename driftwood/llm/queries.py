@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    centroids,
     decontaminate,
     exact_dedup,
+    hilbert_neighbours,
     license_scan,
     lm_score,
     ngram_join,
+    periodic_runs,
     quality,
     secrets,
     sentencepiece_codec,
@@ -65,9 +68,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.query(table(spark, sf_dir, "pages"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.query(table(spark, sf_dir, "embeddings"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_neighbours.query(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sentencepiece, op2_license_scan, op3_secret_scan, op4_quality, op5_decontaminate, op6_lm_score, op7_ngram_join,
-    op8_substring_dedup, op9_exact_dedup, op10_url_filter)}
+    op8_substring_dedup, op9_exact_dedup, op10_url_filter,
+    op11_centroid_clustering, op12_nearest_neighbours, op13_periodic_runs)}
 
 SQL: dict[str, str] = {"op5_decontaminate": decontaminate.SQL, "op8_substring_dedup": substring_dedup.SQL,
-                       "op9_exact_dedup": exact_dedup.SQL, "op10_url_filter": url_filter.SQL}
+                       "op9_exact_dedup": exact_dedup.SQL, "op10_url_filter": url_filter.SQL,
+                       "op11_centroid_clustering": centroids.SQL, "op12_nearest_neighbours": hilbert_neighbours.SQL,
+                       "op13_periodic_runs": periodic_runs.SQL}

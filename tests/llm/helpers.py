@@ -33,3 +33,11 @@ def empty_docs(spark):
 
 def by_id(rows):
     return sorted(rows, key=lambda r: tuple((x is not None, str(x)) for x in r))
+
+
+def vectors_of(spark, rows, kind="float"):
+    """Vectors with columns whose names the operators use themselves."""
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    for name in ("id", "vec", "print", "asks", "block", "key", "cluster", "distance", "sketch", "n", "radius", "copies"):
+        df = df.withColumn(name, F.lit(name))
+    return df.withColumn("label", F.lit(None).cast("int"))
