@@ -30,7 +30,7 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK_BYTES,
-                max_rows: int = CHUNK_ROWS) -> DataFrame:
+                max_rows: int = CHUNK_ROWS, level: int = 5) -> DataFrame:
     def run(batches):
         part, seq, held, ids = TaskContext.get().partitionId(), 0, [], []
 
@@ -40,7 +40,7 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             raw = lengths.tobytes() + b"".join(held)
             row = [part << 24 | seq, len(held), int(lengths.sum(dtype=np.int64)),
                    np.array([NO_ID if i is None else i for i in ids], "<i8").tobytes(),
-                   bytes(i is None for i in ids), zstandard.ZstdCompressor(level=5).compress(raw)]
+                   bytes(i is None for i in ids), zstandard.ZstdCompressor(level=level).compress(raw)]
             seq, held, ids = seq + 1, [], []
             return pa.RecordBatch.from_arrays(
                 [pa.array([row[0]], pa.int64()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.int64()),

@@ -81,6 +81,11 @@ class Walks:
         return e[first], self.ids[self.doc[by[first]]], by[first]
 
 
+def joint(edges: np.ndarray, checks: np.ndarray) -> np.ndarray:
+    """One hash of an edge's two."""
+    return mix(edges + np.uint64(3) * checks, 6)
+
+
 def _owners(ids: np.ndarray) -> tuple[int, bytes]:
     base = int(ids.min()) if len(ids) else 0
     return base, pack((ids - base).astype(np.uint64))
@@ -157,7 +162,8 @@ class Cut:
         own = owner[place]
         here = own == mine[place]  # the owner's edge is in this chunk: its words are at hand
         repeated = (own < w.ids[w.doc]) & ~out[place] & (~here | (w.check == w.check[source][place]))
-        self.answers = edges[shared & (owner == mine)], w.check[source][shared & (owner == mine)]
+        mine = shared & (owner == mine)
+        self.answers = np.sort(joint(edges[mine], w.check[source][mine]))
         at, own, far = w.at[repeated], own[repeated], ~here[repeated]
         # a path breaks where the next edge is not the next window or has another owner
         new = np.concatenate(([True], (np.diff(at) != 1) | (np.diff(own) != 0))) if len(at) else np.empty(0, bool)
@@ -166,8 +172,9 @@ class Cut:
         self.starts, self.stops, self.owners = at[first], at[last] + k, own[first]
         ends = np.unique(np.concatenate((first[far[first]], last[far[last]])))
         held = np.flatnonzero(repeated)[ends]
-        claims, keep = np.unique(w.edges[held], return_index=True)
-        self.claims = claims, w.check[held][keep]
+        claims = joint(w.edges[held], w.check[held])
+        self.claims, keep = np.unique(claims, return_index=True)
+        self.claimed = w.edges[held][keep]
 
     def documents(self):
         """For every document: its place, its paths (start, end, owner) and
@@ -195,7 +202,7 @@ OUT_SCHEMA = ("kind string, chunk long, part int, id long, n_words long, n_remov
 
 def cut_chunks(chunks: DataFrame, back: DataFrame, k: int, parts: int, texts: bool) -> DataFrame:
     """Rows of three kinds: ``doc`` (``kept`` is the text, or its digest),
-    ``claim`` and ``answer`` (edges with their second hashes)."""
+    ``claim`` and ``answer`` (joint hashes of edges, claims with the edges)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
@@ -208,13 +215,13 @@ def cut_chunks(chunks: DataFrame, back: DataFrame, k: int, parts: int, texts: bo
                             "n_words": len(words), "n_removed": len(words) - int(keep.sum()),
                             "kept": kept.decode("utf-8", "replace") if texts else hashlib.sha256(kept).hexdigest(),
                             "paths": [{"start": a, "end": b, "owner": o} for a, b, o in paths.tolist()]})
-            for kind, (edges, checks) in (("claim", cut_up.claims), ("answer", cut_up.answers)):
-                at = cut(edges, parts)
+            for kind, checks, edges in (("claim", cut_up.claims, cut_up.claimed), ("answer", cut_up.answers, None)):
+                at = cut(checks, parts)
                 for p in range(parts):
                     a, b = at[p], at[p + 1]
                     if a < b:
-                        out.append({"kind": kind, "chunk": row["chunk"], "part": p, "edges": pack_sorted(edges[a:b]),
-                                    "checks": pack(checks[a:b])})
+                        out.append({"kind": kind, "chunk": row["chunk"], "part": p, "checks": pack_sorted(checks[a:b]),
+                                    "edges": None if edges is None else pack(edges[a:b])})
         return pa.Table.from_pylist(out, _OUT)
     return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, OUT_SCHEMA)
 
@@ -222,18 +229,15 @@ def cut_chunks(chunks: DataFrame, back: DataFrame, k: int, parts: int, texts: bo
 def failed_claims(t: pa.Table) -> pa.Table:
     """Claims of one part that no answer for the edge agrees with."""
     rows = table_rows(t)
-
-    def joint(r: dict) -> tuple[np.ndarray, np.ndarray]:
-        edges = unpack_sorted(r["edges"])
-        return edges, mix(edges + np.uint64(3) * unpack(r["checks"]), 6)
-    good = np.unique(np.concatenate([np.empty(0, np.uint64), *[joint(r)[1] for r in rows if r["kind"] == "answer"]]))
+    good = np.unique(np.concatenate([np.empty(0, np.uint64), *[unpack_sorted(r["checks"]) for r in rows if r["kind"] == "answer"]]))
     out = []
     for r in rows:
         if r["kind"] == "claim":
-            edges, both = joint(r)
-            bad = edges[~np.isin(both, good)]
+            checks, edges = unpack_sorted(r["checks"]), unpack(r["edges"])
+            at = np.searchsorted(good, checks)  # good ascends: sorting it anew for every claim row would cost its square
+            bad = edges[(at == len(good)) | (good[np.minimum(at, len(good) - 1)] != checks)] if len(good) else edges
             if len(bad):
-                out.append({"chunk": r["chunk"], "edges": pack_sorted(bad), "base": None, "owners": None})
+                out.append({"chunk": r["chunk"], "edges": pack_sorted(np.sort(bad)), "base": None, "owners": None})
     return pa.Table.from_pylist(out, _BACK)
 
 
@@ -242,7 +246,7 @@ def dedup_substrings(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_c
     """``id, n_words, n_removed, kept, paths`` of every document: the kept
     words joined by one space (without ``texts`` their SHA-256), and the
     compacted repeated paths with their owners."""
-    chunks = chunk_table(docs, id_col, text_col)
+    chunks = chunk_table(docs, id_col, text_col, level=9)
     parts = parts_for(chunks)
     back = edge_lists(chunks, k, parts).groupBy("part").applyInArrow(join_edges, BACK_SCHEMA)
     made = materialise(cut_chunks(chunks, back, k, parts, texts), "paths")

@@ -73,8 +73,10 @@ def test_paths_across_chunks_are_verified_at_their_source(spark):
 
 
 def test_a_claim_without_a_true_answer_fails():
-    row = lambda kind, chunk, pairs: {"kind": kind, "part": 0, "chunk": chunk, "edges": pack_sorted(np.array([e for e, _ in pairs], np.uint64)),
-                                      "checks": pack(np.array([c for _, c in pairs], np.uint64))}
+    def row(kind, chunk, pairs):
+        both = sorted((int(S.joint(np.array([e], np.uint64), np.array([c], np.uint64))[0]), e) for e, c in pairs)
+        return {"kind": kind, "part": 0, "chunk": chunk, "checks": pack_sorted(np.array([c for c, _ in both], np.uint64)),
+                "edges": pack(np.array([e for _, e in both], np.uint64)) if kind == "claim" else None}
     t = pa.Table.from_pylist([row("answer", 1, [(5, 50), (7, 70)]), row("claim", 2, [(5, 50), (7, 71)]), row("claim", 3, [(9, 1)])])
     bad = S.failed_claims(t).to_pylist()
     assert [(r["chunk"], S.unpack_sorted(r["edges"]).tolist()) for r in bad] == [(2, [7]), (3, [9])]
