@@ -33,7 +33,8 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # the runs of [0-9a-f]+ that have 24 characters or more: a run is maximal either way
 HEX = re.compile(r"[0-9a-f]{24,}")
-TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# anchored where a run begins and possessive, so that a long run is read once
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+")
 # where base64 of a DER SEQUENCE or of a key container begins, with 24 characters or more in its first line
 START64 = re.compile(r"[Mb](?:(?<![A-Za-z0-9+/].)|(?<=\\[nrt].))"
                      r"(?=(?<=M)[A-P][A-Za-z0-9+/]{22}|(?<=b)3BlbnNzaC1rZXktdjEA[A-Za-z0-9+/]{4})")
@@ -105,32 +106,70 @@ def is_der_key(b: bytes) -> bool:
     return False
 
 
-def ssh_size(b: bytes) -> int | None:
-    """Size of a key container: magic, then length-prefixed strings cipher,
-    kdf and options, a key count, as many length-prefixed public keys, and
-    the private part with its tag; all of ``b`` if that part is not whole."""
+def may_be_der_key(head: bytes) -> bool:
+    """Whether the first bytes of a value can begin a key that ``is_der_key``
+    confirms, so that no more is read of what cannot."""
+    top = der_item(head, 0, 1 << 40)
+    if top is None or top[0] != 0x30 or top[1] + 4 > len(head):
+        return False
+    at = top[1]
+    if head[at] == 0x02:
+        return head[at + 1] == 1 and head[at + 2] <= 3 and head[at + 3] in (0x02, 0x04, 0x30)
+    inner = der_item(head, at, 1 << 40)
+    return inner is not None and inner[0] == 0x30 and (inner[1] >= len(head) or head[inner[1]] == 0x06)
+
+
+def ssh_parse(b: bytes) -> tuple[int | None, int, bool]:
+    """Size of the key container that ``b`` begins with, if it can be told:
+    magic, then length-prefixed strings cipher, kdf and options, a key count,
+    as many length-prefixed public keys, and the private part with its tag.
+    Else how many bytes must be at hand to go on (0: it is no container) and
+    whether only the private part is missing."""
     if not b.startswith(SSH_MAGIC):
-        return None
-    at = len(SSH_MAGIC)
-
-    def string():
-        nonlocal at
+        return None, 0, False
+    at, head, keys = len(SSH_MAGIC), [], None
+    while True:
+        private = keys == 0
+        if at + 4 > len(b):
+            return None, at + 4, private
         n = int.from_bytes(b[at:at + 4], "big")
-        if at + 4 > len(b) or at + 4 + n > len(b):
-            return None
-        at += 4 + n
-        return b[at - n:at]
+        at += 4
+        if keys is None and len(head) == 3:
+            if not 1 <= n <= 16:
+                return None, 0, False
+            keys = n
+            continue
+        at += n
+        if private:
+            return at + 16 * (b"gcm" in head[0] or b"poly1305" in head[0]), 0, False
+        if at > len(b):
+            return None, at, False
+        if keys is None:
+            head.append(b[at - n:at])
+        else:
+            keys -= 1
+
+
+def ssh_size(b: bytes) -> int | None:
+    """Size of a key container, all of ``b`` if its private part is not whole."""
+    size, _, private = ssh_parse(b)
+    return len(b) if private else None if size is None else min(len(b), size)
 
-    head = [string() for _ in range(3)]
-    if None in head or at + 4 > len(b):
-        return None
-    keys = int.from_bytes(b[at:at + 4], "big")
-    at += 4
-    if not 1 <= keys <= 16 or any(string() is None for _ in range(keys)):
-        return None
-    if string() is None:
-        return len(b)
-    return min(len(b), at + 16 * (b"gcm" in head[0] or b"poly1305" in head[0]))
+
+def ssh_size_at(text: str, at: int) -> int | None:
+    """``ssh_size`` of the base64 run at ``at``, of which only as much is
+    read as the container's own lengths ask for."""
+    need = 96
+    while True:
+        n = -(-need * 4 // 3)
+        run, _ = base64_run(text, at, n)
+        b = decode64(run[:len(run) - (len(run) % 4 == 1)]) or b""
+        size, more, private = ssh_parse(b)
+        if len(run) < n or size is not None and size <= len(b):
+            return ssh_size(b)
+        if size is None and not private and (not more or more > (len(text) - at) * 3 // 4):
+            return None
+        need = max(size or more, 2 * need)
 
 
 def is_ssh_key(b: bytes) -> bool:
@@ -173,11 +212,12 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
         if m[0] == "M":  # how 0x30 begins
             kind, size = "der", der_size(decode64(text[at:at + 8]) or b"")
         else:
-            run, _ = base64_run(text, at, len(text))
-            kind, size = "sshkey", ssh_size(decode64(run[:len(run) - (len(run) % 4 == 1)]) or b"")
+            kind, size = "sshkey", ssh_size_at(text, at)
         if not size:
             continue
         need = -(-size * 4 // 3)
+        if need > len(text) - at or kind == "der" and not may_be_der_key(decode64(base64_run(text, at, 24)[0]) or b""):
+            continue
         run, end = base64_run(text, at, need)
         if len(run) == need and (kind == "sshkey" or is_der_key(decode64(run) or b"")):
             done = end + len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))

@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 from driftwood.llm import secrets as S
 
@@ -84,6 +85,95 @@ def test_near_structures_are_not():
         assert not [s for s in S.find_spans(text) if s[0] in S.KINDS[3:]], text
 
 
+LINE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+
+
+def brute_confirmed(text):
+    """Every start and every size tried, without a look at any length first."""
+    out = {("jwt", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*", text)
+           if m[0].startswith("ey") and S.is_token(m[0])}
+    done = 0
+    for at in range(len(text)):
+        free = at == 0 or text[at - 1] not in LINE or at > 1 and text[at - 2] == "\\" and text[at - 1] in "nrt"
+        if at < done or not free or text[at] not in "Mb" or sum(1 for _ in _while(text[at:], LINE)) < 24:
+            continue
+        places, k = [], at  # of the base64 characters of this and the following lines
+        while True:
+            while k < len(text) and text[k] in LINE:
+                places.append(k)
+                k += 1
+            m = re.compile(r"(?:(?:\\+r)?\\+n|\\*\r?\n)(?:[ \t]|\\+t)*(?=[A-Za-z0-9+/])").match(text, k)
+            if m is None:
+                break
+            k = m.end()
+        for n in range(24, len(places) + 1):
+            coded = "".join(text[p] for p in places[:n])
+            raw = S.decode64(coded)
+            if raw is None or len(coded) != -(-len(raw) * 4 // 3):
+                continue
+            whole = n == len(places) or n + 1 == len(places) and len(places) % 4 == 1
+            if text[at] == "M" and S.is_der_key(raw) or text[at] == "b" and S.ssh_size(raw) == len(raw) and (
+                    S.ssh_parse(raw)[0] == len(raw) or whole):
+                end = places[n - 1] + 1
+                done = end + len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
+                out.add(("der" if text[at] == "M" else "sshkey", at, done))
+                break
+    for m in re.finditer(r"(?:30|6[fF])(?:[0-9a-fA-F]{2}){23,}", text):
+        raw = bytes.fromhex(m[0])
+        size = next((n for n in range(2, len(raw) + 1) if S.is_der_key(raw[:n])), None)
+        if size:
+            out.add(("der", m.start(), m.start() + 2 * size))
+        elif S.is_ssh_key(raw):
+            out.add(("sshkey", m.start(), m.end()))
+    return out
+
+
+def _while(text, allowed):
+    for c in text:
+        if c not in allowed:
+            return
+        yield c
+
+
+SMALL = der(0x30, der(2, b"\0") + der(4, b"k" * 20) + der(2, b"\1" * 9))
+SMALL_PUBLIC = der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(3, b"\0" + b"p" * 21))
+SMALL_SSH = S.SSH_MAGIC + string(b"none") * 2 + string(b"") + (1).to_bytes(4, "big") + string(b"pub" * 5) + string(b"private")
+
+
+def test_confirmed_spans_against_brute_force():
+    rng = random.Random(7)
+    coded = [base64.b64encode(x).decode() for x in (SMALL, SMALL_PUBLIC, SMALL_SSH, SMALL_SSH[:-9], SMALL_SSH + b"more", SMALL[:-2])]
+    coded += [SMALL.hex(), SMALL_SSH.hex(), SMALL_PUBLIC.hex().upper(), JWT, JWT.replace("e", "f", 1)]
+    glue = ["\n", " ", "=", "\\n", "\n  ", "ab", "+", "\\t", ".", "-", "ey.", "M", "é", "\r\n", "deadbeef", "A" * 30]
+    for _ in range(400):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            c = rng.choice(coded)
+            if rng.random() < 0.4:
+                at = rng.randrange(24, len(c))
+                c = c[:at] + rng.choice(["\n", "\\n", "\n\t", "\\\\n", " "]) + c[at:]
+            parts += [rng.choice(glue), c]
+        text = "".join(parts) + rng.choice(glue)
+        got = {x for x in S.find_spans(text) if x[0] in S.KINDS[3:]}
+        assert got == brute_confirmed(text), text
+
+
+def test_long_runs_are_read_once():
+    rng = random.Random(3)
+    b64 = base64.b64encode(rng.randbytes(1 << 20)).decode()
+    line, n = 64, 2 << 20
+    ssh = base64.b64encode(SMALL_SSH[:40]).decode()[:52]
+    texts = ["ey " + "a" * n + ".b", "ey." + b64url(rng.randbytes(3 * n // 4)), "ey." + "ab-_" * (n // 4), "x.ey" * (n // 4), rng.randbytes(n // 2).hex(),
+             "30" * (n // 2), "\n".join(re.findall(".{1,64}", b64)), ("b3BlbnNzaC1rZXktdjEA" + "A" * 44 + "\n") * (n // line),
+             (ssh + "A" * 12 + "\n") * (n // line), ("b3BlbnNzaC1rZXktdjEAAAAABG5vbmU" + "/" * 33 + "\n") * (n // line),
+             ("MIIEpAIBAAKCAQEA" + "x" * 48 + "\n") * (n // line), ("MIP//zAwMDAwMDAw" + "M" * 48 + "\n") * (n // line),
+             ("MIL//wIBADCC//8C" + "\n") * 20 + "x", "\\" * n, " \n" * (n // 2), "token " * (n // 6), "AKIA" * (n // 4)]
+    for text in texts:
+        start = time.perf_counter()
+        S.find_spans(text)
+        assert time.perf_counter() - start < 3, text[:60]  # about a second at most on a free core
+
+
 def test_query(spark):
     rows = [*DOCS, (30, f"Token = '{JWT}' and {base64.b64encode(RSA).decode()}"), (31, "password: hunter2 password: hi")]
     got = {(r.doc_id, r.base_sha256): r for r in S.query(docs_of(spark, rows)).collect()}
