@@ -116,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, calibr
     texts = id_text(docs, id_col, text_col)
     piece = F.expr(f"substring(text, 1 + cast(pmod(at, greatest(length(text) - {PIECE} + 1, 1)) as int), {PIECE})")
     rows = texts.join(F.broadcast(train), F.col("id") == F.col("lid")).select("id", "y", piece.alias("p")) \
-        .dropDuplicates(["id", "y"]).orderBy("id", "y").collect()  # at most 2 * train_rows pieces
+        .groupBy("id", "y").agg(F.min("p").alias("p")).orderBy("id", "y").collect()  # at most 2 * train_rows pieces
     parts = [[r["p"].encode("utf-8", "surrogatepass")[:PIECE] for r in rows if r["y"] == y and r["p"]] for y in (0, 1)]
     dicts = [_dictionary(p) for p in parts]
     shared = docs.sparkSession.sparkContext.broadcast(tuple(dicts))
@@ -128,8 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, calibr
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"),
                                               pa.array(found, pa.list_(pa.float64()))], ["id", "y", "e"])
     seen = (texts.join(F.broadcast(check), F.col("id") == F.col("lid")).select("id", "y", "text")
-            .mapInArrow(measure, "id long, y int, e array<double>").orderBy("id", "y", "e").collect()
-            if all(dicts) else [])  # at most calibration_rows rows of four numbers, unless ids repeat
+            .mapInArrow(measure, "id long, y int, e array<double>").groupBy("id", "y").agg(F.min("e").alias("e"))
+            .orderBy("id", "y").collect() if all(dicts) else [])  # at most calibration_rows rows of four numbers
     y = np.array([r["y"] for r in seen], float)
     if len(set(y)) < 2:
         every = [r["y"] for r in rows] or [0, 1]
