@@ -30,7 +30,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the scratch table that ``df`` reads, once nothing will read it
+    again; any other table stays."""
+    path = df.__dict__.get("scratch")
+    if path:
+        jvm = df.sparkSession._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def ship(spark: SparkSession) -> None:

@@ -18,9 +18,12 @@ are cut into blocks of bounded size, and a task takes one block, later two
 blocks of a group together, with its documents' prefixes and sets: inverted
 lists of the prefixes under each order give the candidates of a document, the
 filters are intersected, and inverted lists of the shingles verify what is
-left.  Only links that connect two components are put out, so neither
-candidates nor links of a group become rows; a second pass meets only blocks
-of documents that still share a prefix token across components.
+left.  Only links that connect two components are put out, as stars, so
+neither candidates nor links of a group become rows.  The second pass takes
+what still shares a prefix token across components: blocks are of like set
+sizes, and a document goes only to blocks of sizes near its own that hold one
+of its tokens in another component.  Components are drawn together by
+pointer jumping, so a chain of n links takes some log(n) rounds.
 
 Defined results: words are maximal runs without white space, A-Z lower-cased;
 a text of fewer than ``k`` words is one shingle of all its words; null or
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, chunk_table, cut, parts_for, rows_of, table_rows
-from .common import fold_bytes, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
+from .common import discard, fold_bytes, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
 from .exact_dedup import text_digest
 
 K = 5
@@ -49,7 +52,9 @@ TOKEN_BITS = 48
 ROW_BITS = 20
 ORDERS = 3
 BLOCK_SHINGLES = 400_000
-BLOCK_DOCS = 4000
+BLOCK_DOCS = 1000
+#: Up to so many dropped rows their list is broadcast, so that the texts of the others are not shuffled.
+BROADCAST_ROWS = 1 << 19
 
 DOC_SCHEMA = "rid long, id long, n int, print_a long, print_b long"
 TOKENS_SCHEMA = "part int, chunk long, tokens binary, counts binary"
@@ -108,15 +113,27 @@ def repeated_tokens(t: pa.Table) -> pa.Table:
     rows, back to the chunks that hold them."""
     rows = table_rows(t)
     lists = [unpack_sorted(r["tokens"]) for r in rows]
-    tokens, which = np.unique(np.concatenate(lists), return_inverse=True)
-    total = np.bincount(which, weights=np.concatenate([unpack(r["counts"]) for r in rows]).astype(float)).astype(np.uint64)
+    sizes = [len(x) for x in lists]
+    tokens = np.concatenate(lists)
+    del lists
+    counts = np.concatenate([unpack(r["counts"]).astype(np.uint32) for r in rows])
+    by = np.argsort(tokens)
+    tokens = tokens[by]
+    start = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+    del tokens
+    total = np.add.reduceat(counts[by], start, dtype=np.uint64)
+    total = np.repeat(np.minimum(total, 0xFFFFFFFF).astype(np.uint32), np.diff(np.concatenate((start, [len(by)]))))
+    counts[by] = total  # of every entry, in the order of the lists
     out, at = [], 0
-    for r, mine in zip(rows, lists, strict=True):
-        n = total[which[at:at + len(mine)]]
-        at += len(mine)
+    for r, size in zip(rows, sizes, strict=True):
+        n = counts[at:at + size]
+        at += size
         if (n > 1).any():
-            out.append({"chunk": r["chunk"], "tokens": pack_sorted(mine[n > 1]), "counts": pack(n[n > 1])})
-    return pa.Table.from_pylist(out, _BACK)
+            out.append({"chunk": r["chunk"], "tokens": pack_sorted(unpack_sorted(r["tokens"])[n > 1]),
+                        "counts": pack(n[n > 1].astype(np.uint64))})
+    made = pa.Table.from_pylist(out, _BACK)
+    pa.default_memory_pool().release_unused()
+    return made
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -160,6 +177,7 @@ def candidates(chunks: DataFrame, back: DataFrame, copies: DataFrame, k: int, pe
                 if made:
                     out.append({"rid": rid, "n": len(own), **{f"prefix{i}": p for i, p in enumerate(made)},
                                 "shingles": own.tobytes()})
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_pylist(out, pa.schema([("rid", pa.int64()), ("n", pa.int32())]
                                                    + [(f"prefix{i}", pa.list_(pa.int64())) for i in range(ORDERS)]
                                                    + [("shingles", pa.binary())]))
@@ -190,13 +208,14 @@ class Postings:
 
 
 def block_links(t: pa.Table, percent: int) -> pa.Table:
-    """Links between different components of the documents of one block, or
-    of one block with those of another (column ``side``), as a forest."""
+    """Links between the components that the documents of one block are in,
+    or of one block with those of another (column ``side``): of all that hang
+    together, the least with every other."""
     rid, label, side, n = (np.array(t[c].to_pylist(), np.int64) for c in ("rid", "comp", "side", "n"))
     two = len(set(side.tolist())) > 1
     orders = [Postings([np.array(x, np.int64) for x in t[f"prefix{k}"].to_pylist()]) for k in range(ORDERS)]
     sets = Postings([np.frombuffer(x, "<u8") for x in t["shingles"].to_pylist()])
-    out = []
+    given, joined = label.copy(), False
     for i in range(len(rid)):
         may = (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (label != label[i])
         may[:i + 1] = False
@@ -211,27 +230,45 @@ def block_links(t: pa.Table, percent: int) -> pa.Table:
         both = sets.shared(i)
         for j in np.flatnonzero(may & (100 * both >= percent * (n + n[i] - both))):
             if label[j] != label[i]:
-                out.append((int(rid[i]), int(rid[j])))
-                label[label == label[j]] = label[i]
-    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-
-
-def blocks_of(cands: DataFrame, tokens: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the candidates that share a token of ``tokens(rid, token)`` across
-    components: ``rid, comp, part, block, blocks``, where ``part`` is the
-    group they are connected to; and the groups of several blocks."""
+                label[label == label[j]], joined = label[i], True
+    if not joined:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    # one row a given component, and of it the joined components' least
+    _, first = np.unique(given, return_index=True)
+    least = {int(k): int(given[first][label[first] == k].min()) for k in np.unique(label[first])}
+    stars = [(least[int(label[f])], int(given[f])) for f in first if least[int(label[f])] != given[f]]
+    return pa.table({"a": pa.array([x for x, _ in stars], pa.int64()), "b": pa.array([y for _, y in stars], pa.int64())})
+
+
+def crossing(tokens: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rid, token, comp`` of ``tokens(rid, token)``, and the tokens whose
+    documents are in several components (with one of them, ``hub``)."""
     here = tokens.join(state, "rid")
     split = here.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                                       F.min("rid").alias("hub")).where("low < high").select("token", "hub")
-    spokes = materialise(here.join(split, "token").select("rid", "comp", "hub").distinct(), "spokes")
+    return here, materialise(split, "split")
+
+
+def blocks_of(cands: DataFrame, here: DataFrame, split: DataFrame, state: DataFrame, percent: int) -> tuple[DataFrame, bool]:
+    """Of the candidates that share a token across components: ``rid, comp,
+    part, step, unit, blocks``, where ``part`` is the group they are connected
+    to, and whether a group has several blocks.  A group of one block is one
+    ``unit``; a larger one is cut by steps of the set size, so that sets of
+    far steps cannot link, and within a step by hash."""
+    spokes = materialise(here.join(split, "token").select("rid", "hub").distinct(), "spokes")
     nodes = spokes.select("rid").distinct()
     groups = components(nodes.withColumn("comp", F.col("rid")), spokes.where("rid <> hub").selectExpr("rid AS a", "hub AS b"))
-    member = groups.select("rid", F.col("comp").alias("part")).join(state, "rid").join(cands.select("rid", "n"), "rid")
-    size = member.groupBy("part").agg(F.expr(
-        f"cast(greatest(ceil(sum(n) / {BLOCK_SHINGLES}), ceil(count(*) / {BLOCK_DOCS})) AS int)").alias("blocks"))
-    size = materialise(size, "sizes")
-    return materialise(member.join(size, "part").select(
-        "rid", "comp", "part", "blocks", F.expr("cast(pmod(xxhash64(rid), blocks) AS int)").alias("block")), "blocks"), size
+    # sizes that are a factor of 100 / percent apart cannot link
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    member = groups.select("rid", F.col("comp").alias("part")).join(state, "rid").join(
+        cands.select("rid", "n", step.alias("step")), "rid")
+    need = F.expr(f"cast(greatest(ceil(sum(n) / {BLOCK_SHINGLES}), ceil(count(*) / {BLOCK_DOCS})) AS int)")
+    size = materialise(member.groupBy("part").agg(need.alias("blocks")), "sizes")
+    member = member.join(size, "part").withColumn("step", F.when(F.col("blocks") > 1, F.col("step")).otherwise(F.lit(0)))
+    pieces = member.groupBy("part", "step").agg(need.alias("pieces"))
+    member = member.join(pieces, ["part", "step"]).select("rid", "comp", "part", "step", "blocks", F.expr(
+        "step * 4294967296L + pmod(xxhash64(rid), pieces)").alias("unit"))
+    return materialise(member, "blocks"), not size.where("blocks > 1").isEmpty()
 
 
 LINK_COLS = ["n", *[f"prefix{i}" for i in range(ORDERS)], "shingles"]
@@ -243,45 +280,83 @@ def link_components(cands: DataFrame, percent: int) -> DataFrame:
     tokens = materialise(cands.select("rid", F.explode("prefix0").alias("token")), "tokens")
     state = cands.select("rid", F.col("rid").alias("comp"))
     run = lambda t: block_links(t, percent)
-    member, size = blocks_of(cands, tokens, state)
-    own = member.join(cands, "rid").select("part", "block", F.lit(0).alias("side"), "rid", "comp", *LINK_COLS)
-    links = materialise(own.groupBy("part", "block").applyInArrow(run, "a long, b long"), "found")
+    here, split = crossing(tokens, state)
+    member, many = blocks_of(cands, here, split, state, percent)
+    own = member.join(cands, "rid").select("part", "unit", F.lit(0).alias("side"), "rid", "comp", *LINK_COLS)
+    links = materialise(own.groupBy("part", "unit").applyInArrow(run, "a long, b long"), "found")
     state = components(state, links)
-    if size.where("blocks > 1").isEmpty():
+    if not many:
         return state
     cut_up = member.where("blocks > 1").select("rid")
-    member, _ = blocks_of(cands, tokens.join(cut_up, "rid", "left_semi"), state)
-    # every pair of blocks of a group, a block with itself too: a document goes to each pair that its block is in
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = member.select("rid", "comp", "part", "block", other).join(cands, "rid").select(
-        "part", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        F.col("block").alias("side"), "rid", "comp", *LINK_COLS)
+    here, split = crossing(tokens.join(cut_up, "rid", "left_semi"), state)
+    member, _ = blocks_of(cands, here, split, state, percent)
+    # a document goes to the units, of sizes near its own, that hold a token of its prefix in another component
+    met = here.join(split.select("token"), "token", "left_semi").select("rid", "token").join(member, "rid")
+    unit = met.groupBy("token", F.col("step").alias("other_step"), F.col("unit").alias("other")).agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"))
+    route = (met.join(unit, "token").where("abs(step - other_step) <= 1 AND (low <> comp OR high <> comp)")
+             .select("rid", "comp", "part", F.least("unit", "other").alias("one"), F.greatest("unit", "other").alias("two"),
+                     (F.col("unit") > F.col("other")).cast("int").alias("side")).distinct())
+    # a unit with itself as well: its documents may have come together in other groups
+    pairs = route.join(cands, "rid").select("part", "one", "two", "side", "rid", "comp", *LINK_COLS)
     more = materialise(pairs.groupBy("part", "one", "two").applyInArrow(run, "a long, b long"), "found")
-    return components(state, links.unionByName(more))
+    return components(state, more)
+
+
+def _follow(falls: DataFrame) -> DataFrame:
+    """``old, low`` with every label's last fall: pointers are doubled until
+    none leads on."""
+    while True:
+        on = falls.select(F.col("old").alias("mid"), F.col("low").alias("end"))
+        more = falls.join(on, F.col("low") == F.col("mid"), "left").select(
+            "old", F.coalesce("end", "low").alias("low"), F.col("end").isNotNull().alias("fell"))
+        more = materialise(more, "falls")
+        discard(falls)
+        falls = more.select("old", "low")
+        falls.scratch = more.scratch
+        if more.where("fell").isEmpty():
+            return falls
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``rid, comp``: the smallest number reachable by ``links(a, b)`` from
-    each of ``nodes(rid, comp)``, by smallest neighbour and pointer jumping."""
-    both = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    state = nodes
+    """``rid, comp``: the smallest label reachable by ``links(a, b)`` between
+    labels from that of each of ``nodes(rid, comp)``.  A round lets every
+    label fall to its smallest neighbour, and on to where that falls, and
+    draws the links together; only labels with links take part."""
+    edges = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    roots = None
     while True:
-        near = both.join(state, F.col("b") == F.col("rid")).groupBy("a").agg(F.min("comp").alias("low"))
-        # a component's label falls with the smallest label next to any of its members
-        falls = (state.join(near, F.col("rid") == F.col("a")).where("low < comp")
-                 .groupBy("comp").agg(F.min("low").alias("low")))
-        falls = materialise(falls.withColumnRenamed("comp", "old"), "falls")
+        falls = materialise(edges.groupBy(F.col("a").alias("old")).agg(F.min("b").alias("low")).where("low < old"), "falls")
         if falls.isEmpty():
-            return state
-        state = materialise(state.join(falls, F.col("comp") == F.col("old"), "left")
-                            .select("rid", F.least("comp", F.coalesce("low", "comp")).alias("comp")), "comps")
+            break
+        falls = _follow(falls)
+        if roots is None:
+            roots = falls
+        else:
+            to = falls.select(F.col("old").alias("mid"), F.col("low").alias("end"))
+            moved = roots.join(to, F.col("low") == F.col("mid"), "left").select("old", F.coalesce("end", "low").alias("low"))
+            both = materialise(moved.unionByName(falls), "roots")
+            discard(roots)
+            discard(falls)
+            roots = both
+        drawn = edges
+        for c in ("a", "b"):
+            to = roots.select(F.col("old").alias("mid"), F.col("low").alias("end"))
+            drawn = drawn.join(to, F.col(c) == F.col("mid"), "left").withColumn(c, F.coalesce("end", c)).select("a", "b")
+        drawn = materialise(drawn.where("a <> b").distinct(), "links")
+        discard(edges)
+        edges = drawn
+    if roots is None:
+        return nodes
+    return materialise(nodes.join(roots, F.col("comp") == F.col("old"), "left")
+                       .select("rid", F.coalesce("low", "comp").alias("comp")), "comps")
 
 
 def component_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str,
                    digests: bool = False) -> tuple[DataFrame, DataFrame]:
     """``rid, id, n, comp`` (and ``digest``) of every row, and those rows
     that are in a class or component of several."""
-    chunks = chunk_table(docs, id_col, text_col)
+    chunks = chunk_table(docs, id_col, text_col, level=9)
     sets = materialise(set_table(chunks, k, digests), "sets")
     group, cols = ["n", "print_a", "print_b"], ["rid", "id", "n", *["digest"] * digests]
     classes = materialise(sets.where("n > 0").groupBy(*group).agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("size"))
@@ -319,6 +394,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "comp", F.col("best.id").alias("keep_id"), F.col("best.digest").alias("keep_digest")), "keep")
     gone = materialise(grouped.join(keep, "comp").where("NOT (id <=> keep_id AND digest = keep_digest)").select(
         F.col("id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct(), "gone")
+    if gone.count() <= BROADCAST_ROWS:  # some 40 bytes a row; a larger list meets the documents by a shuffle
+        gone = F.broadcast(gone)
     return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__gone_id"))
                      & (text_digest(text_col) == F.col("__gone_digest")), "left_anti")
 

@@ -88,10 +88,49 @@ def test_groups_of_many_blocks(spark, monkeypatch):
         for _ in range(rng.randrange(1, 3)):
             b[rng.randrange(60)] = f"x{rng.randrange(10 ** 6)}"
         rows.append((i, " ".join(b)))
+    for i in range(2000, 2060):  # parts of the body, so that set sizes spread over several steps
+        k = rng.randrange(20, 60)
+        rows.append((i, " ".join(body[:k] + [f"y{rng.randrange(10 ** 6)}"] * (i % 2))))
     monkeypatch.setattr(J, "BLOCK_DOCS", 20)
     assert found(docs_of(spark, rows)) == brute(rows)
 
 
+def test_dropped_rows_by_a_shuffle(spark, monkeypatch):
+    df = edge_docs(spark)
+    want = sorted(map(str, J.keep_one(df).collect()))
+    monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, J.keep_one(df).collect())) == want
+
+
+@pytest.mark.parametrize("order", ["rising", "random", "zigzag"])
+def test_a_chain_of_a_thousand_takes_few_rounds(spark, monkeypatch, order):
+    n, rng = 1000, random.Random(3)
+    ids = list(range(n))
+    if order == "random":
+        rng.shuffle(ids)
+    elif order == "zigzag":
+        ids = [k // 2 if k % 2 else n - 1 - k // 2 for k in range(n)]
+    names, plain = [], J.materialise
+    monkeypatch.setattr(J, "materialise", lambda df, name: names.append(name) or plain(df, name))
+    nodes = spark.createDataFrame([(i, i) for i in range(n + 5)], "rid long, comp long")
+    links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+    got = {r.rid: r.comp for r in J.components(nodes, links).collect()}
+    assert got == {i: 0 if i < n else i for i in range(n + 5)}
+    assert names.count("links") - 1 <= 12  # rounds
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(4)
+    up = {i: i for i in range(400)}
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(7, 7)]
+    for _ in range(400):
+        for a, b in pairs:
+            up[a] = up[b] = min(up[a], up[b])
+    nodes = spark.createDataFrame([(1000 + i, i) for i in range(400)], "rid long, comp long")  # labels need not be numbers of rows
+    got = {r.rid - 1000: r.comp for r in J.components(nodes, spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == up
+
+
 def test_prefix_size_is_exact():
     for n in range(1, 500):
         need = -(-80 * n // 100)
