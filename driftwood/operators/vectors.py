@@ -9,6 +9,9 @@ one ``sum(weight * vec[i])`` per dimension, which keeps a fixed-width
 buffer (``HashAggregate``), aggregates partially before the shuffle (a hot
 id is reduced on the map side) and never holds a group's tokens in memory.
 Out-of-vocabulary tokens are dropped by an inner join before that shuffle.
+Beyond ``DIRECT_DIMS`` dimensions that many sums leave generated code, so
+the vocabulary is cut into blocks of ``BLOCK_DIMS`` positions, each summed
+by itself, and an id's few blocks are put together at the end.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ from ..functions.tags import KEYWORD_EMPTY, is_keyword_format, parse_keywords
 from ..functions.vectors import fit_dim, l1_norm, l2_norm, scale, zeros
 
 
+#: Up to so many sums (and the keys) stay in generated code; longer vectors go by blocks of positions.
+DIRECT_DIMS = 90
+BLOCK_DIMS = 50
+
+
 def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
     """``word=weight`` text -> one row per token: ``keep..., pos, word,
     weight``.
@@ -122,6 +130,53 @@ def _known_tokens(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
     return tokens.join(_vocab(vectors), "word", "inner")
 
 
+def combine_repeats(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One token per (keys, word) with its weights added up: worth its
+    shuffle where a word repeats within an id, since the vocabulary join and
+    the vector arithmetic then meet it once."""
+    return tokens.groupBy(*keys, "word").agg(F.sum("weight").alias("weight"))
+
+
+def block_vocab(vectors: DataFrame, dim: int, width: int = BLOCK_DIMS) -> DataFrame:
+    """``word, _b, _seg``: every vector of at most ``dim`` components cut
+    into blocks of ``width`` positions."""
+    blocks = F.array(*[F.slice("vec", at + 1, width) for at in range(0, dim, width)])
+    return _vocab(vectors).where(F.size("vec") <= dim).select("word", F.posexplode(blocks).alias("_b", "_seg"))
+
+
+def vector_sums(tokens: DataFrame, vectors: DataFrame, ids: Sequence[str], dim: int, part_col: str | None = None,
+                parts: Sequence[str] = (), present: DataFrame | None = None) -> DataFrame:
+    """Weighted sums per ``ids`` of the known tokens, as ``vec``, or as
+    ``<part>_vec`` for each value of ``part_col``.  The rows of ``present(ids)``
+    join the aggregate as tokens without a vector, so that each has a result
+    (zeros) without a join afterwards."""
+    ids, keys = list(ids), [*ids, *([part_col] if part_col else [])]
+    blocks = range(-(-dim // BLOCK_DIMS)) if dim > DIRECT_DIMS else None
+    if blocks:
+        seg, width, at = "_seg", BLOCK_DIMS, ["_b"]
+        known = tokens.join(block_vocab(vectors, dim), "word").select(*keys, *at, "weight", seg)
+    else:
+        seg, width, at = "vec", dim, []
+        known = _known_tokens(tokens, vectors).select(*keys, "weight", seg)
+    if present is not None:
+        none = [F.lit(parts[0]).alias(part_col)] if part_col else []
+        none += [F.lit(0).alias(c) for c in at]
+        known = known.unionByName(present.select(*ids, *none, F.lit(None).cast("double").alias("weight"),
+                                                 F.lit(None).cast(known.schema[seg].dataType).alias(seg)))
+    sums = known.groupBy(*keys, *at).agg(*_dim_sums(F.col(seg), F.col("weight"), width, "_d"))
+    names = [(f"{p}_vec", F.col(part_col) == p) for p in parts] if part_col else [("vec", F.lit(True))]
+    whole = _assemble("_d", width)
+    if not blocks and not part_col:
+        return sums.select(*ids, whole.alias("vec"))
+    # at most one row of an id for each part and block
+    folded = sums.groupBy(*ids).agg(*[
+        F.max(F.when(of & (F.col("_b") == b) if blocks else of, whole)).alias(f"_{name}_{b}")
+        for name, of in names for b in blocks or [0]])
+    return folded.select(*ids, *[
+        F.slice(F.concat(*[F.coalesce(F.col(f"_{name}_{b}"), zeros(width)) for b in blocks or [0]]), 1, dim).alias(name)
+        for name, _ in names])
+
+
 def tag_vector(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str] | str,
                dim: int, all_ids: bool = True) -> DataFrame:
     """Weighted vector sum per id: ``(id..., vec ARRAY<DOUBLE>)``.
@@ -130,9 +185,7 @@ def tag_vector(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str] | s
     returned, ids whose words are all unknown with zeros (a distinct of the
     ids joined back, both sides partitioned by id)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    g = _known_tokens(tokens, vectors).groupBy(*ids).agg(
-        *_dim_sums(F.col("vec"), F.col("weight"), dim, "_d"))
-    v = g.select(*ids, _assemble("_d", dim).alias("vec"))
+    v = vector_sums(tokens, vectors, ids, dim)
     if not all_ids:
         return v
     return with_zero_vectors(tokens.select(*ids).distinct(), v, ids, ["vec"], dim)
@@ -144,21 +197,15 @@ def tag_vectors_multi(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[s
     """Several weighted sums per id (e.g. body and title tags): output
     ``id..., <part>_vec`` for each part.
 
-    Summed per ``(id, part)`` with ``dim`` sums, then the (at most
-    ``len(parts)``) rows of an id are folded into one.  Measured faster
-    than one aggregate with ``dim * len(parts)`` conditional sums (64-d:
-    0.60 s vs 0.95 s; 300-d: 2.5 s vs 5.9 s at sf0.1); both shuffles carry
-    partially aggregated rows only."""
+    Summed per ``(id, part)``, then the (at most ``len(parts)``) rows of an
+    id are folded into one.  Measured faster than one aggregate with
+    ``dim * len(parts)`` conditional sums (64-d: 0.60 s vs 0.95 s; 300-d: 2.5 s
+    vs 5.9 s at sf0.1); both shuffles carry partially aggregated rows only."""
     ids = list(id_cols)
-    per_part = tag_vector(tokens.where(F.col(part_col).isin(*parts)), vectors,
-                          ids + [part_col], dim, all_ids=False)
-    v = per_part.groupBy(*ids).agg(
-        *[F.max(F.when(F.col(part_col) == p, F.col("vec"))).alias(f"{p}_vec") for p in parts])
+    v = vector_sums(tokens.where(F.col(part_col).isin(*parts)), vectors, ids, dim, part_col, parts)
     if not all_ids:
-        return v.select(*ids, *[F.coalesce(F.col(f"{p}_vec"), zeros(dim)).alias(f"{p}_vec")
-                                for p in parts])
-    return with_zero_vectors(tokens.select(*ids).distinct(), v, ids,
-                             [f"{p}_vec" for p in parts], dim)
+        return v
+    return with_zero_vectors(tokens.select(*ids).distinct(), v, ids, [f"{p}_vec" for p in parts], dim)
 
 
 def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
@@ -168,18 +215,15 @@ def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
     return j.select(*id_cols, *[F.coalesce(F.col(c), zeros(dim)).alias(c) for c in vec_cols])
 
 
-def _version(*cols: str) -> Column:
-    """Digest of a row's texts, nulls told from empty ones: rows of one id
-    whose texts differ are summed apart."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256))
+def _versions(rows: DataFrame, id_col: str, text_cols: Sequence[str]) -> DataFrame:
+    """``id, texts, _ver, _copies``: every distinct row once, with a digest
+    of its texts (nulls told from empty ones) and how often it comes."""
+    once = rows.groupBy(id_col, *text_cols).agg(F.count(F.lit(1)).alias("_copies"))
+    return once.withColumn("_ver", F.unhex(F.sha2(F.to_json(F.struct(*text_cols)), 256)))
 
 
-def _vector_rows(rows: DataFrame, vecs: DataFrame, id_col: str, vec_cols: Sequence[str], dim: int) -> DataFrame:
-    """Every row of ``rows(id, _ver)`` with its vectors, zeros where there
-    are none; null ids match null ids."""
-    v = vecs.select(F.col(id_col).alias("_id"), F.col("_ver").alias("_v"), *vec_cols)
-    j = rows.join(v, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_ver") == F.col("_v")), "left")
-    return j.select(id_col, *[F.coalesce(F.col(c), zeros(dim)).alias(c) for c in vec_cols])
+def _each_copy(vecs: DataFrame, id_col: str, vec_cols: Sequence[str]) -> DataFrame:
+    return vecs.select(id_col, *vec_cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(id_col, *vec_cols)
 
 
 def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str = "content_id",
@@ -187,21 +231,23 @@ def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str =
     """``(content_id, tags_vec, title_vec)``, one row for each content row:
     each text is split into weighted tokens and summed against the
     vocabulary.  An id may come in several versions; each distinct (id,
-    texts) is summed once and joined back to its rows.  Both texts of a row
-    are exploded from one two-element array, so the rows are read once."""
-    given = rows.select(id_col, tags_col, title_col, _version(tags_col, title_col).alias("_ver"))
+    texts) is summed once, its number of copies goes through the sum as part
+    of the key, and it is put out as often: nothing is joined back.  Both
+    texts of a row are exploded from one two-element array."""
+    given = _versions(rows, id_col, [tags_col, title_col])
+    key = [id_col, "_ver", "_copies"]
     texts = F.array(F.struct(F.lit("tags").alias("_part"), F.col(tags_col).alias("_txt")),
                     F.struct(F.lit("title").alias("_part"), F.col(title_col).alias("_txt")))
-    both = given.dropDuplicates([id_col, "_ver"]).select(id_col, "_ver", F.inline(texts))
-    toks = tag_tokens(both, "_txt", [id_col, "_ver", "_part"])
-    v = tag_vectors_multi(toks, vectors, [id_col, "_ver"], "_part", ["tags", "title"], dim, all_ids=False)
-    return _vector_rows(given.select(id_col, "_ver"), v, id_col, ["tags_vec", "title_vec"], dim)
+    toks = tag_tokens(given.select(*key, F.inline(texts)), "_txt", [*key, "_part"])
+    v = vector_sums(toks, vectors, key, dim, "_part", ["tags", "title"], present=given)
+    return _each_copy(v, id_col, ["tags_vec", "title_vec"])
 
 
 def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
                     text_col: str, title_col: str) -> DataFrame:
     """Vector of a keyword-or-tags text plus a title text, one row for each
-    row of ``rows`` (an id may repeat with other texts).
+    row of ``rows`` (an id may repeat with other texts; see
+    ``content_vectors``).
 
     Keyword text (``cat:tags;cat:-1;...``, recognised only when the title is
     empty) sums every category's tags except ``-1``; otherwise the text is
@@ -209,15 +255,15 @@ def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
     texts to sum are gathered per row (a short array), exploded, and then
     tokenised like ``tag_tokens``."""
     s, title = F.col(text_col), F.col(title_col)
-    given = rows.select(id_col, text_col, title_col, _version(text_col, title_col).alias("_ver"))
+    given = _versions(rows, id_col, [text_col, title_col])
+    key = [id_col, "_ver", "_copies"]
     kw_texts = F.transform(
         F.filter(parse_keywords(s), lambda c: c["tags"] != KEYWORD_EMPTY), lambda c: c["tags"])
     texts = F.concat(F.when(is_keyword_format(s, title), kw_texts).otherwise(F.array(s)),
                      F.array(title))
-    exploded = given.dropDuplicates([id_col, "_ver"]).select(id_col, "_ver", F.explode(texts).alias("_txt"))
-    toks = tag_tokens(exploded, "_txt", [id_col, "_ver"])
-    v = tag_vector(toks, vectors, [id_col, "_ver"], dim, all_ids=False)
-    return _vector_rows(given.select(id_col, "_ver"), v, id_col, ["vec"], dim)
+    toks = tag_tokens(given.select(*key, F.explode(texts).alias("_txt")), "_txt", key)
+    v = vector_sums(toks, vectors, key, dim, present=given)
+    return _each_copy(v, id_col, ["vec"])
 
 
 def vector_norms(vectors: DataFrame, vec_col: str = "vec") -> DataFrame:

@@ -1,6 +1,8 @@
 import math
 import os
+import random
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from driftwood import operators as op
@@ -168,3 +170,48 @@ def test_hot_word_join_is_split_and_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, val)
+
+
+def test_wide_vectors_by_blocks_of_positions(spark):
+    """Beyond the width of generated code: sums by blocks equal a plain loop,
+    shorter vectors add to their own positions, longer ones nothing."""
+    rng = random.Random(2)
+    dim = 120
+    vocab = {f"w{k}": [rng.uniform(-1, 1) for _ in range(dim)] for k in range(20)}
+    vocab |= {"short": [1.0] * 53, "long": [5.0] * (dim + 1), "empty": []}
+    toks = [(rng.randrange(40) or None, rng.choice("ab"), rng.choice([*vocab, "unknown", "w1"]), rng.uniform(0, 3)) for _ in range(600)]
+    toks += [(100, "a", "unknown", 1.0), (101, "b", "long", 1.0)]
+    v = spark.createDataFrame(list(vocab.items()), "word string, vec array<double>")
+    t = spark.createDataFrame(toks, "id long, part string, word string, weight double")
+    want = {}
+    for i, p, w, x in toks:
+        for key in ((i, p), (i, None)):
+            out = want.setdefault(key, [0.0] * dim)
+            for k, c in enumerate(vocab.get(w, []) if len(vocab.get(w, [])) <= dim else []):
+                out[k] += c * x
+    near = lambda a, b: len(a) == len(b) and all(abs(x - y) < 1e-9 for x, y in zip(a, b))
+    ids = t.select("id").distinct()
+    one = op.vector_sums(t, v, ["id"], dim, present=ids)
+    got = {r.id: r.vec for r in one.collect()}
+    assert set(got) == {i for i, _ in want} and all(near(got[i], want[i, None]) for i in got)
+    two = op.vector_sums(t, v, ["id"], dim, "part", ["a", "b"], present=ids)
+    for r in two.collect():
+        assert near(r.a_vec, want.get((r.id, "a"), [0.0] * dim)) and near(r.b_vec, want.get((r.id, "b"), [0.0] * dim))
+    combined = op.vector_sums(op.combine_repeats(t, ["id"]), v, ["id"], dim, present=ids)
+    assert all(near(r.vec, got[r.id]) for r in combined.collect())
+    # the sums of a block stay in generated code
+    assert "*(" in next(x for x in plan_text(one).split("\n") if "HashAggregate" in x and "partial_sum" in x)
+
+
+def test_vectors_of_rows_are_not_joined_back(spark):
+    v = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, 4.0])], "word string, vec array<double>")
+    r = spark.createDataFrame([("1", "a=2 b=1", "a=1"), ("1", "a=2 b=1", "a=1"), ("1", "x", None), (None, "b=1", "z"), ("2", None, "")],
+                              "content_id string, tags string, tags_title string")
+    got = op.content_vectors(r, v, 2)
+    assert sorted(map(str, got.collect())) == sorted(map(str, [
+        Row(content_id="1", tags_vec=[5.0, 8.0], title_vec=[1.0, 2.0])] * 2 + [
+        Row(content_id="1", tags_vec=[0.0, 0.0], title_vec=[0.0, 0.0]),
+        Row(content_id=None, tags_vec=[3.0, 4.0], title_vec=[0.0, 0.0]),
+        Row(content_id="2", tags_vec=[0.0, 0.0], title_vec=[0.0, 0.0])]))
+    plan = plan_text(got)
+    assert sum("Join" in x for x in plan.split("\n")) == 1  # the vocabulary's
