@@ -40,18 +40,34 @@ def strategy_prefilter(text: DataFrame, side_key: str, code: int,
     return text.where(v.contains(side_key) & (e30 == F.lit(code)))
 
 
+KEPT, MALFORMED, NO_SIDE, OTHER_STRATEGY = "kept", "malformed", "no_side", "other_strategy"
+
+
+def line_fate(parsed: DataFrame, side_key: str, code: int, log_col: str = "log", value_col: str = "value") -> DataFrame:
+    """Add ``fate``: ``kept`` exactly where ``strategy_filter`` keeps the
+    line, else why not: no JSON, no ``side_key`` object, another (or no)
+    strategy.  ``parsed`` holds the raw line as well; it is parsed a second
+    time, as a variant, only where the line is not kept."""
+    item = F.col(log_col)[side_key]
+    kept = item.isNotNull() & F.coalesce(item["o2"]["e30"].try_cast("int") == F.lit(code), F.lit(False))
+    return parsed.withColumn("fate", F.when(kept, KEPT).when(F.try_parse_json(value_col).isNull(), MALFORMED)
+                             .when(item.isNull(), NO_SIDE).otherwise(OTHER_STRATEGY))
+
+
 def item_of(log: Column) -> Column:
     """The impression object when present, else the click object."""
     return F.when(log[IMPRESSION_KEY].isNotNull(), log[IMPRESSION_KEY]).otherwise(log[CLICK_KEY])
 
 
-def with_pair_key(logs: DataFrame, log_col: str = "log") -> DataFrame:
+def with_pair_key(logs: DataFrame, log_col: str = "log", side_key: str | None = None) -> DataFrame:
     """Add the pairing key: content id, device id (``p17``) and the day part
     of the log time (``p3``).  The key is kept as three columns (no text
-    concatenation, so parts cannot collide); nulls group together."""
+    concatenation, so parts cannot collide); nulls group together.  The
+    content id is that of the side's own object (``side_key``); without a
+    side, that of the impression object if there is one."""
     log = F.col(log_col)
     return logs.withColumns({
-        "content_id": item_of(log)["e15"],
+        "content_id": (log[side_key] if side_key else item_of(log))["e15"],
         "device_id": log["p17"],
         "day": day_part(log["p3"]),
     })
@@ -78,9 +94,22 @@ def dedup_daily(logs: DataFrame, key: Sequence[str] = PAIR_KEY,
     return logs.groupBy(*key).agg(least).select(*key, F.col("_r._keep").alias(log_col))
 
 
+def dedup_clicks(clicks: DataFrame, keep: Sequence[str] = (), order: Sequence[Column] | None = None,
+                 log_col: str = "log", keep_col: str = "value") -> DataFrame:
+    """Clicks deduplicated by their own object's content id, then given the
+    pairing key, which prefers an impression object where the line holds
+    both: ``content_id, device_id, day, *keep, <log_col>, <keep_col>``."""
+    order = order if order is not None else default_order(log_col)
+    own = with_pair_key(clicks, log_col, CLICK_KEY)
+    least = F.min(_ranked(order, F.struct(F.col(keep_col), F.col(log_col)))).alias("_r")
+    one = own.groupBy(*PAIR_KEY, *keep).agg(least).select(*keep, F.col(f"_r._keep.{keep_col}").alias(keep_col),
+                                                          F.col(f"_r._keep.{log_col}").alias(log_col))
+    return with_pair_key(one, log_col)
+
+
 def click_label(impressions: DataFrame, clicks: DataFrame, key: Sequence[str] = PAIR_KEY,
                 order: Sequence[Column] | None = None, log_col: str = "log",
-                keep_col: str | None = None) -> DataFrame:
+                keep_col: str | None = None, clicks_distinct: bool = False) -> DataFrame:
     """Pair deduplicated impressions with deduplicated clicks per key.
 
     * both sides present -> ``is_click = 1`` with the impression's record;
@@ -93,6 +122,10 @@ def click_label(impressions: DataFrame, clicks: DataFrame, key: Sequence[str] =
     flags tell which sides were seen.  ``keep_col`` names the column carried
     through (default the log; the raw line, parsed again only for survivors,
     is smaller).  Output: ``key..., is_click INT, side STRING, <keep_col>``.
+
+    ``clicks_distinct`` says that clicks were deduplicated by their own key
+    before; then two of them that meet under one pairing key (see
+    ``dedup_clicks``) are a pair as well.
     """
     order = order if order is not None else default_order(log_col)
     keep = keep_col or log_col
@@ -102,8 +135,11 @@ def click_label(impressions: DataFrame, clicks: DataFrame, key: Sequence[str] =
                            _ranked(order, F.col(keep), [F.lit(is_click)]).alias("_r"))
 
     g = side(impressions, 0).unionByName(side(clicks, 1)).groupBy(*key).agg(
-        F.min("_r").alias("_r"), F.min("_clk").alias("_lo"), F.max("_clk").alias("_hi"))
-    return g.select(*key, F.when(F.col("_lo") < F.col("_hi"), 1).otherwise(0).alias("is_click"),
+        F.min("_r").alias("_r"), F.min("_clk").alias("_lo"), F.max("_clk").alias("_hi"), F.sum("_clk").alias("_clicks"))
+    paired = F.col("_lo") < F.col("_hi")
+    if clicks_distinct:
+        paired = paired | (F.col("_clicks") > 1)
+    return g.select(*key, F.when(paired, 1).otherwise(0).alias("is_click"),
                     F.when(F.col("_lo") == 0, IMP).otherwise(CLICK).alias("side"),
                     F.col("_r._keep").alias(keep))
 

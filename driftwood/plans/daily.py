@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 
 from ..operators.content import (content_lookup, distinct_ids, ids_from_text_rows, new_ids,
                                  snapshot_merge)
+from ..operators.logs import CLICK, IMP, KEPT, MALFORMED, NO_SIDE, OTHER_STRATEGY
 from ..schemas import CONTENT_COLUMNS
 from ..sources.logs import read_day_logs, read_day_range
 from ..sources.sinks import write_partitioned, write_snapshot, write_text
-from .jobs import repair_snapshot, training_rows_by_day
+from .jobs import rejected_lines, repair_snapshot, training_rows_by_day
 
 
 def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
@@ -43,6 +44,23 @@ def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
     return out_root
 
 
+def run_rejects(spark: SparkSession, imp_paths: str | Iterable[str], clk_paths: str | Iterable[str], strategy: int,
+                out_root: str) -> dict[str, int]:
+    """Write the lines that ``run_training_rows`` drops, by folder day, side
+    and reason, and return how many lines were read, kept and dropped for
+    each reason, observed during that write: a bad collector day shows."""
+    lines = rejected_lines(read_day_logs(spark, imp_paths), read_day_logs(spark, clk_paths), strategy, keep=("folder_day",))
+    seen = Observation("line_fates")
+    by_side = [F.when(F.col("side") == side, F.col("fate")).alias(f"_{side}") for side in (IMP, CLICK)]
+    counts = [F.count(f"_{side}").alias(f"{side}_read") for side in (IMP, CLICK)]
+    counts += [F.count_if(F.col(f"_{side}") == fate).alias(f"{side}_{fate}") for side in (IMP, CLICK)
+               for fate in (KEPT, MALFORMED, NO_SIDE, OTHER_STRATEGY)]
+    dropped = lines.select("*", *by_side).observe(seen, *counts).where(F.col("fate") != KEPT)
+    write_partitioned(dropped.select("value", F.col("folder_day").alias("day"), "side", "fate"), out_root,
+                      ["day", "side", "fate"], rebalance=True)
+    return dict(seen.get)
+
+
 def run_content_refresh(spark: SparkSession, training_root: str, start_day: str, end_day: str,
                         old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                         t_news: DataFrame, snapshot_root: str, month: str, stamp: str,

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.json_fields import unwrap_parens
 from ..functions.vectors import l2_norm
 from ..operators.content import (content_lookup, distinct_ids, new_ids, snapshot_merge)
-from ..operators.logs import (PAIR_KEY, click_label, flatten_log, flatten_text, strategy_filter,
-                              strategy_prefilter, with_pair_key)
+from ..operators.logs import (CLICK, IMP, PAIR_KEY, click_label, dedup_clicks, flatten_log, flatten_text, line_fate,
+                              strategy_filter, strategy_prefilter, with_pair_key)
 from ..operators.vectors import content_vectors as _content_vectors
 from ..operators.vectors import vector_lookup_one
 from ..schemas import CLICK_KEY, IMPRESSION_KEY, PAIR_SCHEMA
@@ -23,15 +23,26 @@ def labelled_logs(imp_text: DataFrame, clk_text: DataFrame, strategy: int,
     day, *keep): strategy pre-test on the text, the pairing fields of the
     kept lines parsed, exact strategy test, pairing in one aggregate that
     carries the raw line, and one full parse of the surviving lines.
-    ``keep`` columns are part of the key."""
+    ``keep`` columns are part of the key.  Clicks are deduplicated by the
+    content id of their own object before they are paired by that of the
+    impression object, if the line holds one; the clicks' own shuffle is the
+    small one of the two sides."""
     def side(text: DataFrame, key: str) -> DataFrame:
         pre = strategy_prefilter(text.select(*keep, "value"), key, strategy)
-        parsed = parse_logs(pre, schema=PAIR_SCHEMA, keep_value=True)
-        return with_pair_key(strategy_filter(parsed, key, strategy))
-    paired = click_label(side(imp_text, IMPRESSION_KEY), side(clk_text, CLICK_KEY), [*PAIR_KEY, *keep], keep_col="value")
+        return strategy_filter(parse_logs(pre, schema=PAIR_SCHEMA, keep_value=True), key, strategy)
+    paired = click_label(with_pair_key(side(imp_text, IMPRESSION_KEY)), dedup_clicks(side(clk_text, CLICK_KEY), keep),
+                         [*PAIR_KEY, *keep], keep_col="value", clicks_distinct=True)
     return parse_logs(paired, keep_value=True)
 
 
+def rejected_lines(imp_text: DataFrame, clk_text: DataFrame, strategy: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``side, fate, *keep, value`` of every line of both sides, kept ones too."""
+    def side(text: DataFrame, key: str, name: str) -> DataFrame:
+        parsed = parse_logs(text.select(*keep, "value"), schema=PAIR_SCHEMA, keep_value=True)
+        return line_fate(parsed, key, strategy).select(F.lit(name).alias("side"), "fate", *keep, "value")
+    return side(imp_text, IMPRESSION_KEY, IMP).unionByName(side(clk_text, CLICK_KEY, CLICK))
+
+
 def training_rows(imp_text: DataFrame, clk_text: DataFrame, strategy: int) -> DataFrame:
     """Impression and click log lines -> the 39-column training rows, one per
     (content, device, day)."""

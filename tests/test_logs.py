@@ -91,9 +91,10 @@ def test_click_label_single_shuffle(spark):
     lab.collect()
     final = plan_text(lab)
     assert "PythonUDF" not in final and "BatchEvalPython" not in final
-    # one shuffle: the pairing aggregate (dedup of both sides folded into it)
-    assert final.count("Exchange hashpartitioning") == 1
-    assert final.count("partial_min(") == 2 and "min_by" not in final   # one record buffer and a flag
+    # one shuffle of both sides, the pairing aggregate (dedup of impressions folded into it); before it
+    # one of the clicks, which are deduplicated by a key of their own
+    assert final.count("Exchange hashpartitioning") == 2
+    assert final.count("partial_min(") == 3 and "min_by" not in final   # one record buffer each, and a flag
 
 
 def test_ties_are_settled_by_the_record(spark):
@@ -193,3 +194,44 @@ def test_prefilter_only_narrows(spark):
     full = op.strategy_filter(parse_logs(t, IMPRESSION_KEY), IMPRESSION_KEY, S)
     assert rows(exact.select("log.p1")) == rows(full.select("log.p1"))
     assert "50" not in {r[0] for r in exact.select("log.p1").collect()}
+
+
+def test_a_click_line_that_holds_both_objects(spark):
+    """Clicks are deduplicated by their own object's id and paired by the
+    impression object's, if the line holds one."""
+    def line(p1, imp=None, clk=None):
+        item = lambda cid: {"e15": cid, "o2": {"e30": 0}}
+        log = {"p1": p1, "p3": "2024-01-05 10:00:00", "p17": "d"}
+        log |= ({"e23": item(imp)} if imp else {}) | ({"e24": item(clk)} if clk else {})
+        return (json.dumps(log),)
+
+    def run(imps, clks):
+        frames = [spark.createDataFrame(x or [("{}",)], "value string") for x in (imps, clks)]
+        got = jobs.labelled_logs(*frames, 0).select("content_id", "is_click", "side", F.col("log.p1").alias("p1")).collect()
+        return sorted(map(tuple, got))
+    # same click id: one of the two clicks goes, whatever impression they name
+    assert run([], [line(1, "A", "X"), line(2, "B", "X")]) == [("A", 0, "click", "1")]
+    # other click ids under one impression id: both stay, and meet as a pair
+    assert run([], [line(1, "A", "X"), line(2, "A", "Y")]) == [("A", 1, "click", "1")]
+    # the pairing key is the impression object's
+    assert run([line(5, "A")], [line(1, "A", "X")]) == [("A", 1, "imp", "5")]
+    assert run([line(5, "X")], [line(1, "A", "X")]) == [("A", 0, "click", "1"), ("X", 0, "imp", "5")]
+    assert run([line(5, "X")], [line(1, None, "X"), line(2, None, "X")]) == [("X", 1, "imp", "5")]
+
+
+def test_dropped_lines_are_counted(spark, tmp_path):
+    from driftwood.plans import daily
+    ok = '{"p1":"1","p3":"2024-01-05 10:00:00","p17":"d","%s":{"e15":"c","o2":{"e30":%s}}}'
+    lines = {"imp": [ok % ("e23", 7), ok % ("e23", '"7"'), ok % ("e23", 8), ok % ("e24", 7), '{"p1":"1","e23":{"o2"', "", "[]", "plain",
+                     ok % ("e23", "null"), '{"e23":null}'], "clk": [ok % ("e24", 7), ok % ("e24", 1)]}
+    for side, text in lines.items():
+        (tmp_path / side / "20240105").mkdir(parents=True)
+        (tmp_path / side / "20240105" / "part").write_text("\n".join(text) + "\n")
+    out = str(tmp_path / "rejects")
+    got = daily.run_rejects(spark, str(tmp_path / "imp" / "20240105"), str(tmp_path / "clk" / "20240105"), 7, out)
+    assert got["imp_read"] == sum(got[f"imp_{f}"] for f in ("kept", "malformed", "no_side", "other_strategy"))
+    assert got["imp_kept"] == 2 and got["click_read"] == 2 and got["click_kept"] == 1 and got["click_other_strategy"] == 1
+    assert got["imp_other_strategy"] == 2 and got["imp_no_side"] == 3 and got["imp_malformed"] == got["imp_read"] - 7
+    saved = spark.read.parquet(out)
+    assert saved.count() == got["imp_read"] + got["click_read"] - 3
+    assert {r.side for r in saved.select("side").collect()} == {"imp", "click"} and "day" in saved.columns
