@@ -3,7 +3,7 @@ builds the 14-column content row, and snapshot merging."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import shard_has_score, shard_label
@@ -34,6 +34,50 @@ def new_ids(ids: DataFrame, snapshot: DataFrame, id_col: str = ID) -> DataFrame:
     return ids.join(snapshot.select(id_col), id_col, "left_anti")
 
 
+#: Bits a block of the filter, and blocks up to which it is broadcast (256 bits each: 64 MiB).
+BLOOM_LANES, BLOOM_BLOCKS = 8, 1 << 21
+BLOOM_BITS_PER_ID = 16
+
+
+def _bloom_place(id_col: str, blocks: int) -> list[Column]:
+    """The block of an id, and a mask of one bit in each of its 32-bit lanes."""
+    h = F.xxhash64(F.lit(1), id_col)
+    lanes = [F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(2, `{id_col}`), {5 * k}) & 31 as int))")
+             for k in range(BLOOM_LANES)]
+    return [F.pmod(h, F.lit(blocks)).alias("_block"), *[lane.alias(f"_bit{k}") for k, lane in enumerate(lanes)]]
+
+
+def bloom_of(ids: DataFrame, n_ids: int, id_col: str = ID) -> tuple[DataFrame, int]:
+    """A blocked Bloom filter of the ids as a table ``_block, _lane0..7`` (16
+    bits an id, one block touched an id), and its number of blocks."""
+    blocks = max(1, -(-n_ids * BLOOM_BITS_PER_ID // (32 * BLOOM_LANES)))
+    bits = ids.where(F.col(id_col).isNotNull()).select(*_bloom_place(id_col, blocks))
+    return bits.groupBy("_block").agg(*[F.bit_or(f"_bit{k}").alias(f"_lane{k}") for k in range(BLOOM_LANES)]), blocks
+
+
+def maybe_in(rows: DataFrame, bloom: DataFrame, blocks: int, id_col: str = ID) -> DataFrame:
+    """The rows whose id the filter cannot rule out.  The filter must be
+    small enough to broadcast (``BLOOM_BLOCKS``); nothing is shuffled."""
+    cols = rows.columns
+    held = rows.select(*cols, *_bloom_place(id_col, blocks)).join(F.broadcast(bloom), "_block")
+    hit = None
+    for k in range(BLOOM_LANES):
+        one = F.col(f"_lane{k}").bitwiseAND(F.col(f"_bit{k}")) != 0
+        hit = one if hit is None else hit & one
+    return held.where(hit).select(*cols)
+
+
+def new_ids_filtered(ids: DataFrame, snapshot: DataFrame, n_ids: int, id_col: str = ID) -> DataFrame:
+    """``new_ids`` for a snapshot much larger than the ids: a Bloom filter of
+    the ids (about ``n_ids`` of them) drops the snapshot rows that cannot be
+    asked for before they are shuffled; the anti join that follows is exact.
+    A filter too large to broadcast is not made: the plain anti join then."""
+    bloom, blocks = bloom_of(ids, n_ids, id_col)
+    if blocks > BLOOM_BLOCKS:
+        return new_ids(ids, snapshot, id_col)
+    return new_ids(ids, maybe_in(snapshot.select(id_col), bloom, blocks, id_col), id_col)
+
+
 def known_ids(ids: DataFrame, snapshot: DataFrame, id_col: str = ID) -> DataFrame:
     """Ids present in the snapshot (left semi join)."""
     return ids.join(snapshot.select(id_col), id_col, "left_semi")
@@ -59,6 +103,15 @@ def content_join3(t_content: DataFrame, t_signal: DataFrame, t_news: DataFrame,
     return t_content.join(t_signal, k, "inner").join(t_news, k, "inner")
 
 
+def stored_join3(t_content: DataFrame, t_signal: DataFrame, t_news: DataFrame) -> DataFrame:
+    """``content_join3`` of stored tables (``sinks.write_content_store``): a
+    row's month is the one its id begins with, rows elsewhere are left out,
+    and the tables meet on the id they are bucketed by, without a shuffle."""
+    month = F.concat(F.substring(ID, 1, 4), F.lit("_"), F.substring(ID, 5, 2))
+    own = [t.where(F.col("shard") == month) for t in (t_content, t_signal, t_news)]
+    return content_join3(own[0], *[t.drop("shard") for t in own[1:]], keys=(ID,))
+
+
 def first_per_id(found: DataFrame, id_col: str | list[str] = ID) -> DataFrame:
     """One row per id (or per key columns) even if a source repeats an id:
     the smallest row, so the choice is deterministic."""
@@ -110,7 +163,8 @@ def with_shard(ids: DataFrame, id_col: str = ID, **rule) -> DataFrame:
 def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                    t_news: DataFrame, id_col: str = ID, dedupe_source: bool = True,
                    ids_distinct: bool = False, shards: list[str] | None = None,
-                   checkpoint_ids: bool = False, with_found: bool = False, **shard_rule) -> DataFrame:
+                   checkpoint_ids: bool = False, with_found: bool = False, by_month: bool = False,
+                   by_bucket: bool = False, **shard_rule) -> DataFrame:
     """Content rows for the requested ids, one output row per input row
     (other columns of ``ids`` are carried along after the content columns).
 
@@ -141,6 +195,17 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     session's reliable checkpoint folder (an eager ``checkpoint()``), worth
     it when that lineage is expensive, as in the daily refresh.
 
+    ``by_month`` is for tables stored by month (``shard`` folders): the
+    months that the requested ids route to -- at most one row a month, which
+    is what bounds the broadcast -- filter each scan at run time, so only
+    their folders are read (dynamic partition pruning, whatever the join with
+    the ids themselves becomes).
+
+    ``by_bucket`` is for tables bucketed by id (``sinks.write_content_store``):
+    a row's month follows from its id, so rows in another month than theirs
+    are left out and every join is on the id alone; the tables then meet each
+    other and the ids without being shuffled.
+
     ``with_found`` adds ``_found``: whether the id was found.
     """
     extra = [c for c in ids.columns if c != id_col]
@@ -158,21 +223,28 @@ def content_lookup(ids: DataFrame, t_content: DataFrame, t_signal: DataFrame,
     # optimizer does not push a left join's keys into its right side.  The
     # semi join is broadcast when the id set is measured small.
     need = routed.where(F.col("shard").isNotNull()).select(ID, "shard")
-    t_content, t_signal, t_news = (
-        t.join(need if "shard" in t.columns else need.select(ID),
-               [ID, "shard"] if "shard" in t.columns else [ID], "left_semi")
-        for t in (t_content, t_signal, t_news))
+    sources = [t_content, t_signal, t_news]
+    if by_month:
+        # a label has 7 characters; the comparison marks the ids' side as selective
+        months = need.where(F.length("shard") == 7).select("shard").distinct()
+        sources = [t.join(F.broadcast(months), "shard", "left_semi") for t in sources]
+    if by_bucket:
+        sources = [t.where(F.col("shard") == shard_label(F.col(ID), **shard_rule)) for t in sources]
+    keys = [[ID, "shard"] if "shard" in t.columns and not by_bucket else [ID] for t in sources]
+    sources = [t.join(need.select(*k), k, "left_semi") for t, k in zip(sources, keys)]
     if dedupe_source:
         # reduced before they are joined, so an id that repeats in all three
         # does not multiply; the least joined row is made of the three least
-        t_content, t_signal, t_news = (first_per_id(t, [ID, "shard"] if "shard" in t.columns else [ID])
-                                       for t in (t_content, t_signal, t_news))
-    found = content_join3(t_content, t_signal, t_news)
+        sources = [first_per_id(t, k) for t, k in zip(sources, keys)]
+    if by_bucket:
+        sources[1:] = [t.drop("shard") for t in sources[1:]]
+    found = content_join3(*sources)
     if "shard" not in found.columns:
         found = with_shard(found, ID, **shard_rule)
     found = found.where(F.col("shard").isNotNull())
     rows = content_row(found, keep=("shard",)).withColumn("_found", F.lit(True))
-    looked = routed.join(rows, [ID, "shard"], "left").drop("shard")
+    looked = (routed.drop("shard").join(rows.drop("shard"), ID, "left") if by_bucket
+              else routed.join(rows, [ID, "shard"], "left").drop("shard"))
     if not ids_distinct:
         looked = req.join(looked.where(F.col(ID).isNotNull()), ID, "left")
     present = F.col("_found").isNotNull()

@@ -31,12 +31,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import shard_label
+from ..session import scratch_path
+from ..sources.content import read_shards_parquet
+from ..sources.sinks import write_content_store, write_partitioned
 
 # Fixed values of the stand-ins.
 STRATEGY = 0            # e30 = k % 3; strategy 0 is the one kept
 SHARD_RULE = {"years": ("1998", "1999"), "start_year": "1998", "start_month": 8}
 SNAPSHOT_BEFORE = "1999-01-01"   # old snapshot: content of orders before this date
 VECTOR_DIM = 64
+WIDE_DIM = 300
 
 
 _MAKERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,6 +247,39 @@ def content_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return t_content(spark, sf_dir), t_signal(spark, sf_dir), t_news(spark, sf_dir)
 
 
+_STORES: dict[tuple[str, str, str], tuple] = {}
+STORE_BUCKETS = 8
+
+
+def _stored(kind: str, write: Callable) -> Callable[[SparkSession, str], tuple[DataFrame, DataFrame, DataFrame]]:
+    """The content tables as written once a session and data folder."""
+    def read(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        key = (spark.sparkContext.applicationId, sf_dir, kind)
+        if key not in _STORES:
+            _STORES[key] = tuple(write(spark, t, name) for name, t in zip(
+                ("t_content", "t_signal", "t_news"), content_tables(spark, sf_dir), strict=True))
+        return tuple(reader() for reader in _STORES[key])
+    return read
+
+
+def _write_shards(spark: SparkSession, t: DataFrame, name: str) -> Callable[[], DataFrame]:
+    path = scratch_path(spark, f"shards-{name}")
+    write_partitioned(t, path, ["shard"], mode="errorifexists", rebalance=True)
+    return lambda: read_shards_parquet(spark, path)
+
+
+def _write_store(spark: SparkSession, t: DataFrame, name: str) -> Callable[[], DataFrame]:
+    path = scratch_path(spark, f"store-{name}")
+    table_name = f"{name}_{os.path.basename(path)[-12:]}"
+    write_content_store(t, table_name, path, STORE_BUCKETS)
+    return lambda: spark.table(table_name)
+
+
+#: The content tables in month folders, and in month folders with buckets by id.
+shard_tables = _stored("shards", _write_shards)
+store_tables = _stored("store", _write_store)
+
+
 @stand_in
 def log_content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content id of every saved log row (one per line item; repeats kept)."""
@@ -282,6 +319,16 @@ def vector_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("value"))
 
 
+@stand_in
+def wide_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vectors`` at the source's 300 dimensions: the components come again
+    with rising factors."""
+    v = F.transform(F.sequence(F.lit(0), F.lit(WIDE_DIM - 1)), lambda i: (
+        F.element_at("embedding", (i % VECTOR_DIM + 1).cast("int")) * (1 + F.floor(i / VECTOR_DIM))).cast("float"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("word"), v.alias("vec"),
+                                                     F.col("vec_id").alias("pos"))
+
+
 @stand_in
 def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")

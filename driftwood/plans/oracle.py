@@ -194,19 +194,19 @@ def _vsum(v: str, p: str) -> str:
             f"CAST(len({v}) AS BIGINT) AS {p}_dim")
 
 
-def _dims_summary(p: str) -> str:
+def _dims_summary(p: str, dim: int = 64) -> str:
     """Summary columns from per-dimension sums ``{p}s`` (sum), ``{p}q``
     (sum of squares) and ``{p}w`` (position-weighted)."""
     return (f"{_r(f'coalesce({p}s, 0.0)')} AS {p}_sum, {_r(f'coalesce(sqrt({p}q), 0.0)')} AS {p}_l2, "
-            f"{_r(f'coalesce({p}w, 0.0)')} AS {p}_wsum, CAST(64 AS BIGINT) AS {p}_dim")
+            f"{_r(f'coalesce({p}w, 0.0)')} AS {p}_wsum, CAST({dim} AS BIGINT) AS {p}_dim")
 
 
-def _dim_sums(tokens_sql: str, keys: str, label: str = "") -> str:
+def _dim_sums(tokens_sql: str, keys: str, label: str = "", dim: int = 64) -> str:
     """Per-dimension weighted sums of the tokens in ``tokens_sql`` (columns
     ``keys``, word, weight) grouped by ``keys``, then folded to s/q/w."""
     return f"""(SELECT {keys}, sum(s) AS {label}s, sum(s * s) AS {label}q, sum(i * s) AS {label}w FROM (
        SELECT {keys}, i, sum(t.weight * CAST(v.vec[i] AS DOUBLE)) AS s
-       FROM ({tokens_sql}) t JOIN vocab v ON v.word = t.word, range(1, 65) r(i)
+       FROM ({tokens_sql}) t JOIN vocab v ON v.word = t.word, range(1, {dim + 1}) r(i)
        GROUP BY {keys}, i) d GROUP BY {keys})"""
 
 
@@ -226,6 +226,12 @@ SQL["strategy_filter"] = f"""WITH {EV}, {_sides(True)}
 SELECT CAST(event_id AS VARCHAR) AS p1, 'imp' AS side FROM imp
 UNION ALL SELECT CAST(event_id AS VARCHAR) AS p1, 'click' AS side FROM clk"""
 
+SQL["reject_totals"] = f"""WITH {EV}
+SELECT CASE WHEN event_type IN ('click', 'purchase') THEN 'click' ELSE 'imp' END AS side,
+       CASE WHEN event_type = 'error' THEN 'malformed' WHEN event_type = 'signup' THEN 'no_side'
+            WHEN k % 3 = 0 THEN 'kept' ELSE 'other_strategy' END AS fate, count(*) AS n
+FROM ev WHERE event_type IN ('view', 'error', 'signup', 'click', 'purchase') GROUP BY ALL"""
+
 SQL["pair_key"] = f"""WITH {EV}, {_sides(True)}
 SELECT CAST(event_id AS VARCHAR) AS p1, {KEYCOLS} FROM imp
 UNION ALL SELECT CAST(event_id AS VARCHAR) AS p1, {KEYCOLS} FROM clk"""
@@ -311,10 +317,14 @@ SQL["content_row"] = _C + f"\nSELECT {', '.join(CONTENT_COLS)} FROM crow"
 SQL["content_lookup"] = _C + ",\n" + _lookup_cte("lk", NEW_IDS) + "\nSELECT * FROM lk"
 SQL["content_lookup_all"] = (_C + ",\n" + _lookup_cte("lk", "SELECT content_id FROM logids")
                              + "\nSELECT * FROM lk")
+SQL["sharded_lookup"] = SQL["stored_lookup"] = SQL["content_lookup"]
+SQL["stored_join3"] = SQL["content_join3"]
+SQL["new_ids_filtered"] = SQL["new_ids"]
 _REFRESH = (_C + ",\n" + _lookup_cte("fresh", NEW_IDS) + ",\n"
             + _lookup_cte("old", "SELECT content_id FROM snapids") + ",\n"
             + "merged AS (SELECT * FROM fresh UNION SELECT * FROM old)")
 SQL["content_refresh"] = _REFRESH + "\nSELECT * FROM merged"
+SQL["incremental_snapshot"] = SQL["content_refresh"]
 _RANGE_IDS = """SELECT DISTINCT strftime(o.o_orderdate, '%Y%m') || CAST(l.l_orderkey AS VARCHAR) AS content_id
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE day(l.l_shipdate) BETWEEN 1 AND 20"""
 _RANGE_NEW = f"SELECT content_id FROM ({_RANGE_IDS}) y WHERE content_id NOT IN (SELECT content_id FROM snapids)"
@@ -420,6 +430,30 @@ agg AS {_dim_sums('SELECT l_orderkey, word, weight FROM tok', 'l_orderkey', 'vec
 SELECT ids.l_orderkey, {_dims_summary('vec')}
 FROM (SELECT DISTINCT l_orderkey FROM tok) ids LEFT JOIN agg USING (l_orderkey)"""
 
+WIDE = """vocab AS (SELECT CAST(vec_id AS VARCHAR) AS word, list_transform(range(300), lambda i:
+             CAST(embedding[i % 64 + 1] * CAST(1 + i // 64 AS DOUBLE) AS FLOAT)) AS vec FROM embeddings),
+tok AS (SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS word, l_quantity AS weight FROM lineitem)"""
+
+SQL["tag_vector_wide"] = f"""WITH {WIDE},
+agg AS {_dim_sums('SELECT l_orderkey, word, weight FROM tok', 'l_orderkey', 'vec', 300)}
+SELECT ids.l_orderkey, {_dims_summary('vec', 300)}
+FROM (SELECT DISTINCT l_orderkey FROM tok) ids LEFT JOIN agg USING (l_orderkey)"""
+
+SQL["content_vectors_wide"] = _C + f""",
+{WIDE},
+vrow AS (SELECT row_number() OVER () AS rid, content_id, tags, tags_title FROM crow),
+ctok AS (
+  SELECT rid, unnest(string_split(trim(tags), ' ')) AS tok, 'tags' AS part FROM vrow
+  UNION ALL
+  SELECT rid, unnest(string_split(trim(tags_title), ' ')) AS tok, 'title' AS part FROM vrow),
+cw AS (SELECT rid, part, split_part(tok, '=', 1) AS word,
+              coalesce(TRY_CAST(trim(split_part(tok, '=', 2)) AS DOUBLE), 1.0) AS weight FROM ctok),
+ctags AS {_dim_sums("SELECT rid, word, weight FROM cw WHERE part = 'tags'", 'rid', 'tags', 300)},
+ctitle AS {_dim_sums("SELECT rid, word, weight FROM cw WHERE part = 'title'", 'rid', 'title', 300)}
+SELECT ids.content_id, {_dims_summary('tags', 300)}, {_dims_summary('title', 300)}
+FROM (SELECT rid, content_id FROM vrow) ids
+LEFT JOIN ctags USING (rid) LEFT JOIN ctitle USING (rid)"""
+
 SQL["content_vectors"] = _C + f""",
 {VOCAB},
 vrow AS (SELECT row_number() OVER () AS rid, * FROM (

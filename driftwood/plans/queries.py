@@ -18,6 +18,7 @@ from .. import sources as src
 from ..schemas import (CLICK_KEY, CONTENT_COLUMNS, IMPRESSION_KEY, TRAINING_COLUMNS,
                        TRAINING_SCHEMA)
 from ..session import scratch_path
+from ..sources import versions
 from . import daily, jobs
 from . import inputs as inp
 
@@ -72,6 +73,12 @@ def q_strategy_filter(spark, sf):
             .unionByName(clk.select(F.col("log.p1").alias("p1"), F.lit("click").alias("side"))))
 
 
+def q_reject_totals(spark, sf):
+    """Lines by side and fate: what was read is what was kept and dropped."""
+    lines = jobs.rejected_lines(*inp.log_text(spark, sf), inp.STRATEGY)
+    return lines.groupBy("side", "fate").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_pair_key(spark, sf):
     imp, clk = _filtered(spark, sf)
     u = imp.unionByName(clk)
@@ -310,6 +317,32 @@ def q_content_lookup(spark, sf):
     return _lookup(fresh, spark, sf, ids_distinct=True)
 
 
+def _new(spark, sf):
+    return op.new_ids(op.distinct_ids(inp.log_content_ids(spark, sf)), inp.snapshot_ids(spark, sf))
+
+
+def q_sharded_lookup(spark, sf):
+    """Tables in month folders: only the months of the requested ids are read."""
+    return op.content_lookup(_new(spark, sf), *inp.shard_tables(spark, sf), ids_distinct=True, by_month=True,
+                             **inp.SHARD_RULE)
+
+
+def q_stored_lookup(spark, sf):
+    """Tables in month folders with buckets by id: no content is shuffled."""
+    return op.content_lookup(_new(spark, sf), *inp.store_tables(spark, sf), ids_distinct=True, by_month=True,
+                             by_bucket=True, **inp.SHARD_RULE)
+
+
+def q_stored_join3(spark, sf):
+    j = op.stored_join3(*inp.store_tables(spark, sf))
+    return j.select("content_id", "shard", "image_auditstate", "content_words_num", "ero_cal_result")
+
+
+def q_new_ids_filtered(spark, sf):
+    ids = op.distinct_ids(inp.log_content_ids(spark, sf))
+    return op.new_ids_filtered(ids, inp.snapshot_ids(spark, sf), n_ids=ids.count())
+
+
 def q_content_lookup_all(spark, sf):
     return _lookup(inp.log_content_ids(spark, sf).select("content_id"), spark, sf)
 
@@ -324,6 +357,15 @@ def q_content_refresh(spark, sf):
                                 *inp.content_tables(spark, sf), **inp.SHARD_RULE)
 
 
+def q_incremental_snapshot(spark, sf):
+    """The old snapshot as a first version, the looked-up new ids as a second one."""
+    root = scratch_path(spark, "versions")
+    # one bucket a month: the stand-in has 80 small months
+    versions.write_version(spark, root, "202401300000", _old_snapshot(spark, sf), buckets=1)
+    versions.write_version(spark, root, "202401310000", q_content_lookup(spark, sf), buckets=1)
+    return versions.read_version(spark, root)
+
+
 def _slice(spark, sf, lo, hi):
     o = inp.table(spark, sf, "orders").where(
         F.col("o_orderdate").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
@@ -418,6 +460,18 @@ def q_tag_vector(spark, sf):
     return t.select("l_orderkey", *vec_summary(F.col("vec"), "vec"))
 
 
+def q_tag_vector_wide(spark, sf):
+    """At the source's 300 dimensions."""
+    t = op.tag_vector(inp.line_tokens(spark, sf), inp.wide_vectors(spark, sf), "l_orderkey", inp.WIDE_DIM)
+    return t.select("l_orderkey", *vec_summary(F.col("vec"), "vec"))
+
+
+def q_content_vectors_wide(spark, sf):
+    rows = op.content_row(op.content_join3(*inp.content_tables(spark, sf)))
+    v = jobs.content_vectors(rows, inp.wide_vectors(spark, sf), inp.WIDE_DIM)
+    return v.select("content_id", *vec_summary(F.col("tags_vec"), "tags"), *vec_summary(F.col("title_vec"), "title"))
+
+
 def q_content_vectors(spark, sf):
     rows = op.content_row(op.content_join3(*inp.content_tables(spark, sf)))
     # ids come in two versions and as repeated rows, as snapshots hold them
@@ -447,6 +501,7 @@ def q_cosine_pairs(spark, sf):
 QUERIES: dict[str, Query] = {
     "log_scan": q_log_scan,
     "strategy_filter": q_strategy_filter,
+    "reject_totals": q_reject_totals,
     "pair_key": q_pair_key,
     "dedup_daily": q_dedup_daily,
     "click_label": q_click_label,
@@ -474,8 +529,13 @@ QUERIES: dict[str, Query] = {
     "content_join3": q_content_join3,
     "content_row": q_content_row,
     "content_lookup": q_content_lookup,
+    "sharded_lookup": q_sharded_lookup,
+    "stored_lookup": q_stored_lookup,
+    "stored_join3": q_stored_join3,
+    "new_ids_filtered": q_new_ids_filtered,
     "content_lookup_all": q_content_lookup_all,
     "content_refresh": q_content_refresh,
+    "incremental_snapshot": q_incremental_snapshot,
     "snapshot_merge": q_snapshot_merge,
     "dedup_content": q_dedup_content,
     "sink_snapshot": q_sink_snapshot,
@@ -491,6 +551,8 @@ QUERIES: dict[str, Query] = {
     "token_vectors": q_token_vectors,
     "token_vectors_broadcast": q_token_vectors_broadcast,
     "tag_vector": q_tag_vector,
+    "tag_vector_wide": q_tag_vector_wide,
+    "content_vectors_wide": q_content_vectors_wide,
     "content_vectors": q_content_vectors,
     "category_vector": q_category_vector,
     "cosine_pairs": q_cosine_pairs,
@@ -501,6 +563,7 @@ QUERIES: dict[str, Query] = {
 INVENTORY: dict[str, tuple[str, ...]] = {
     "log_scan": ("S1", "S4", "X6"),
     "strategy_filter": ("F1", "F2", "F3"),
+    "reject_totals": ("F3",),
     "pair_key": ("P1", "X1"),
     "dedup_daily": ("A1", "A8"),
     "click_label": ("J1", "A1", "A3", "A8", "U1"),
@@ -528,8 +591,13 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "content_join3": ("J2",),
     "content_row": ("P6", "X5", "X7", "X8", "X9"),
     "content_lookup": ("S6", "J3", "L1", "L3", "U4"),
+    "sharded_lookup": ("S6", "J3", "L1"),
+    "stored_lookup": ("S6", "J2", "J3"),
+    "stored_join3": ("J2",),
+    "new_ids_filtered": ("J4", "U3"),
     "content_lookup_all": ("S9", "J3"),
     "content_refresh": ("G2", "J4", "U2", "A4"),
+    "incremental_snapshot": ("U2", "A4", "K2"),
     "snapshot_merge": ("U2", "A4"),
     "dedup_content": ("A4",),
     "sink_snapshot": ("K2",),
@@ -545,6 +613,8 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "token_vectors": ("J5", "X12"),
     "token_vectors_broadcast": ("J6",),
     "tag_vector": ("A6", "X13"),
+    "tag_vector_wide": ("A6", "X13"),
+    "content_vectors_wide": ("P8", "G3", "A6"),
     "content_vectors": ("P8", "G3", "A6", "X10"),
     "category_vector": ("A7", "F7", "X11", "X13"),
     "cosine_pairs": ("X16", "X14"),

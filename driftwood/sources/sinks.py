@@ -69,3 +69,20 @@ def write_snapshot(df: DataFrame, root: str, month: str, stamp: str, n_files: in
     else:
         balanced(df, n_files).write.mode("errorifexists").format(fmt).save(path)
     return path
+
+
+def write_content_store(df: DataFrame, table: str, path: str, buckets: int, id_col: str = "content_id",
+                        by: Sequence[str] = ("shard",)) -> DataFrame:
+    """Store a content table by month and, within a month, in ``buckets``
+    files by id hash, sorted by id, as the catalog's external ``table``.
+    Tables stored with the same number of buckets join on the id, and group
+    by it, without a shuffle.  Rows go to their bucket's task first, so a
+    month has one file a bucket.  The whole table is replaced.
+
+    ``buckets`` is the layout's one fixed number: choose it so that a bucket
+    of a month is some 256 MiB."""
+    w = df.repartition(buckets, id_col).write.format("parquet").option("path", path).bucketBy(buckets, id_col).sortBy(id_col)
+    if by:
+        w = w.partitionBy(*by)
+    w.mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)
