@@ -32,7 +32,7 @@ from .common import id_text
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
-CACHE_SIZE = 500_000
+CACHE_SIZE = 200_000
 
 
 # ---- model file ----------------------------------------------------------
