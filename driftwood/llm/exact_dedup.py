@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
+#: Up to so many listed rows (some 40 bytes each) their list is broadcast, so that the texts of the others are not shuffled.
+BROADCAST_ROWS = 1 << 19
+
 
 def text_digest(text_col: str) -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary"), 256))
@@ -37,27 +40,49 @@ def heavy_candidates(digests: DataFrame, max_heavy: int = 1024, min_share: float
             .select(F.unhex("t.item").alias("digest")))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_heavy: int = 1024) -> DataFrame:
-    """One row per input row: ``id, keep_id, group_size, kept, digest``."""
+def split_groups(docs: DataFrame, id_col: str, text_col: str, max_heavy: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``id, digest`` of every row; ``digest, keep_id, group_size`` of the
+    heavy digests, at most ``max_heavy``; and ``digest, id, keep_id,
+    group_size`` of the rows of all other digests."""
     rows = materialise(docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                                    text_digest(text_col).alias("digest")), "digests")
     best = [F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
     candidates = materialise(heavy_candidates(rows, max_heavy), "heavy")  # at most max_heavy rows
     winners = materialise(rows.join(F.broadcast(candidates), "digest", "left_semi").groupBy("digest").agg(*best),
                           "winners")  # at most max_heavy rows
-    heavy = rows.join(F.broadcast(winners), "digest")
     rest = rows.join(F.broadcast(winners), "digest", "left_anti")
-    light = rest.join(rest.groupBy("digest").agg(*best), "digest")
+    return rows, winners, rest.join(rest.groupBy("digest").agg(*best), "digest")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_heavy: int = 1024) -> DataFrame:
+    """One row per input row: ``id, keep_id, group_size, kept, digest``."""
+    rows, winners, light = split_groups(docs, id_col, text_col, max_heavy)
+    heavy = rows.join(F.broadcast(winners), "digest")
     cols = ["id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"]
     return heavy.select(*cols).unionByName(light.select(*cols))
 
 
-def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("id").alias("__kept_id"), F.col("digest").alias("__kept_digest")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept_id"))
-                     & (text_digest(text_col) == F.col("__kept_digest")), "left_semi")
+def drop_listed(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """``docs`` without the rows in the written table ``gone(id, digest)``.
+    A list of more than ``bound`` rows meets the documents by a shuffle."""
+    listed = gone.select(F.col("id").alias("__gone_id"), F.col("digest").alias("__gone_digest"))
+    if gone.count() <= bound:
+        listed = F.broadcast(listed)
+    return docs.join(listed, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__gone_id"))
+                     & (text_digest(text_col) == F.col("__gone_digest")), "left_anti")
+
+
+def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_heavy: int = 1024,
+               bound: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.  Copies of
+    heavy digests go map-side by the broadcast winners; of the others only
+    the rows that go are listed."""
+    _, winners, light = split_groups(docs, id_col, text_col, max_heavy)
+    gone = materialise(light.where("NOT id <=> keep_id").select("id", "digest").distinct(), "gone")
+    heavy = winners.select(F.col("digest").alias("__heavy_digest"), F.col("keep_id").alias("__heavy_keep"))
+    stays = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__heavy_keep"))
+    docs = docs.join(F.broadcast(heavy), (text_digest(text_col) == F.col("__heavy_digest")) & ~stays, "left_anti")
+    return drop_listed(docs, gone, id_col, text_col, bound)
 
 
 def query(docs: DataFrame) -> DataFrame:

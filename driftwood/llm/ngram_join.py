@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .chunks import Chunk, chunk_table, cut, parts_for, rows_of, table_rows
 from .common import discard, fold_bytes, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
-from .exact_dedup import text_digest
+from .exact_dedup import BROADCAST_ROWS, drop_listed
 
 K = 5
 PERCENT = 80
@@ -53,8 +53,6 @@ ROW_BITS = 20
 ORDERS = 3
 BLOCK_SHINGLES = 400_000
 BLOCK_DOCS = 1000
-#: Up to so many dropped rows their list is broadcast, so that the texts of the others are not shuffled.
-BROADCAST_ROWS = 1 << 19
 
 DOC_SCHEMA = "rid long, id long, n int, print_a long, print_b long"
 TOKENS_SCHEMA = "part int, chunk long, tokens binary, counts binary"
@@ -392,12 +390,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest"))
     keep = materialise(grouped.groupBy("comp").agg(best.alias("best")).select(
         "comp", F.col("best.id").alias("keep_id"), F.col("best.digest").alias("keep_digest")), "keep")
-    gone = materialise(grouped.join(keep, "comp").where("NOT (id <=> keep_id AND digest = keep_digest)").select(
-        F.col("id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct(), "gone")
-    if gone.count() <= BROADCAST_ROWS:  # some 40 bytes a row; a larger list meets the documents by a shuffle
-        gone = F.broadcast(gone)
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__gone_id"))
-                     & (text_digest(text_col) == F.col("__gone_digest")), "left_anti")
+    gone = materialise(grouped.join(keep, "comp").where("NOT (id <=> keep_id AND digest = keep_digest)")
+                       .select("id", "digest").distinct(), "gone")
+    return drop_listed(docs, gone, id_col, text_col, BROADCAST_ROWS)
 
 
 def query(docs: DataFrame) -> DataFrame:

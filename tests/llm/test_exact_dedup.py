@@ -44,6 +44,21 @@ def test_keep_exact_keeps_all_columns(spark):
     assert by_id((i,) for i in ids) == by_id((i,) for i in want)
 
 
+def test_keep_exact_by_broadcast_and_by_shuffle_agree(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i % 50}") for i in range(600)] + [(None, "hot"), (None, "alone"), (599, "t49"), (7, None)]
+    df = docs_of(spark, rows).repartition(3)
+    largest = lambda t: max((x for x, u in rows if (u or "") == (t or "") and x is not None), default=None)
+    want = by_id({(i, t) for i, t in rows if i == largest(t)})
+    for heavy, bound in ((1024, 1 << 19), (1, 1 << 19), (1, 0)):
+        kept = X.keep_exact(df, max_heavy=heavy, bound=bound)
+        assert by_id({(r.doc_id, r.text) for r in kept.collect()}) == want
+
+
+def test_keep_exact_shuffles_no_texts(spark):
+    plan = X.keep_exact(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
+
+
 def test_no_python_in_the_plan(spark):
     plan = X.query(edge_docs(spark))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
