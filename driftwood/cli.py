@@ -59,7 +59,7 @@ def cmd_training_rows(spark: SparkSession, a) -> dict:
     imp = day_paths(a.imp_prefix, days, a.suffix)
     clk = day_paths(a.clk_prefix, days, a.suffix)
     out = daily.run_training_rows(spark, imp, clk, a.strategy, a.out, n_files=a.files,
-                                     fmt=a.format)
+                                     fmt=a.format, publish=a.publish)
     return {"out": out, "start": str(start), "end": str(end)}
 
 
@@ -87,6 +87,7 @@ def cmd_content_refresh(spark: SparkSession, a) -> dict:
     path, metrics = daily.run_content_refresh(
         spark, a.rows, start.strftime("%Y%m%d"), end.strftime("%Y%m%d"), old, *tables,
         a.snapshot_root, stamp[:6], stamp, shards=_shards(a), n_files=a.files, snapshot_is_distinct=a.snapshot_is_distinct, rows_format=a.rows_format,
+        published=a.published_rows,
         years=tuple(a.years), start_year=a.start_year, start_month=a.start_month)
     return {"snapshot": path, **metrics}
 
@@ -118,12 +119,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--files", type=int, default=None, help="fixed output file count (coalesce)")
     p.add_argument("--format", choices=["parquet", "text"], default="parquet",
                    help="text = comma-joined positional rows")
+    p.add_argument("--publish", default=None, metavar="STAMP",
+                   help="publish the days as a whole under this stamp (newest stamp wins); --files does not apply")
     p.set_defaults(fn=cmd_training_rows)
 
     p = sub.add_parser("content-refresh")
     _add_window(p)
     p.add_argument("--rows", required=True, help="training rows written by training-rows")
     p.add_argument("--rows-format", choices=["parquet", "text"], default="parquet")
+    p.add_argument("--published-rows", action="store_true", help="read the days published by training-rows --publish only")
     p.add_argument("--snapshot", required=True, help="previous snapshot")
     p.add_argument("--snapshot-format", choices=["parquet", "text"], default="parquet")
     p.add_argument("--snapshot-is-distinct", action="store_true")

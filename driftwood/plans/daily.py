@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from ..operators.content import (content_lookup, distinct_ids, ids_from_text_rows, new_ids,
                                  snapshot_merge)
 from ..operators.logs import CLICK, IMP, KEPT, MALFORMED, NO_SIDE, OTHER_STRATEGY
-from ..schemas import CONTENT_COLUMNS
+from ..schemas import CONTENT_COLUMNS, DAY_SCHEMA, DAY_TEXT_SCHEMA
+from ..sources.days import folder_days, publish_days, read_published
 from ..sources.logs import read_day_logs, read_day_range
 from ..sources.sinks import write_partitioned, write_snapshot, write_text
 from .jobs import rejected_lines, repair_snapshot, training_rows_by_day
@@ -33,14 +34,22 @@ from .jobs import rejected_lines, repair_snapshot, training_rows_by_day
 
 def run_training_rows(spark: SparkSession, imp_paths: str | Iterable[str],
                       clk_paths: str | Iterable[str], strategy: int, out_root: str,
-                      n_files: int | None = None, fmt: str = "parquet") -> str:
+                      n_files: int | None = None, fmt: str = "parquet", publish: str | None = None) -> str:
     """``fmt="text"`` writes the comma-joined positional rows the source
     wrote (``flatten_text``) instead of typed parquet columns.  Each path is
-    a day folder (or below one); a missing one fails the job."""
+    a day folder (or below one); a missing one fails the job.  With
+    ``publish`` (the run's stamp) the days are published as a whole once all
+    are written (``sources.days``), and no earlier file is touched."""
+    if publish:
+        imp_paths, clk_paths = ([p] if isinstance(p, str) else list(p) for p in (imp_paths, clk_paths))
+        days = folder_days([*imp_paths, *clk_paths])
     rows = training_rows_by_day(read_day_logs(spark, imp_paths), read_day_logs(spark, clk_paths),
                                 strategy, text=fmt == "text")
-    write_partitioned(rows, out_root, ["month", "day"], fmt=fmt, n_files=n_files,
-                      rebalance=n_files is None)
+    if publish:
+        publish_days(rows, out_root, publish, days, fmt)
+    else:
+        write_partitioned(rows, out_root, ["month", "day"], fmt=fmt, n_files=n_files,
+                          rebalance=n_files is None)
     return out_root
 
 
@@ -65,11 +74,16 @@ def run_content_refresh(spark: SparkSession, training_root: str, start_day: str,
                         old_snapshot: DataFrame, t_content: DataFrame, t_signal: DataFrame,
                         t_news: DataFrame, snapshot_root: str, month: str, stamp: str,
                         n_files: int | None = None, snapshot_is_distinct: bool = False,
-                        shards: list[str] | None = None, rows_format: str = "parquet",
+                        shards: list[str] | None = None, rows_format: str = "parquet", published: bool = False,
                         **shard_rule) -> tuple[str, dict]:
     """``rows_format="text"`` reads positional text rows and takes the id
-    from field 24, as the source did."""
-    saved = read_day_range(spark, training_root, start_day, end_day, fmt=rows_format)
+    from field 24, as the source did.  With ``published`` only days that a
+    run has published are read."""
+    if published:
+        schema = DAY_TEXT_SCHEMA if rows_format == "text" else DAY_SCHEMA
+        saved = read_published(spark, training_root, start_day, end_day, schema, fmt=rows_format)
+    else:
+        saved = read_day_range(spark, training_root, start_day, end_day, fmt=rows_format)
     if rows_format == "text":
         saved = ids_from_text_rows(saved)
     ids = distinct_ids(saved.select("content_id"))

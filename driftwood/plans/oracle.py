@@ -260,6 +260,7 @@ SQL["split_field"] = _training() + "\nSELECT p1, content_id FROM tr"
 SQL["sink_partitioned"] = f"""WITH {EV}, {_sides(True)}, {_lab(', f8')}
 SELECT {FLAT_COLS}, substr(l.f8, 1, 6) AS month, l.f8 AS day FROM lab l JOIN ev e ON e.event_id = l.log_event"""
 SQL["daily_rows"] = SQL["sink_partitioned"]
+SQL["published_rows"] = SQL["sink_partitioned"]
 
 SQL["day_part"] = "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events"
 

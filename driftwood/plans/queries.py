@@ -15,10 +15,12 @@ from pyspark.sql import types as T
 from .. import functions as fn
 from .. import operators as op
 from .. import sources as src
-from ..schemas import (CLICK_KEY, CONTENT_COLUMNS, IMPRESSION_KEY, TRAINING_COLUMNS,
+from ..schemas import (CLICK_KEY, CONTENT_COLUMNS, DAY_SCHEMA, IMPRESSION_KEY, TRAINING_COLUMNS,
                        TRAINING_SCHEMA)
 from ..session import scratch_path
+from ..sources import days as published
 from ..sources import versions
+from ..sources.logs import read_day_logs
 from . import daily, jobs
 from . import inputs as inp
 
@@ -140,11 +142,6 @@ def q_csv_roundtrip(spark, sf):
     return src.read_csv(spark, path, TRAINING_SCHEMA)
 
 
-# a new StructType: ``add`` would modify the shared TRAINING_SCHEMA in place
-DAY_SCHEMA = T.StructType(TRAINING_SCHEMA.fields + [T.StructField("month", T.StringType()),
-                                                    T.StructField("day", T.StringType())])
-
-
 def q_sink_partitioned(spark, sf):
     imp_t, clk_t = inp.log_text(spark, sf)
     rows = jobs.training_rows_by_day(imp_t, clk_t, inp.STRATEGY)
@@ -181,6 +178,21 @@ def q_daily_rows(spark, sf):
     return spark.read.schema(DAY_SCHEMA).parquet(out).select(*TRAINING_COLUMNS, "month", "day")
 
 
+def q_published_rows(spark, sf):
+    """The writer job publishing all days, the first half of them once more,
+    and a run that stopped after writing; read back as published."""
+    paths, days = _day_folders(inp.log_text(spark, sf), spark)
+    out = scratch_path(spark, "published-rows")
+    half = (len(days) + 1) // 2
+    for stamp, n in (("1", len(days)), ("2", half)):
+        if n:
+            daily.run_training_rows(spark, paths["imp"][:n], paths["clk"][:n], inp.STRATEGY, out, publish=stamp)
+    if days:
+        logs = [read_day_logs(spark, paths[side][:1]) for side in ("imp", "clk")]
+        published.stage_days(jobs.training_rows_by_day(*logs, inp.STRATEGY), out, "3")
+    return published.read_published(spark, out, "00000000", "99999999", DAY_SCHEMA)
+
+
 REFRESH_START, REFRESH_END = "20240101", "20240120"
 
 
@@ -513,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "sink_partitioned": q_sink_partitioned,
     "daily_rows": q_daily_rows,
+    "published_rows": q_published_rows,
     "refresh_from_rows": q_refresh_from_rows,
     "refresh_totals": q_refresh_totals,
     "repaired_rows": q_repaired_rows,
@@ -575,6 +588,7 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "csv_roundtrip": ("S5",),
     "sink_partitioned": ("K1",),
     "daily_rows": ("G1", "K1", "S2", "S3"),
+    "published_rows": ("G1", "K1", "G5"),
     "refresh_from_rows": ("G1", "G2", "G5", "K1", "K2"),
     "refresh_totals": ("A5", "G5"),
     "repaired_rows": ("G4", "K3", "P7"),

@@ -78,6 +78,9 @@ TRAINING_SCHEMA = T.StructType(
     [T.StructField("is_click", T.IntegerType(), True)]
     + [T.StructField(n, S, True) for n in TRAINING_COLUMNS[1:]]
 )
+#: With the folders they are saved in; a new StructType: ``add`` would modify TRAINING_SCHEMA in place.
+DAY_SCHEMA = T.StructType(TRAINING_SCHEMA.fields + [T.StructField("month", S), T.StructField("day", S)])
+DAY_TEXT_SCHEMA = T.StructType([T.StructField(n, S) for n in ("value", "month", "day")])
 
 # The 14-column content row.
 CONTENT_COLUMNS = [
