@@ -28,6 +28,9 @@ from ..functions.vectors import fit_dim, l1_norm, l2_norm, scale, zeros
 #: Up to so many sums (and the keys) stay in generated code; longer vectors go by blocks of positions.
 DIRECT_DIMS = 90
 BLOCK_DIMS = 50
+#: At most so many words count as hot, if they hold that share of all tokens.
+MAX_HOT = 256
+HOT_SHARE = 1 / 2048
 
 
 def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
@@ -64,11 +67,35 @@ def _vocab(vectors: DataFrame) -> DataFrame:
     return vectors.select("word", "vec").where(F.col("word").isNotNull())
 
 
-def token_vectors(tokens: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
+def hot_words(tokens: DataFrame, max_hot: int = MAX_HOT, min_share: float = HOT_SHARE) -> DataFrame:
+    """``word`` of at most ``max_hot`` words that a frequent-items sketch
+    (bounded size, merged map-side) counts in ``min_share`` of all tokens or
+    more.  The sketch tracks eight times as many words, so one that holds
+    ``min_share`` of all tokens is among them."""
+    sketch = tokens.where(F.col("word").isNotNull()).agg(
+        F.expr(f"approx_top_k(word, {max_hot}, {8 * max_hot})").alias("top"), F.count(F.lit(1)).alias("total"))
+    return (sketch.select("total", F.explode("top").alias("t"))
+            .where((F.col("t.count") >= 2) & (F.col("t.count") >= F.col("total") * min_share)).select(F.col("t.item").alias("word")))
+
+
+def join_words(tokens: DataFrame, vocab: DataFrame, how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
+    """Tokens with the columns of ``vocab``.  The tokens of ``hot`` words
+    (see ``hot_words``) stay where they are and meet their few vectors by a
+    broadcast, whose size does not grow with the vocabulary; only the others
+    go by the ordinary join.  Any set of hot words gives the same rows."""
+    if hot is None:
+        return tokens.join(vocab, "word", how)
+    few = F.broadcast(vocab.join(F.broadcast(hot), "word", "left_semi"))
+    heavy = tokens.join(F.broadcast(hot), "word", "left_semi").join(few, "word", how)
+    return heavy.unionByName(tokens.join(F.broadcast(hot), "word", "left_anti").join(vocab, "word", how))
+
+
+def token_vectors(tokens: DataFrame, vectors: DataFrame, dim: int, hot: DataFrame | None = None) -> DataFrame:
     """Each token's vector times its weight; unknown words give zeros.  The
     join strategy is Spark's (AQE turns it into a broadcast when the
-    vocabulary side is measured small, and splits skewed words otherwise)."""
-    j = tokens.join(_vocab(vectors), "word", "left")
+    vocabulary side is measured small, and splits skewed words otherwise),
+    but for the tokens of ``hot`` words (``join_words``)."""
+    j = join_words(tokens, _vocab(vectors), "left", hot)
     return j.withColumn("vec", fit_dim(scale(F.col("vec"), F.col("weight")), dim))
 
 
@@ -123,13 +150,6 @@ def _assemble(prefix: str, dim: int) -> Column:
     return F.array(*[F.coalesce(F.col(f"{prefix}{i}"), F.lit(0.0)) for i in range(dim)])
 
 
-def _known_tokens(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Tokens whose word is in the vocabulary, with its vector.  Unknown
-    words add zeros, so they are dropped before the aggregate's shuffle
-    rather than carried through it."""
-    return tokens.join(_vocab(vectors), "word", "inner")
-
-
 def combine_repeats(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One token per (keys, word) with its weights added up: worth its
     shuffle where a word repeats within an id, since the vocabulary join and
@@ -145,19 +165,21 @@ def block_vocab(vectors: DataFrame, dim: int, width: int = BLOCK_DIMS) -> DataFr
 
 
 def vector_sums(tokens: DataFrame, vectors: DataFrame, ids: Sequence[str], dim: int, part_col: str | None = None,
-                parts: Sequence[str] = (), present: DataFrame | None = None) -> DataFrame:
+                parts: Sequence[str] = (), present: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Weighted sums per ``ids`` of the known tokens, as ``vec``, or as
-    ``<part>_vec`` for each value of ``part_col``.  The rows of ``present(ids)``
+    ``<part>_vec`` for each value of ``part_col``.  Unknown words add zeros,
+    so the join drops them before the aggregate's shuffle; tokens of ``hot``
+    words are not shuffled for it (``join_words``).  The rows of ``present(ids)``
     join the aggregate as tokens without a vector, so that each has a result
     (zeros) without a join afterwards."""
     ids, keys = list(ids), [*ids, *([part_col] if part_col else [])]
     blocks = range(-(-dim // BLOCK_DIMS)) if dim > DIRECT_DIMS else None
     if blocks:
         seg, width, at = "_seg", BLOCK_DIMS, ["_b"]
-        known = tokens.join(block_vocab(vectors, dim), "word").select(*keys, *at, "weight", seg)
+        known = join_words(tokens, block_vocab(vectors, dim), hot=hot).select(*keys, *at, "weight", seg)
     else:
         seg, width, at = "vec", dim, []
-        known = _known_tokens(tokens, vectors).select(*keys, "weight", seg)
+        known = join_words(tokens, _vocab(vectors), hot=hot).select(*keys, "weight", seg)
     if present is not None:
         none = [F.lit(parts[0]).alias(part_col)] if part_col else []
         none += [F.lit(0).alias(c) for c in at]
@@ -178,14 +200,14 @@ def vector_sums(tokens: DataFrame, vectors: DataFrame, ids: Sequence[str], dim:
 
 
 def tag_vector(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str] | str,
-               dim: int, all_ids: bool = True) -> DataFrame:
+               dim: int, all_ids: bool = True, hot: DataFrame | None = None) -> DataFrame:
     """Weighted vector sum per id: ``(id..., vec ARRAY<DOUBLE>)``.
 
-    Repeated words add up.  With ``all_ids`` every id of ``tokens`` is
+    Repeated words add up; ``hot`` words are joined map-side.  With ``all_ids`` every id of ``tokens`` is
     returned, ids whose words are all unknown with zeros (a distinct of the
     ids joined back, both sides partitioned by id)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    v = vector_sums(tokens, vectors, ids, dim)
+    v = vector_sums(tokens, vectors, ids, dim, hot=hot)
     if not all_ids:
         return v
     return with_zero_vectors(tokens.select(*ids).distinct(), v, ids, ["vec"], dim)

@@ -337,6 +337,13 @@ def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_quantity").alias("weight"))
 
 
+@stand_in
+def hot_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line tokens, with one word that every order has (its first line)."""
+    word = F.when(F.col("l_linenumber") == 1, F.lit("1")).otherwise(F.col("word"))
+    return line_tokens(spark, sf_dir).withColumn("word", word)
+
+
 @stand_in
 def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: keyword text ``line:part=qty supp;...`` (``-1`` for lines

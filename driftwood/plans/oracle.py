@@ -431,6 +431,9 @@ agg AS {_dim_sums('SELECT l_orderkey, word, weight FROM tok', 'l_orderkey', 'vec
 SELECT ids.l_orderkey, {_dims_summary('vec')}
 FROM (SELECT DISTINCT l_orderkey FROM tok) ids LEFT JOIN agg USING (l_orderkey)"""
 
+SQL["tag_vector_hot"] = SQL["tag_vector"].replace(
+    "CAST(l_partkey AS VARCHAR) AS word", "CASE WHEN l_linenumber = 1 THEN '1' ELSE CAST(l_partkey AS VARCHAR) END AS word")
+
 WIDE = """vocab AS (SELECT CAST(vec_id AS VARCHAR) AS word, list_transform(range(300), lambda i:
              CAST(embedding[i % 64 + 1] * CAST(1 + i // 64 AS DOUBLE) AS FLOAT)) AS vec FROM embeddings),
 tok AS (SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS word, l_quantity AS weight FROM lineitem)"""

@@ -472,6 +472,13 @@ def q_tag_vector(spark, sf):
     return t.select("l_orderkey", *vec_summary(F.col("vec"), "vec"))
 
 
+def q_tag_vector_hot(spark, sf):
+    """A word of a fifth of all tokens and more is joined map-side."""
+    toks = inp.hot_tokens(spark, sf)
+    t = op.tag_vector(toks, inp.vectors(spark, sf), "l_orderkey", DIM, hot=op.hot_words(toks))
+    return t.select("l_orderkey", *vec_summary(F.col("vec"), "vec"))
+
+
 def q_tag_vector_wide(spark, sf):
     """At the source's 300 dimensions."""
     t = op.tag_vector(inp.line_tokens(spark, sf), inp.wide_vectors(spark, sf), "l_orderkey", inp.WIDE_DIM)
@@ -564,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "token_vectors": q_token_vectors,
     "token_vectors_broadcast": q_token_vectors_broadcast,
     "tag_vector": q_tag_vector,
+    "tag_vector_hot": q_tag_vector_hot,
     "tag_vector_wide": q_tag_vector_wide,
     "content_vectors_wide": q_content_vectors_wide,
     "content_vectors": q_content_vectors,
@@ -627,6 +635,7 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "token_vectors": ("J5", "X12"),
     "token_vectors_broadcast": ("J6",),
     "tag_vector": ("A6", "X13"),
+    "tag_vector_hot": ("A6", "J5"),
     "tag_vector_wide": ("A6", "X13"),
     "content_vectors_wide": ("P8", "G3", "A6"),
     "content_vectors": ("P8", "G3", "A6", "X10"),

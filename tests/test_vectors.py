@@ -215,3 +215,43 @@ def test_vectors_of_rows_are_not_joined_back(spark):
         Row(content_id="2", tags_vec=[0.0, 0.0], title_vec=[0.0, 0.0])]))
     plan = plan_text(got)
     assert sum("Join" in x for x in plan.split("\n")) == 1  # the vocabulary's
+
+
+def test_hot_words_are_joined_where_they_stand(spark):
+    """A word of most tokens: same rows as the ordinary join, none of its
+    tokens shuffled for the join, tasks as even as the input's."""
+    rng = random.Random(5)
+    vocab = [(f"w{k}", [float(k), 1.0, -2.0]) for k in range(50)]
+    data = [(rng.randrange(300), rng.choice(["w1"] * 6 + ["nowhere", None, f"w{rng.randrange(60)}"]), 1.0 + k % 3) for k in range(6000)]
+    t = spark.createDataFrame(data, "id long, word string, weight double").repartition(8)
+    v = spark.createDataFrame(vocab, "word string, vec array<double>")
+    hot = op.hot_words(t, max_hot=8, min_share=0.05)
+    assert {r.word for r in hot.collect()} == {"w1", "nowhere"}
+    assert op.hot_words(t, max_hot=1, min_share=0.0).count() == 1
+    assert op.hot_words(t.where("false")).count() == 0 and op.hot_words(t.select(F.lit(None).cast("string").alias("word"))).count() == 0
+    none = hot.where("false")
+    for how in ("inner", "left"):
+        want = rows(op.join_words(t, v, how))
+        assert rows(op.join_words(t, v, how, hot)) == want == rows(op.join_words(t, v, how, none))
+    assert rows(op.token_vectors(t, v, DIM, hot)) == rows(op.token_vectors(t, v, DIM))
+    assert rows(op.tag_vector(t, v, "id", DIM, hot=hot)) == rows(op.tag_vector(t, v, "id", DIM))
+    wide = v.withColumn("vec", F.array_repeat(F.lit(0.5), 95))
+    assert rows(op.tag_vector(t, wide, "id", 95, hot=hot)) == rows(op.tag_vector(t, wide, "id", 95))
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, val in conf.items():
+            spark.conf.set(k, val)
+
+        def largest(df):
+            return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        n_hot = sum(w == "w1" for _, w, _ in data)
+        assert largest(op.join_words(t, v)) >= n_hot
+        split = op.join_words(t, v, hot=hot)
+        assert largest(split) < n_hot / 4
+        plan = plan_text(split)
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") >= 3
+    finally:
+        for k, val in old.items():
+            spark.conf.unset(k) if val is None else spark.conf.set(k, val)
