@@ -30,38 +30,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise
+from .license_texts import TEMPLATES
 
 K = 5
 PERCENT = 80
 SURE = 0.9999
 MAX_TEMPLATE_WORDS = 100_000
 
-# Notices of well-known licenses, as their publishers word them
-TEMPLATES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                         "compliance with the License. You may obtain a copy of the License at",
-    "bsd-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                  "that the following conditions are met",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                  "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                  "option) any later version.",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-           "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "mit": "Released under the MIT License.",
-    "mit-header": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-                  "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
-                  "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
-                  "the Software",
-    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "reserved": "All rights reserved.",
-    "unlicense": "This is free and unencumbered software released into the public domain.",
-}
-
 
 def least_similarity(percent: int) -> float:
     """Least Jaccard similarity of a window with a template that it contains

@@ -33,8 +33,9 @@ def brute(rows, templates):
 def made():
     rng = random.Random(6)
     rows = list(DOCS)
-    for k in range(120):
-        name = rng.choice(sorted(L.TEMPLATES))
+    names = sorted(L.TEMPLATES)
+    for k in range(4 * len(names)):  # each of the templates in each of the four ways
+        name = names[k // 4]
         w = L.TEMPLATES[name].split()
         if k % 4 == 1:  # near: one word changed
             w[rng.randrange(len(w))] = "changed"
