@@ -88,18 +88,20 @@ def template_table(spark: SparkSession, templates: dict[str, str], bands: int) -
     return rows.withColumn("anchors", anchors).select("name", "width", "m", "size", "own", "low", "anchors", "w")
 
 
-def windows(rows: DataFrame, size: int, anchors: list[int]) -> DataFrame:
-    """Windows of ``rows(.., shingles)`` that hold an anchor shingle:
-    ``.., at`` (first shingle) and ``held``."""
-    step = max(1, size // 2)
-    length = size + step - 1
-    known = F.array(*[F.lit(a) for a in anchors])
-    hits = F.filter(F.transform("shingles", lambda s, i: F.when(F.array_contains(known, s), i)), lambda i: i.isNotNull())
+def windows(rows: DataFrame, anchors: dict[int, list[int]]) -> DataFrame:
+    """Windows of ``rows(.., shingles)`` that hold an anchor shingle of their
+    size class (``anchors`` by size): ``.., size, step, at`` (first shingle)
+    and ``held``.  All classes are taken in one pass."""
+    classes = F.array(*[F.struct(F.lit(size).alias("size"), F.lit(max(1, size // 2)).alias("step"), F.array(*[F.lit(a) for a in known])
+                                 .alias("known")) for size, known in sorted(anchors.items())])
+    step, length = F.col("c.step"), F.col("c.size") + F.col("c.step") - 1
+    hits = F.filter(F.transform("shingles", lambda s, i: F.when(F.array_contains("c.known", s), i)), lambda i: i.isNotNull())
     first = lambda i: F.greatest(F.lit(0), F.ceil((i - length + 1) / step)).cast("int")
     starts = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.sequence(first(i), F.floor(i / step).cast("int")))))
-    return (rows.where(F.arrays_overlap("shingles", known)).withColumn("n", F.explode(starts))
-            .withColumn("at", F.col("n") * step).withColumn("held", F.array_distinct(F.slice("shingles", F.col("at") + 1, length)))
-            .drop("n", "shingles"))
+    held = F.array_distinct(F.slice("shingles", F.col("at") + 1, length))
+    return (rows.withColumn("c", F.explode(classes)).where(F.arrays_overlap("shingles", F.col("c.known")))
+            .withColumn("n", F.explode(starts)).withColumn("at", (F.col("n") * step).cast("int")).withColumn("held", held)
+            .select("id", "mark", "c.size", "c.step", "at", "held"))
 
 
 def find_templates(docs: DataFrame, templates: dict[str, str] | None = None, percent: int = PERCENT,
@@ -122,23 +124,20 @@ def find_templates(docs: DataFrame, templates: dict[str, str] | None = None, per
                             shingle_hashes(text, width).alias("shingles"))
                 .where(F.arrays_overlap("shingles", F.array(*[F.lit(a) for a in every]))))
         rows = materialise(rows, "shingles")  # only texts with some anchor shingle
-        for size in sorted({r["size"] for r in of}):
-            mine = [r for r in of if r["size"] == size]
-            step = max(1, size // 2)
-            signed = windows(rows, size, sorted({a for r in mine for a in r["anchors"]})).withColumn(
-                "low", min_hashes(F.col("held"), bands))
-            known = spark.createDataFrame([(r["name"], r["m"], r["own"], r["low"]) for r in mine],
-                                          "name string, m int, own array<bigint>, known array<bigint>")
-            # one row a band on either side; a window meets a template once, whatever the number of equal bands
-            banded = known.select("name", F.posexplode("known").alias("band", "value"))
-            met = (signed.select("id", "mark", "at", "held", F.posexplode("low").alias("band", "value"))
-                   .join(F.broadcast(banded), ["band", "value"]).select("id", "mark", "at", "held", "name")
-                   .dropDuplicates(["id", "mark", "at", "name"]))
-            found = (met.join(F.broadcast(known.select("name", "m", "own")), "name")
-                     .withColumn("both", F.size(F.array_intersect("held", "own"))).where(F.col("both") * 100 >= F.col("m") * percent)
-                     .select("id", "mark", "name", (F.col("both") / F.col("m")).alias("contained"),
-                             F.col("at").alias("start"), (F.col("at") + size + step - 2 + width).alias("end")))
-            out = found if out is None else out.unionByName(found)
+        signed = windows(rows, {size: sorted({a for r in of if r["size"] == size for a in r["anchors"]})
+                                for size in {r["size"] for r in of}}).withColumn("low", min_hashes(F.col("held"), bands))
+        known = spark.createDataFrame([(r["name"], r["size"], r["m"], r["own"], r["low"]) for r in of],
+                                      "name string, size int, m int, own array<bigint>, known array<bigint>")
+        # one row a band on either side; a window meets a template once, whatever the number of equal bands
+        banded = known.select("name", "size", F.posexplode("known").alias("band", "value"))
+        met = (signed.select("id", "mark", "size", "step", "at", "held", F.posexplode("low").alias("band", "value"))
+               .join(F.broadcast(banded), ["size", "band", "value"]).select("id", "mark", "size", "step", "at", "held", "name")
+               .dropDuplicates(["id", "mark", "at", "name"]))
+        found = (met.join(F.broadcast(known.select("name", "m", "own")), "name")
+                 .withColumn("both", F.size(F.array_intersect("held", "own"))).where(F.col("both") * 100 >= F.col("m") * percent)
+                 .select("id", "mark", "name", (F.col("both") / F.col("m")).alias("contained"), F.col("at").alias("start"),
+                         (F.col("at") + F.col("size") + F.col("step") - 2 + width).alias("end")))
+        out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "id long, mark long, name string, contained double, start int, end int")
     best = F.max_by(F.struct("contained", "start", "end"), F.struct("contained", -F.col("start"))).alias("best")
