@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = set(E.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
