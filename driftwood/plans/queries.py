@@ -473,7 +473,7 @@ def q_tag_vector(spark, sf):
 
 
 def q_tag_vector_hot(spark, sf):
-    """A word of a fifth of all tokens and more is joined map-side."""
+    """A word of a seventh of all tokens is joined map-side."""
     toks = inp.hot_tokens(spark, sf)
     t = op.tag_vector(toks, inp.vectors(spark, sf), "l_orderkey", DIM, hot=op.hot_words(toks))
     return t.select("l_orderkey", *vec_summary(F.col("vec"), "vec"))
