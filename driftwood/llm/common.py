@@ -3,12 +3,14 @@ hashing in numpy and packed integer lists."""
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +83,19 @@ def bucket_of(id_col: str, n: int):
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % n
 
 
+# absent where the C library is not glibc
+_MALLOC_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the system.  Workers are
+    used again by later stages, and the allocators keep the largest amount
+    that any chunk or group has needed."""
+    pa.default_memory_pool().release_unused()
+    if _MALLOC_TRIM is not None:
+        _MALLOC_TRIM(0)
+
+
 # ---- hashing -------------------------------------------------------------
 
 _MASK = (1 << 64) - 1

@@ -43,7 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunk, chunk_table, cut, parts_for, rows_of, table_rows
-from .common import discard, fold_bytes, materialise, mix, pack, pack_sorted, shingles, unpack, unpack_sorted, word_hashes
+from .common import (discard, fold_bytes, materialise, mix, pack, pack_sorted, release_memory, shingles, unpack, unpack_sorted,
+                     word_hashes)
 from .exact_dedup import BROADCAST_ROWS, drop_listed
 
 K = 5
@@ -86,6 +87,8 @@ def set_table(chunks: DataFrame, k: int, digests: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row_ids(chunk)), chunk.id_array(), pa.array([len(s) for s in sets], pa.int32()),
                  *map(pa.array, prints), *of_text], ["rid", "id", "n", "print_a", "print_b", "digest"][:5 + digests])
+            del chunk, sets
+            release_memory()
     return chunks.mapInArrow(run, DOC_SCHEMA + ", digest binary" * digests)
 
 
@@ -96,7 +99,10 @@ def token_lists(chunks: DataFrame, k: int, parts: int) -> DataFrame:
         for row in rows_of(batches):
             sets = shingle_sets(Chunk(row), k)
             flat = np.concatenate(sets) >> np.uint64(64 - TOKEN_BITS)
+            del sets
             tokens, counts = np.unique(flat, return_counts=True)
+            del flat
+            release_memory()
             at = cut(tokens, parts, TOKEN_BITS)
             for p in range(parts):
                 a, b = at[p], at[p + 1]
@@ -130,7 +136,7 @@ def repeated_tokens(t: pa.Table) -> pa.Table:
             out.append({"chunk": r["chunk"], "tokens": pack_sorted(unpack_sorted(r["tokens"])[n > 1]),
                         "counts": pack(n[n > 1].astype(np.uint64))})
     made = pa.Table.from_pylist(out, _BACK)
-    pa.default_memory_pool().release_unused()
+    release_memory()
     return made
 
 
@@ -175,7 +181,7 @@ def candidates(chunks: DataFrame, back: DataFrame, copies: DataFrame, k: int, pe
                 if made:
                     out.append({"rid": rid, "n": len(own), **{f"prefix{i}": p for i, p in enumerate(made)},
                                 "shingles": own.tobytes()})
-        pa.default_memory_pool().release_unused()
+        release_memory()
         return pa.Table.from_pylist(out, pa.schema([("rid", pa.int64()), ("n", pa.int32())]
                                                    + [(f"prefix{i}", pa.list_(pa.int64())) for i in range(ORDERS)]
                                                    + [("shingles", pa.binary())]))
