@@ -11,6 +11,7 @@ from ..functions.vectors import l2_norm
 from ..operators.content import (content_lookup, distinct_ids, new_ids, snapshot_merge)
 from ..operators.logs import (CLICK, IMP, PAIR_KEY, click_label, dedup_clicks, flatten_log, flatten_text, line_fate,
                               strategy_filter, strategy_prefilter, with_pair_key)
+from ..operators.variant_logs import flatten_variant_text, kept_docs, pair_docs, with_log
 from ..operators.vectors import content_vectors as _content_vectors
 from ..operators.vectors import vector_lookup_one
 from ..schemas import CLICK_KEY, IMPRESSION_KEY, PAIR_SCHEMA
@@ -49,6 +50,13 @@ def training_rows(imp_text: DataFrame, clk_text: DataFrame, strategy: int) -> Da
     return flatten_log(labelled_logs(imp_text, clk_text, strategy))
 
 
+def training_rows_variant(imp_text: DataFrame, clk_text: DataFrame, strategy: int, text: bool = False) -> DataFrame:
+    """``training_rows`` on one parse a line (``operators.variant_logs``);
+    ``text``: the rows as comma-joined ``value``, as ``flatten_text``."""
+    lab = pair_docs(kept_docs(imp_text, IMPRESSION_KEY, strategy), kept_docs(clk_text, CLICK_KEY, strategy))
+    return flatten_variant_text(lab) if text else flatten_log(with_log(lab))
+
+
 def training_rows_by_day(imp_text: DataFrame, clk_text: DataFrame, strategy: int, text: bool = False) -> DataFrame:
     """Training rows plus ``month``/``day`` folder columns.  Every scanned
     day folder (``folder_day``) is paired by itself and written to its own

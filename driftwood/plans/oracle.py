@@ -256,6 +256,8 @@ SELECT {FLAT_COLS} FROM lab l JOIN ev e ON e.event_id = l.log_event"""
 SQL["training_rows"] = _training() + "\nSELECT * FROM tr"
 SQL["csv_roundtrip"] = SQL["training_rows"]
 SQL["flatten_log_text"] = _training() + f"\nSELECT {_text_render()} AS value FROM tr"
+SQL["training_rows_variant"] = SQL["training_rows"]
+SQL["flatten_text_variant"] = SQL["flatten_log_text"]
 SQL["split_field"] = _training() + "\nSELECT p1, content_id FROM tr"
 SQL["sink_partitioned"] = f"""WITH {EV}, {_sides(True)}, {_lab(', f8')}
 SELECT {FLAT_COLS}, substr(l.f8, 1, 6) AS month, l.f8 AS day FROM lab l JOIN ev e ON e.event_id = l.log_event"""

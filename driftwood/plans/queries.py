@@ -129,6 +129,16 @@ def q_flatten_log_text(spark, sf):
     return op.flatten_text(_labelled(spark, sf))
 
 
+def q_training_rows_variant(spark, sf):
+    """Training rows, each line parsed once."""
+    return jobs.training_rows_variant(*inp.log_text(spark, sf), inp.STRATEGY)
+
+
+def q_flatten_text_variant(spark, sf):
+    """Text rows, absent and null keys told apart from the one parse."""
+    return jobs.training_rows_variant(*inp.log_text(spark, sf), inp.STRATEGY, text=True)
+
+
 def q_split_field(spark, sf):
     txt = op.flatten_text(_labelled(spark, sf))
     return txt.select(fn.split_field(F.col("value"), 1).alias("p1"),
@@ -528,6 +538,8 @@ QUERIES: dict[str, Query] = {
     "flatten_log": q_flatten_log,
     "training_rows": q_training_rows,
     "flatten_log_text": q_flatten_log_text,
+    "training_rows_variant": q_training_rows_variant,
+    "flatten_text_variant": q_flatten_text_variant,
     "split_field": q_split_field,
     "csv_roundtrip": q_csv_roundtrip,
     "sink_partitioned": q_sink_partitioned,
@@ -592,6 +604,8 @@ INVENTORY: dict[str, tuple[str, ...]] = {
     "flatten_log": ("P2", "X6"),
     "training_rows": ("S1", "F1", "F2", "J1", "P2"),
     "flatten_log_text": ("P3",),
+    "training_rows_variant": ("S1", "F1", "F2", "J1", "P1", "P2"),
+    "flatten_text_variant": ("P3", "X6"),
     "split_field": ("P5", "S5"),
     "csv_roundtrip": ("S5",),
     "sink_partitioned": ("K1",),
