@@ -72,23 +72,23 @@ def flatten_variant_text(labelled: DataFrame, keep: Sequence[str] = ()) -> DataF
     null, a later one is empty when its key is absent and ``null`` when it is
     there with a null."""
     null = F.lit("null")
-
-    def text(path: str) -> Column:
-        return F.try_variant_get("doc", f"$.{path}", "string")
+    log = F.try_variant_get("doc", "$", LOG_SCHEMA.simpleString())
+    src = labelled.select(F.inline(F.array(F.struct(*keep, "is_click", "doc", log.alias("log")))))
 
     def there(path: str) -> Column:
         return F.try_variant_get("doc", f"$.{path}", "variant").isNotNull()
 
-    def shown(path: str, value: str | None = None) -> Column:
-        return F.when(there(path), F.coalesce(text(value or path), null)).otherwise("")
+    def shown(path: str) -> Column:
+        """The value; only where there is none, whether its key is there."""
+        return F.coalesce(F.col(f"log.{path}"), F.when(there(path), null).otherwise(""))
 
     def of_item(path: str) -> Column:
-        return F.when(F.col("_imp"), shown(f"{IMPRESSION_KEY}.{path}")).otherwise(shown(f"{CLICK_KEY}.{path}"))
+        return (F.when(F.col(f"log.{IMPRESSION_KEY}").isNotNull(), shown(f"{IMPRESSION_KEY}.{path}"))
+                .otherwise(shown(f"{CLICK_KEY}.{path}")))
 
-    held = F.schema_of_variant(F.try_variant_get("doc", f"$.{IMPRESSION_KEY}", "variant")).startswith("OBJECT")
-    src = labelled.withColumn("_imp", F.coalesce(held, F.lit(False)))
-    parts = [F.col("is_click").cast("string"), *(F.coalesce(text(n), null) for n in TOP_FIELDS)]
-    parts += [shown(f"p30.{n}") for n in ("p31", "p32", "p33")] + [shown("p30.e11", "e11")]
+    parts = [F.col("is_click").cast("string"), *(F.coalesce(F.col(f"log.{n}"), null) for n in TOP_FIELDS)]
+    parts += [shown(f"p30.{n}") for n in ("p31", "p32", "p33")]
+    parts += [F.when(F.col("log.p30.e11").isNotNull() | there("p30.e11"), F.coalesce("log.e11", null)).otherwise("")]
     parts += [of_item(n) for n in ("e12", "e14", "e15")]
     parts += [of_item(f"o2.{n}") for n in ("e31", "e35", "e36", "e37.l1", "e37.l2", "e38")]
     parts += [shown(f"e2.{n}") for n in E2_FIELDS]
