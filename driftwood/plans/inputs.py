@@ -69,6 +69,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Line items of an order-wise part: their lists are sorted in memory.
+PART_LINES = 500_000
+
+
+def _lines_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items dealt by order, narrow as they are, into parts whose number
+    grows with them; what is gathered per order then stays where it is."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // PART_LINES))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+                     "l_shipdate").repartition(parts, "l_orderkey")
+
+
 # ---------------------------------------------------------------- raw logs
 
 def _k(props: Column) -> Column:
@@ -154,7 +167,7 @@ def line_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(impression lines, click lines) that name content ids: one impression
     per line item in the folder of its shipping day's day of the month, and a
     click for returned ones."""
-    li = table(spark, sf_dir, "lineitem")
+    li = _lines_by_order(spark, sf_dir)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag",
@@ -200,7 +213,7 @@ def _order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: tag JSON of its line items (word = part key, weight =
     quantity, in line order, ties by entry text) and title JSON of its first
     line's supplier (ties: smallest supplier)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = _lines_by_order(spark, sf_dir)
     entry = F.concat(F.lit('"'), F.col("l_partkey").cast("string"), F.lit('":{"weight":'),
                      F.col("l_quantity").cast("string"), F.lit("}"))
     g = li.groupBy("l_orderkey").agg(
@@ -249,6 +262,8 @@ def content_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 _STORES: dict[tuple[str, str, str], tuple] = {}
 STORE_BUCKETS = 8
+#: Rows of a bucket over all months: one task writes and sorts them in memory.
+BUCKET_ROWS = 250_000
 
 
 def _stored(kind: str, write: Callable) -> Callable[[SparkSession, str], tuple[DataFrame, DataFrame, DataFrame]]:
@@ -256,22 +271,24 @@ def _stored(kind: str, write: Callable) -> Callable[[SparkSession, str], tuple[D
     def read(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         key = (spark.sparkContext.applicationId, sf_dir, kind)
         if key not in _STORES:
-            _STORES[key] = tuple(write(spark, t, name) for name, t in zip(
-                ("t_content", "t_signal", "t_news"), content_tables(spark, sf_dir), strict=True))
+            tables = content_tables(spark, sf_dir)
+            buckets = max(STORE_BUCKETS, -(-tables[0].count() // BUCKET_ROWS))
+            _STORES[key] = tuple(write(spark, t, name, buckets) for name, t in zip(
+                ("t_content", "t_signal", "t_news"), tables, strict=True))
         return tuple(reader() for reader in _STORES[key])
     return read
 
 
-def _write_shards(spark: SparkSession, t: DataFrame, name: str) -> Callable[[], DataFrame]:
+def _write_shards(spark: SparkSession, t: DataFrame, name: str, _buckets: int) -> Callable[[], DataFrame]:
     path = scratch_path(spark, f"shards-{name}")
     write_partitioned(t, path, ["shard"], mode="errorifexists", rebalance=True)
     return lambda: read_shards_parquet(spark, path)
 
 
-def _write_store(spark: SparkSession, t: DataFrame, name: str) -> Callable[[], DataFrame]:
+def _write_store(spark: SparkSession, t: DataFrame, name: str, buckets: int) -> Callable[[], DataFrame]:
     path = scratch_path(spark, f"store-{name}")
     table_name = f"{name}_{os.path.basename(path)[-12:]}"
-    write_content_store(t, table_name, path, STORE_BUCKETS)
+    write_content_store(t, table_name, path, buckets)
     return lambda: spark.table(table_name)
 
 
@@ -348,7 +365,7 @@ def hot_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: keyword text ``line:part=qty supp;...`` (``-1`` for lines
     flagged N; empty for 1-URGENT orders) and a title (empty for status F)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = _lines_by_order(spark, sf_dir)
     seg = F.concat(F.col("l_linenumber").cast("string"), F.lit(":"),
                    F.when(F.col("l_returnflag") == "N", F.lit("-1")).otherwise(
                        F.concat(F.col("l_partkey").cast("string"), F.lit("="),

@@ -350,9 +350,10 @@ def q_sharded_lookup(spark, sf):
 
 
 def q_stored_lookup(spark, sf):
-    """Tables in month folders with buckets by id: no content is shuffled."""
+    """Tables in month folders with buckets by id: no content is shuffled.
+    The requested ids are found once and read back by the scans and the join."""
     return op.content_lookup(_new(spark, sf), *inp.store_tables(spark, sf), ids_distinct=True, by_month=True,
-                             by_bucket=True, **inp.SHARD_RULE)
+                             by_bucket=True, checkpoint_ids=True, **inp.SHARD_RULE)
 
 
 def q_stored_join3(spark, sf):

@@ -151,3 +151,18 @@ def test_a_writer_that_stops_half_way_leaves_nothing(spark, monkeypatch):
     assert frame is not stop
     V.write_version(spark, root, "2", new, buckets=2)  # the same stamp again, over the remains
     assert rows(V.read_version(spark, root)) == rows(content(spark, ["2018110", "2018121", "2018122", "2019013"]))
+
+
+def test_stores_and_lists_grow_with_the_tables(spark, monkeypatch):
+    """Parts and buckets follow the number of rows; the requested ids of the
+    stored lookup are made once, not by every scan."""
+    want = rows(inp.t_signal(spark, SF))
+    monkeypatch.setattr(inp, "PART_LINES", 500)
+    monkeypatch.setattr(inp, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(inp, "_STORES", {})
+    assert inp._lines_by_order(spark, SF).rdd.getNumPartitions() >= 12
+    assert rows(inp.t_signal(spark, SF)) == want
+    found = Q.q_stored_lookup(spark, SF)
+    assert rows(found) == rows(Q.q_content_lookup(spark, SF))
+    plan = plan_text(found)
+    assert "lineitem" not in plan and "SelectedBucketsCount: 15 out of 15" in plan
