@@ -12,13 +12,19 @@ Out-of-vocabulary tokens are dropped by an inner join before that shuffle.
 Beyond ``DIRECT_DIMS`` dimensions that many sums leave generated code, so
 the vocabulary is cut into blocks of ``BLOCK_DIMS`` positions, each summed
 by itself, and an id's few blocks are put together at the end.
+
+A vector is some hundred times its tokens, so where the vocabulary is small
+enough for Spark to broadcast, rows and tokens are dealt by their id *before*
+they meet it: sums, blocks and parts of an id are then put together where they
+stand, no vector is shuffled, and the number of parts (``dealt_parts``) grows
+with the rows so that the sums of one part stay in memory.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import KEYWORD_EMPTY, is_keyword_format, parse_keywords
@@ -31,9 +37,17 @@ BLOCK_DIMS = 50
 #: At most so many words count as hot, if they hold that share of all tokens.
 MAX_HOT = 256
 HOT_SHARE = 1 / 2048
+#: Sums of one dealt part (``dealt_parts``).
+PART_BYTES = 64 << 20
+
+
+def dealt_parts(spark: SparkSession, n_vectors: int, dim: int) -> int:
+    """Parts to deal rows into that end as ``n_vectors`` vectors of ``dim``
+    doubles: about ``PART_BYTES`` each, as many as other shuffles have at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_vectors * dim * 8 // PART_BYTES))
 
 
-def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
+def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str], here: Column | None = None) -> DataFrame:
     """``word=weight`` text -> one row per token: ``keep..., pos, word,
     weight``.
 
@@ -42,14 +56,18 @@ def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame
     with ``transform``/``filter`` first is interpreted per element; measured
     0.21 s vs 0.38 s for 1.9M tokens).  Same rules as ``parse_tags``: a
     missing, blank or non-numeric weight is 1.0 and blank words are dropped;
-    ``pos`` is the token's index in the space-split text.
+    ``pos`` is the token's index in the space-split text.  Tokens that fulfil
+    ``here`` come with ``_here`` true and stay even if blank, with a null word.
     """
     e = rows.select(*keep, F.posexplode(
         F.split(F.trim(F.coalesce(F.col(text_col), F.lit(""))), " ", -1)).alias("pos", "_tok"))
     parts = F.split(F.col("_tok"), "=", -1)
     weight = F.coalesce(F.trim(F.try_element_at(parts, F.lit(2))).try_cast("double"), F.lit(1.0))
-    return (e.select(*keep, "pos", F.element_at(parts, 1).alias("word"), weight.alias("weight"))
-            .where(F.trim(F.col("word")) != ""))
+    word = F.element_at(parts, 1)
+    if here is None:
+        return e.select(*keep, "pos", word.alias("word"), weight.alias("weight")).where(F.trim(F.col("word")) != "")
+    return (e.select(*keep, "pos", F.when(F.trim(word) != "", word).alias("word"), weight.alias("weight"), here.alias("_here"))
+            .where(F.col("word").isNotNull() | F.col("_here")))
 
 
 def keyword_segments(rows: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
@@ -165,21 +183,23 @@ def block_vocab(vectors: DataFrame, dim: int, width: int = BLOCK_DIMS) -> DataFr
 
 
 def vector_sums(tokens: DataFrame, vectors: DataFrame, ids: Sequence[str], dim: int, part_col: str | None = None,
-                parts: Sequence[str] = (), present: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
+                parts: Sequence[str] = (), present: DataFrame | None = None, hot: DataFrame | None = None,
+                here: str | None = None) -> DataFrame:
     """Weighted sums per ``ids`` of the known tokens, as ``vec``, or as
     ``<part>_vec`` for each value of ``part_col``.  Unknown words add zeros,
     so the join drops them before the aggregate's shuffle; tokens of ``hot``
     words are not shuffled for it (``join_words``).  The rows of ``present(ids)``
     join the aggregate as tokens without a vector, so that each has a result
-    (zeros) without a join afterwards."""
+    (zeros) without a join afterwards; tokens whose column ``here`` is true do
+    so where they stand, known or not, which leaves tokens dealt by id as they are."""
     ids, keys = list(ids), [*ids, *([part_col] if part_col else [])]
     blocks = range(-(-dim // BLOCK_DIMS)) if dim > DIRECT_DIMS else None
-    if blocks:
-        seg, width, at = "_seg", BLOCK_DIMS, ["_b"]
-        known = join_words(tokens, block_vocab(vectors, dim), hot=hot).select(*keys, *at, "weight", seg)
-    else:
-        seg, width, at = "vec", dim, []
-        known = join_words(tokens, _vocab(vectors), hot=hot).select(*keys, "weight", seg)
+    seg, width, at = ("_seg", BLOCK_DIMS, ["_b"]) if blocks else ("vec", dim, [])
+    vocab = block_vocab(vectors, dim) if blocks else _vocab(vectors)
+    known = join_words(tokens, vocab, "left" if here else "inner", hot)
+    if here:
+        known = known.where(F.col(seg).isNotNull() | F.col(here))
+    known = known.select(*keys, *at, "weight", seg)
     if present is not None:
         none = [F.lit(parts[0]).alias(part_col)] if part_col else []
         none += [F.lit(0).alias(c) for c in at]
@@ -200,13 +220,26 @@ def vector_sums(tokens: DataFrame, vectors: DataFrame, ids: Sequence[str], dim:
 
 
 def tag_vector(tokens: DataFrame, vectors: DataFrame, id_cols: Sequence[str] | str,
-               dim: int, all_ids: bool = True, hot: DataFrame | None = None) -> DataFrame:
+               dim: int, all_ids: bool = True, hot: DataFrame | None = None,
+               n_tokens: int | None = None) -> DataFrame:
     """Weighted vector sum per id: ``(id..., vec ARRAY<DOUBLE>)``.
 
     Repeated words add up; ``hot`` words are joined map-side.  With ``all_ids`` every id of ``tokens`` is
     returned, ids whose words are all unknown with zeros (a distinct of the
-    ids joined back, both sides partitioned by id)."""
+    ids joined back, both sides partitioned by id).  With ``n_tokens``
+    (their number, at least about) the tokens are dealt by id first and
+    nothing is shuffled after them: for ids that hold no large share of all
+    tokens each.  A null id's vector is zeros either way."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    if n_tokens is not None:
+        dealt = tokens.repartition(dealt_parts(tokens.sparkSession, n_tokens, dim), *ids)
+        if not all_ids:
+            return vector_sums(dealt, vectors, ids, dim, hot=hot)
+        whole = F.lit(True)
+        for c in ids:
+            whole = whole & F.col(c).isNotNull()
+        return vector_sums(dealt.withColumns({"word": F.when(whole, F.col("word")), "_here": F.lit(True)}),
+                           vectors, ids, dim, hot=hot, here="_here")
     v = vector_sums(tokens, vectors, ids, dim, hot=hot)
     if not all_ids:
         return v
@@ -237,11 +270,17 @@ def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
     return j.select(*id_cols, *[F.coalesce(F.col(c), zeros(dim)).alias(c) for c in vec_cols])
 
 
-def _versions(rows: DataFrame, id_col: str, text_cols: Sequence[str]) -> DataFrame:
+def _versions(rows: DataFrame, id_col: str, text_cols: Sequence[str], n_vectors: int | None, dim: int) -> DataFrame:
     """``id, texts, _ver, _copies``: every distinct row once, with a digest
-    of its texts (nulls told from empty ones) and how often it comes."""
-    once = rows.groupBy(id_col, *text_cols).agg(F.count(F.lit(1)).alias("_copies"))
-    return once.withColumn("_ver", F.unhex(F.sha2(F.to_json(F.struct(*text_cols)), 256)))
+    of its texts (nulls told from empty ones) and how often it comes, dealt by
+    id and digest."""
+    dealt = [id_col, "_ver"]
+    ver = rows.select(id_col, *text_cols, F.unhex(F.sha2(F.to_json(F.struct(*text_cols)), 256)).alias("_ver"))
+    if n_vectors is None:
+        ver = ver.repartition(*dealt)
+    else:
+        ver = ver.repartition(dealt_parts(rows.sparkSession, n_vectors, dim), *dealt)
+    return ver.groupBy(*dealt, *text_cols).agg(F.count(F.lit(1)).alias("_copies"))
 
 
 def _each_copy(vecs: DataFrame, id_col: str, vec_cols: Sequence[str]) -> DataFrame:
@@ -249,27 +288,30 @@ def _each_copy(vecs: DataFrame, id_col: str, vec_cols: Sequence[str]) -> DataFra
 
 
 def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str = "content_id",
-                    tags_col: str = "tags", title_col: str = "tags_title") -> DataFrame:
+                    tags_col: str = "tags", title_col: str = "tags_title", n_rows: int | None = None) -> DataFrame:
     """``(content_id, tags_vec, title_vec)``, one row for each content row:
     each text is split into weighted tokens and summed against the
     vocabulary.  An id may come in several versions; each distinct (id,
     texts) is summed once, its number of copies goes through the sum as part
     of the key, and it is put out as often: nothing is joined back.  Both
-    texts of a row are exploded from one two-element array."""
-    given = _versions(rows, id_col, [tags_col, title_col])
+    texts of a row are exploded from one two-element array.  ``n_rows`` (how
+    many rows there are) sets into how many parts they are dealt; without it
+    Spark does, by the size of the texts."""
+    given = _versions(rows, id_col, [tags_col, title_col], n_rows and 2 * n_rows, dim)
     key = [id_col, "_ver", "_copies"]
     texts = F.array(F.struct(F.lit("tags").alias("_part"), F.col(tags_col).alias("_txt")),
                     F.struct(F.lit("title").alias("_part"), F.col(title_col).alias("_txt")))
-    toks = tag_tokens(given.select(*key, F.inline(texts)), "_txt", [*key, "_part"])
-    v = vector_sums(toks, vectors, key, dim, "_part", ["tags", "title"], present=given)
+    toks = tag_tokens(given.select(*key, F.inline(texts)), "_txt", [*key, "_part"],
+                      here=(F.col("pos") == 0) & (F.col("_part") == "tags"))
+    v = vector_sums(toks, vectors, key, dim, "_part", ["tags", "title"], here="_here")
     return _each_copy(v, id_col, ["tags_vec", "title_vec"])
 
 
 def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
-                    text_col: str, title_col: str) -> DataFrame:
+                    text_col: str, title_col: str, n_rows: int | None = None) -> DataFrame:
     """Vector of a keyword-or-tags text plus a title text, one row for each
     row of ``rows`` (an id may repeat with other texts; see
-    ``content_vectors``).
+    ``content_vectors``, also for ``n_rows``).
 
     Keyword text (``cat:tags;cat:-1;...``, recognised only when the title is
     empty) sums every category's tags except ``-1``; otherwise the text is
@@ -277,14 +319,15 @@ def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
     texts to sum are gathered per row (a short array), exploded, and then
     tokenised like ``tag_tokens``."""
     s, title = F.col(text_col), F.col(title_col)
-    given = _versions(rows, id_col, [text_col, title_col])
+    given = _versions(rows, id_col, [text_col, title_col], n_rows, dim)
     key = [id_col, "_ver", "_copies"]
     kw_texts = F.transform(
         F.filter(parse_keywords(s), lambda c: c["tags"] != KEYWORD_EMPTY), lambda c: c["tags"])
     texts = F.concat(F.when(is_keyword_format(s, title), kw_texts).otherwise(F.array(s)),
                      F.array(title))
-    toks = tag_tokens(given.select(*key, F.explode(texts).alias("_txt")), "_txt", key)
-    v = vector_sums(toks, vectors, key, dim, present=given)
+    toks = tag_tokens(given.select(*key, F.posexplode(texts).alias("_t", "_txt")), "_txt", [*key, "_t"],
+                      here=(F.col("pos") == 0) & (F.col("_t") == 0))
+    v = vector_sums(toks, vectors, key, dim, here="_here")
     return _each_copy(v, id_col, ["vec"])
 
 

@@ -87,8 +87,10 @@ def content_refresh(log_rows: DataFrame, snapshot: DataFrame, t_content: DataFra
 
 
 def content_vectors(content_rows: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
-    """Job G3: content rows -> ``(content_id, tags_vec, title_vec)``."""
-    return _content_vectors(content_rows, vectors, dim)
+    """Job G3: content rows -> ``(content_id, tags_vec, title_vec)``.  The
+    rows are counted first (their columns are not read for it), so that the
+    sums of a task stay in memory however many there are."""
+    return _content_vectors(content_rows, vectors, dim, n_rows=content_rows.count())
 
 
 def repair_snapshot(lines: DataFrame, value_col: str = "value") -> DataFrame:

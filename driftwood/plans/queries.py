@@ -492,7 +492,8 @@ def q_tag_vector_hot(spark, sf):
 
 def q_tag_vector_wide(spark, sf):
     """At the source's 300 dimensions."""
-    t = op.tag_vector(inp.line_tokens(spark, sf), inp.wide_vectors(spark, sf), "l_orderkey", inp.WIDE_DIM)
+    toks = inp.line_tokens(spark, sf)
+    t = op.tag_vector(toks, inp.wide_vectors(spark, sf), "l_orderkey", inp.WIDE_DIM, n_tokens=toks.count())
     return t.select("l_orderkey", *vec_summary(F.col("vec"), "vec"))
 
 
@@ -516,7 +517,7 @@ def q_category_vector(spark, sf):
     k = inp.keyword_rows(spark, sf)
     k = k.unionByName(k.where("o_orderkey % 10 = 7").withColumn("title", F.concat("title", F.lit(" 9=3")))) \
         .unionByName(k.where("o_orderkey % 10 = 3"))
-    v = op.category_vector(k, inp.vectors(spark, sf), DIM, "o_orderkey", "keywords", "title")
+    v = op.category_vector(k, inp.vectors(spark, sf), DIM, "o_orderkey", "keywords", "title", n_rows=k.count())
     return v.select("o_orderkey", *vec_summary(F.col("vec"), "vec"))
 
 

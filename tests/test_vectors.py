@@ -255,3 +255,39 @@ def test_hot_words_are_joined_where_they_stand(spark):
     finally:
         for k, val in old.items():
             spark.conf.unset(k) if val is None else spark.conf.set(k, val)
+
+
+def exchanges(df) -> int:
+    return sum("Exchange hashpartitioning" in x for x in plan_text(df).split("\n"))
+
+
+def test_no_vector_is_shuffled_where_the_vocabulary_is_broadcast(spark, tmp_path):
+    """Texts and tokens are dealt by id once; sums, parts and blocks of an id
+    meet where they stand, with the rows of the path that shuffles."""
+    dim = 120
+    v = spark.createDataFrame([("a", [1.0] * dim), ("b", [float(k) for k in range(dim)]), ("", [9.0] * dim)], "word string, vec array<double>")
+    v.write.parquet(str(tmp_path / "v"))  # a table whose size Spark knows
+    v = spark.read.parquet(str(tmp_path / "v"))
+    r = spark.createDataFrame([("1", "a=2 b=1", "a=1"), ("1", "a=2 b=1", "a=1"), ("2", " x", "b"), (None, "", "z b=2"), ("3", None, None)],
+                              "id string, s string, t string")
+    a, b = [1.0] * dim, [float(k) for k in range(dim)]
+    mix = lambda x, y: [x * p + y * q for p, q in zip(a, b)]
+    for n in (None, 5):
+        got = op.content_vectors(r, v, dim, "id", "s", "t", n_rows=n)
+        assert sorted(map(str, got.collect())) == sorted(map(str, [
+            Row(id="1", tags_vec=mix(2, 1), title_vec=mix(1, 0))] * 2 + [
+            Row(id="2", tags_vec=mix(0, 0), title_vec=mix(0, 1)), Row(id=None, tags_vec=mix(0, 0), title_vec=mix(0, 2)),
+            Row(id="3", tags_vec=mix(0, 0), title_vec=mix(0, 0))]))
+        assert exchanges(got) == 1
+        cat = op.category_vector(r, v, dim, "id", "s", "t", n_rows=n)
+        assert sorted(map(str, cat.collect())) == sorted(map(str, [
+            Row(id="1", vec=mix(3, 1))] * 2 + [Row(id="2", vec=mix(0, 1)), Row(id=None, vec=mix(0, 2)), Row(id="3", vec=mix(0, 0))]))
+        assert exchanges(cat) == 1
+    t = toks(spark, [("x", "a", 2.0), ("x", "b", 1.0), ("x", "nope", 1.0), ("y", "nope", 1.0), ("y", None, 1.0), (None, "a", 1.0)])
+    for every in (True, False):
+        got = op.tag_vector(t, v, "id", dim, all_ids=every, n_tokens=6)
+        assert rows(got) == rows(op.tag_vector(t, v, "id", dim, all_ids=every))
+        got.collect()
+        assert exchanges(got) == 1
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert op.vectors.dealt_parts(spark, 10, 64) == few and op.vectors.dealt_parts(spark, 10**9, 300) >= 30_000
