@@ -3,6 +3,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from driftwood.plans import daily
+from driftwood.plans import queries as Q
 from driftwood.schemas import CONTENT_COLUMNS
 from driftwood.session import scratch_path
 from driftwood.sources import read_day_logs
@@ -121,3 +122,22 @@ def test_daily_jobs_text_rows(spark):
                                            *tables(spark), scratch_path(spark, "pt-snap"),
                                            "202401", "202401031200", rows_format="text")
     assert m["total_ids"] == 2 and m["new_ids"] == 1
+
+
+def test_day_folders_are_listed_without_making_the_logs_again(spark, monkeypatch):
+    monkeypatch.setattr(Q, "LOG_FILE_LINES", 10)
+    made = spark.sparkContext.accumulator(0)
+
+    def line(k):
+        made.add(1)
+        return f"line {k}"
+    text = F.udf(line, "string").asNondeterministic()
+    days = F.concat(F.lit("2024010"), (F.col("id") % 3 + 1).cast("string")).alias("folder_day")
+    imp = spark.range(90).select(days, text("id").alias("value"))
+    clk = spark.range(0, 30, 3).select(days, text("id").alias("value"))
+    paths, found = Q._day_folders((imp, clk), spark)
+    assert made.value == 100 and found == ["20240101", "20240102", "20240103"]
+    assert [spark.read.text(p).count() for p in paths["imp"]] == [30] * 3
+    assert [spark.read.text(p).count() for p in paths["clk"]] == [10, 0, 0]
+    files = spark.read.text(paths["imp"][0])
+    assert max(r["count"] for r in files.groupBy(F.input_file_name()).count().collect()) <= 10
