@@ -13,11 +13,14 @@ Beyond ``DIRECT_DIMS`` dimensions that many sums leave generated code, so
 the vocabulary is cut into blocks of ``BLOCK_DIMS`` positions, each summed
 by itself, and an id's few blocks are put together at the end.
 
-A vector is some hundred times its tokens, so where the vocabulary is small
-enough for Spark to broadcast, rows and tokens are dealt by their id *before*
-they meet it: sums, blocks and parts of an id are then put together where they
-stand, no vector is shuffled, and the number of parts (``dealt_parts``) grows
-with the rows so that the sums of one part stay in memory.
+A vector is some hundred times its tokens, so where the number of rows is
+given and the vocabulary is counted small enough to broadcast
+(``vocab_fits``), rows and tokens are dealt by their id *before* they meet it:
+sums, blocks and parts of an id are then put together where they stand, no
+vector is shuffled, and the number of parts (``dealt_parts``) grows with the
+rows so that the sums of one part stay in memory.  A larger vocabulary meets
+the tokens by a shuffle; each known token's vector then travels once, as it
+is, to its id's part, and is cut and summed there.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from ..functions.tags import KEYWORD_EMPTY, is_keyword_format, parse_keywords
 from ..functions.vectors import fit_dim, l1_norm, l2_norm, scale, zeros
@@ -39,6 +43,9 @@ MAX_HOT = 256
 HOT_SHARE = 1 / 2048
 #: Sums of one dealt part (``dealt_parts``).
 PART_BYTES = 64 << 20
+#: A broadcast vocabulary takes at most so many bytes, and that part of a driver's or executor's heap.
+VOCAB_BYTES = 512 << 20
+VOCAB_HEAP_PART = 8
 
 
 def dealt_parts(spark: SparkSession, n_vectors: int, dim: int) -> int:
@@ -47,6 +54,20 @@ def dealt_parts(spark: SparkSession, n_vectors: int, dim: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_vectors * dim * 8 // PART_BYTES))
 
 
+def vocab_fits(vectors: DataFrame, dim: int) -> bool:
+    """Whether the vocabulary, as counted, can be broadcast whatever Spark
+    guesses of its size: ``VOCAB_BYTES`` at most, a ``VOCAB_HEAP_PART``-th of
+    the smaller heap and half of what the driver may collect."""
+    spark = vectors.sparkSession
+    conf, sizes = spark.sparkContext.getConf(), spark._jvm.org.apache.spark.network.util.JavaUtils
+    heap = min(sizes.byteStringAsMb(conf.get(f"spark.{of}.memory", "1g")) for of in ("driver", "executor")) << 20
+    most = min(VOCAB_BYTES, heap // VOCAB_HEAP_PART, (sizes.byteStringAsBytes(conf.get("spark.driver.maxResultSize", "1g")) or heap) // 2)
+    n, chars = _vocab(vectors).agg(F.count(F.lit(1)), F.sum(F.octet_length("word"))).first()
+    blocks = -(-dim // BLOCK_DIMS) if dim > DIRECT_DIMS else 1
+    width = 4 if isinstance(vectors.schema["vec"].dataType.elementType, FloatType) else 8
+    return n * (dim * width + 64 * blocks) + (chars or 0) * blocks <= most
+
+
 def tag_tokens(rows: DataFrame, text_col: str, keep: Sequence[str], here: Column | None = None) -> DataFrame:
     """``word=weight`` text -> one row per token: ``keep..., pos, word,
     weight``.
@@ -175,30 +196,45 @@ def combine_repeats(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
     return tokens.groupBy(*keys, "word").agg(F.sum("weight").alias("weight"))
 
 
+def _blocks(dim: int, width: int = BLOCK_DIMS) -> Column:
+    return F.array(*[F.slice("vec", at + 1, width) for at in range(0, dim, width)])
+
+
 def block_vocab(vectors: DataFrame, dim: int, width: int = BLOCK_DIMS) -> DataFrame:
     """``word, _b, _seg``: every vector of at most ``dim`` components cut
     into blocks of ``width`` positions."""
-    blocks = F.array(*[F.slice("vec", at + 1, width) for at in range(0, dim, width)])
-    return _vocab(vectors).where(F.size("vec") <= dim).select("word", F.posexplode(blocks).alias("_b", "_seg"))
+    return _vocab(vectors).where(F.size("vec") <= dim).select("word", F.posexplode(_blocks(dim, width)).alias("_b", "_seg"))
 
 
 def vector_sums(tokens: DataFrame, vectors: DataFrame, ids: Sequence[str], dim: int, part_col: str | None = None,
                 parts: Sequence[str] = (), present: DataFrame | None = None, hot: DataFrame | None = None,
-                here: str | None = None) -> DataFrame:
+                here: str | None = None, near: bool = False, deal: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """Weighted sums per ``ids`` of the known tokens, as ``vec``, or as
     ``<part>_vec`` for each value of ``part_col``.  Unknown words add zeros,
     so the join drops them before the aggregate's shuffle; tokens of ``hot``
     words are not shuffled for it (``join_words``).  The rows of ``present(ids)``
     join the aggregate as tokens without a vector, so that each has a result
     (zeros) without a join afterwards; tokens whose column ``here`` is true do
-    so where they stand, known or not, which leaves tokens dealt by id as they are."""
+    so where they stand, known or not, which leaves tokens dealt by id as they are.
+    ``near``: the vocabulary is broadcast (see ``vocab_fits``).  ``deal``
+    (into how many parts, by which of the ``ids``): known tokens go to their
+    part with their whole vector, which is half a partial sum, and are cut
+    and summed there."""
     ids, keys = list(ids), [*ids, *([part_col] if part_col else [])]
     blocks = range(-(-dim // BLOCK_DIMS)) if dim > DIRECT_DIMS else None
     seg, width, at = ("_seg", BLOCK_DIMS, ["_b"]) if blocks else ("vec", dim, [])
-    vocab = block_vocab(vectors, dim) if blocks else _vocab(vectors)
-    known = join_words(tokens, vocab, "left" if here else "inner", hot)
+    if blocks and deal:
+        vocab = _vocab(vectors).where(F.size("vec") <= dim)
+    else:
+        vocab = block_vocab(vectors, dim) if blocks else _vocab(vectors)
+    known = join_words(tokens, F.broadcast(vocab) if near else vocab, "left" if here else "inner", None if near else hot)
+    hit = F.col("vec" if deal else seg).isNotNull()
     if here:
-        known = known.where(F.col(seg).isNotNull() | F.col(here))
+        known = known.where(hit | F.col(here))
+    if deal:
+        known = known.select(*keys, F.when(hit, F.col("weight")).alias("weight"), "vec").repartition(deal[0], *deal[1])
+        if blocks:
+            known = known.select(*keys, "weight", F.posexplode_outer(F.when(hit, _blocks(dim))).alias("_b", "_seg"))
     known = known.select(*keys, *at, "weight", seg)
     if present is not None:
         none = [F.lit(parts[0]).alias(part_col)] if part_col else []
@@ -270,17 +306,30 @@ def with_zero_vectors(ids: DataFrame, vecs: DataFrame, id_cols: Sequence[str],
     return j.select(*id_cols, *[F.coalesce(F.col(c), zeros(dim)).alias(c) for c in vec_cols])
 
 
-def _versions(rows: DataFrame, id_col: str, text_cols: Sequence[str], n_vectors: int | None, dim: int) -> DataFrame:
-    """``id, texts, _ver, _copies``: every distinct row once, with a digest
-    of its texts (nulls told from empty ones) and how often it comes, dealt by
-    id and digest."""
-    dealt = [id_col, "_ver"]
-    ver = rows.select(id_col, *text_cols, F.unhex(F.sha2(F.to_json(F.struct(*text_cols)), 256)).alias("_ver"))
-    if n_vectors is None:
-        ver = ver.repartition(*dealt)
-    else:
-        ver = ver.repartition(dealt_parts(rows.sparkSession, n_vectors, dim), *dealt)
-    return ver.groupBy(*dealt, *text_cols).agg(F.count(F.lit(1)).alias("_copies"))
+#: What a distinct row is dealt by, and what it is told apart by, besides its id.
+DEALT = ("_deal",)
+VERSION = (*DEALT, "_ver", "_copies")
+
+
+def _versions(rows: DataFrame, id_col: str, text_cols: Sequence[str], n_parts: int | None) -> DataFrame:
+    """``id, texts, _deal, _ver, _copies``: every distinct row once, with a
+    digest of its texts (nulls told from empty ones) and how often it comes,
+    dealt by id and a few bits of the texts' hash (versions of one id lie
+    apart); the digest is made after that and not shuffled."""
+    dealt = [id_col, *DEALT]
+    few = F.pmod(F.xxhash64(*text_cols), F.lit(1 << 15)).cast("short").alias("_deal")
+    rows = rows.select(id_col, *text_cols, few)
+    rows = rows.repartition(*dealt) if n_parts is None else rows.repartition(n_parts, *dealt)
+    ver = rows.select("*", F.unhex(F.sha2(F.to_json(F.struct(*text_cols)), 256)).alias("_ver"))
+    return ver.groupBy(*dealt, "_ver", *text_cols).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def _row_sums(toks: DataFrame, vectors: DataFrame, id_col: str, dim: int, n_parts: int | None, *parts) -> DataFrame:
+    """Sums of the tokens of ``_versions`` rows, dealt into ``n_parts`` (None: as Spark does)."""
+    by = {}
+    if n_parts is not None:
+        by = {"near": True} if vocab_fits(vectors, dim) else {"deal": (n_parts, [id_col, *DEALT])}
+    return vector_sums(toks, vectors, [id_col, *VERSION], dim, *parts, here="_here", **by)
 
 
 def _each_copy(vecs: DataFrame, id_col: str, vec_cols: Sequence[str]) -> DataFrame:
@@ -297,13 +346,14 @@ def content_vectors(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str =
     texts of a row are exploded from one two-element array.  ``n_rows`` (how
     many rows there are) sets into how many parts they are dealt; without it
     Spark does, by the size of the texts."""
-    given = _versions(rows, id_col, [tags_col, title_col], n_rows and 2 * n_rows, dim)
-    key = [id_col, "_ver", "_copies"]
+    n_parts = None if n_rows is None else dealt_parts(rows.sparkSession, 2 * n_rows, dim)
+    given = _versions(rows, id_col, [tags_col, title_col], n_parts)
+    key = [id_col, *VERSION]
     texts = F.array(F.struct(F.lit("tags").alias("_part"), F.col(tags_col).alias("_txt")),
                     F.struct(F.lit("title").alias("_part"), F.col(title_col).alias("_txt")))
     toks = tag_tokens(given.select(*key, F.inline(texts)), "_txt", [*key, "_part"],
                       here=(F.col("pos") == 0) & (F.col("_part") == "tags"))
-    v = vector_sums(toks, vectors, key, dim, "_part", ["tags", "title"], here="_here")
+    v = _row_sums(toks, vectors, id_col, dim, n_parts, "_part", ["tags", "title"])
     return _each_copy(v, id_col, ["tags_vec", "title_vec"])
 
 
@@ -319,15 +369,16 @@ def category_vector(rows: DataFrame, vectors: DataFrame, dim: int, id_col: str,
     texts to sum are gathered per row (a short array), exploded, and then
     tokenised like ``tag_tokens``."""
     s, title = F.col(text_col), F.col(title_col)
-    given = _versions(rows, id_col, [text_col, title_col], n_rows, dim)
-    key = [id_col, "_ver", "_copies"]
+    n_parts = None if n_rows is None else dealt_parts(rows.sparkSession, n_rows, dim)
+    given = _versions(rows, id_col, [text_col, title_col], n_parts)
+    key = [id_col, *VERSION]
     kw_texts = F.transform(
         F.filter(parse_keywords(s), lambda c: c["tags"] != KEYWORD_EMPTY), lambda c: c["tags"])
     texts = F.concat(F.when(is_keyword_format(s, title), kw_texts).otherwise(F.array(s)),
                      F.array(title))
     toks = tag_tokens(given.select(*key, F.posexplode(texts).alias("_t", "_txt")), "_txt", [*key, "_t"],
                       here=(F.col("pos") == 0) & (F.col("_t") == 0))
-    v = vector_sums(toks, vectors, key, dim, here="_here")
+    v = _row_sums(toks, vectors, id_col, dim, n_parts)
     return _each_copy(v, id_col, ["vec"])
 
 

@@ -291,3 +291,56 @@ def test_no_vector_is_shuffled_where_the_vocabulary_is_broadcast(spark, tmp_path
         assert exchanges(got) == 1
     few = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert op.vectors.dealt_parts(spark, 10, 64) == few and op.vectors.dealt_parts(spark, 10**9, 300) >= 30_000
+
+
+def without_broadcasts(spark, run):
+    """What ``run`` gives in a session that broadcasts no table by itself."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "-1")
+        return run()
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def odd_vocabulary(spark, dim):
+    v = [("a", [1.0] * dim), ("b", [float(k) for k in range(dim)]), ("short", [2.0, 3.0]), ("long", [5.0] * (dim + 1)), ("empty", []),
+         ("none", None), (None, [7.0] * dim)]
+    return spark.createDataFrame(v, "word string, vec array<float>")
+
+
+ODD_ROWS = [("1", "a=2 b=1", "a=1"), ("1", "a=2 b=1", "a=1"), ("1", "a=2 b=1", None), ("2", " x", "b short=2"), (None, "", "z b=2"),
+            (None, "long", "a"), ("3", None, None), ("4", "long=2 empty none", "empty")]
+
+
+def test_a_counted_vocabulary_is_broadcast_whatever_spark_guesses(spark):
+    """Content rows: dealt by id once, no vector shuffled, where the session
+    broadcasts nothing by itself; nulls, versions and copies as before."""
+    r = spark.createDataFrame(ODD_ROWS, "id string, s string, t string")
+    for dim, make in ((4, op.category_vector), (120, op.content_vectors)):
+        v = odd_vocabulary(spark, dim)
+        assert op.vectors.vocab_fits(v, dim)
+        want = rows(make(r, v, dim, "id", "s", "t"))
+        assert len(want) == len(ODD_ROWS)
+
+        def dealt(make=make, v=v, dim=dim):
+            got = make(r, v, dim, "id", "s", "t", n_rows=len(ODD_ROWS))
+            return rows(got), exchanges(got)
+        assert without_broadcasts(spark, dealt) == (want, 1)
+
+
+def test_a_vocabulary_too_large_to_broadcast_ships_whole_vectors(spark, monkeypatch):
+    """Rows and words meet by a shuffle, and known vectors go to their row's
+    part as they are: no partial sums are shuffled, twice."""
+    monkeypatch.setattr(op.vectors, "VOCAB_BYTES", 0)
+    r = spark.createDataFrame(ODD_ROWS, "id string, s string, t string")
+    for dim, make in ((4, op.category_vector), (120, op.content_vectors)):
+        v = odd_vocabulary(spark, dim)
+        assert not op.vectors.vocab_fits(v, dim)
+        want = rows(make(r, v, dim, "id", "s", "t"))
+
+        def dealt(make=make, v=v, dim=dim):
+            got = make(r, v, dim, "id", "s", "t", n_rows=len(ODD_ROWS))
+            return rows(got), exchanges(got)
+        assert without_broadcasts(spark, dealt) == (want, 4)  # texts, words, vocabulary, known vectors
