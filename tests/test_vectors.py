@@ -344,3 +344,23 @@ def test_a_vocabulary_too_large_to_broadcast_ships_whole_vectors(spark, monkeypa
             got = make(r, v, dim, "id", "s", "t", n_rows=len(ODD_ROWS))
             return rows(got), exchanges(got)
         assert without_broadcasts(spark, dealt) == (want, 4)  # texts, words, vocabulary, known vectors
+
+
+def test_tokens_meet_a_counted_vocabulary_where_they_are_dealt(spark, monkeypatch):
+    """Sums per id: tokens are shuffled once if the counted vocabulary can be
+    broadcast, else they meet it and go on to their id with whole vectors."""
+    data = [("x", "a", 2.0), ("x", "a", 0.5), ("x", "b", 1.0), ("x", "nope", 1.0), ("y", "nope", 1.0), ("y", None, 1.0), (None, "a", 1.0),
+            ("z", "short", 2.0), ("z", "long", 1.0), ("w", "long", 1.0), ("w", "none", 1.0), ("v", "empty", 1.0)]
+    t = toks(spark, data)
+    for dim, every in ((4, False), (120, True)):
+        v = odd_vocabulary(spark, dim)
+        want = rows(op.tag_vector(t, v, "id", dim, all_ids=every))
+
+        def dealt(hot=None, v=v, dim=dim, every=every):
+            got = op.tag_vector(t, v, "id", dim, all_ids=every, n_tokens=len(data), hot=hot)
+            return rows(got), exchanges(got)
+        assert without_broadcasts(spark, dealt) == (want, 1)
+        with monkeypatch.context() as m:
+            m.setattr(op.vectors, "VOCAB_BYTES", 0)
+            assert without_broadcasts(spark, dealt) == (want, 3)  # words, vocabulary, known vectors
+            assert dealt(op.hot_words(t))[0] == want
