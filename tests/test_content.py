@@ -1,6 +1,9 @@
+from pyspark.sql import functions as F
+
 from driftwood import operators as op
 from driftwood.plans import jobs
 from driftwood.schemas import CONTENT_COLUMNS
+from driftwood.session import scratch_root
 
 from .conftest import plan_text, rows
 
@@ -191,3 +194,20 @@ def test_lookup_with_checkpointed_ids(spark):
     a = rows(op.content_lookup(ids, *tables(spark)))
     b = rows(op.content_lookup(ids, *tables(spark), checkpoint_ids=True))
     assert a == b and len(a) == 3
+
+
+def test_rows_of_other_months_go_before_they_are_shuffled(spark, tmp_path):
+    """An id is looked up in the month it routes to; the sources' rows that
+    lie elsewhere are dropped by the scan, not by the join with the ids."""
+    stored = []
+    for name, t in zip(("c", "s", "n"), tables(spark), strict=True):
+        t.unionByName(t.where("content_id = '201808001'").withColumn("shard", F.lit("2019_01"))).write.parquet(f"{tmp_path}/{name}")
+        stored.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    ids = spark.createDataFrame([("201808001",), ("201807001",), ("x",), (None,)], "content_id string")
+    scratch_root(spark)
+    got = op.content_lookup(ids, *stored, checkpoint_ids=True)
+    assert [r.content_words_num for r in got.orderBy("content_id").collect()] == [" ", " ", "300", " "]
+    # a filter on the label of the id below every semi join
+    tree = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    own = [x for x in tree if "Filter" in x and "shard#" in x and "content_id#" in x and "substring" in x]
+    assert len(own) >= 3

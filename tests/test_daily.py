@@ -2,12 +2,13 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from driftwood.plans import daily
+from driftwood.plans import daily, inputs
 from driftwood.plans import queries as Q
 from driftwood.schemas import CONTENT_COLUMNS
 from driftwood.session import scratch_path
 from driftwood.sources import read_day_logs
 
+from .conftest import plan_text
 from .test_content import tables
 from .test_logs import S, log
 
@@ -141,3 +142,45 @@ def test_day_folders_are_listed_without_making_the_logs_again(spark, monkeypatch
     assert [spark.read.text(p).count() for p in paths["clk"]] == [10, 0, 0]
     files = spark.read.text(paths["imp"][0])
     assert max(r["count"] for r in files.groupBy(F.input_file_name()).count().collect()) <= 10
+
+
+def test_line_logs_of_both_sides_come_from_one_join(spark, tmp_path):
+    """Same lines as a join of its own for each side gave; orders are read once."""
+    day = "cast('{}' as timestamp_ntz)"
+    items = [(1, 1, 7, "R", "2001-02-03 00:00:00"), (1, 2, 8, "N", "2001-02-14 10:00:00"), (2, 1, 7, None, "2001-02-28 00:00:00"),
+             (2, 1, 7, "R", "2001-02-28 00:00:00"), (9, 1, 7, "R", "2001-02-28 00:00:00"), (None, 1, 7, "R", "2001-02-28 00:00:00")]
+    (spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, at string")
+     .selectExpr("*", "l_suppkey l_partkey", "1.0D l_quantity", "cast(at as timestamp_ntz) l_shipdate").drop("at").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    spark.sql(f"select 1L o_orderkey, {day.format('1998-11-05')} o_orderdate union all select 2L, {day.format('2000-01-31')}").write.parquet(f"{tmp_path}/orders.parquet")
+    got = inputs.line_logs(spark, str(tmp_path))
+
+    def text(order, line, dd, cid, key):
+        return (f'{{"p1":"{order}-{line}","p3":"2024-01-{dd} 08:00:00","p17":"dev{7 if line == 1 else 8}",'
+                f'"{key}":{{"e15":"{cid}","o2":{{"e30":0}}}}}}')
+    want = [("imp", "20240103", text(1, 1, "03", "1998111", "e23")), ("clk", "20240103", text(1, 1, "03", "1998111", "e24")),
+            ("imp", "20240114", text(1, 2, "14", "1998111", "e23")), ("clk", "20240128", text(2, 1, "28", "2000012", "e24"))]
+    want += [("imp", "20240128", text(2, 1, "28", "2000012", "e23"))] * 2
+    assert sorted((r.side, r.folder_day, r.value) for r in got.collect()) == sorted(want)
+    assert sum("Join" in x for x in plan_text(got).split("\n")) == 1
+    paths, days = Q._day_folders(got, spark)
+    assert days == ["20240103", "20240114", "20240128"]
+    assert [[spark.read.text(p).count() for p in paths[side]] for side in ("imp", "clk")] == [[1, 1, 2], [1, 0, 1]]
+
+
+def test_a_snapshot_out_of_the_distinct_is_not_dealt_again(spark, monkeypatch):
+    root, saved = scratch_path(spark, "once"), scratch_path(spark, "once-rows")
+    write_days(spark, f"{root}/imp", {"20240101": [log("1", "201808001", "d", "2024-01-01 08:00:00", "e23")]})
+    write_days(spark, f"{root}/clk", {"20240101": []})
+    daily.run_training_rows(spark, folders(f"{root}/imp", ["20240101"]), folders(f"{root}/clk", ["20240101"]), S, saved)
+    old = spark.createDataFrame([], ", ".join(f"{c} string" for c in CONTENT_COLUMNS))
+    seen, write = [], daily.write_snapshot
+
+    def noted(df, *args, rebalance=True, **more):
+        seen.append(rebalance)
+        return write(df, *args, rebalance=rebalance, **more)
+    monkeypatch.setattr(daily, "write_snapshot", noted)
+    for k, distinct in enumerate((False, True)):
+        path, m = daily.run_content_refresh(spark, saved, "20240101", "20240101", old, *tables(spark), scratch_path(spark, "once-snap"),
+                                            "202401", f"20240102000{k}", snapshot_is_distinct=distinct)
+        assert spark.read.parquet(path).count() == 1 and m == {"total_ids": 1, "new_ids": 1, "found": 1}
+    assert seen == [False, True]

@@ -235,3 +235,16 @@ def test_dropped_lines_are_counted(spark, tmp_path):
     saved = spark.read.parquet(out)
     assert saved.count() == got["imp_read"] + got["click_read"] - 3
     assert {r.side for r in saved.select("side").collect()} == {"imp", "click"} and "day" in saved.columns
+
+
+def test_clicks_travel_as_lines_and_are_parsed_again(spark):
+    """Deduplicated clicks: the parsed log is not shuffled beside its line."""
+    def parse(t):
+        return parse_logs(t, keep_value=True)
+    clicks = parse(spark.createDataFrame([(x,) for x in [*CLK, *CLK]], "value string"))
+    clicks = op.strategy_filter(clicks, CLICK_KEY, S)
+    one, again = op.dedup_clicks(clicks), op.dedup_clicks(clicks, parse=parse)
+    assert set(one.columns) == set(again.columns)
+    cols = ("content_id", "device_id", "day", "value")
+    assert rows(again, *cols) == rows(one, *cols) and rows(again.select("log.p1")) == rows(one.select("log.p1"))
+    assert "._keep.log" in plan_text(one) and "._keep.log" not in plan_text(again)
