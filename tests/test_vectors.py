@@ -364,3 +364,13 @@ def test_tokens_meet_a_counted_vocabulary_where_they_are_dealt(spark, monkeypatc
             m.setattr(op.vectors, "VOCAB_BYTES", 0)
             assert without_broadcasts(spark, dealt) == (want, 3)  # words, vocabulary, known vectors
             assert dealt(op.hot_words(t))[0] == want
+
+
+def test_no_digest_is_shuffled(spark):
+    """Versions of an id are dealt by a few bits of their texts' hash; the
+    digest that tells them apart is made in the part."""
+    r = spark.createDataFrame(ODD_ROWS, "id string, s string, t string")
+    v = odd_vocabulary(spark, 4)
+    plan = plan_text(op.content_vectors(r, v, 4, "id", "s", "t", n_rows=len(ODD_ROWS))).split("\n")
+    deal = next(k for k, x in enumerate(plan) if "Exchange hashpartitioning(id#" in x)
+    assert "_deal#" in plan[deal] and any("sha2(" in x for x in plan[:deal]) and not any("sha2(" in x for x in plan[deal:])
